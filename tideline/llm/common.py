@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Row ranges of ``batch`` whose texts in ``column`` total at most ``most`` bytes (or one row)."""
     at = batch.schema.get_field_index(column)
-    sizes = pa.compute.binary_length(batch.column(at)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(at)).fill_null(0).to_pylist()
     begin = total = 0
     for i, n in enumerate(sizes):
         if i > begin and total + n > most:

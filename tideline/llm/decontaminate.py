@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -290,17 +291,19 @@ def contamination(
     each give their rows.  The benchmark goes to the executors in blocks of about ``block_chars``
     characters.
     """
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    found = [texts.mapInArrow(_scanner(ix), SCHEMA) for ix in _blocks(benchmark, window, edit_rate, q, least, block_chars)]
+    return reduce(DataFrame.union, found)
+
+
+def _blocks(benchmark: DataFrame, window: int, edit_rate: float, q: int, least: int, block_chars: int) -> Iterator[Index | None]:
+    """The indexes of the benchmark's blocks, each of about ``block_chars`` characters."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_chars))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    out = None
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        ix = build([(r["item_id"], r["text"]) for r in block], window, edit_rate, q, least)
-        found = texts.mapInArrow(_scanner(ix), SCHEMA)
-        out = found if out is None else out.union(found)
-    return out
+        yield build([(r["item_id"], r["text"]) for r in block], window, edit_rate, q, least)
 
 
 def _scanner(ix: Index | None):
@@ -322,8 +325,29 @@ def _scanner(ix: Index | None):
     return run
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents that hold a contaminated region.  Rows with a null doc_id
-    can't be told apart and stay."""
-    bad = contamination(docs, benchmark, **how).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = 100,
+    edit_rate: float = 0.08,
+    q: int = 9,
+    least: int = 30,
+    block_chars: int = 4_000_000,
+) -> DataFrame:
+    """``docs`` without the rows whose text holds a contaminated region, decided where they lie."""
+
+    def clean(ix: Index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a, b in slices(batch, "text"):
+                    part = batch.slice(a, b - a)
+                    keep = np.ones(len(part), dtype=bool)
+                    keep[[n for n, *_ in scan(ix, [t or "" for t in part.column("text").to_pylist()])]] = False
+                    yield part.filter(pa.array(keep))
+
+        return run
+
+    for ix in _blocks(benchmark, window, edit_rate, q, least, block_chars):
+        if ix is not None:
+            docs = docs.mapInArrow(clean(ix), docs.schema)
+    return docs
