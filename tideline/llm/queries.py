@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import decontaminate, linededup, quality, simhash, toxicity
+from tideline.llm import decontaminate, licenses, linededup, packing, quality, simhash, toxicity, warc
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,12 +26,93 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("found")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op9_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_benchmark_decontamination, op2_line_dedup, op3_simhash_near_dedup, op4_quality_classifier, op8_toxicity)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_line_dedup, op3_simhash_near_dedup, op4_quality_classifier, op5_best_fit_packing, op6_license_scan, op8_toxicity, op9_warc_capture_index)
 }
 
-SQL: dict[str, str] = {}
+_LICENSE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
+
+#: Regular expressions over the words of a text, each with a space on either side.
+_LICENSE_PATTERNS = (
+    ("mit-notice", " released under the (terms of the )?mit license "),
+    ("apache-2-notice", " licensed under the apache license version 2 0 "),
+    (
+        "apache-2-header",
+        " licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+        "(you may obtain a copy of the license at ([^ ]+ ){0,8})?unless required by applicable law or agreed to in writing software distributed "
+        "under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied ",
+    ),
+    (
+        "mit-text",
+        " permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the "
+        "software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute "
+        "sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following "
+        "conditions the above copyright notice and this permission notice (including the next paragraph )?shall be included in all copies or "
+        "substantial portions of the software ",
+    ),
+    (
+        "gpl-notice",
+        " you can redistribute it and or modify it under the terms of the gnu (lesser )?(affero )?general public license as published by the free "
+        "software foundation either version ([^ ]+ )?of the license or (at your option )?any later version ",
+    ),
+    ("gpl-reference", " licensed under the (terms of the )?gnu general public license "),
+    ("cc-by-nc-4", " licensed under (a )?cc by nc 4 0 "),
+    (
+        "bsd-text",
+        " redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are "
+        "met ([^ ]+ ){0,2}redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer ",
+    ),
+)
+
+
+def _license_sql() -> str:
+    places, labels = [], []
+    for phrase, label in _LICENSE_PHRASES:
+        words = phrase.split()
+        test = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
+        places.append(f"list_filter(range(len(w)), lambda i: {test})")
+        labels.append(f"CASE WHEN len({places[-1]}) > 0 THEN ['{label}'] ELSE []::VARCHAR[] END")
+    own = [f"CASE WHEN regexp_matches(j, '{pattern}') THEN ['{label}'] ELSE []::VARCHAR[] END" for label, pattern in _LICENSE_PATTERNS]
+    return f"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        found AS (
+            SELECT doc_id, len(w) AS n_words, ' ' || array_to_string(w, ' ') || ' ' AS j,
+                flatten([{", ".join(places)}]) AS places, flatten([{", ".join(labels)}]) AS base FROM words),
+        labelled AS (SELECT *, flatten([{", ".join(own)}]) AS own FROM found)
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+            CAST(list_min(places) AS BIGINT) AS first_word, CAST(list_max(places) AS BIGINT) AS last_word,
+            array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+            array_to_string(list_sort(list_distinct(list_concat(base, own))), ',') AS labels,
+            CASE WHEN len(own) > 0 THEN 1.0::DOUBLE WHEN len(base) > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+        FROM labelled"""
+
+
+SQL: dict[str, str] = {
+    "op6_license_scan": _license_sql(),
+    "op9_warc_capture_index": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+        h AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS holder FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+            CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to
+        FROM h""",
+}
