@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import decontaminate, licenses, linededup, packing, quality, simhash, toxicity, warc
+from tideline.llm import decontaminate, embeddings, licenses, linededup, packing, quality, simhash, tokencount, toxicity, warc
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("found")
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -42,8 +46,12 @@ def op9_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_benchmark_decontamination, op2_line_dedup, op3_simhash_near_dedup, op4_quality_classifier, op5_best_fit_packing, op6_license_scan, op8_toxicity, op9_warc_capture_index)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_line_dedup, op3_simhash_near_dedup, op4_quality_classifier, op5_best_fit_packing, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_warc_capture_index, op10_token_counts)
 }
 
 _LICENSE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -107,6 +115,13 @@ def _license_sql() -> str:
 
 SQL: dict[str, str] = {
     "op6_license_scan": _license_sql(),
+    "op7_embedding_near_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+        n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)""",
     "op9_warc_capture_index": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
