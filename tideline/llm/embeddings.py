@@ -139,13 +139,13 @@ def _verified(links: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
 
 
 def _counts(members: DataFrame, threshold: float) -> DataFrame:
-    """``members(component, node, full, copies, size)`` to ``(node, links)``: how many vectors of the
+    """``members(component, node, full, copies, dim, size)`` to ``(node, links)``: how many vectors of the
     component, copies counted, each node links with, its own copies left out."""
     sides = F.ceil(F.col("size") / TILE).cast("int")
     side = F.pmod(F.xxhash64("node", F.lit(5)), F.col("sides")).cast("int")
     held = members.withColumn("sides", sides).withColumn("side", side)
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-    tiles = held.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "full", "copies")
+    tiles = held.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "full", "copies", "dim")
     # small components share a group, each tile of a large one is a group of its own
     groups = _groups(members.count(), TILE)
     tiles = tiles.withColumn("__g", F.pmod(F.xxhash64("component", "i", "j"), F.lit(groups * 8)))
@@ -170,7 +170,7 @@ def _counts(members: DataFrame, threshold: float) -> DataFrame:
             own, links = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         return pa.table({"node": np.concatenate(own), "links": np.concatenate(links).astype(np.int64)})
 
-    found = tiles.groupBy("__g").applyInArrow(lambda t: run(t), "node bigint, links bigint")
+    found = tiles.groupBy("dim", "__g").applyInArrow(lambda t: run(t), "node bigint, links bigint")
     return found.groupBy("node").agg(F.sum("links").alias("links"))
 
 
@@ -243,7 +243,7 @@ def embedding_groups(
     known = nodes.select("node", "least", "copies")
     if placed is not None:
         size = placed.groupBy("component").agg(F.count("*").alias("size"))
-        members = placed.join(size, "component").join(nodes.select("node", "full", "copies"), "node")
+        members = placed.join(size, "component").join(nodes.select("node", "full", "copies", "dim"), "node")
         least = placed.join(known, "node").groupBy("component").agg(F.min("least").alias("first"))
         more = placed.join(least, "component").select("node", "first").join(_counts(members, threshold), "node", "left")
         known = known.join(more, "node", "left")
