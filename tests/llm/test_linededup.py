@@ -42,6 +42,17 @@ def test_variant_hashes_are_those_of_the_shorter_text(text, data):
     assert (u[k], v[k]) == (x[-1], y[-1])
 
 
+@given(st.text("ab", max_size=6), st.text("ab", max_size=6))
+def test_one_edit(a, b):
+    rows = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(rows[j - 1] + (x != y), rows[j] + 1, new[j - 1] + 1))
+        rows = new
+    assert ld.one_edit(a, b) == (rows[-1] <= 1)
+
+
 def test_equals_brute_force(spark, docs_of):
     rng = random.Random(4)
     bases = ["".join(rng.choice("abcdefgh ") for _ in range(rng.choice([10, 33, 34, 60, 200]))).strip() or "x" for _ in range(25)]
@@ -58,7 +69,7 @@ def test_equals_brute_force(spark, docs_of):
         texts.append("\n".join(lines))
     rows = list(enumerate(texts))
     want = brute(rows)
-    got = {(r.doc_id, r.line): r.near_doc_id is None for r in ld.line_verdicts(docs_of(texts)).collect()}
+    got = {(r.doc_id, r.line): r.near_doc_id is None for r in ld.line_verdicts(docs_of(texts), ld.line_table(docs_of(texts))).collect()}
     assert got == want and False in want.values()
     kept = Counter(doc for (doc, _), stays in want.items() if stays)
     assert {r.doc_id: r.n_kept for r in ld.line_counts(docs_of(texts)).collect()} == {i: kept[i] for i in range(len(texts))}

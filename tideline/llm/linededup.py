@@ -20,7 +20,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import cut, slices, stored
@@ -35,29 +36,76 @@ def normal(line: Column) -> Column:
     return F.trim(F.translate(line, UPPER, LOWER), F.lit(BLANKS))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """Non-blank lines ``(doc_id, line, norm, h, g)`` of documents with an id; h and g are two
-    64-bit hashes that together stand for the line."""
-    split = docs.where("doc_id is not null and text is not null").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line", "raw"),
-    )
-    norm = split.select("doc_id", "line", normal(F.col("raw")).alias("norm")).where("norm != ''")
-    return norm.select("doc_id", "line", "norm", F.xxhash64("norm").alias("h"), F.xxhash64("norm", F.lit(1)).alias("g"))
+def norms(text: str) -> list[bytes]:
+    """The compared form of each line of a text; blank lines are empty."""
+    return [x.lower().strip(BLANKS.encode()) for x in text.encode().split(b"\n")]
 
 
-def _piece_keys(least: int) -> Column:
+def piece_keys(norm: bytes) -> list[int]:
     """Keys of a line of n characters among lines of n, and as the longer line among those of
     n - 1: per piece the hash of what lies outside it."""
-    n = F.length("norm")
-    keys = []
+    line = norm if norm.isascii() else norm.decode()
+    out = []
     for longer in (0, 1):
+        n = len(line)
+        size = n - longer
         for k in range(PIECES):
-            size = n - longer
-            a, b = F.floor(size * k / PIECES), F.floor(size * (k + 1) / PIECES)
-            head, tail = F.substring("norm", F.lit(1), a.cast("int")), F.right(F.col("norm"), (size - b).cast("int"))
-            keys.append(F.struct(F.xxhash64(size, F.lit(k), head, tail).alias("key"), F.lit(longer).alias("longer"), F.lit(k).alias("piece")))
-    return F.explode(F.when(n >= least, F.array(*keys)))
+            head, tail = line[: size * k // PIECES], line[n - (size - size * (k + 1) // PIECES) :]
+            whole = head + b"\n" + tail if isinstance(line, bytes) else f"{head}\n{tail}".encode()
+            out.append(xxhash.xxh64_intdigest(whole, size * PIECES + k))
+    return out
+
+
+def _line_rows(least: int):
+    """Rows ``(doc_id, line, h, g, keys)`` of the non-blank lines; h and g are the halves of a 128-bit
+    hash.  ``keys`` is null for lines of fewer than ``least`` characters and for those that are in the
+    batch already.  A row with line -1 holds a document's lines and blank lines as h and g."""
+    names = ["doc_id", "line", "h", "g", "keys"]
+
+    def rows(part: pa.RecordBatch, seen: set[bytes]) -> pa.RecordBatch:
+        doc, line, digest, keys = [], [], [], []
+        for d, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            own = [] if text is None else norms(text)
+            full = 0
+            for i, norm in enumerate(own) if d is not None else ():
+                if norm:
+                    full += 1
+                    x = xxhash.xxh3_128_digest(norm)
+                    doc.append(d), line.append(i), digest.append(x)
+                    long = x not in seen and len(norm) >= least and (norm.isascii() or len(norm.decode()) >= least)
+                    keys.append(piece_keys(norm) if long else None)
+                    seen.add(x)
+            blank = len(own) - full if d is not None else sum(not x for x in own)
+            doc.append(d), line.append(-1), digest.append(len(own).to_bytes(8, "big") + blank.to_bytes(8, "big")), keys.append(None)
+        halves = np.frombuffer(b"".join(digest), dtype=">i8").astype(np.int64).reshape(-1, 2)
+        held = [k for k in keys if k is not None]
+        flat = np.array(held, dtype=np.uint64).reshape(-1).view(np.int64)
+        there = np.array([k is not None for k in keys], dtype=bool)
+        offsets = pa.array(np.append(0, np.cumsum(there * 2 * PIECES)).astype(np.int32), mask=np.append(~there, False))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
+        return pa.RecordBatch.from_arrays([pa.array(doc, type=pa.int64()), pa.array(line, type=pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: set[bytes] = set()
+            for a, b in slices(batch, "text", 1 << 22):
+                yield rows(batch.slice(a, b - a), seen)
+
+    return run
+
+
+def _asked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The compared form of the lines that emit variants."""
+    for batch in batches:
+        for a, b in slices(batch, "text", 1 << 22):
+            part = batch.slice(a, b - a)
+            out = []
+            for d, text, asked in zip(*(part.column(i).to_pylist() for i in range(3))):
+                lines = norms(text)
+                out += [(d, x["line"], lines[x["line"]].decode(), x["h"], x["g"], x["asks"]) for x in asked if x["line"] < len(lines) and xxhash.xxh3_128_digest(lines[x["line"]]) == x["h"].to_bytes(8, "big", signed=True) + x["g"].to_bytes(8, "big", signed=True)]
+            types = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            columns = zip(*out) if out else [[] for _ in types]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], ["doc_id", "line", "norm", "h", "g", "asks"])
 
 
 P = (np.uint64(2147483647), np.uint64(2147483629))
@@ -124,37 +172,58 @@ def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays([pa.array(key[once].view(np.int64)), pa.array(role[once]), *held], names)
 
 
-def line_verdicts(docs: DataFrame, least: int = 32) -> DataFrame:
-    """Per different line its first place and whether it stays:
-    ``(h, g, doc_id, line, near_doc_id, near_line)``; the last two are null if it stays."""
-    lines = _lines(docs)
-    place = F.struct("doc_id", "line")
+def one_edit(a: str, b: str) -> bool:
+    """Whether the edit distance is at most 1: what follows the first difference must agree."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:  # length of the common beginning
+        mid = (lo + hi + 1) // 2
+        if a[lo:mid] == b[lo:mid]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return a[lo + (len(a) >= len(b)) :] == b[lo + (len(b) >= len(a)) :]
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that are within one edit indeed."""
+    for batch in batches:
+        fine = [one_edit(a, b) for a, b in zip(batch.column("norm").to_pylist(), batch.column("near_norm").to_pylist())]
+        yield batch.filter(pa.array(fine, type=pa.bool_())).select(["doc_id", "line", "near_doc_id", "near_line"])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def line_table(docs: DataFrame, least: int = 32) -> DataFrame:
+    """The lines' hashes, computed once and stored: everything but the variants is made from them."""
+    return stored(_texts(docs).mapInArrow(_line_rows(least), "doc_id bigint, line int, h bigint, g bigint, keys array<bigint>"), "lines")
+
+
+def line_verdicts(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Per different line of ``docs``, whose :func:`line_table` is ``lines``, its first place and
+    whether it stays: ``(h, g, doc_id, line, near_doc_id, near_line)``; the last two are null if it
+    stays."""
     first = stored(
-        lines.select("h", "g", place.alias("at"), "doc_id", "line")
+        lines.where("line >= 0")
+        .select("h", "g", F.struct("doc_id", "line").alias("at"))
         .groupBy("h", "g")
         .agg(F.min("at").alias("at"))
         .select("h", "g", "at.doc_id", "at.line"),
         "first",
     )
-    # the pieces of first lines; a line's first place is needed only where keys meet
-    keyed = lines.select("h", "g", "doc_id", "line", "norm", _piece_keys(least).alias("k"))
-    keyed = keyed.select("h", "g", "k.key", "k.longer", "k.piece")
-    hot = (
-        keyed.groupBy("key")
-        .agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
-        .where("lo != hi")
-        .select("key")
-    )
-    asks = (
-        keyed.join(hot, "key", "left_semi")
-        .groupBy("h", "g")
-        .agg(F.collect_set(F.col("longer") * PIECES + F.col("piece")).alias("asks"))
-    )
-    asked = cut(asks.join(first, ["h", "g"]))
-    texts = stored(
-        lines.join(asked.select("doc_id", "line", "asks"), ["doc_id", "line"]).select("doc_id", "line", "norm", "h", "g", "asks"),
-        "asked",
-    )
+    # a line asks for variants in a piece if another line agrees with it outside that piece
+    keyed = lines.where("keys is not null").select("h", F.posexplode("keys").alias("ask", "key"))
+    order = Window.partitionBy("key").orderBy("h")
+    once = keyed.repartition("key").groupBy("key", "h").agg(F.min("ask").alias("ask"))
+    met = once.select("h", "ask", F.lag("h").over(order).alias("before"), F.lead("h").over(order).alias("after"))
+    asks = met.where("before is not null or after is not null").groupBy("h").agg(F.collect_set("ask").alias("asks"))
+    asked = asks.join(first, "h").groupBy("doc_id").agg(F.collect_list(F.struct("line", "h", "g", "asks")).alias("asked"))
+    source = _texts(docs).where("text is not null").join(asked, "doc_id").select("doc_id", "text", "asked")
+    texts = source.mapInArrow(_asked_rows, "doc_id bigint, line int, norm string, h bigint, g bigint, asks array<int>")
+    texts = stored(texts.dropDuplicates(["doc_id", "line"]), "asked")
     rows = texts.select("doc_id", "line", "norm", "h", "g", F.sort_array("asks").alias("asks")).mapInArrow(
         _variant_rows, "key bigint, role int, doc_id bigint, line int, h bigint, g bigint"
     )
@@ -179,7 +248,8 @@ def line_verdicts(docs: DataFrame, least: int = 32) -> DataFrame:
         earlier.select("doc_id", "line", F.col("near.doc_id").alias("near_doc_id"), F.col("near.line").alias("near_line"))
         .join(mine, ["doc_id", "line"])
         .join(theirs, ["near_doc_id", "near_line"])
-        .where(F.levenshtein("norm", "near_norm", 1).between(0, 1))
+        .select("doc_id", "line", "near_doc_id", "near_line", "norm", "near_norm")
+        .mapInArrow(_verify, "doc_id bigint, line int, near_doc_id bigint, near_line int")
         .groupBy("doc_id", "line")
         .agg(F.min(F.struct("near_doc_id", "near_line")).alias("near"))
         .select("doc_id", "line", "near.*")
@@ -198,20 +268,13 @@ def line_counts(docs: DataFrame, least: int = 32) -> DataFrame:
     Rows that repeat a doc_id give a row each; equal lines at the same place of such rows count as
     one line, kept or dropped together.
     """
-    verdicts = line_verdicts(docs, least)
+    lines = line_table(docs, least)
+    verdicts = line_verdicts(docs, lines)
     per = verdicts.groupBy("doc_id").agg(
         F.sum(F.when(F.col("near_doc_id").isNull(), 1).otherwise(0)).alias("kept"),
         F.sum(F.when(F.col("near_doc_id").isNotNull(), 1).otherwise(0)).alias("near"),
     )
-    split = F.split(F.col("text").cast("string"), "\n", -1)
-    own = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("bigint").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0)
-        .otherwise(F.size(F.filter(split, lambda x: normal(x) == "")))
-        .cast("bigint")
-        .alias("n_blank"),
-    )
+    own = lines.where("line = -1").select("doc_id", F.col("h").alias("n_lines"), F.col("g").alias("n_blank"))
     full = F.col("n_lines") - F.col("n_blank")
     kept = F.when(F.col("doc_id").isNull(), full).otherwise(F.coalesce("kept", F.lit(0)))
     return own.join(per, "doc_id", "left").select(
@@ -223,7 +286,7 @@ def dedup_lines(docs: DataFrame, least: int = 32) -> DataFrame:
     """``docs`` with the lines that :func:`line_counts` drops cut out of ``text``, blank lines kept,
     and ``n_chars``, if there is such a column, counted again.  No row is dropped: a document all of
     whose lines stand elsewhere keeps its blank lines or an empty text."""
-    verdicts = line_verdicts(docs, least).where("near_doc_id is null")
+    verdicts = line_verdicts(docs, line_table(docs, least)).where("near_doc_id is null")
     keep = verdicts.groupBy("doc_id").agg(F.collect_set("line").alias("__kept"))
     joined = docs.join(keep.withColumnRenamed("doc_id", "__doc"), docs["doc_id"] == F.col("__doc"), "left")
     split = F.split(F.col("text").cast("string"), "\n", -1)
