@@ -6,22 +6,22 @@ from tideline.llm import packing
 
 
 def plain_best_fit(sizes, lengths):
-    """Best fit without any index: every open bin is looked at."""
-    left, bins, where = sum(sizes), [], {}
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+    """Best fit without any index: every open bin is looked at; of equal rooms the bin that was
+    filled last is taken."""
+    left, bins = sum(sizes), []
+    for turn, i in enumerate(sorted(range(len(sizes)), key=lambda i: -sizes[i])):
         n = sizes[i]
-        fit = [b for b in range(len(bins)) if bins[b][1] >= n]
+        fit = [b for b in bins if b[1] >= n]
         if fit:
-            least = min(bins[b][1] for b in fit)
-            b = [b for b in fit if bins[b][1] == least]
+            bin_ = min(fit, key=lambda b: (b[1], -b[2]))
         else:
             k = min((c for c in lengths if c >= n), key=lambda c: (packing.cost(c) / min(c, left), c))
-            bins.append([k, k])
-            b = [len(bins) - 1]
-        where[i] = b
-        bins[b[-1]][1] -= n
+            bin_ = [k, k, turn]
+            bins.append(bin_)
+        bin_[1] -= n
+        bin_[2] = turn
         left -= n
-    return [c - r for c, r in bins]
+    return [c - r for c, r, _ in bins]
 
 
 def test_pack_equals_plain_best_fit():

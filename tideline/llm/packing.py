@@ -28,7 +28,8 @@ def cost(length: int, square: int = 16_384) -> float:
 
 def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[int], list[int], list[int]]:
     """Bin and offset of each piece, and the length of each bin.  ``sizes`` must not exceed the
-    largest length; pieces are taken in descending order, equal ones as they come."""
+    largest length; pieces are taken in descending order, equal ones as they come, and of bins with
+    equal room the one that was filled last."""
     lengths = sorted(lengths)
     prices = [cost(c) for c in lengths]
     order = np.argsort(-np.asarray(sizes, dtype=np.int64), kind="stable")
