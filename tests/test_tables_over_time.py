@@ -78,13 +78,14 @@ def test_asof_joins_equal_naive(spark):
 
 def test_streaks(spark):
     rng = random.Random(3)
-    seen = [(f, i, rng.choice(["x", "y", None])) for f in "ab" for i in range(40)]
+    seen = [(f, i, rng.choice(["x", "x", "x", "y", None])) for f in "ab" for i in range(40)]
     want, last = {}, {}
     for f, i, m in seen:
         n = last[f][1] + 1 if f in last and last[f][0] == m else 0
         want[f, i], last[f] = n, (m, n)
     df = spark.createDataFrame(seen, "feed string, checked bigint, modified string")
-    assert {(r.feed, r.checked): r.streak for r in feeds.unchanged_streak(df).collect()} == want
+    for span in (1, 3, 7, 1000):
+        assert {(r.feed, r.checked): r.streak for r in feeds.unchanged_streak(df, span).collect()} == want
 
 
 def test_refresh_reasons(spark):

@@ -10,16 +10,35 @@ from pyspark.sql import functions as F
 from tideline.functions import scalars as fn
 
 
-def unchanged_streak(checks: DataFrame) -> DataFrame:
+def unchanged_streak(checks: DataFrame, span: int = 100_000) -> DataFrame:
     """``checks(feed, checked, modified)`` with the number of checks in a row, before this one, that
     saw the same value: 0 at the first sighting and after a change.  Values are compared for
-    equality, not order."""
-    w = Window.partitionBy("feed").orderBy("checked")
-    changed = (~F.col("modified").eqNullSafe(F.lag("modified").over(w)) | (F.row_number().over(w) == 1)).cast("int")
-    runs = checks.withColumn("__c", changed)
-    runs = runs.withColumn("__run", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    streak = F.row_number().over(Window.partitionBy("feed", "__run").orderBy("checked")) - 1
-    return runs.withColumn("streak", streak.cast("bigint")).drop("__c", "__run")
+    equality, not order.
+
+    A prefix scan in two levels, so that a feed with most of the rows isn't one task: streaks within
+    blocks of ``span`` units of ``checked``, then over one row for each block what its first rows
+    carry on from the blocks before."""
+    rows = checks.withColumn("__b", F.floor(F.col("checked") / span))
+    w = Window.partitionBy("feed", "__b").orderBy("checked")
+    same = F.col("modified").eqNullSafe(F.lag("modified").over(w)) & (F.row_number().over(w) > 1)
+    rows = rows.withColumns({"__c": F.when(same, 0).otherwise(1), "__i": F.row_number().over(w)})
+    rows = rows.withColumn("__run", F.sum("__c").over(w))
+    rows = rows.withColumn("__s", F.row_number().over(Window.partitionBy("feed", "__b", "__run").orderBy("checked")) - 1)
+    edge = lambda f: f(F.struct("modified"), F.col("checked"))
+    blocks = rows.groupBy("feed", "__b").agg(edge(F.min_by).alias("head"), edge(F.max_by).alias("tail"), F.max("__run").alias("runs"), F.max_by("__s", "checked").alias("end"), F.count("*").alias("n"))
+    order = Window.partitionBy("feed").orderBy("__b")
+    joins = F.coalesce(F.col("head").eqNullSafe(F.lag("tail").over(order)), F.lit(False)) & (F.row_number().over(order) > 1)
+    whole = F.col("joins") & (F.col("runs") == 1)  # the block only carries on what was before
+    blocks = blocks.withColumn("joins", joins).withColumn("__g", F.sum(F.when(whole, 0).otherwise(1)).over(order))
+    run = Window.partitionBy("feed", "__g").orderBy("__b")
+    # checks of the last value seen, up to the end of the block
+    length = F.sum(F.when(whole, F.col("n")).otherwise(F.col("end") + 1)).over(run)
+    blocks = blocks.withColumn("length", length)
+    carried = F.when(F.col("joins"), F.lag("length").over(order)).otherwise(0)
+    blocks = blocks.select("feed", "__b", carried.alias("carried"))
+    joined = rows.join(blocks, ["feed", "__b"])
+    streak = F.col("__s") + F.when(F.col("__run") == 1, F.col("carried")).otherwise(0)
+    return joined.select(*checks.columns, streak.cast("bigint").alias("streak"))
 
 
 def latest_streaks(checks: DataFrame) -> DataFrame:

@@ -298,7 +298,7 @@ def win_2_first_success_per_year(spark, d):
     g AS (SELECT *, sum(ch) OVER (PARTITION BY feed ORDER BY checked) AS run FROM c)
     SELECT feed, checked, modified, row_number() OVER (PARTITION BY feed, run ORDER BY checked) - 1 AS streak FROM g""")
 def win_3_unchanged_streak(spark, d):
-    return feeds.unchanged_streak(views.feed_checks(spark, d))
+    return feeds.unchanged_streak(views.feed_checks(spark, d), 5_000)
 
 
 @query("SELECT code, date, event_id, px FROM v_ev QUALIFY row_number() OVER (PARTITION BY code, date ORDER BY event_id) = 1")
