@@ -38,7 +38,8 @@ def explode_payload(df: DataFrame, payload: str, list_key: str, row_schema: Stru
 
 def read_snapshot_csv(spark: SparkSession, path: str, day: str | Column, code_col: str, shares_col: str, encoding: str = "UTF-8") -> DataFrame:
     """``(code, date, shares_outstanding)`` of a CSV with a header, whose columns are found by name.
-    Rows without a code or a share count are left out; if a column is missing there are no rows."""
+    Rows without a code or a share count are left out; if a column is missing there are no rows.
+    Encodings beyond Spark's own list, such as EUC-KR, need ``spark.sql.legacy.javaCharsets``."""
     raw = spark.read.option("header", True).option("encoding", encoding).csv(path)
     date = F.to_date(F.lit(day)) if isinstance(day, str) else day
     if code_col not in raw.columns or shares_col not in raw.columns:
