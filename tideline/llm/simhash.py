@@ -161,10 +161,11 @@ def simhash_groups(docs: DataFrame, bits: int = 3, id_col: str = "doc_id", text_
     prints = cut(fingerprints(docs, id_col, text_col))
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     comp = components(links(prints, bits)).select(F.col("node").alias("fp"), "component")
-    placed = cut(least.join(comp, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")))
-    named = placed.where("component != fp").select("component").distinct()
-    wide = placed.join(named, "component", "left_semi").groupBy("component").agg(F.min("least").alias("least_of"))
-    ids = placed.join(wide, "component", "left").select("fp", F.coalesce("least_of", "least").alias("component_id"))
+    # only linked fingerprints are dealt by component; minima are taken before the exchange
+    linked = cut(comp.join(least, "fp"))
+    first = linked.groupBy("component").agg(F.min("least").alias("first"))
+    placed = linked.join(first, "component").select("fp", "first")
+    ids = least.join(placed, "fp", "left").select("fp", F.coalesce("first", "least").alias("component_id"))
     return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
