@@ -165,7 +165,9 @@ def simhash_groups(docs: DataFrame, bits: int = 3, id_col: str = "doc_id", text_
     linked = cut(comp.join(least, "fp"))
     first = linked.groupBy("component").agg(F.min("least").alias("first"))
     placed = linked.join(first, "component").select("fp", "first")
-    ids = least.join(placed, "fp", "left").select("fp", F.coalesce("first", "least").alias("component_id"))
+    # written out, so that both sides of the last join are plain exchanges and a fingerprint that
+    # many documents share can be split
+    ids = cut(least.join(placed, "fp", "left").select("fp", F.coalesce("first", "least").alias("component_id")))
     return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
