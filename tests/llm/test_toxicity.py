@@ -81,4 +81,6 @@ def test_learns_terms_stems_and_misspellings(spark, docs_of):
 def test_no_labels_and_empty_table(spark, docs_of):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert tx.toxicity_scores(docs_of(["a"]).where("false"), none).count() == 0
-    assert {r.score for r in tx.toxicity_scores(docs_of(["a", None]), none).collect()} == {0.5}
+    docs = docs_of(["a", None])
+    assert {(r.score, r.predicted) for r in tx.toxicity_scores(docs, none).collect()} == {(0.0, 0)}
+    assert tx.drop_toxic(docs, none).count() == 2

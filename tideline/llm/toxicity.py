@@ -303,7 +303,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
     sizes = {r["y"]: r["count"] for r in base.groupBy("y").count().collect()}
     terms = lexicon(base, sizes.get(1, 0), sizes.get(0, 0)) if sizes.get(1) and sizes.get(0) else []
     pairs = [(t, s) for t, s, _ in terms]
-    model = Model(pairs, np.array([w for *_, w in terms]), compile_terms(pairs), frozenset(), None, 0.5)
+    model = Model(pairs, np.array([w for *_, w in terms]), compile_terms(pairs), frozenset(), None, 0.0)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,7 +329,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
     other = other.sort_values("doc_id").drop_duplicates("doc_id")
     y = other["y"].to_numpy(dtype=np.float64)
     total = {k: sizes.get(k, 0) + int((y == k).sum()) for k in (0, 1)}
-    model.prior = total[1] / max(1, sum(total.values())) if sum(total.values()) else 0.5
+    model.prior = total[1] / max(1, sum(total.values()))
     if len(y) and y.min() < y.max():
         model.beta = fit_logistic(np.array(other["x"].tolist(), dtype=np.float64), y)
     return model
@@ -345,8 +345,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = 20_000, th
 
     Labels are read only outside the fold that crc32(doc_id) mod 5 = 0 holds out; the score depends
     on the text alone, over all its words.  A null text counts as empty.  A null id is in no fold.
-    Without labels of both classes every score is the share of the one there is (none: 0.5, and
-    ``predicted`` is 1 only above the threshold's own rule).  Repeated rows each get a row.
+    Without labels of both classes there is nothing to tell apart: every score is the share of toxic
+    labels, 0 if there are none.  Repeated rows each get a row.
     """
     model = train(docs, labels, sample)
 
