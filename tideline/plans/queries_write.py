@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tideline.operators import asof, merge, publish, worklists
 from tideline.operators import normalize as nz
 from tideline.plans import jobs
-from tideline.plans.catalog import query
-from tideline.plans.queries_read import raw
+from tideline.plans.catalog import SQL, query
+from tideline.plans.queries_read import _AVAIL, raw
 from tideline.plans.queries_relate import LIMITS, MARKETS, day, delisted, sourced, statement_lines
 from tideline.sources import tables, views
 from tideline.streaming import streams
@@ -203,7 +203,14 @@ def job_3_short_credit_ingest(spark, d):
     return jobs.short_credit_ingest(none("short_selling"), none("credit_balance"), short, credit)[0]
 
 
-@query()
+_AVAIL_4 = _AVAIL.replace("period", "p.period")
+
+
+@query(
+    f"""SELECT id::VARCHAR AS code, p.period, {_AVAIL_4} AS avail_date, {_AVAIL_4} AS knowledge_date, netinc, netinc_prior, revenue, revenue_prior, op_income, op_income_prior
+    FROM ({SQL['agg_5_financials_six']}) JOIN (SELECT o_orderkey, year(o_orderdate) || 'Q' || quarter(o_orderdate) AS period FROM orders) p ON o_orderkey = id
+    WHERE netinc IS NOT NULL AND {_AVAIL_4} <= DATE '1999-01-01'"""
+)
 def job_4_earnings_increment(spark, d):
     o = views.table(spark, d, "orders")
     p = F.concat(F.year("o_orderdate"), F.lit("Q"), F.quarter("o_orderdate"))
@@ -224,7 +231,13 @@ def job_5_consensus_snapshot(spark, d):
     return jobs.consensus_snapshot(base, rows.select("code"), rows.drop("k"), day("2024-02-01")).where("target_mean is not null")
 
 
-@query()
+_CHAIN = f"(SELECT * FROM v_long WHERE code IN (SELECT code FROM v_master WHERE market IN {MARKETS}))"
+
+
+@query(
+    f"""SELECT 'bars' AS leg, count(*) FILTER (close > 0) AS missing FROM {_CHAIN} UNION ALL SELECT 'shares', count(DISTINCT (code, year(date))) FROM {_CHAIN}
+    UNION ALL SELECT 'flow', count(*) FILTER (close > 0) FROM {_CHAIN} UNION ALL SELECT 'checked', count(DISTINCT code) FROM {_CHAIN}"""
+)
 def job_6_survivorship_chain(spark, d):
     b = views.long_bars(spark, d)
     none = lambda t: spark.createDataFrame([], jobs.TABLES[t].schema)
