@@ -42,3 +42,31 @@ def test_null_ids_and_empty_table(spark):
     frame = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 0.0])], "vec_id bigint, embedding array<float>")
     assert sorted((str(r.vec_id), r.n_links, r.kept) for r in em.embedding_groups(frame).collect()) == [("1", 0, True), ("None", 0, False)]
     assert em.embedding_groups(frame.where("false")).count() == 0
+
+
+def two_caps(rng, each=120, dim=24):
+    """Two dense groups: cosines of about 0.99 within, of 0.95 to 0.97 across for some pairs."""
+    a, b = np.linalg.qr(rng.normal(size=(dim, 2)))[0].T
+    turned = 0.955 * a + np.sqrt(1 - 0.955**2) * b
+    return np.float32([v + rng.normal(scale=0.008, size=dim) for v in [a] * each + [turned] * each])
+
+
+def test_full_lists_do_not_hide_links_between_groups(spark):
+    rng = np.random.default_rng(3)
+    vectors = [v.tolist() for v in two_caps(rng)] + np.float32(rng.normal(size=(300, 24))).tolist()
+    x = np.array(vectors[:240]) / np.linalg.norm(vectors[:240], axis=1, keepdims=True)
+    s = x @ x.T
+    assert (s[:120, 120:] >= 0.95).any() and np.sort(s[:120, :120], axis=1)[:, -82].min() > s[:120, 120:].max()
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in em.embedding_groups(frame).collect()}
+    assert {i: got[i] for i in range(240)} == brute(vectors[:240])
+
+
+def test_all_pairs_where_the_descent_fails(spark):
+    rng = np.random.default_rng(4)
+    vectors = np.float32([*two_caps(rng, 40), *rng.normal(size=(50, 24))]).tolist()
+    unit = [(np.array(v, dtype=float) / np.linalg.norm(v)).tolist() for v in vectors]
+    nodes = spark.createDataFrame(list(enumerate(unit)), "node bigint, full array<double>")
+    none = spark.createDataFrame([], "node bigint, component bigint")
+    got = {r.node: r.component for r in em._all_pairs(nodes, none, 0.95).collect()}
+    assert got == {i: c for i, (n, c) in brute(vectors).items() if n}

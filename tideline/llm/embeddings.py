@@ -6,10 +6,14 @@
 3. NN-descent: the neighbours and reverse neighbours of every node are joined and compared with
    each other, and closer ones replace those in the lists, until links stop turning up.
 4. Links (cosine at least the threshold, in double precision) give components.  A list that holds
-   nothing but links may be too short; such lists are enlarged to the whole component: all its
-   members are compared in tiles of bounded size, which yield counts and no pairs.
-5. Recall is audited against brute force for a bounded sample of nodes over all rows; below the
-   aim, lists are doubled and the descent goes on.
+   nothing but links may be too short: a group of more than k close vectors fills its lists by
+   itself and hides weaker links that lead out of it.  The nodes of such lists are compared, in
+   double precision and in tiles of bounded size, with those of every other component that its
+   angles don't rule out, and components that meet are joined.  Within a component all members are
+   compared in tiles, which yield counts and no pairs.
+5. Recall is audited against brute force over all rows, for a bounded sample of the nodes that
+   have links and one of those that have none; below the aim, lists are doubled and the descent
+   goes on, and where that doesn't help all nodes are compared like those of saturated lists.
 """
 
 from __future__ import annotations
@@ -26,7 +30,9 @@ from tideline.llm.common import components, cut, stored
 BUCKET = 64  # nodes in a bucket of a hyperplane table, about
 BLOCK = 96  # most nodes that are joined around one center at once, about
 TILE = 512  # nodes in a side of a tile, about
-AUDIT = 128  # nodes whose neighbours are searched by brute force
+AUDIT = 128  # nodes with links, and as many without, whose neighbours are searched by brute force
+CENTERS = 2048  # components in a side of a tile of centers, about
+SLACK = 1e-4  # of a cosine in single precision
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
@@ -130,9 +136,8 @@ def _round(nodes: DataFrame, lists: DataFrame, k: int, groups: int, seed: int) -
 def _verified(links: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """``links(a, b, sim)`` found in single precision: those near the threshold are checked again in
     double precision."""
-    slack = 1e-4
-    sure = links.where(F.col("sim") >= threshold + slack).select("a", "b")
-    unsure = links.where(F.col("sim").between(threshold - slack, threshold + slack))
+    sure = links.where(F.col("sim") >= threshold + SLACK).select("a", "b")
+    unsure = links.where(F.col("sim").between(threshold - SLACK, threshold + SLACK))
     left, right = nodes.select(F.col("node").alias("a"), F.col("full").alias("x")), nodes.select(F.col("node").alias("b"), F.col("full").alias("y"))
     dot = F.aggregate(F.zip_with("x", "y", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     return sure.union(unsure.join(left, "a").join(right, "b").where(dot >= threshold).select("a", "b"))
@@ -174,9 +179,94 @@ def _counts(members: DataFrame, threshold: float) -> DataFrame:
     return found.groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of rows that agree in all ``columns``, which are sorted."""
+    turn = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+    return list(zip(np.append(0, turn).tolist(), np.append(turn, len(columns[0])).tolist()))
+
+
+def _near_components(centers: DataFrame, count: int, threshold: float) -> DataFrame:
+    """``centers(component, center, radius)`` to the pairs ``(a, b)`` of components that may hold a
+    link: their centers are no farther apart than both radii and a link's angle."""
+    sides = _groups(count, CENTERS)
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
+    held = centers.withColumn("side", F.pmod(F.xxhash64("component", F.lit(7)), F.lit(sides)).cast("int"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(sides - 1))))
+    tiles = held.select(F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "component", "center", "radius")
+
+    def run(table: pa.Table) -> pa.Table:
+        side, comp, radius = (table.column(c).to_numpy() for c in ("side", "component", "radius"))
+        i, j, x = table.column("i")[0].as_py(), table.column("j")[0].as_py(), _matrix(table.column("center"), np.float64)
+        left = np.flatnonzero(side == i)
+        right = left if i == j else np.flatnonzero(side == j)
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for at in range(0, len(left), TILE):
+            rows = left[at : at + TILE]
+            most = np.minimum(radius[rows, None] + radius[None, right] + reach, np.pi)
+            near = (x[rows] @ x[right].T >= np.cos(most) - 1e-9) & (comp[rows, None] != comp[None, right])
+            if i == j:
+                near &= comp[rows, None] < comp[None, right]
+            p, q = np.nonzero(near)
+            a.append(comp[rows[p]]), b.append(comp[right[q]])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return tiles.groupBy("i", "j").applyInArrow(lambda t: run(t), "a bigint, b bigint")
+
+
+def _bridges(members: DataFrame, threshold: float) -> DataFrame:
+    """``members(component, node, full)`` to the pairs ``(a, b)`` of components of which a member of
+    one links with a member of the other, by exact comparison."""
+    least = members.groupBy("component").agg(F.min(F.struct("node", "full")).alias("m"), F.count("*").alias("size"))
+    least = stored(least.select("component", "size", F.col("m.full").alias("center")), "centers")
+    count = least.count()
+    dot = F.aggregate(F.zip_with("full", "center", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    far = members.join(least, "component").groupBy("component").agg(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.min(dot)))).alias("radius"))
+    pairs = stored(_near_components(least.join(far, "component").select("component", "center", "radius"), count, threshold), "near")
+    size = least.select("component", F.ceil(F.col("size") / TILE).cast("int").alias("n"))
+    pairs = pairs.join(size.select(F.col("component").alias("a"), F.col("n").alias("m")), "a").join(size.select(F.col("component").alias("b"), "n"), "b")
+    part = lambda n: F.pmod(F.xxhash64("node", F.lit(9)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    node = members.select("component", "node", "full")
+    left = pairs.join(node.withColumnRenamed("component", "a"), "a").select("a", "b", part("m").alias("i"), every("n").alias("j"), F.lit(0).alias("side"), "full")
+    right = pairs.join(node.withColumnRenamed("component", "b"), "b").select("a", "b", every("m").alias("i"), part("n").alias("j"), F.lit(1).alias("side"), "full")
+    groups = _groups(members.count(), TILE) * 8
+    tiles = left.union(right).withColumn("__g", F.pmod(F.xxhash64("a", "b", "i", "j"), F.lit(groups)))
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b, i, j, side = (table.column(c).to_numpy() for c in ("a", "b", "i", "j", "side"))
+        order = np.lexsort((side, j, i, b, a))
+        a, b, i, j, side, x = a[order], b[order], i[order], j[order], side[order], _matrix(table.column("full"), np.float64)[order]
+        met = []
+        for lo, hi in _runs(a, b, i, j):
+            mid = lo + int((side[lo:hi] == 0).sum())
+            if any((x[at : min(at + TILE, mid)] @ x[mid:hi].T >= threshold).any() for at in range(lo, mid, TILE) if mid < hi):
+                met.append(lo)
+        return pa.table({"a": a[met], "b": b[met]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return tiles.groupBy("__g").applyInArrow(lambda t: run(t), "a bigint, b bigint").distinct()
+
+
+def _joined(placed: DataFrame, met: DataFrame) -> DataFrame:
+    """``placed(node, component)`` with the components that meet made one."""
+    found = components(met).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    return cut(placed.join(found, "component", "left").select("node", F.coalesce("into", "component").alias("component")))
+
+
+def _all_pairs(nodes: DataFrame, placed: DataFrame, threshold: float) -> DataFrame:
+    """``placed`` with all links between all nodes of different components: exact, for data on which
+    the descent fails."""
+    every = cut(nodes.select("node").join(placed, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+    every = _joined(every, _bridges(every.join(nodes.select("node", "full"), "node"), threshold))
+    several = every.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    return cut(every.join(several, "component", "left_semi").select("node", "component"))
+
+
 def _audit(nodes: DataFrame, placed: DataFrame, threshold: float) -> float:
-    """The share of true links of a bounded sample of nodes that lie within one component."""
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(11)), "node").limit(AUDIT).select("node", "full").collect()
+    """The share of true links of bounded samples of the nodes with and without links that lie
+    within one component."""
+    some = lambda rows: rows.select("node").orderBy(F.xxhash64("node", F.lit(11)), "node").limit(AUDIT)
+    picked = some(placed).union(some(nodes.join(placed.select("node"), "node", "left_anti")))
+    sample = nodes.select("node", "full").join(picked, "node").collect()
     ids, x = np.array([r["node"] for r in sample]), np.array([r["full"] for r in sample], dtype=np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,8 +299,13 @@ def _search(nodes: DataFrame, dim: int, count: int, threshold: float, k: int, ta
         links = _edges(lists).where(F.col("sim") >= threshold - 1e-4)
         links = links.select(F.least("node", "nbr").alias("a"), F.greatest("node", "nbr").alias("b"), "sim").groupBy("a", "b").agg(F.max("sim").alias("sim"))
         placed = cut(components(_verified(links, nodes, threshold)))
-        if k >= 64 or _audit(nodes, placed, threshold) >= aim:
+        # lists that hold nothing but links
+        full = lists.where(F.col("kth") >= threshold - SLACK).select("node").join(placed, "node").join(nodes.select("node", "full"), "node")
+        placed = _joined(placed, _bridges(stored(full.select("component", "node", "full"), "saturated"), threshold))
+        if _audit(nodes, placed, threshold) >= aim:
             return placed
+        if k >= 64:
+            return _all_pairs(nodes, placed, threshold)
         k, rounds = 2 * k, done + 2
         before = -1
 
@@ -223,8 +318,8 @@ def embedding_groups(
     Two vectors of the same dimension link if their cosine, in double precision, is at least
     ``threshold``.  ``n_links`` counts the other vectors it links with, ``component_id`` is the
     smallest vec_id that links reach, ``kept`` says whether that is its own.  Links are searched by
-    NN-descent, so a few may be missed; none is reported below the threshold, and within a
-    component all are counted.  Vectors that are null, empty, zero, or hold null or non-finite components link
+    NN-descent, so a few may be missed, but not because a list was full; none is reported below
+    the threshold, and within a component all are counted.  Vectors that are null, empty, zero, or hold null or non-finite components link
     with nothing, nor do rows without a vec_id, whose component is null and which aren't kept.
     Repeated rows are vectors of their own, with one id.
     """
