@@ -69,3 +69,35 @@ def test_other_lengths_and_empty_table(docs_of):
     rows = packing.best_fit(docs_of(["a b c", None]), tokens=F.size(F.split("text", " "))).collect()
     assert sorted(r.n_tokens for r in rows) == [1, 3]
     assert packing.bins(packing.best_fit(docs_of(["abc", "de"]))).collect()[0].used == 7
+
+
+def total(lengths):
+    return sum(map(packing.cost, lengths))
+
+
+def test_new_bins_are_priced_by_what_fits(docs_of):
+    rows = packing.best_fit(docs_of(["a" * 599] * 300)).collect()
+    assert {(r.n_tokens, r.bin_length) for r in rows} == {(600, 2048)} and len({r.bin_id for r in rows}) == 100
+    # one fits 4096, two or three fit 8192
+    assert set(packing.pack_cheapest([3000] * 30, (4096, 8192))[2]) == {4096}
+    assert set(packing.pack_cheapest([2600] * 30, (4096, 8192))[2]) == {8192}
+
+
+def test_fill_takes_the_largest_that_fit():
+    assert packing.fill(100, [7, 30, 60], [9, 1, 1], 3) == 60 + 30 + 7
+    assert packing.fill(100, [7, 30, 60], [9, 9, 0], 3) == 90 + 7 and packing.fill(5, [7], [1], 1) == 0
+
+
+def test_leftover_bins_are_downsized_and_no_shard_gets_dearer():
+    rng, downsized = random.Random(3), 0
+    for _ in range(60):
+        sizes = [rng.choice((rng.randint(1, 64), 20, 9)) for _ in range(rng.randint(1, 80))]
+        bins, offsets, length = packing.pack_cheapest(sizes, (16, 32, 64))
+        used, biggest = [0] * len(length), [0] * len(length)
+        for i in sorted(range(len(sizes)), key=lambda i: (bins[i], offsets[i])):
+            assert offsets[i] == used[bins[i]]
+            used[bins[i]] += sizes[i]
+        assert sum(used) == sum(sizes) and all(c == min(x for x in (16, 32, 64) if x >= u) for u, c in zip(used, length))
+        assert total(length) <= total(packing.pack(sizes, (16, 32, 64))[2])
+        downsized += length != packing.pack(sizes, (16, 32, 64), True, False)[2]
+    assert downsized

@@ -2,14 +2,16 @@
 
 Documents are cut into pieces no longer than the largest permitted length and packed, within
 shards of bounded size, by best fit in descending order: a piece goes into the open bin that it
-fills best.  If none has room, the bin size is opened whose cost by token that it can be expected
-to hold is least; a size costs its length and a part that grows with its square, as attention
-does.  At the end each bin is downsized to the smallest permitted length that holds its contents.
+fills best.  If none has room, the bin size is opened whose cost by token that the remaining pieces
+can put in it is least; a size costs its length and a part that grows with its square, as attention
+does.  A shard for which prices as if every bin were filled come cheaper is packed by those.  At the
+end each bin is downsized to the smallest permitted length that holds its contents.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
@@ -26,14 +28,30 @@ def cost(length: int, square: int = 16_384) -> float:
     return length * (1 + length / square)
 
 
-def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[int], list[int], list[int]]:
+def fill(room: int, values: Sequence[int], counts: Sequence[int], upto: int) -> int:
+    """Tokens that the first ``upto`` of the ascending ``values``, each there ``counts`` times, put
+    into ``room``, largest first."""
+    begin = room
+    while (at := bisect_right(values, room, 0, upto) - 1) >= 0:
+        room -= values[at] * min(counts[at], room // values[at])
+        upto = at
+    return begin - room
+
+
+def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, fitted: bool = False, downsize: bool = True) -> tuple[list[int], list[int], list[int]]:
     """Bin and offset of each piece, and the length of each bin.  ``sizes`` must not exceed the
     largest length; pieces are taken in descending order, equal ones as they come, and of bins with
-    equal room the one that was filled last."""
+    equal room the one that was filled last.  A new bin is priced as if it were filled, with
+    ``fitted`` by what the pieces that remain can put in it.  Without
+    ``downsize`` bins keep the length they were opened with."""
     lengths = sorted(lengths)
     prices = [cost(c) for c in lengths]
     order = np.argsort(-np.asarray(sizes, dtype=np.int64), kind="stable")
     left = int(sum(sizes))
+    counted = Counter(map(int, sizes)) if fitted else {}
+    values = sorted(counted)
+    counts = [counted[v] for v in values]
+    last = len(values) - 1  # where the size of the piece in turn stands; larger ones are packed
     room: dict[int, list[int]] = {}  # bins by room
     rooms: list[int] = []  # the rooms there are, sorted
     used: list[int] = []
@@ -41,6 +59,10 @@ def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[i
     bins, offsets = [0] * len(sizes), [0] * len(sizes)
     for i in order.tolist():
         n = int(sizes[i])
+        if fitted:
+            while values[last] != n:
+                last -= 1
+            counts[last] -= 1
         at = bisect_left(rooms, n)
         if at < len(rooms):
             r = rooms[at]
@@ -49,7 +71,8 @@ def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[i
                 del room[r], rooms[at]
         else:
             fit = [k for k, c in enumerate(lengths) if c >= n]
-            k = min(fit, key=lambda k: (prices[k] / min(lengths[k], left), lengths[k]))
+            held = {k: n + fill(lengths[k] - n, values, counts, last + 1) if fitted else min(lengths[k], left) for k in fit}
+            k = min(fit, key=lambda k: (prices[k] / held[k], lengths[k]))
             b, r = len(used), lengths[k]
             used.append(0)
             size_of.append(r)
@@ -61,7 +84,12 @@ def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[i
                 room[r - n] = []
                 insort(rooms, r - n)
             room[r - n].append(b)
-    return bins, offsets, [lengths[bisect_left(lengths, u)] for u in used]
+    return bins, offsets, [lengths[bisect_left(lengths, u)] for u in used] if downsize else size_of
+
+
+def pack_cheapest(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[int], list[int], list[int]]:
+    """:func:`pack` with the prices that give the bins of least total cost."""
+    return min((pack(sizes, lengths, fitted) for fitted in (True, False)), key=lambda x: sum(map(cost, x[2])))
 
 
 def byte_tokens(text: Column) -> Column:
@@ -106,7 +134,7 @@ def best_fit(docs: DataFrame, tokens: Column | None = None, lengths: Sequence[in
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["n_tokens", "doc_id", "copy", "piece"], ascending=[False, True, True, True], na_position="last", ignore_index=True)
-        bins, offsets, sizes = pack(rows["n_tokens"].tolist(), lengths)
+        bins, offsets, sizes = pack_cheapest(rows["n_tokens"].tolist(), lengths)
         out = rows[["doc_id", "copy", "piece", "start", "n_tokens"]].copy()
         out["bin_id"] = np.array(bins, dtype=np.int64) * shards + int(key[0])
         out["bin_offset"] = np.array(offsets, dtype=np.int32)
