@@ -1,9 +1,11 @@
 import datetime as dt
 import hashlib
+import itertools
 import json
 
 import pytest
 
+from tideline.plans import queries_read
 from tideline.sources import tables
 
 
@@ -73,3 +75,17 @@ def test_declared_schema(spark, tmp_path, name):
 
     spark.createDataFrame([], TABLES[name].schema).write.parquet(str(tmp_path / name))
     assert tables.read_table(spark, str(tmp_path / name), name=name).schema == TABLES[name].schema
+
+
+def test_a_code_with_many_events_is_several_payloads(spark, tmp_path, monkeypatch):
+    events = spark.range(25_000).selectExpr("id as event_id", "if(id % 3 = 0, 1L, id % 50) as user_id", "concat('{\"k\": ', id % 7, '}') as props")
+    events = events.selectExpr("event_id", "timestamp '2024-01-01' as ts", "user_id", "'view' as event_type", "1.0D as value", "props")
+    events.unionAll(events.selectExpr("event_id + 25000", "ts", "1L", "event_type", "value", "props")).write.parquet(f"{tmp_path}/events.parquet")
+    sizes, explode = [], tables.explode_payload
+    monkeypatch.setattr(tables, "explode_payload", lambda df, *rest: (sizes.extend(len(json.loads(r.body)["list"]) for r in df.select("body").collect()), explode(df, *rest))[1])
+    got = sorted((r.code, r.pos, int(r.id), r.k) for r in queries_read.src_2_explode_payload(spark, str(tmp_path)).collect())
+    assert max(sizes) <= 10_000 and sum(sizes) == len(got) == 50_000
+    for code, rows in itertools.groupby(got, lambda r: r[0]):
+        rows = list(rows)
+        assert [r[1] for r in rows] == list(range(len(rows))) and [r[2] for r in rows] == sorted(r[2] for r in rows)
+        assert all(k == str(i % 25_000 % 7) for _, _, i, k in rows)

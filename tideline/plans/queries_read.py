@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import scalars as fn
@@ -37,9 +37,20 @@ def src_1_read_table(spark, d):
 @query("SELECT code, CAST(row_number() OVER (PARTITION BY code ORDER BY event_id) - 1 AS INTEGER) AS pos, event_id::VARCHAR AS id, json_extract_string(props, '$.k') AS k FROM v_ev")
 def src_2_explode_payload(spark, d):
     e = views.table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    return _exploded(e.select(views.code("user_id").alias("code"), "event_id", "k"))
+
+
+def _exploded(e: DataFrame, width: int = 10_000) -> DataFrame:
+    """Events ``(code, event_id, k)`` as payloads of ``width`` event ids each, so that a code with many
+    events isn't one text, and exploded again; ``pos`` counts over all payloads of a code."""
     rows = F.sort_array(F.collect_list(F.struct("event_id", "k")))
     body = F.to_json(F.struct(F.transform(rows, lambda x: F.struct(x["event_id"].cast("string").alias("id"), x["k"].alias("k"))).alias("list")))
-    return tables.explode_payload(e.groupBy(views.code("user_id").alias("code")).agg(body.alias("body")), "body", "list", "id string, k string")
+    payloads = e.groupBy("code", F.floor(F.col("event_id") / width).alias("part")).agg(body.alias("body"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("code").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = payloads.select(F.col("code").alias("own"), F.col("part").alias("at"), before.alias("first"))
+    got = tables.explode_payload(payloads.select("code", "part", "body"), "body", "list", "id string, k string")
+    same = F.col("code").eqNullSafe(F.col("own")) & F.col("part").eqNullSafe(F.col("at"))
+    return got.join(first, same).select("code", (F.col("pos") + F.col("first")).cast("int").alias("pos"), "id", "k")
 
 
 def _snapshot(spark, d):
