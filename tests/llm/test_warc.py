@@ -1,6 +1,7 @@
-import gzip
 import hashlib
 
+from pyspark.sql import functions as F
+
 from tideline.llm import warc
 
 
@@ -11,15 +12,6 @@ def test_keys():
     assert warc.surt("http://[bad") == "http://[bad"
 
 
-def test_members_across_chunks():
-    parts = [gzip.compress(x) for x in (b"one" * 500, b"", b"three")]
-    data = b"".join(parts)
-    for step in (1, 7, 10_000):
-        got = list(warc.records(data[i : i + step] for i in range(0, len(data), step)))
-        assert [g[2] for g in got] == [b"one" * 500, b"", b"three"]
-        assert [(a, n) for a, n, _ in got] == [(0, len(parts[0])), (len(parts[0]), len(parts[1])), (len(parts[0]) + len(parts[1]), len(parts[2]))]
-
-
 def test_round_trip_and_lookup(spark):
     big, small = "<p>é</p>\r\n\r\n" * 200, "<p>"
     pages = [(i, f"http://h{i % 3}.example.com/{i % 40}", big if i % 5 == 0 else f"{small}{i}" * (300 if i % 2 else 1)) for i in range(130)]
@@ -27,7 +19,8 @@ def test_round_trip_and_lookup(spark):
     frame = spark.createDataFrame([(*p, "x", 1) for p in pages], "page_id bigint, url string, html string, digest string, length int")
     root = warc.shared_dir(spark, "warc")
     captures = warc.write_archives(frame, f"{root}/a")
-    rows = {r.page_id: r for r in warc.checked(warc.read_archives(warc.archive_files(captures))).collect()}
+    directory = warc.build_index(captures, f"{root}/i", block=7)
+    rows = {r.page_id: r for r in warc.read_back(frame, directory).collect()}
     assert len(rows) == len(pages)
     for page, _, html in pages:
         data = (html or "").encode()
@@ -36,7 +29,6 @@ def test_round_trip_and_lookup(spark):
         r = rows[page]
         assert (r.payload_bytes, r.payload_digest) == (len(data), hashlib.sha1(data).hexdigest())
         assert (r.record_type, r.refers_to) == (("revisit", max(same)) if revisit else ("response", None))
-    directory = warc.build_index(captures, f"{root}/i", block=7)
     found = warc.Directory.load(directory)
     for url in {u for _, u, _ in pages if u}:
         assert {p for p, *_ in found.find(url)} == {p for p, u, _ in pages if u and warc.surt(u) == warc.surt(url)}
@@ -47,3 +39,17 @@ def test_round_trip_and_lookup(spark):
     some = warc.Directory.load(directory, key=warc.surt("http://h1.example.com/1"))
     assert 0 < len(some.first) < len(found.first) and some.find("http://h1.example.com/1")
     assert warc.round_trip(spark, frame.where("false")).count() == 0
+    # the result comes through the index: captures that it lacks are not read
+    part = warc.build_index(captures.where("page_id % 2 = 0"), f"{root}/part", block=7)
+    assert {r.page_id for r in warc.read_back(frame, part).collect()} == {p for p, *_ in pages if p is not None and p % 2 == 0}
+
+
+def test_one_archive_and_one_url_are_read_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 4096)
+    pages = spark.range(600).select(F.col("id").alias("page_id"), F.lit("http://one.example/").alias("url"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("html"))
+    root = warc.shared_dir(spark, "warc")
+    captures = warc.write_archives(pages.coalesce(1), f"{root}/a")
+    directory = warc.build_index(captures, f"{root}/i", block=9)
+    read = warc.read_captures(warc.stored(warc.look_up(warc.keyed(pages.select("url")), directory), "found"))
+    sizes = [r.n for r in read.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 600 and len(sizes) > 2 and max(sizes) < 400

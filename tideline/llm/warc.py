@@ -9,6 +9,11 @@ range partitions, packed into gzip blocks of ``BLOCK`` lines.  The second level
 directory with the first key of each block, its file, offset and size.  A look-up binary-searches
 the directory, reads the range of one block (or of a few), and then the range of each capture.
 
+:class:`Directory` looks single URLs up.  :func:`look_up` does it for a table of URLs: keys are
+sent to the index file whose range holds them, searched there among the file's blocks, and the
+captures that turn up are read by byte ranges, dealt by place and not by file, so that a single
+archive is read in parallel.
+
 Files are written below ``spark.checkpoint.dir`` through the file system that its URI names, under
 a name of their own for each attempt and then moved in place, so a task that runs again does no harm.
 """
@@ -17,7 +22,6 @@ from __future__ import annotations
 
 import gzip
 import uuid
-import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import shared_dir, stored
 
 BLOCK = 300  # index lines in a block
+CHUNK = 4 << 20  # bytes of an archive that a task reads in one go, about
 LEAST = 1000  # bytes from which equal payloads are stored once
 
 
@@ -45,11 +50,11 @@ def surt(url: str | None) -> str:
     except ValueError:
         host, port = "", None
     if not host:
-        return url.strip().lower().replace("\n", "%0a").replace("\r", "%0d") or "-"
+        return url.strip().lower().replace("\t", "%09").replace("\n", "%0a").replace("\r", "%0d") or "-"
     host = host.removeprefix("www.")
     away = "" if port in (None, {"http": 80, "https": 443}.get(parts.scheme)) else f":{port}"
     tail = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
-    return (",".join(reversed(host.split("."))) + away + ")" + tail).lower().replace(" ", "%20")
+    return (",".join(reversed(host.split("."))) + away + ")" + tail).lower().replace(" ", "%20").replace("\t", "%09")
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
@@ -88,23 +93,6 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:n]
 
 
-def records(data: Iterator[bytes]) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, size, record) of every gzip member of a stream of chunks."""
-    offset, member, out, size = 0, zlib.decompressobj(31), [], 0
-    for chunk in data:
-        while chunk:
-            out.append(member.decompress(chunk))
-            spent = len(chunk) - len(member.unused_data) if member.eof else len(chunk)
-            size += spent
-            if not member.eof:
-                break
-            chunk = member.unused_data
-            yield offset, size, b"".join(out)
-            offset, member, out, size = offset + size, zlib.decompressobj(31), [], 0
-    if size:
-        raise ValueError("an archive is cut short")
-
-
 def _number(urn: str | None) -> int | None:
     text = (urn or "").removeprefix("<urn:page:").removesuffix(">")
     return int(text) if text else None
@@ -129,12 +117,15 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     same = own["page_id"].eqNullSafe(refers["__id"]) & (own["digest"] == refers["__digest"]) & (own["length"] >= LEAST)
     dealt = own.join(refers, same, "left").select("page_id", "url", "payload", "digest", F.col("holder").alias("refers_to"))
 
+    names = ["file", "page_id", "url", "offset", "size"]
+    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
         store, base = opened(root)
         name = f"{uuid.uuid4().hex}.warc.gz"
         out, at = None, 0
         for batch in batches:
+            rows: list[tuple] = []
             for page, url, body, digest, refers_to in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if out is None:
                     store.create_dir(base, recursive=True)
@@ -143,49 +134,23 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
                 out.write(data)
                 rows.append((f"{root}/{name}", page, url, at, len(data)))
                 at += len(data)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names)
         if out is not None:
             out.close()
             store.move(f"{base}/.{name}", f"{base}/{name}")
-            types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], ["file", "page_id", "url", "offset", "size"])
 
     return stored(dealt.mapInArrow(run, "file string, page_id bigint, url string, offset bigint, size bigint"), "captures")
 
 
-def read_archives(files: DataFrame) -> DataFrame:
-    """Every record of the archives named in ``files.file``, read as a stream:
-    ``(file, offset, size, page_id, url, record_type, refers_to, digest, length, payload)``."""
-    names = ["file", "offset", "size", "page_id", "url", "record_type", "refers_to", "digest", "length", "payload"]
-    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-
-    def rows(uri: str) -> Iterator[tuple]:
-        store, path = opened(uri)
-        with store.open_input_stream(path, compression=None) as f:
-            for offset, size, data in records(iter(lambda: f.read(1 << 20), b"")):
-                h, body = parse(data)
-                yield (uri, offset, size, _number(h["WARC-Record-ID"]), h["WARC-Target-URI"], h["WARC-Type"], _number(h.get("WARC-Refers-To")), h["WARC-Payload-Digest"].removeprefix("sha1:"), int(h["X-Payload-Length"]), body)
+def keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the sort key of their ``url`` as ``key``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for uri in batch.column(0).to_pylist():
-                held, total = [], 0
-                for row in rows(uri):
-                    held.append(row)
-                    total += len(row[-1])
-                    if total > 1 << 22 or len(held) >= 2000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*held), types)], names)
-                        held, total = [], 0
-                if held:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*held), types)], names)
-
-    schema = "file string, offset bigint, size bigint, page_id bigint, url string, record_type string, refers_to bigint, digest string, length bigint, payload binary"
-    return files.mapInArrow(run, schema)
-
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([surt(u) for u in b.column("url").to_pylist()], type=pa.string()), *b.columns], ["key", *b.schema.names])
 
-def archive_files(captures: DataFrame) -> DataFrame:
-    """The different files of ``captures``, a partition for each few."""
-    files = captures.select("file").distinct()
-    return files.repartition(max(1, min(1 << 16, files.count())), "file")
+    return rows.mapInArrow(run, f"key string, {rows.schema.toDDL()}")
 
 
 def build_index(captures: DataFrame, root: str, block: int = BLOCK) -> DataFrame:
@@ -193,10 +158,6 @@ def build_index(captures: DataFrame, root: str, block: int = BLOCK) -> DataFrame
     compressed blocks below ``root`` and returns the directory
     ``(first_key, last_key, file, offset, size, n)``, one row per block."""
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([surt(u) for u in b.column("url").to_pylist()], type=pa.string()), *b.columns], ["key", *b.schema.names])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = opened(root)
         name = f"{uuid.uuid4().hex}.idx.gz"
@@ -217,7 +178,7 @@ def build_index(captures: DataFrame, root: str, block: int = BLOCK) -> DataFrame
 
         for b in batches:
             for key, file, page, offset, size in zip(*(b.column(c).to_pylist() for c in ("key", "file", "page_id", "offset", "size"))):
-                held.append((key.replace("\t", "%09"), "" if page is None else str(page), file, str(offset), str(size)))
+                held.append((key, "" if page is None else str(page), file, str(offset), str(size)))
                 if len(held) == block:
                     flush()
         flush()
@@ -227,8 +188,7 @@ def build_index(captures: DataFrame, root: str, block: int = BLOCK) -> DataFrame
             types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], ["first_key", "last_key", "file", "offset", "size", "n"])
 
-    lines = captures.mapInArrow(keys, "key string, file string, page_id bigint, url string, offset bigint, size bigint")
-    lines = stored(lines.select("key", "file", "page_id", "offset", "size"), "lines")
+    lines = stored(keyed(captures).select("key", "file", "page_id", "offset", "size"), "lines")
     # range partitions by key, the page id breaking up runs of one key
     ordered = lines.repartitionByRange("key", "page_id", "file", "offset").sortWithinPartitions("key", "page_id", "file", "offset")
     return stored(ordered.mapInArrow(run, "first_key string, last_key string, file string, offset bigint, size bigint, n bigint"), "directory")
@@ -256,7 +216,7 @@ class Directory:
     def find(self, url: str) -> list[tuple[int | None, str, int, int]]:
         """``(page_id, file, offset, size)`` of all captures of a URL: a binary search, then a range
         read of each block that can hold the key."""
-        key = surt(url).replace("\t", "%09")
+        key = surt(url)
         a, b = bisect_left(self.last, key), bisect_right(self.first, key)
         out = []
         for uri, offset, size in self.blocks[a:b]:
@@ -278,18 +238,103 @@ def read_range(uri: str, offset: int, size: int) -> bytes:
         return f.read(size)
 
 
+def look_up(keys: DataFrame, directory: DataFrame) -> DataFrame:
+    """All captures whose key is one of ``keys.key``: ``(file, page_id, offset, size)``.
+
+    The index files hold ranges of keys one after the other, so a binary search over their first
+    and last keys (a row a file) tells which files can hold a key; there, a binary search over the
+    file's part of the directory tells which blocks, and these are read as ranges.  A key with
+    captures in several files is looked up in each.
+    """
+    tops = directory.groupBy("file").agg(F.min("first_key").alias("lo"), F.max("last_key").alias("hi")).orderBy("lo", "hi").collect()
+    files, lows, highs = ([r[c] for r in tops] for c in ("file", "lo", "hi"))
+
+    def where(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, f) for k in batch.column("key").to_pylist() for f in files[bisect_left(highs, k) : bisect_right(lows, k)]]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], type=pa.string()), pa.array([f for _, f in rows], type=pa.string())], ["key", "file"])
+
+    schema = pa.schema([("file", pa.string()), ("page_id", pa.int64()), ("offset", pa.int64()), ("size", pa.int64())])
+
+    def search(wanted: pa.Table, blocks: pa.Table) -> pa.Table:
+        asked = sorted(wanted.column("key").to_pylist())
+        blocks = blocks.sort_by([("first_key", "ascending"), ("last_key", "ascending"), ("offset", "ascending")])
+        first, last, uri, at, size = (blocks.column(c).to_pylist() for c in ("first_key", "last_key", "file", "offset", "size"))
+        hit = sorted({b for k in asked for b in range(bisect_left(last, k), bisect_right(first, k))})
+        held, rows = set(asked), []
+        for b in hit:
+            for line in gzip.decompress(read_range(uri[b], at[b], size[b])).decode().split("\n"):
+                k, page, file, offset, n = line.split("\t")
+                if k in held:
+                    rows.append((file, int(page) if page else None, int(offset), int(n)))
+        return pa.table([pa.array(c, type=t) for c, t in zip(zip(*rows), schema.types)] if rows else [pa.array([], type=t) for t in schema.types], schema=schema)
+
+    sent = keys.select("key").distinct().mapInArrow(where, "key string, file string")
+    pairs = sent.groupBy("file").cogroup(directory.groupBy("file"))
+    return pairs.applyInArrow(lambda x, y: search(x, y), "file string, page_id bigint, offset bigint, size bigint")
+
+
+def read_captures(found: DataFrame) -> DataFrame:
+    """The records at ``found(file, offset, size)``:
+    ``(file, offset, size, page_id, url, record_type, refers_to, digest, length, payload)``.
+
+    Rows are dealt by ranges of their file, and records that lie side by side are read together.
+    """
+    names = ["file", "offset", "size", "page_id", "url", "record_type", "refers_to", "digest", "length", "payload"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+
+    def row(uri: str, offset: int, size: int, data: bytes) -> tuple:
+        h, body = parse(gzip.decompress(data))
+        return (uri, offset, size, _number(h["WARC-Record-ID"]), h["WARC-Target-URI"], h["WARC-Type"], _number(h.get("WARC-Refers-To")), h["WARC-Payload-Digest"].removeprefix("sha1:"), int(h["X-Payload-Length"]), body)
+
+    def spans(rows: list[tuple[str, int, int]]) -> Iterator[list[tuple[str, int, int]]]:
+        held: list[tuple[str, int, int]] = []
+        for r in rows:
+            if held and (held[-1][0] != r[0] or held[-1][1] + held[-1][2] != r[1] or r[1] + r[2] - held[0][1] > CHUNK):
+                yield held
+                held = []
+            held.append(r)
+        if held:
+            yield held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for span in spans(list(zip(*(batch.column(i).to_pylist() for i in range(3))))):
+                begin, end = span[0][1], span[-1][1] + span[-1][2]
+                data, out, total = read_range(span[0][0], begin, end - begin), [], 0
+                for uri, offset, size in span:
+                    out.append(row(uri, offset, size, data[offset - begin : offset - begin + size]))
+                    total += len(out[-1][-1])
+                    if total > CHUNK or offset + size == end:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), types)], names)
+                        out, total = [], 0
+
+    total = found.agg(F.sum("size")).first()[0] or 0
+    tasks = max(found.sparkSession.sparkContext.defaultParallelism, min(1 << 16, total // (4 * CHUNK)))
+    dealt = found.select("file", "offset", "size").repartition(tasks, "file", F.floor(F.col("offset") / CHUNK)).sortWithinPartitions("file", "offset")
+    schema = "file string, offset bigint, size bigint, page_id bigint, url string, record_type string, refers_to bigint, digest string, length bigint, payload binary"
+    return dealt.mapInArrow(run, schema)
+
+
 def checked(read: DataFrame) -> DataFrame:
-    """Per record of :func:`read_archives` the digest columns; a response whose payload doesn't
+    """Per record of :func:`read_captures` the digest columns; a response whose payload doesn't
     match its own digest and length fails."""
     bad = (F.col("record_type") == "response") & ((F.sha1("payload") != F.col("digest")) | (F.octet_length("payload") != F.col("length")))
     fine = F.when(bad, F.raise_error(F.lit("a payload differs from its digest"))).otherwise(F.col("digest"))
     return read.select("page_id", F.col("length").alias("payload_bytes"), fine.alias("payload_digest"), "record_type", "refers_to")
 
 
+def read_back(pages: DataFrame, directory: DataFrame) -> DataFrame:
+    """Every record that the index of ``directory`` has for the URLs of ``pages``, read through it:
+    ``(page_id, payload_bytes, payload_digest, record_type, refers_to)``."""
+    urls = keyed(pages.select(F.col("url").cast("string").alias("url")).distinct())
+    return checked(read_captures(stored(look_up(urls, directory), "found")))
+
+
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Writes ``pages`` as archives with their index in the shared folder, then reads every record
-    back: ``(page_id, payload_bytes, payload_digest, record_type, refers_to)``."""
+    """Writes ``pages`` as archives with their index in the shared folder, then looks every URL up
+    in the index and reads all its captures back:
+    ``(page_id, payload_bytes, payload_digest, record_type, refers_to)``."""
     root = shared_dir(spark, "warc")
-    captures = write_archives(pages, f"{root}/archive")
-    build_index(captures, f"{root}/index")
-    return checked(read_archives(archive_files(captures)))
+    directory = build_index(write_archives(pages, f"{root}/archive"), f"{root}/index")
+    return read_back(pages, directory)
