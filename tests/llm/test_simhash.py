@@ -1,10 +1,14 @@
 import random
+import re
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tideline.llm import simhash
+from tideline.llm.common import components
 
 
 def reach(ids, prints, bits=3):
@@ -40,6 +44,34 @@ def test_links_equal_brute_force(spark):
     assert found == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 3}
 
 
+def plain_fingerprint(text):
+    """The contract's words, one shingle and one bit at a time."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c in upper else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("aBÄ é\t\n\x0b\x0c\r\x1c\x85\xa0\u2003", max_size=30))
+def test_fingerprints_are_those_of_the_contract(text):
+    assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
+def test_components_of_paths_stars_and_values(spark):
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 200), (7, 7), (None, 3)]
+    frame = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r.node: r.component for r in components(frame).collect()}
+    assert got == {**{i: 1 for i in range(1, 61)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
+    values = spark.createDataFrame([(i, None if i < 50 else 1000 - i) for i in range(300)], "node bigint, value bigint")
+    got = {r.node: r.component for r in components(frame, values).collect()}
+    assert got == {**{i: 940 for i in range(1, 61)}, **{i: 841 for i in range(100, 160)}, 200: 799, 201: 799}
+    assert components(frame.where("false")).count() == 0 == components(frame.where("false"), values).count()
+
+
 def test_groups_with_awkward_rows(spark, docs_of):
     texts = [None, "", "  \n", "one two", "ONE two", "a b c d e f g h", "a b c d e f g h", "naïve Äpfel " * 9, "x" * 300_000, None]
     rows = simhash.simhash_groups(docs_of(texts)).collect()
@@ -58,6 +90,14 @@ def test_keep_one_keeps_columns_null_ids_and_clean_rows(docs_of):
     assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 3), (False, 9), (True, None)]
 
 
+def test_keep_one_judges_rows_that_repeat_an_id_by_their_texts(spark):
+    rows = [(1, "a b c d", 0), (5, "a b c d", 1), (5, "quite another text here", 2), (5, "quite another text here", 3), (6, None, 4), (7, "", 5)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, one int").withColumn("fp", F.lit("x")).withColumn("TWO", F.lit(2))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "a b c d"), (5, "quite another text here"), (6, None)]
+
+
 def test_empty_table(docs_of):
     docs = docs_of(["a"]).where("false")
     assert simhash.simhash_groups(docs).count() == 0 and simhash.keep_one(docs).count() == 0

@@ -15,13 +15,18 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``.
 
-    The setting is read from the session.  Only where it is unset, as in tests on one machine, a
-    temporary folder is made and set.
+    The setting is read from the session.  Where it is unset, a session on one machine gets a
+    temporary folder; on a cluster, where that would scatter the data over its hosts, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="tideline-")
+        if held.isDefined():
+            base = held.get()
+        elif spark.sparkContext.master.startswith("local"):
+            base = "file://" + tempfile.mkdtemp(prefix="tideline-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -57,14 +62,29 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[
         yield begin, len(sizes)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores before those that ``df`` has as columns (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def components(edges: DataFrame, values: DataFrame | None = None) -> DataFrame:
     """Connected components of an undirected graph: ``edges(a, b)`` to ``(node, component)``.
 
-    Every round each node moves to the neighbour (or itself) whose id has the least hash under
-    that round's seed, and the graph is contracted.  About half of the nodes that still have edges
-    vanish in a round, so there are about log2(n) rounds whatever the diameter; nothing is
-    collected.  ``component`` is the smallest node id of the component.  Nodes without an edge do
-    not appear.  Nulls and self loops are ignored.
+    ``component`` is the smallest of the nodes' values in ``values(node, value)``, which names every
+    node once, nulls not counted; without ``values`` it is the smallest node.  Every round each node
+    moves to the neighbour (or itself) whose id has the least hash under that round's seed, and the
+    graph is contracted.  About half of the nodes that still have edges vanish in a round, so there
+    are about log2(n) rounds whatever the diameter; nothing is collected.  The least value goes
+    along, and when no edge is left the moves are followed back, from the smallest graph to the
+    largest: rows are dealt by node only, never by component, so that a giant component isn't one
+    key.  Nodes without an edge do not appear.  Nulls and self loops are ignored.
     """
     edges = cut(
         edges.where("a is not null and b is not null and a != b")
@@ -72,24 +92,21 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    member = nodes.select("node", F.col("node").alias("at"))
-    seed = 0
+    least = nodes.select("node", F.col("node").alias("value")) if values is None else nodes.join(values, "node", "left").select("node", "value")
+    moves: list[tuple[DataFrame, DataFrame]] = []
     while not edges.isEmpty():
-        seed += 1
+        seed = len(moves) + 1
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
         rank = lambda c: F.struct(F.xxhash64(F.lit(seed), c).alias("h"), c.alias("n"))
         hop = cut(
             both.groupBy("a")
             .agg(F.min(rank(F.col("b"))).alias("m"))
-            .select(F.col("a").alias("old"), F.least("m", rank(F.col("a")))["n"].alias("new"))
-        )
-        member = cut(
-            member.join(hop, member["at"] == hop["old"], "left").select(
-                "node", F.coalesce("new", "at").alias("at")
-            )
+            .select(F.col("a").alias("node"), F.least("m", rank(F.col("a")))["n"].alias("new"))
         )
-        left = hop.select(F.col("old").alias("a"), F.col("new").alias("x"))
-        right = hop.select(F.col("old").alias("b"), F.col("new").alias("y"))
+        least = cut(hop.join(least, "node").groupBy("new").agg(F.min("value").alias("value")).select(F.col("new").alias("node"), "value"))
+        moves.append((hop, least))
+        left = hop.select(F.col("node").alias("a"), F.col("new").alias("x"))
+        right = hop.select(F.col("node").alias("b"), F.col("new").alias("y"))
         edges = cut(
             edges.join(left, "a")
             .join(right, "b")
@@ -97,5 +114,11 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .distinct()
         )
-    least = member.groupBy("at").agg(F.min("node").alias("component"))
-    return member.join(least, "at").select("node", "component")
+    found = nodes.select("node", F.col("node").alias("component")) if values is None else least.select("node", F.col("value").alias("component"))
+    for at, (hop, least) in reversed(list(enumerate(moves))):
+        last = at == len(moves) - 1
+        target = least.select("node", F.col("value").alias("component")) if last else least.join(found, "node", "left").select("node", F.coalesce("component", "value").alias("component"))
+        found = hop.join(target.withColumnRenamed("node", "new"), "new").select("node", "component")
+        if at % 4 == 3:
+            found = cut(found)
+    return found

@@ -9,6 +9,10 @@ within four bits of x.  One side of the join therefore carries all codewords wit
 or six of them), the other side the nearest one.  Keys are 33 to 36 bits, so buckets stay small
 for billions of fingerprints, and every pair met in a bucket is verified on the full 64 bits
 inside the join.  No pair within the bound is missed.
+
+Pairs are pairs of different fingerprints.  A fingerprint has 43,744 others within three bits, and no
+more than 128 can lie within three bits of one another, so pairs grow in proportion to the
+fingerprints even in the densest cluster.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import components, cut
+from tideline.llm.common import components, cut, unused
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the (23, 12, 7) Golay code.
@@ -90,7 +94,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         texts = batch.column(1).cast(pa.binary()).to_pylist()
         prints = np.array([fingerprint(t or b"") for t in texts], dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,7 +145,9 @@ def links(prints: DataFrame, bits: int = 3) -> DataFrame:
     (0 to 3) bits, each once."""
     if not 0 <= bits <= 3:
         raise ValueError("the segment keys find up to three differing bits")
-    keys = prints.select("fp").distinct().mapInArrow(_emit, "fp bigint, key bigint, wide boolean")
+    # a fingerprint gives about 56 rows: dealt over all tasks before that
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = prints.select("fp").distinct().repartition(tasks, "fp").mapInArrow(_emit, "fp bigint, key bigint, wide boolean")
     left = keys.where("wide").select(F.col("fp").alias("a"), "key")
     right = keys.where("not wide").select(F.col("fp").alias("b"), F.col("key").alias("key_"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits
@@ -158,23 +164,39 @@ def simhash_groups(docs: DataFrame, bits: int = 3, id_col: str = "doc_id", text_
     linked like any other.  A null id never becomes a component id unless its whole component has
     null ids.  Repeated rows each get a row.  An empty table gives an empty result.
     """
-    prints = cut(fingerprints(docs, id_col, text_col))
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    comp = components(links(prints, bits)).select(F.col("node").alias("fp"), "component")
-    # only linked fingerprints are dealt by component; minima are taken before the exchange
-    linked = cut(comp.join(least, "fp"))
-    first = linked.groupBy("component").agg(F.min("least").alias("first"))
-    placed = linked.join(first, "component").select("fp", "first")
-    # written out, so that both sides of the last join are plain exchanges and a fingerprint that
-    # many documents share can be split
-    ids = cut(least.join(placed, "fp", "left").select("fp", F.coalesce("first", "least").alias("component_id")))
-    return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _placed(cut(fingerprints(docs, id_col, text_col)), bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _placed(prints: DataFrame, bits: int) -> DataFrame:
+    """``prints(doc_id, fp)``, which is stored, with its other columns and ``component_id``."""
+    least = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    found = components(links(least, bits), least.select(F.col("fp").alias("node"), F.col("least").alias("value")))
+    ids = least.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+    ids = cut(ids.select("fp", F.coalesce("component", "least").alias("component_id"), "n"))
+    # a fingerprint that more than a thousandth of all rows have is not dealt: there are at most a
+    # thousand of them, which go to every task
+    often = F.col("n") * 1000 > (least.agg(F.sum("n")).first()[0] or 0)
+    hot = ids.where(often).drop("n")
+    many = prints.join(F.broadcast(hot), "fp")
+    few = prints.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(ids.where(~often).drop("n"), "fp")
+    return many.unionByName(few)
 
 
 def keep_one(docs: DataFrame, bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest doc_id (and of repeated
-    rows with that id, one).  Rows with a null doc_id form no group and stay."""
-    groups = simhash_groups(docs, bits)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each group: of the rows with the group's smallest doc_id one.
+
+    Rows are judged by their own text: of rows that repeat a doc_id with other texts, those that
+    belong to no other group stay.  Repeated rows are copies of each other.  Rows with a null doc_id
+    form no group and stay; null and empty texts are copies of each other.
+    """
+    one, two, fp = unused(docs, "one", "two", "fp")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    known = docs.where("doc_id is not null").withColumns({one: F.xxhash64(text), two: F.xxhash64(F.lit(1), text)})
+    rows = known.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.col(one).alias("one"), F.col(two).alias("two"))
+    prints = cut(rows.mapInArrow(_fingerprints, "doc_id bigint, fp bigint, one bigint, two bigint"))
+    # rows of the smallest id, of these the text with the least hash
+    first = _placed(prints, bits).where("doc_id = component_id").groupBy("component_id").agg(F.min(F.struct("one", "two")).alias("least"))
+    kept = first.select(F.col("component_id").alias(fp), F.col("least.one").alias(one), F.col("least.two").alias(two))
+    same = [known["doc_id"] == kept[fp], known[one] == kept[one], known[two] == kept[two]]
+    stay = known.join(kept, same, "left_semi").dropDuplicates(["doc_id", one, two])
+    return stay.select(docs.columns).unionByName(docs.where("doc_id is null"))
