@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from tideline.llm import decontaminate as dc
 
 WORDS = "alpha bravo carbon delta ember fjord glacier harbor indigo jungle kernel lumen meadow nectar onyx pillar quartz river summit timber".split()
@@ -40,8 +42,60 @@ def test_scan_equals_brute_force():
             else:
                 text.insert(k, "#")
         whole = prose(rng, 5) + " " + "".join(text) + " " + prose(rng, 5)
-        ix = dc.build([(1, item)], 100, 0.08, 9, 30)
-        assert bool(ix and dc.scan(ix, [whole])) == (len(item) >= 30 and within(item, whole)), trial
+        ix = dc.build([(1, item)], 100, 0.08, 9)
+        assert bool(dc.scan(ix, [whole])) == within(item, whole), trial
+
+
+def spans(item, text, window=100, rate=0.08):
+    """Brute force: the text positions that lie in some part which an item window matches within its
+    budget, by the end positions of all such alignments."""
+    a, b = (list(dc.codes(x)) for x in (item, text))
+    w = min(len(a), window)
+    held = np.zeros(len(b), dtype=bool)
+    for s in range(len(a) - w + 1):
+        row = np.zeros(len(b) + 1, dtype=int)
+        for i, x in enumerate(a[s : s + w], 1):
+            step = np.minimum(row[:-1] + (np.array(b) != x), row[1:] + 1)
+            new = np.concatenate([[i], step])
+            row = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
+        for t in np.flatnonzero(row <= int(w * rate)):
+            held[max(0, t - w) : t] = True
+    return held
+
+
+def test_regions_are_whole():
+    rng = random.Random(5)
+    for trial in range(10):
+        item = prose(rng, 45)
+        middle = len(item) // 2
+        body = item[:middle] + ["#", "", "##", "#" * 4, "#" * 30][trial % 5] + item[middle + 1 :]
+        if trial % 3 == 2:
+            body = item[: middle - 60] + item[middle + 60 :]
+        whole = prose(rng, 9) + " | " + body + " | " + prose(rng, 9)
+        ix = dc.build([(1, item)], 100, 0.08, 9)
+        got, want = np.zeros(len(whole), dtype=bool), spans(item, whole)
+        for _, _, s, t, i, j, e in dc.scan(ix, [whole]):
+            got[s:t] = True
+            assert 0 <= i < j <= len(item) and e <= 8
+        # ends of regions may be off by the edits
+        off = np.flatnonzero(got != want)
+        begin = whole.index("| ") + 2
+        assert got[begin + 10 : begin + 200].all() and got[begin + len(body) - 200 : begin + len(body) - 10].all(), trial
+        assert len(off) <= 4 * 8 and len(off) < 0.1 * len(body), (trial, len(off))
+
+
+def test_short_items_and_long_ones(spark, docs_of):
+    rng = random.Random(9)
+    long = prose(rng, 400)
+    bench = spark.createDataFrame([(1, "Yes"), (2, " x "), (3, "eleven char"), (4, long), (4, long)], "item_id bigint, text string")
+    texts = ["yes", " YES\n", "yes it is", "x", "it says eleven char here", long[900:1900], ""]
+    rows = dc.contamination(docs_of(texts), bench, block_chars=1600).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(0, 1), (1, 1), (3, 2), (4, 3), (5, 4)}
+    for r in rows:
+        if r.item_id == 4:
+            assert abs(900 + r.start - r.item_start) <= 8 and abs(900 + r.end - r.item_end) <= 8
+    held = {x for r in rows if r.item_id == 4 for x in range(r.start, r.end)}
+    assert held == set(range(1000))
 
 
 def test_rows_and_filter(spark, docs_of):

@@ -71,6 +71,8 @@ class Index:
     """A block of the benchmark: all items in one array, and where each q-gram occurs in it."""
 
     ids: list[int]
+    offset: list[int]  # where a span begins in its item
+    short: dict[bytes, list[int]]  # items too short for a q-gram
     text: np.ndarray
     begin: np.ndarray
     end: np.ndarray
@@ -88,10 +90,26 @@ class Index:
         return np.uint32(33 - len(self.bitmap).bit_length())
 
 
-def build(items: list[tuple[int, str]], window: int, rate: float, q: int, least: int) -> Index | None:
-    kept = [(i, c) for i, t in items if len(c := codes(t)) >= least]
-    if not kept:
+def bare(c: np.ndarray) -> bytes:
+    """``codes`` without blanks at the ends."""
+    full = np.flatnonzero(c != 32)
+    return c[full[0] : full[-1] + 1].tobytes() if len(full) else b""
+
+
+def build(items: list[tuple], window: int, rate: float, q: int) -> Index | None:
+    """``items`` are (item id, text) or (item id, text, where the text begins in the item)."""
+    cut = [(x[0], codes(x[1]), x[2] if len(x) > 2 else 0) for x in items]
+    short: dict[bytes, list[int]] = {}
+    for i, c, _ in cut:
+        if len(c) < q and bare(c):
+            short.setdefault(bare(c), []).append(i)
+    kept = [x for x in cut if len(x[1]) >= q]
+    if not kept and not short:
         return None
+    if not kept:  # no q-gram at all
+        none = np.empty(0, dtype=np.int64)
+        return Index([], [], short, np.empty(0, dtype=np.uint32), none, none, none, none, none, np.empty(0, dtype=np.uint32), none, none, np.zeros(1 << 16, dtype=bool), q)
+    offset, kept = [at for *_, at in kept], [(i, c) for i, c, _ in kept]
     size = np.array([len(c) for _, c in kept])
     end = np.cumsum(size)
     begin = end - size
@@ -106,7 +124,7 @@ def build(items: list[tuple[int, str]], window: int, rate: float, q: int, least:
     bitmap = np.zeros(1 << bits, dtype=bool)
     bitmap[keys >> np.uint32(32 - bits)] = True
     needs = np.maximum(1, w + 1 - q * (e + 1))
-    return Index([i for i, _ in kept], np.concatenate([c for _, c in kept]), begin, end, w, e, needs, keys, np.append(first, len(h)), places[order], bitmap, q)
+    return Index([i for i, _ in kept], offset, short, np.concatenate([c for _, c in kept]), begin, end, w, e, needs, keys, np.append(first, len(h)), places[order], bitmap, q)
 
 
 def align(item: np.ndarray, text: np.ndarray, starts: np.ndarray, width: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,32 +172,35 @@ def plausible(item: np.ndarray, text: np.ndarray, starts: np.ndarray, width: int
     return starts[total[at + width - FINE + 1] - total[at] >= need]
 
 
-def verify(ix: Index, k: int, text: np.ndarray, p: np.ndarray, g: np.ndarray) -> tuple[int, int, int, int, int] | None:
-    """The contaminated region of ``text`` around the q-grams at ``p`` shared with item ``k`` at
-    ``g``: (start, end, item start, item end, edits of the best window), or None."""
+def verify(ix: Index, k: int, text: np.ndarray, p: np.ndarray, g: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """The contaminated parts of ``text`` around the q-grams at ``p`` shared with item ``k`` at
+    ``g``: (start, end, item start, item end, edits of the best window).  All equal runs of a window
+    or more count as they are; the windows that none of them holds are aligned."""
     w, e, item = int(ix.window[k]), int(ix.edits[k]), ix.text[ix.begin[k] : ix.end[k]]
+    low, high = int((p - g).min()) - e, int((p - g).max()) + e
+    first, last = max(0, int(g.min()) - w + ix.q), min(len(item) - w, int(g.max()))
+    found, open_ = [], np.ones(max(0, last + 1 - first), dtype=bool)
     for d in np.unique(p - g):  # an alignment without edits stays on a diagonal
-        lo, hi = max(0, -d), min(len(item), len(text) - d)
+        lo, hi = max(0, first, -d), min(len(item), last + w, len(text) - d)
         same = np.concatenate([[False], item[lo:hi] == text[lo + d : hi + d], [False]])
         turn = np.flatnonzero(same[1:] != same[:-1])
-        runs = turn[1::2] - turn[::2]
-        if len(runs) and runs.max() >= w:
-            j = int(runs.argmax())
-            a, b = lo + int(turn[2 * j]), lo + int(turn[2 * j + 1])
-            return int(a + d), int(b + d), a, b, 0
-    low, high = int((p - g).min()) - e, int((p - g).max()) + e
-    first, last = max(0, int(g.min()) - w + ix.q), min(len(item) - w, int(g.max()))
-    if first > last:
-        return None
-    starts = plausible(item, text, np.arange(first, last + 1), w, e, low, high)
-    if not len(starts):
-        return None
-    edits, ends = align(item, text, starts, w, low, high)
-    good = edits <= e
-    if not good.any():
-        return None
-    s, t = starts[good], ends[good]
-    return max(0, int(t.min()) - w), min(len(text), int(t.max())), int(s.min()), int(s.max()) + w, int(edits.min())
+        for i, j in zip(turn[::2], turn[1::2]):
+            if j - i >= w:
+                a, b = lo + int(i), lo + int(j)
+                found.append((int(a + d), int(b + d), a, b, 0))
+                open_[max(0, a - first) : max(0, b - w + 1 - first)] = False
+    starts = first + np.flatnonzero(open_)
+    if len(starts):
+        starts = plausible(item, text, starts, w, e, low, high)
+    if len(starts):
+        edits, ends = align(item, text, starts, w, low, high)
+        good = edits <= e
+        s, t, n = starts[good], ends[good], edits[good]
+        turn = np.flatnonzero((np.diff(s) > 1) | (np.abs(np.diff(t)) > 2 * e + 1)) + 1
+        for i, j in zip(np.append(0, turn), np.append(turn, len(s))):
+            if i < j:
+                found.append((max(0, int(t[i:j].min()) - w), min(len(text), int(t[i:j].max())), int(s[i]), int(s[j - 1]) + w, int(n[i:j].min())))
+    return found
 
 
 def regions(ix: Index, text: np.ndarray, p: np.ndarray, g: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -215,11 +236,14 @@ def scan(ix: Index, texts: list[str]) -> list[tuple[int, int, int, int, int, int
     """(text number, item number, start, end, item start, item end, edits) of every contaminated
     region.  The texts are hashed in one go, held apart by a NUL, which no shared q-gram spans."""
     whole = codes("\0".join(texts))
+    out: list[tuple[int, int, int, int, int, int, int]] = []
+    if not ix.ids:
+        return out
     h = grams(whole, ix.q)
     at = np.flatnonzero(ix.bitmap[h >> ix.shift])
     need = int(ix.needs.min())
     if len(at) < need:
-        return []
+        return out
     # spans in which so many positions hold a shared q-gram
     reach = int((ix.window + ix.edits).max())
     near = np.flatnonzero(at[need - 1 :] - at[: len(at) - need + 1] <= reach - ix.q)
@@ -232,7 +256,6 @@ def scan(ix: Index, texts: list[str]) -> list[tuple[int, int, int, int, int, int
     at, slot = at[real], slot[real]
     end = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
     of = np.searchsorted(end, at, side="right")
-    out = []
     for n in np.unique(of):
         a, b = np.searchsorted(of, [n, n + 1])
         if b - a >= need:
@@ -241,6 +264,17 @@ def scan(ix: Index, texts: list[str]) -> list[tuple[int, int, int, int, int, int
     return out
 
 
+def hits(ix: Index, texts: list[str]) -> list[tuple[int, int, int, int, int, int, int]]:
+    """:func:`scan` with item ids in place of numbers and places counted in whole items, and the
+    texts that are nothing but an item too short for a q-gram."""
+    out = [(n, ix.ids[k], s, t, i + ix.offset[k], j + ix.offset[k], e) for n, k, s, t, i, j, e in scan(ix, texts)]
+    if ix.short:
+        for n, text in enumerate(texts):
+            own = len(text.strip()) < ix.q and bare(codes(text))
+            out += [(n, item, 0, len(text), 0, len(own) // 4, 0) for item in (ix.short.get(own, []) if own else [])]
+    return out
+
+
 def scan_one(ix: Index, text: np.ndarray, at: np.ndarray, slot: np.ndarray, reach: int, need: int) -> list[tuple[int, int, int, int, int, int]]:
     """The regions of one text, which shares at ``at`` the q-grams numbered ``slot``."""
     found: dict[int, list[tuple[int, int, int, int, int]]] = {}
@@ -253,8 +287,8 @@ def scan_one(ix: Index, text: np.ndarray, at: np.ndarray, slot: np.ndarray, reac
         if len(p) >= need:
             for k, ps, gs in regions(ix, text, p, g):
                 if not any(s <= ps[0] and ps[-1] + ix.q <= t for s, t, *_ in found.get(k, ())):
-                    if hit := verify(ix, k, text, ps, gs):
-                        found.setdefault(k, []).append(hit)
+                    if hits := verify(ix, k, text, ps, gs):
+                        found.setdefault(k, []).extend(hits)
         i = int(np.searchsorted(at, at[i] + PIECE, side="right"))
     return [(k, *x) for k, hits in found.items() for x in merged(hits)]
 
@@ -271,39 +305,37 @@ def merged(hits: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, i
     return [tuple(x) for x in out]
 
 
-def contamination(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    window: int = 100,
-    edit_rate: float = 0.08,
-    q: int = 9,
-    least: int = 30,
-    block_chars: int = 4_000_000,
-) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 100, edit_rate: float = 0.08, q: int = 9, block_chars: int = 4_000_000) -> DataFrame:
     """One row per contaminated region: ``(doc_id, item_id, start, end, item_start, item_end, edits)``.
 
     A document is contaminated by an item if ``window`` consecutive characters of the item (the
     whole item if it is shorter) and some part of the text are within ``edit_rate * window`` edits
     of each other, where A-Z are lower-cased and all white space counts alike.  Offsets are in
-    characters, ``end`` exclusive; overlapping regions of an item are merged and carry the fewest
-    edits of a window.  Items of fewer than ``least`` characters are not distinctive and match
-    nothing; nor do null items and null or empty texts.  Repeated items and repeated documents
-    each give their rows.  The benchmark goes to the executors in blocks of about ``block_chars``
-    characters.
+    characters, ``end`` exclusive; a start may be off by as many characters as there are edits.
+    Overlapping regions of an item are merged and carry the fewest edits of a window.  An item of
+    fewer than ``q`` characters contaminates a text that is nothing else, blanks at the ends aside.
+    Null and blank items and null or empty texts match nothing.  Equal rows of the benchmark count
+    once; repeated documents each give their rows.  The benchmark goes to the executors in blocks of
+    about ``block_chars`` characters; an item of more than a quarter of that is searched in spans
+    that overlap by two windows, and a passage that runs over several gives a row for each.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    found = [texts.mapInArrow(_scanner(ix), SCHEMA) for ix in _blocks(benchmark, window, edit_rate, q, least, block_chars)]
+    found = [texts.mapInArrow(_scanner(ix), SCHEMA) for ix in _blocks(benchmark, window, edit_rate, q, block_chars)]
     return reduce(DataFrame.union, found)
 
 
-def _blocks(benchmark: DataFrame, window: int, edit_rate: float, q: int, least: int, block_chars: int) -> Iterator[Index | None]:
+def _blocks(benchmark: DataFrame, window: int, edit_rate: float, q: int, block_chars: int) -> Iterator[Index | None]:
     """The indexes of the benchmark's blocks, each of about ``block_chars`` characters."""
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    span = max(4 * window, block_chars // 4)
+    step = span - 2 * window
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
+    last = F.greatest(F.lit(0), F.ceil((F.length("text") - span) / step)).cast("int")
+    cut = items.select("item_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("k")).select("item_id", (F.col("k") * step).alias("at"), F.substring("text", F.col("k") * step + 1, F.lit(span)).alias("text"))
+    size = cut.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_chars))
     for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        yield build([(r["item_id"], r["text"]) for r in block], window, edit_rate, q, least)
+        block = cut.where(F.pmod(F.xxhash64("item_id", "at", "text"), F.lit(blocks)) == k).orderBy("item_id", "at", "text").collect()
+        yield build([(r["item_id"], r["text"], r["at"]) for r in block], window, edit_rate, q)
 
 
 def _scanner(ix: Index | None):
@@ -318,23 +350,17 @@ def _scanner(ix: Index | None):
             for a, b in slices(batch, "text"):
                 part = batch.slice(a, b - a)
                 ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                rows += [(ids[n], ix.ids[k], s, t, i, j, e) for n, k, s, t, i, j, e in scan(ix, texts)]
+                rows += [(ids[n], *x) for n, *x in hits(ix, texts)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names)
 
     return run
 
 
-def drop_contaminated(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    window: int = 100,
-    edit_rate: float = 0.08,
-    q: int = 9,
-    least: int = 30,
-    block_chars: int = 4_000_000,
-) -> DataFrame:
-    """``docs`` without the rows whose text holds a contaminated region, decided where they lie."""
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 100, edit_rate: float = 0.08, q: int = 9, block_chars: int = 4_000_000) -> DataFrame:
+    """``docs`` without the rows whose text holds a contaminated region as :func:`contamination` finds
+    them, decided where they lie.  Each row is judged by its own text, so repeated rows and ids, null
+    ids and further columns make no difference; null and empty texts stay."""
 
     def clean(ix: Index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,12 +368,12 @@ def drop_contaminated(
                 for a, b in slices(batch, "text"):
                     part = batch.slice(a, b - a)
                     keep = np.ones(len(part), dtype=bool)
-                    keep[[n for n, *_ in scan(ix, [t or "" for t in part.column("text").to_pylist()])]] = False
+                    keep[[n for n, *_ in hits(ix, [t or "" for t in part.column("text").to_pylist()])]] = False
                     yield part.filter(pa.array(keep))
 
         return run
 
-    for ix in _blocks(benchmark, window, edit_rate, q, least, block_chars):
+    for ix in _blocks(benchmark, window, edit_rate, q, block_chars):
         if ix is not None:
             docs = docs.mapInArrow(clean(ix), docs.schema)
     return docs
