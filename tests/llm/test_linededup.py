@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tideline.llm import linededup as ld
 
@@ -79,6 +80,27 @@ def test_equals_brute_force(spark, docs_of):
         assert out[doc].text == "\n".join(lines) and out[doc].n_chars == len(out[doc].text)
 
 
+def test_rows_that_repeat_an_id_with_other_texts_and_clashing_columns(spark):
+    a, b, c = ("line %s of a document that is longer than thirty-two characters" % x for x in ("number one", "number two", "number 3"))
+    rows = [(1, a + "\n" + b), (5, a + "\n" + c), (5, b + "\n" + c), (5, c + "\nhere"), (5, c + "\nhere"), (7, "here")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for x in ("doc", "own", "kept", "__doc", "__kept", "LINE", "near"):
+        docs = docs.withColumn(x, F.lit(x))
+    out = ld.dedup_lines(docs)
+    assert out.columns == docs.columns
+    lines = Counter(x for r in out.select("doc_id", "text").distinct().collect() for x in r.text.split("\n") if x)
+    assert lines == {a: 1, b: 1, c: 1, "here": 1}  # nothing is lost and nothing stands twice
+    assert out.count() == len(rows)
+    assert ld.line_counts(docs).count() == len(rows)
+
+
+def test_many_lines_that_agree_in_two_pieces(spark, docs_of):
+    texts = [f"{'prefix of a log line ' * 3}{i:012d}{' and the same end of it' * 3}" for i in range(0, 4000, 7)]
+    got = ld.line_counts(docs_of(texts)).agg(F.sum("n_kept"), F.sum("n_near")).first()
+    near = {t for i, t in enumerate(texts) for s in texts[:i] if sum(x != y for x, y in zip(s, t)) == 1}
+    assert tuple(got) == (len(texts) - len(near), len(near))
+
+
 def test_awkward_rows(docs_of):
     line = "this very line stands in several of the documents"
     texts = [line, None, "", "\n\n", line + "\n" + line, line, line, "y" * 200_000, "y" * 100_000 + "x" + "y" * 99_999]

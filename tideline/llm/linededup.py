@@ -21,14 +21,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import cut, slices, stored
+from tideline.llm.common import cut, slices, stored, unused
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\r\x0b\x0c"
 PIECES = 3
+#: Where a line stands: ``own`` tells rows apart that repeat a doc_id with other texts.
+PLACE = ("doc_id", "own", "line")
+NEAR = ("near_doc_id", "near_own", "near_line")
 
 
 def normal(line: Column) -> Column:
@@ -57,33 +60,33 @@ def piece_keys(norm: bytes) -> list[int]:
 
 
 def _line_rows(least: int):
-    """Rows ``(doc_id, line, h, g, keys)`` of the non-blank lines; h and g are the halves of a 128-bit
+    """Rows ``(doc_id, own, line, h, g, keys)`` of the non-blank lines; h and g are the halves of a 128-bit
     hash.  ``keys`` is null for lines of fewer than ``least`` characters and for those that are in the
     batch already.  A row with line -1 holds a document's lines and blank lines as h and g."""
-    names = ["doc_id", "line", "h", "g", "keys"]
+    names = ["doc_id", "own", "line", "h", "g", "keys"]
 
     def rows(part: pa.RecordBatch, seen: set[bytes]) -> pa.RecordBatch:
-        doc, line, digest, keys = [], [], [], []
-        for d, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-            own = [] if text is None else norms(text)
+        doc, own, line, digest, keys = [], [], [], [], []
+        for d, text, mark in zip(*(part.column(i).to_pylist() for i in range(3))):
+            lines = [] if text is None else norms(text)
             full = 0
-            for i, norm in enumerate(own) if d is not None else ():
+            for i, norm in enumerate(lines) if d is not None else ():
                 if norm:
                     full += 1
                     x = xxhash.xxh3_128_digest(norm)
-                    doc.append(d), line.append(i), digest.append(x)
+                    doc.append(d), own.append(mark), line.append(i), digest.append(x)
                     long = x not in seen and len(norm) >= least and (norm.isascii() or len(norm.decode()) >= least)
                     keys.append(piece_keys(norm) if long else None)
                     seen.add(x)
-            blank = len(own) - full if d is not None else sum(not x for x in own)
-            doc.append(d), line.append(-1), digest.append(len(own).to_bytes(8, "big") + blank.to_bytes(8, "big")), keys.append(None)
+            blank = len(lines) - full if d is not None else sum(not x for x in lines)
+            doc.append(d), own.append(mark), line.append(-1), digest.append(len(lines).to_bytes(8, "big") + blank.to_bytes(8, "big")), keys.append(None)
         halves = np.frombuffer(b"".join(digest), dtype=">i8").astype(np.int64).reshape(-1, 2)
         held = [k for k in keys if k is not None]
         flat = np.array(held, dtype=np.uint64).reshape(-1).view(np.int64)
         there = np.array([k is not None for k in keys], dtype=bool)
         offsets = pa.array(np.append(0, np.cumsum(there * 2 * PIECES)).astype(np.int32), mask=np.append(~there, False))
         lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
-        return pa.RecordBatch.from_arrays([pa.array(doc, type=pa.int64()), pa.array(line, type=pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists], names)
+        return pa.RecordBatch.from_arrays([pa.array(doc, type=pa.int64()), pa.array(own, type=pa.int64()), pa.array(line, type=pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), lists], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,12 +103,12 @@ def _asked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in slices(batch, "text", 1 << 22):
             part = batch.slice(a, b - a)
             out = []
-            for d, text, asked in zip(*(part.column(i).to_pylist() for i in range(3))):
+            for d, mark, text, asked in zip(*(part.column(i).to_pylist() for i in range(4))):
                 lines = norms(text)
-                out += [(d, x["line"], lines[x["line"]].decode(), x["h"], x["g"], x["asks"]) for x in asked if x["line"] < len(lines) and xxhash.xxh3_128_digest(lines[x["line"]]) == x["h"].to_bytes(8, "big", signed=True) + x["g"].to_bytes(8, "big", signed=True)]
-            types = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+                out += [(d, mark, x["line"], lines[x["line"]].decode(), x["h"], x["g"], x["asks"]) for x in asked if x["line"] < len(lines) and xxhash.xxh3_128_digest(lines[x["line"]]) == x["h"].to_bytes(8, "big", signed=True) + x["g"].to_bytes(8, "big", signed=True)]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             columns = zip(*out) if out else [[] for _ in types]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], ["doc_id", "line", "norm", "h", "g", "asks"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], ["doc_id", "own", "line", "norm", "h", "g", "asks"])
 
 
 P = (np.uint64(2147483647), np.uint64(2147483629))
@@ -136,9 +139,9 @@ def variants(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, role, doc_id, line, h, g): role 0 for lines of equal length, 1 for the longer
+    """Rows (key, role, doc_id, own, line): role 0 for lines of equal length, 1 for the longer
     and 2 for the shorter line of an insertion."""
-    names = ["key", "role", "doc_id", "line", "h", "g"]
+    names = ["key", "role", *PLACE]
     for batch in batches:
         for a, b in slices(batch, "norm", 1 << 17):
             keys, roles, rows = [], [], []
@@ -190,71 +193,69 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs that are within one edit indeed."""
     for batch in batches:
         fine = [one_edit(a, b) for a, b in zip(batch.column("norm").to_pylist(), batch.column("near_norm").to_pylist())]
-        yield batch.filter(pa.array(fine, type=pa.bool_())).select(["doc_id", "line", "near_doc_id", "near_line"])
+        yield batch.filter(pa.array(fine, type=pa.bool_())).select([*PLACE, *NEAR])
+
+
+def _own(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), _own(F.col("text")).alias("own"))
 
 
 def line_table(docs: DataFrame, least: int = 32) -> DataFrame:
     """The lines' hashes, computed once and stored: everything but the variants is made from them."""
-    return stored(_texts(docs).mapInArrow(_line_rows(least), "doc_id bigint, line int, h bigint, g bigint, keys array<bigint>"), "lines")
+    return stored(_texts(docs).mapInArrow(_line_rows(least), "doc_id bigint, own bigint, line int, h bigint, g bigint, keys array<bigint>"), "lines")
 
 
 def line_verdicts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Per different line of ``docs``, whose :func:`line_table` is ``lines``, its first place and
-    whether it stays: ``(h, g, doc_id, line, near_doc_id, near_line)``; the last two are null if it
-    stays."""
+    whether it stays: ``(h, g, doc_id, own, line, near_doc_id, near_own, near_line)``; the last
+    three are null if it stays."""
     first = stored(
         lines.where("line >= 0")
-        .select("h", "g", F.struct("doc_id", "line").alias("at"))
+        .select("h", "g", F.struct(*PLACE).alias("at"))
         .groupBy("h", "g")
         .agg(F.min("at").alias("at"))
-        .select("h", "g", "at.doc_id", "at.line"),
+        .select("h", "g", "at.*"),
         "first",
     )
-    # a line asks for variants in a piece if another line agrees with it outside that piece
+    # a line asks for variants in a piece if another line agrees with it outside that piece; two
+    # lines under a key are told by the ends of their hashes, however many it has
     keyed = lines.where("keys is not null").select("h", F.posexplode("keys").alias("ask", "key"))
-    order = Window.partitionBy("key").orderBy("h")
-    once = keyed.repartition("key").groupBy("key", "h").agg(F.min("ask").alias("ask"))
-    met = once.select("h", "ask", F.lag("h").over(order).alias("before"), F.lead("h").over(order).alias("after"))
-    asks = met.where("before is not null or after is not null").groupBy("h").agg(F.collect_set("ask").alias("asks"))
-    asked = asks.join(first, "h").groupBy("doc_id").agg(F.collect_list(F.struct("line", "h", "g", "asks")).alias("asked"))
-    source = _texts(docs).where("text is not null").join(asked, "doc_id").select("doc_id", "text", "asked")
-    texts = source.mapInArrow(_asked_rows, "doc_id bigint, line int, norm string, h bigint, g bigint, asks array<int>")
-    texts = stored(texts.dropDuplicates(["doc_id", "line"]), "asked")
-    rows = texts.select("doc_id", "line", "norm", "h", "g", F.sort_array("asks").alias("asks")).mapInArrow(
-        _variant_rows, "key bigint, role int, doc_id bigint, line int, h bigint, g bigint"
-    )
-    rows = stored(rows, "variants")
-    best = lambda *roles: F.min(F.when(F.col("role").isin(*roles), F.struct("doc_id", "line")))
+    met = keyed.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select("key")
+    asks = keyed.join(stored(met, "met"), "key", "left_semi").groupBy("h").agg(F.collect_set("ask").alias("asks"))
+    asked = asks.join(first, "h").groupBy("doc_id", "own").agg(F.collect_list(F.struct("line", "h", "g", "asks")).alias("asked"))
+    source = _texts(docs).where("text is not null").join(asked, ["doc_id", "own"]).select("doc_id", "own", "text", "asked")
+    texts = source.mapInArrow(_asked_rows, "doc_id bigint, own bigint, line int, norm string, h bigint, g bigint, asks array<int>")
+    texts = stored(texts.dropDuplicates(list(PLACE)), "asked")
+    # a line gives about as many rows as it has characters: dealt over all tasks before that
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.select(*PLACE, "norm", F.sort_array("asks").alias("asks")).repartition(tasks, *PLACE)
+    rows = stored(rows.mapInArrow(_variant_rows, "key bigint, role int, doc_id bigint, own bigint, line int"), "variants")
+    best = lambda *roles: F.min(F.when(F.col("role").isin(*roles), F.struct(*PLACE)))
     met = (
         rows.groupBy("key")
         .agg(F.count("*").alias("n"), best(0).alias("same"), best(1).alias("long"), best(2).alias("short"))
         .where("n > 1")
     )
     other = F.when(F.col("role") == 0, F.col("same")).when(F.col("role") == 1, F.col("short")).otherwise(F.col("long"))
-    earlier = (
-        rows.join(met, "key")
-        .select("doc_id", "line", other.alias("near"))
-        .where("near < struct(doc_id, line)")
-        .distinct()
-    )
+    earlier = rows.join(met, "key").select(*PLACE, other.alias("near")).where("near < struct(doc_id, own, line)").distinct()
     # verify
-    mine = texts.select("doc_id", "line", "norm")
-    theirs = texts.select(F.col("doc_id").alias("near_doc_id"), F.col("line").alias("near_line"), F.col("norm").alias("near_norm"))
+    mine = texts.select(*PLACE, "norm")
+    theirs = texts.select(*(F.col(c).alias(n) for c, n in zip(PLACE, NEAR)), F.col("norm").alias("near_norm"))
     near = (
-        earlier.select("doc_id", "line", F.col("near.doc_id").alias("near_doc_id"), F.col("near.line").alias("near_line"))
-        .join(mine, ["doc_id", "line"])
-        .join(theirs, ["near_doc_id", "near_line"])
-        .select("doc_id", "line", "near_doc_id", "near_line", "norm", "near_norm")
-        .mapInArrow(_verify, "doc_id bigint, line int, near_doc_id bigint, near_line int")
-        .groupBy("doc_id", "line")
-        .agg(F.min(F.struct("near_doc_id", "near_line")).alias("near"))
-        .select("doc_id", "line", "near.*")
+        earlier.select(*PLACE, *(F.col("near")[c].alias(n) for c, n in zip(PLACE, NEAR)))
+        .join(mine, list(PLACE))
+        .join(theirs, list(NEAR))
+        .select(*PLACE, *NEAR, "norm", "near_norm")
+        .mapInArrow(_verify, "doc_id bigint, own bigint, line int, near_doc_id bigint, near_own bigint, near_line int")
+        .groupBy(*PLACE)
+        .agg(F.min(F.struct(*NEAR)).alias("near"))
+        .select(*PLACE, "near.*")
     )
-    return first.join(cut(near), ["doc_id", "line"], "left")
+    return first.join(cut(near), list(PLACE), "left")
 
 
 def line_counts(docs: DataFrame, least: int = 32) -> DataFrame:
@@ -262,22 +263,24 @@ def line_counts(docs: DataFrame, least: int = 32) -> DataFrame:
     stay (blank ones not counted), and first lines that go because an earlier one is one edit away.
 
     A non-blank line goes if an equal line stands earlier (by doc_id, then line number), or if it
-    has ``least`` characters or more and an earlier line is exactly one edit away.  Lines are
+    and an earlier line are one edit apart; the edit bound is one for lines of ``least`` characters
+    or more and none for shorter ones, of which one edit makes another line.  Lines are
     compared with A-Z lower-cased and blanks at the ends removed; they end at a line feed.  A null
     text has no lines, an empty one has one blank line.  Rows without a doc_id keep all lines.
-    Rows that repeat a doc_id give a row each; equal lines at the same place of such rows count as
-    one line, kept or dropped together.
+    Rows that repeat a doc_id with other texts are documents of their own, in the order of a hash of
+    their text; rows that repeat doc_id and text are one document, each with its row, and keep the
+    same lines.
     """
     lines = line_table(docs, least)
     verdicts = line_verdicts(docs, lines)
-    per = verdicts.groupBy("doc_id").agg(
+    per = verdicts.groupBy("doc_id", "own").agg(
         F.sum(F.when(F.col("near_doc_id").isNull(), 1).otherwise(0)).alias("kept"),
         F.sum(F.when(F.col("near_doc_id").isNotNull(), 1).otherwise(0)).alias("near"),
     )
-    own = lines.where("line = -1").select("doc_id", F.col("h").alias("n_lines"), F.col("g").alias("n_blank"))
+    own = lines.where("line = -1").select("doc_id", "own", F.col("h").alias("n_lines"), F.col("g").alias("n_blank"))
     full = F.col("n_lines") - F.col("n_blank")
     kept = F.when(F.col("doc_id").isNull(), full).otherwise(F.coalesce("kept", F.lit(0)))
-    return own.join(per, "doc_id", "left").select(
+    return own.join(per, ["doc_id", "own"], "left").select(
         "doc_id", "n_lines", "n_blank", kept.cast("bigint").alias("n_kept"), F.coalesce("near", F.lit(0)).cast("bigint").alias("n_near")
     )
 
@@ -285,13 +288,15 @@ def line_counts(docs: DataFrame, least: int = 32) -> DataFrame:
 def dedup_lines(docs: DataFrame, least: int = 32) -> DataFrame:
     """``docs`` with the lines that :func:`line_counts` drops cut out of ``text``, blank lines kept,
     and ``n_chars``, if there is such a column, counted again.  No row is dropped: a document all of
-    whose lines stand elsewhere keeps its blank lines or an empty text."""
+    whose lines stand elsewhere keeps its blank lines or an empty text.  Null texts and rows without
+    a doc_id stay as they are; further columns may have any names."""
     verdicts = line_verdicts(docs, line_table(docs, least)).where("near_doc_id is null")
-    keep = verdicts.groupBy("doc_id").agg(F.collect_set("line").alias("__kept"))
-    joined = docs.join(keep.withColumnRenamed("doc_id", "__doc"), docs["doc_id"] == F.col("__doc"), "left")
-    split = F.split(F.col("text").cast("string"), "\n", -1)
-    stays = lambda x, i: (normal(x) == "") | F.coalesce(F.array_contains("__kept", i), F.lit(False))
-    text = F.when(F.col("doc_id").isNull() | F.col("text").isNull(), F.col("text")).otherwise(
+    doc, own, kept = unused(docs, "doc", "own", "kept")
+    keep = verdicts.groupBy("doc_id", "own").agg(F.collect_set("line").alias(kept)).withColumnsRenamed({"doc_id": doc, "own": own})
+    joined = docs.join(keep, (docs["doc_id"] == keep[doc]) & (_own(docs["text"]) == keep[own]), "left")
+    split = F.split(docs["text"].cast("string"), "\n", -1)
+    stays = lambda x, i: (normal(x) == "") | F.coalesce(F.array_contains(keep[kept], i), F.lit(False))
+    text = F.when(docs["doc_id"].isNull() | docs["text"].isNull(), docs["text"]).otherwise(
         F.array_join(F.filter(split, stays), "\n")
     )
     out = joined.withColumn("text", text)

@@ -113,7 +113,38 @@ def _license_sql() -> str:
         FROM labelled"""
 
 
+def _line_sql(least: int = 32, half: int = 16) -> str:
+    """Two lines one edit apart agree in their first or their last ``half`` characters, which gives
+    the pairs that are compared character by character."""
+    differing = "list_filter(range(len(short)), lambda i: long[i + 1] <> short[i + 1])"
+    return f"""
+        WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+        lines AS (
+            SELECT doc_id, unnest(range(len(l))) AS line,
+                trim(translate(unnest(l), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS x FROM split),
+        firsts AS (SELECT x, min(doc_id * 1000000 + line) AS pos FROM lines WHERE x <> '' GROUP BY x),
+        longs AS (SELECT x, pos, length(x) AS n, left(x, {half}) AS head, right(x, {half}) AS tail FROM firsts WHERE length(x) >= {least}),
+        near AS (
+            SELECT a.x AS x, a.pos AS pos, b.x AS y FROM longs a JOIN longs b ON a.head = b.head AND b.pos < a.pos AND abs(a.n - b.n) <= 1
+            UNION SELECT a.x, a.pos, b.x FROM longs a JOIN longs b ON a.tail = b.tail AND b.pos < a.pos AND abs(a.n - b.n) <= 1),
+        chars AS (
+            SELECT pos, string_split(CASE WHEN length(x) >= length(y) THEN x ELSE y END, '') AS long,
+                string_split(CASE WHEN length(x) >= length(y) THEN y ELSE x END, '') AS short FROM near),
+        differ AS (SELECT *, {differing} AS d FROM chars),
+        gone AS (
+            SELECT DISTINCT pos FROM differ WHERE CASE WHEN len(long) = len(short) THEN len(d) = 1
+                ELSE long[coalesce(d[1], len(short)) + 2:] = short[coalesce(d[1], len(short)) + 1:] END),
+        per AS (
+            SELECT f.pos // 1000000 AS doc_id, count(*) FILTER (WHERE g.pos IS NULL) AS kept, count(*) FILTER (WHERE g.pos IS NOT NULL) AS near
+            FROM firsts f LEFT JOIN gone g ON f.pos = g.pos GROUP BY 1),
+        blanks AS (SELECT doc_id, count(*) AS n FROM lines WHERE x = '' GROUP BY doc_id)
+        SELECT s.doc_id, CAST(coalesce(len(s.l), 0) AS BIGINT) AS n_lines, CAST(coalesce(b.n, 0) AS BIGINT) AS n_blank,
+            CAST(coalesce(p.kept, 0) AS BIGINT) AS n_kept, CAST(coalesce(p.near, 0) AS BIGINT) AS n_near
+        FROM split s LEFT JOIN per p ON s.doc_id = p.doc_id LEFT JOIN blanks b ON s.doc_id = b.doc_id"""
+
+
 SQL: dict[str, str] = {
+    "op2_line_dedup": _line_sql(),
     "op6_license_scan": _license_sql(),
     "op7_embedding_near_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
