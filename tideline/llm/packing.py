@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import stored
+
 LENGTHS = (1024, 2048, 4096, 8192)
 SHARD = 50_000  # pieces in a shard, about
 
@@ -117,6 +119,8 @@ def best_fit(docs: DataFrame, tokens: Column | None = None, lengths: Sequence[in
     top = lengths[-1]
     n = F.greatest(F.coalesce((byte_tokens(F.col("text").cast("string")) if tokens is None else tokens).cast("bigint"), F.lit(1)), F.lit(1))
     counted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), n.alias("n")).groupBy("doc_id", "n").agg(F.count("*").alias("copies"))
+    counted = stored(counted, "sizes")  # so that texts are read once
+    total = counted.agg(F.sum(F.col("copies") * (F.floor((F.col("n") - 1) / top) + 1))).first()[0] or 0
     pieces = (
         counted.select("doc_id", "n", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
         .select("doc_id", "n", "copy", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / top).cast("int"))).alias("piece"))
@@ -128,7 +132,6 @@ def best_fit(docs: DataFrame, tokens: Column | None = None, lengths: Sequence[in
             F.least(F.lit(top).cast("bigint"), F.col("n") - F.col("piece").cast("bigint") * top).alias("n_tokens"),
         )
     )
-    total = pieces.count()
     shards = max(1, -(-total // shard))
     mixed = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "copy", "piece"), F.lit(shards)))
 
