@@ -25,28 +25,71 @@ from tideline.llm.common import slices
 #: Base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Own templates: label and wording.  Words are what the word pattern leaves, so punctuation and
-#: case don't matter.
+#: The wording of common licenses and notices as templates, label and words.  Words
+#: are what the word pattern leaves, so punctuation and case don't matter.
 TEMPLATES: dict[str, str] = {
     "mit-notice": "<<optional>>this software is<</optional>> released under the <<optional>>terms of the<</optional>> mit license",
-    "apache-2-notice": "licensed under the apache license version 2 0 <<optional>>the license<</optional>>",
-    "apache-2-header": """licensed under the apache license version 2 0 the license you may not use this file except in compliance
-        with the license <<optional>>you may obtain a copy of the license at <<any:8>><</optional>> unless required by applicable law or
-        agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions
-        of any kind either express or implied""",
     "mit-text": """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
         documentation files the software to deal in the software without restriction including without limitation the rights to use
         copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software
         is furnished to do so subject to the following conditions the above copyright notice and this permission notice
-        <<optional>>including the next paragraph<</optional>> shall be included in all copies or substantial portions of the software""",
-    "gpl-notice": """<<optional>>this program is free software<</optional>> you can redistribute it and or modify it under the terms of
-        the gnu <<optional>>lesser<</optional>> <<optional>>affero<</optional>> general public license as published by the free
-        software foundation either version <<any:1>> of the license or <<optional>>at your option<</optional>> any later version""",
+        <<optional>>including the next paragraph<</optional>> shall be included in all copies or substantial portions of the software
+        the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of
+        merchantability fitness for a particular purpose and <<any:2>> in no event shall the <<any:8>> be liable for any claim damages
+        or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software
+        or the use or other dealings in the software""",
+    "isc-text": """permission to use copy modify and <<optional>>or<</optional>> distribute this software for any purpose with or without
+        fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is
+        provided as is and <<any:8>> disclaims all warranties with regard to this software including all implied warranties of
+        merchantability and fitness in no event shall <<any:8>> be liable for any special direct indirect or consequential damages or
+        any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other
+        tortious action arising out of or in connection with the use or performance of this software""",
+    "bsd-2-text": """redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met <<any:1>> redistributions of source code must retain the above copyright notice this list of
+        conditions and the following disclaimer <<any:1>> redistributions in binary form must reproduce the above copyright notice
+        this list of conditions and the following disclaimer in the documentation and or other materials provided with the
+        distribution this software is provided by <<any:8>> as is and any express or implied warranties including but not limited to
+        the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<any:8>> be
+        liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement
+        of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of
+        liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of
+        this software even if advised of the possibility of such damage""",
+    "bsd-3-text": """redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met <<any:1>> redistributions of source code must retain the above copyright notice this list of
+        conditions and the following disclaimer <<any:1>> redistributions in binary form must reproduce the above copyright notice
+        this list of conditions and the following disclaimer in the documentation and or other materials provided with the
+        distribution <<any:1>> neither the name of <<any:12>> nor the names of <<any:4>> contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission this software is provided by <<any:8>> as is and
+        any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a
+        particular purpose are disclaimed in no event shall <<any:8>> be liable for any direct indirect incidental special exemplary or
+        consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or
+        business interruption however caused and on any theory of liability whether in contract strict liability or tort including
+        negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage""",
+    "apache-2-notice": "licensed under the apache license version 2 0 <<optional>>the license<</optional>>",
+    "apache-2-header": """licensed under the apache license version 2 0 the license you may not use this <<any:1>> except in compliance
+        with the license <<optional>>you may obtain a copy of the license at <<any:8>><</optional>> unless required by applicable law or
+        agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions
+        of any kind either express or implied see the license for the specific language governing permissions and limitations under
+        the license""",
+    "mpl-2-notice": """this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not
+        distributed with this file you can obtain one at <<any:8>>""",
+    "gpl-notice": """<<optional>>this program<</optional>> is free software you can redistribute it and or modify it under the terms of
+        the gnu general public license as published by the free software foundation either version <<any:1>> of the license or
+        <<optional>>at your option<</optional>> any later version <<any:8>> is distributed in the hope that it will be useful but without
+        any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general
+        public license for more details""",
+    "lgpl-notice": """<<optional>>this library<</optional>> is free software you can redistribute it and or modify it under the terms of
+        the gnu lesser general public license as published by the free software foundation either version <<any:2>> of the license or
+        <<optional>>at your option<</optional>> any later version <<any:8>> is distributed in the hope that it will be useful but without
+        any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu lesser
+        general public license for more details""",
+    "agpl-notice": """<<optional>>this program<</optional>> is free software you can redistribute it and or modify it under the terms of
+        the gnu affero general public license as published by the free software foundation either version <<any:1>> of the license or
+        <<optional>>at your option<</optional>> any later version <<any:8>> is distributed in the hope that it will be useful but without
+        any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu affero
+        general public license for more details""",
     "gpl-reference": "licensed under the <<optional>>terms of the<</optional>> gnu general public license <<optional>>version<</optional>> <<any:1>>",
     "cc-by-nc-4": "licensed under <<optional>>a<</optional>> cc by nc 4 0 <<optional>>license<</optional>>",
-    "bsd-text": """redistribution and use in source and binary forms with or without modification are permitted provided that the
-        following conditions are met <<any:2>> redistributions of source code must retain the above copyright notice this list of
-        conditions and the following disclaimer""",
 }
 
 _TABLE = bytes(x + 32 if 65 <= x <= 90 else x if x >= 128 or 48 <= x <= 57 or 97 <= x <= 122 else 32 for x in range(256))
@@ -141,6 +184,15 @@ def places(joined: bytes, phrase: bytes) -> list[int]:
     return out
 
 
+def numbers(joined: bytes, at: list[int]) -> Iterator[int]:
+    """The words before each of the ascending offsets ``at``, in one pass."""
+    n = before = 0
+    for offset in at:
+        n += joined.count(b" ", before, offset)
+        before = offset
+        yield n
+
+
 @dataclass
 class Scan:
     n_words: int
@@ -151,13 +203,11 @@ class Scan:
 def scan(text: bytes, automata: list[Automaton]) -> Scan:
     words = text.translate(_TABLE).split()
     joined = b" " + b" ".join(words) + b" "
-    number = lambda offset: joined.count(b" ", 0, offset)  # noqa: E731  words before a place
-    base = [(number(at), label) for phrase, label in BASE.items() for at in places(joined, phrase.encode())]
+    base = [(n, label) for phrase, label in BASE.items() for n in numbers(joined, places(joined, phrase.encode()))]
     found = []
     for a in automata:
         done = -1
-        for at in places(joined, a.anchor):
-            k = number(at)
+        for k in numbers(joined, places(joined, a.anchor)):
             for begin in range(max(0, k - a.lead, done), k + 1):
                 end = a.accept(words, begin)
                 if end > k:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,37 +57,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LICENSE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Regular expressions over the words of a text, each with a space on either side.
-_LICENSE_PATTERNS = (
-    ("mit-notice", " released under the (terms of the )?mit license "),
-    ("apache-2-notice", " licensed under the apache license version 2 0 "),
-    (
-        "apache-2-header",
-        " licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
-        "(you may obtain a copy of the license at ([^ ]+ ){0,8})?unless required by applicable law or agreed to in writing software distributed "
-        "under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied ",
-    ),
-    (
-        "mit-text",
-        " permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the "
-        "software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute "
-        "sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following "
-        "conditions the above copyright notice and this permission notice (including the next paragraph )?shall be included in all copies or "
-        "substantial portions of the software ",
-    ),
-    (
-        "gpl-notice",
-        " you can redistribute it and or modify it under the terms of the gnu (lesser )?(affero )?general public license as published by the free "
-        "software foundation either version ([^ ]+ )?of the license or (at your option )?any later version ",
-    ),
-    ("gpl-reference", " licensed under the (terms of the )?gnu general public license "),
-    ("cc-by-nc-4", " licensed under (a )?cc by nc 4 0 "),
-    (
-        "bsd-text",
-        " redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are "
-        "met ([^ ]+ ){0,2}redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer ",
-    ),
-)
+
+
+def _license_pattern(template: str) -> str:
+    """A template as a regular expression over the words of a text, each with a space after it."""
+    marks = {"<<optional>>": "(", "<</optional>>": ")?"}
+    parts = re.findall(r"<<optional>>|<</optional>>|<<any:\d+>>|[^\s<>]+", template)
+    return " " + "".join(marks.get(x) or (f"([^ ]+ ){{0,{x[6:-2]}}}" if x.startswith("<<any:") else f"{x} ") for x in parts)
 
 
 def _license_sql() -> str:
@@ -96,7 +73,8 @@ def _license_sql() -> str:
         test = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
         places.append(f"list_filter(range(len(w)), lambda i: {test})")
         labels.append(f"CASE WHEN len({places[-1]}) > 0 THEN ['{label}'] ELSE []::VARCHAR[] END")
-    own = [f"CASE WHEN regexp_matches(j, '{pattern}') THEN ['{label}'] ELSE []::VARCHAR[] END" for label, pattern in _LICENSE_PATTERNS]
+    patterns = [(k, _license_pattern(v)) for k, v in licenses.TEMPLATES.items()]
+    own = [f"CASE WHEN regexp_matches(j, '{pattern}') THEN ['{label}'] ELSE []::VARCHAR[] END" for label, pattern in patterns]
     return f"""
         WITH words AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
