@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from tideline.llm import embeddings as em
 
@@ -10,7 +11,7 @@ def brute(vectors, threshold=0.95):
     for i in ok:
         for j in ok:
             if i != j and len(vectors[i]) == len(vectors[j]):
-                a, b = np.float32(vectors[i]).astype(float), np.float32(vectors[j]).astype(float)
+                a, b = np.array(vectors[i], dtype=float), np.array(vectors[j], dtype=float)
                 near[i, j] = (a / np.linalg.norm(a)) @ (b / np.linalg.norm(b)) >= threshold
     comp = np.arange(n)
     while True:
@@ -70,3 +71,46 @@ def test_all_pairs_where_the_descent_fails(spark):
     none = spark.createDataFrame([], "node bigint, component bigint")
     got = {r.node: r.component for r in em._all_pairs(nodes, none, 0.95).collect()}
     assert got == {i: c for i, (n, c) in brute(vectors).items() if n}
+
+
+def test_double_precision(spark):
+    turn = np.arccos(0.95)
+    pair = lambda e: [[1.0, 0.0], [float(np.cos(turn + e)), float(np.sin(turn + e))]]
+    for e, linked in ((-1e-12, True), (1e-12, False)):
+        frame = spark.createDataFrame(list(enumerate(pair(e))), "vec_id bigint, embedding array<double>")
+        assert {(r.n_links, r.component_id) for r in em.embedding_groups(frame).collect()} == ({(1, 0)} if linked else {(0, 0), (0, 1)})
+
+
+def test_only_saturated_lists_grow_and_the_rest_is_compared(spark, monkeypatch):
+    monkeypatch.setattr(em, "SMALL", 20)
+    monkeypatch.setattr(em, "TILE", 64)
+    rng = np.random.default_rng(11)
+    dense = [v.tolist() for v in two_caps(rng, 130)]  # lists of 160 are too short for one of these
+    near = rng.normal(size=(40, 24))
+    some = np.float32(np.concatenate([near + rng.normal(scale=0.1, size=near.shape) for _ in range(5)])).tolist()
+    vectors = dense + some
+    seen = []
+    enlarged = em._enlarged
+
+    def watched(*args):
+        out = enlarged(*args)
+        seen.append({r.node: (r.most, r.kth) for r in out.select("node", "most", "kth").collect()})
+        return out
+
+    monkeypatch.setattr(em, "_enlarged", watched)
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in em.embedding_groups(frame).collect()}
+    want = brute(vectors)
+    assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want)
+    most = [m for m, _ in seen[0].values()]
+    assert min(most) == 10 and max(most) == em.WIDEST and sum(m == 10 for m in most) >= 150
+
+
+def test_a_start_that_finds_nothing_is_audited_and_made_good(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(120, 16))
+    vectors = np.float32([*base, *(base + rng.normal(scale=0.1, size=base.shape))]).tolist()
+    monkeypatch.setattr(em, "_compare", lambda rows, k, groups: rows.select("node", F.lit(0.0).cast("float").alias("sim"), F.col("node").alias("nbr")).where("false"))
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in em.embedding_groups(frame, k=40).collect()}
+    assert got == brute(vectors)

@@ -5,13 +5,15 @@
    compared, and each keeps its ``k`` nearest.
 3. NN-descent: the neighbours and reverse neighbours of every node are joined and compared with
    each other, and closer ones replace those in the lists, until links stop turning up.
-4. Links (cosine at least the threshold, in double precision) give components.  A list that holds
-   nothing but links may be too short: a group of more than k close vectors fills its lists by
-   itself and hides weaker links that lead out of it.  The nodes of such lists are compared, in
-   double precision and in tiles of bounded size, with those of every other component that its
-   angles don't rule out, and components that meet are joined.  Within a component all members are
-   compared in tiles, which yield counts and no pairs.
-5. Recall is audited against brute force over all rows, for a bounded sample of the nodes that
+4. A list that holds nothing but links is saturated: it may be too short.  Such lists, and no
+   others, are made four times as long, up to ``WIDEST``, and refilled by a round around their nodes.
+5. Links (cosine at least the threshold, in double precision) give components.  Nodes whose lists
+   hold nothing but links even so are compared, in double precision and in tiles of bounded size, with those
+   of every other component that its angles don't rule out, and components that meet are joined;
+   and within their component with all members, which yields counts and no pairs.  Members of
+   components of at most ``SMALL`` nodes are all compared; the links of others are those in the
+   lists.
+6. Recall is audited against brute force over all rows, for a bounded sample of the nodes that
    have links and one of those that have none; below the aim, lists are doubled and the descent
    goes on, and where that doesn't help all nodes are compared like those of saturated lists.
 """
@@ -19,17 +21,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from tideline.llm.common import components, cut, stored
 
 BUCKET = 64  # nodes in a bucket of a hyperplane table, about
 BLOCK = 96  # most nodes that are joined around one center at once, about
 TILE = 512  # nodes in a side of a tile, about
+WIDEST = 160  # neighbours in the longest list
+ROUNDS = 3  # most rounds that refill lists made longer
+SMALL = 4 * TILE  # nodes of a component that are all compared with each other
 AUDIT = 128  # nodes with links, and as many without, whose neighbours are searched by brute force
 CENTERS = 2048  # components in a side of a tile of centers, about
 SLACK = 1e-4  # of a cosine in single precision
@@ -110,27 +117,54 @@ def _compare(rows: DataFrame, k: int, groups: int) -> DataFrame:
     return dealt.groupBy("__g").applyInArrow(lambda t: run(t), "node bigint, sim float, nbr bigint")
 
 
-def _lists(candidates: DataFrame, k: int) -> DataFrame:
-    """``(node, nbrs, kth)``: the k nearest different candidates of each node."""
+def _lists(candidates: DataFrame, k: int, most: DataFrame | None = None) -> DataFrame:
+    """``(node, nbrs, kth, most)``: the nearest different candidates of each node, at most ``most`` of
+    them, which is ``k`` unless ``most(node, most)`` says otherwise."""
     once = candidates.groupBy("node", "nbr").agg(F.max("sim").alias("sim"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("sim", "nbr")), asc=False), 1, k)
-    lists = once.groupBy("node").agg(best.alias("nbrs"))
-    return lists.withColumn("kth", F.when(F.size("nbrs") < k, F.lit(-2.0)).otherwise(F.element_at("nbrs", -1)["sim"]).cast("float"))
+    lists = once.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sim", "nbr")), asc=False).alias("nbrs"))
+    lists = lists.withColumn("most", F.lit(k)) if most is None else lists.join(most, "node", "left").withColumn("most", F.greatest(F.coalesce("most", F.lit(k)), F.lit(k)))
+    lists = lists.withColumn("nbrs", F.slice("nbrs", F.lit(1), F.col("most")))
+    kth = F.when(F.size("nbrs") < F.col("most"), F.lit(-2.0)).otherwise(F.element_at("nbrs", -1)["sim"])
+    return lists.select("node", "nbrs", kth.cast("float").alias("kth"), "most")
 
 
 def _edges(lists: DataFrame) -> DataFrame:
     return lists.select("node", F.explode("nbrs").alias("n")).select("node", "n.nbr", "n.sim")
 
 
-def _round(nodes: DataFrame, lists: DataFrame, k: int, groups: int, seed: int) -> DataFrame:
-    """One round of NN-descent."""
+def _round(nodes: DataFrame, lists: DataFrame, k: int, groups: int, seed: int, some: DataFrame | None = None, widest: int = 0) -> DataFrame:
+    """One round of NN-descent, around all nodes or around those of ``some`` and their neighbours."""
     e = _edges(lists).select("node", "nbr")
     around = e.select(F.col("node").alias("center"), F.col("nbr").alias("node")).union(e.select(F.col("nbr").alias("center"), "node"))
     around = around.union(nodes.select(F.col("node").alias("center"), "node")).distinct()
+    if some is not None:
+        near = e.join(some, "node", "left_semi").select(F.col("nbr").alias("center")).union(some.select(F.col("node").alias("center"))).distinct()
+        around = around.join(near, "center", "left_semi")
     around = _split(around, "center", "node", BLOCK, seed)
     full = nodes.select("node", "unit").join(lists.select("node", "kth"), "node", "left").withColumn("kth", F.coalesce("kth", F.lit(-2.0).cast("float")))
-    found = _compare(around.join(full, "node").select("center", "part", "node", "kth", "unit"), k, groups)
-    return _lists(found.unionByName(_edges(lists)), k)
+    found = _compare(around.join(full, "node").select("center", "part", "node", "kth", "unit"), max(k, widest), groups)
+    return _lists(found.unionByName(_edges(lists)), k, lists.select("node", "most"))
+
+
+def _enlarged(nodes: DataFrame, lists: DataFrame, k: int, groups: int, threshold: float) -> DataFrame:
+    """``lists`` with the saturated ones made longer till they hold something else than links or are
+    ``WIDEST`` long."""
+    size = k
+    while size < WIDEST:
+        size = min(WIDEST, 4 * size)
+        short = (F.col("kth") >= threshold - SLACK) & (F.col("most") < size)
+        some = stored(lists.where(short).select("node"), "saturated")
+        if some.isEmpty():
+            break
+        lists = lists.withColumns({"most": F.when(short, F.lit(size)).otherwise(F.col("most")), "kth": F.when(short, F.lit(-2.0).cast("float")).otherwise(F.col("kth"))})
+        before = -1
+        for turn in range(ROUNDS):
+            lists = stored(_round(nodes, lists, k, groups, ROUNDS * size + turn, some, size), "lists")
+            now = lists.join(some, "node", "left_semi").agg(F.sum(F.size(F.filter("nbrs", lambda x: x["sim"] >= threshold)))).first()[0] or 0
+            if now <= before * 1.002:
+                break
+            before = now
+    return lists
 
 
 def _verified(links: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -144,35 +178,32 @@ def _verified(links: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
 
 
 def _counts(members: DataFrame, threshold: float) -> DataFrame:
-    """``members(component, node, full, copies, dim, size)`` to ``(node, links)``: how many vectors of the
-    component, copies counted, each node links with, its own copies left out."""
-    sides = F.ceil(F.col("size") / TILE).cast("int")
-    side = F.pmod(F.xxhash64("node", F.lit(5)), F.col("sides")).cast("int")
-    held = members.withColumn("sides", sides).withColumn("side", side)
-    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-    tiles = held.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "full", "copies", "dim")
+    """``members(component, node, full, copies, dim, size, heavy)`` to ``(node, links)``: how many
+    vectors of its component, copies counted, each node of ``heavy`` links with, its own copies left
+    out."""
+    rows = members.withColumn("sides", F.ceil(F.col("size") / TILE).cast("int"))
+    side = lambda seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col("sides")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("sides") - 1))
+    held = ["component", "i", "j", "left", "node", "full", "copies", "dim"]
+    left = rows.where("heavy").select("*", side(5).alias("i"), every.alias("j"), F.lit(True).alias("left")).select(held)
+    right = rows.select("*", side(6).alias("j"), every.alias("i"), F.lit(False).alias("left")).select(held)
     # small components share a group, each tile of a large one is a group of its own
     groups = _groups(members.count(), TILE)
-    tiles = tiles.withColumn("__g", F.pmod(F.xxhash64("component", "i", "j"), F.lit(groups * 8)))
+    tiles = left.union(right).withColumn("__g", F.pmod(F.xxhash64("component", "i", "j"), F.lit(groups * 8)))
 
     def run(table: pa.Table) -> pa.Table:
-        comp, i, j, side, node, copies = (table.column(c).to_numpy() for c in ("component", "i", "j", "side", "node", "copies"))
+        comp, i, j, node, copies = (table.column(c).to_numpy() for c in ("component", "i", "j", "node", "copies"))
+        first = table.column("left").to_numpy(zero_copy_only=False)
         x = _matrix(table.column("full"), np.float64)
-        order = np.lexsort((node, j, i, comp))
-        comp, i, j, side, node, copies, x = comp[order], i[order], j[order], side[order], node[order], copies[order], x[order]
-        turn = np.flatnonzero((comp[1:] != comp[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        own, links = [], []
-        for a, b in zip(np.append(0, turn), np.append(turn, len(node))):
-            left = np.arange(a, b)[side[a:b] == i[a]]
-            right = left if i[a] == j[a] else np.arange(a, b)[side[a:b] == j[a]]
-            for at in range(0, len(left), TILE):  # a tile may be larger than meant, its sides are hashed
-                rows = left[at : at + TILE]
-                near = (x[rows] @ x[right].T >= threshold) & (node[rows, None] != node[None, right])
-                own.append(node[rows]), links.append(near @ copies[right])
-                if i[a] != j[a]:
-                    own.append(node[right]), links.append(copies[rows] @ near)
-        if not own:
-            own, links = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        order = np.lexsort((node, ~first, j, i, comp))
+        comp, i, j, first, node, copies, x = comp[order], i[order], j[order], first[order], node[order], copies[order], x[order]
+        own, links = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for a, b in _runs(comp, i, j):
+            mid = a + int(first[a:b].sum())
+            for at in range(a, mid, TILE):  # a tile may be larger than meant, its sides are hashed
+                rows = np.arange(at, min(at + TILE, mid))
+                near = (x[rows] @ x[mid:b].T >= threshold) & (node[rows, None] != node[None, mid:b])
+                own.append(node[rows]), links.append(near @ copies[mid:b])
         return pa.table({"node": np.concatenate(own), "links": np.concatenate(links).astype(np.int64)})
 
     found = tiles.groupBy("dim", "__g").applyInArrow(lambda t: run(t), "node bigint, links bigint")
@@ -261,9 +292,10 @@ def _all_pairs(nodes: DataFrame, placed: DataFrame, threshold: float) -> DataFra
     return cut(every.join(several, "component", "left_semi").select("node", "component"))
 
 
-def _audit(nodes: DataFrame, placed: DataFrame, threshold: float) -> float:
-    """The share of true links of bounded samples of the nodes with and without links that lie
-    within one component."""
+def _audit(nodes: DataFrame, placed: DataFrame, heavy: DataFrame, links: DataFrame, threshold: float) -> float:
+    """The share of true links, of bounded samples of the nodes with and without links, that are
+    found: both ends lie in one component, which is small, or the sampled node is compared with all of
+    it, or the link is in a list."""
     some = lambda rows: rows.select("node").orderBy(F.xxhash64("node", F.lit(11)), "node").limit(AUDIT)
     picked = some(placed).union(some(nodes.join(placed.select("node"), "node", "left_anti")))
     sample = nodes.select("node", "full").join(picked, "node").collect()
@@ -273,16 +305,23 @@ def _audit(nodes: DataFrame, placed: DataFrame, threshold: float) -> float:
         for batch in batches:
             node, y = batch.column("node").to_numpy(), _matrix(batch.column("full"), np.float64)
             i, j = np.nonzero((y @ x.T >= threshold) & (node[:, None] != ids[None, :]))
-            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(ids[j])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[j]), pa.array(node[i])], ["a", "b"])
 
     true = nodes.select("node", "full").mapInArrow(run, "a bigint, b bigint")
-    left, right = placed.select(F.col("node").alias("a"), F.col("component").alias("x")), placed.select(F.col("node").alias("b"), F.col("component").alias("y"))
-    r = true.join(left, "a", "left").join(right, "b", "left").agg(F.count("*").alias("n"), F.count_if(F.col("x") == F.col("y")).alias("hit")).first()
+    size = placed.groupBy("component").agg(F.count("*").alias("size"))
+    mine = picked.join(placed, "node").join(size, "component").join(heavy.select("node", F.lit(True).alias("heavy")), "node", "left")
+    mine = mine.select(F.col("node").alias("a"), F.col("component").alias("x"), (F.coalesce("heavy", F.lit(False)) | (F.col("size") <= SMALL)).alias("whole"))
+    listed = links.join(picked.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b", F.lit(True).alias("listed"))
+    theirs = placed.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    seen = true.join(F.broadcast(mine), "a", "left").join(theirs, "b", "left").join(listed, ["a", "b"], "left")
+    hit = (F.col("x") == F.col("y")) & (F.col("whole") | F.col("listed"))
+    r = seen.agg(F.count("*").alias("n"), F.count_if(hit).alias("hit")).first()
     return r["hit"] / r["n"] if r["n"] else 1.0
 
 
-def _search(nodes: DataFrame, dim: int, count: int, threshold: float, k: int, tables: int, rounds: int, aim: float) -> DataFrame:
-    """Components ``(node, component)`` of the nodes that have links."""
+def _search(nodes: DataFrame, dim: int, count: int, threshold: float, k: int, tables: int, rounds: int, aim: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Components ``(node, component)`` of the nodes that have links; the nodes of saturated lists;
+    and the links ``(a, b)`` of the lists, each in both directions."""
     bits = max(1, min(36, int(np.ceil(np.log2(max(2, count / BUCKET))))))
     groups = _groups(count, 512)
     start = _split(_tables(nodes, dim, bits, tables, 3), "center", "node", 2 * BUCKET, 1)
@@ -296,16 +335,20 @@ def _search(nodes: DataFrame, dim: int, count: int, threshold: float, k: int, ta
                 break
             before, done = now, done + 1
             lists = stored(_round(nodes, lists, k, groups, done), "lists")
-        links = _edges(lists).where(F.col("sim") >= threshold - 1e-4)
-        links = links.select(F.least("node", "nbr").alias("a"), F.greatest("node", "nbr").alias("b"), "sim").groupBy("a", "b").agg(F.max("sim").alias("sim"))
-        placed = cut(components(_verified(links, nodes, threshold)))
-        # lists that hold nothing but links
-        full = lists.where(F.col("kth") >= threshold - SLACK).select("node").join(placed, "node").join(nodes.select("node", "full"), "node")
-        placed = _joined(placed, _bridges(stored(full.select("component", "node", "full"), "saturated"), threshold))
-        if _audit(nodes, placed, threshold) >= aim:
-            return placed
+        lists = _enlarged(nodes, lists, k, groups, threshold)
+        found = _edges(lists).where(F.col("sim") >= threshold - SLACK)
+        found = found.select(F.least("node", "nbr").alias("a"), F.greatest("node", "nbr").alias("b"), "sim").groupBy("a", "b").agg(F.max("sim").alias("sim"))
+        once = stored(_verified(found, nodes, threshold), "links")
+        placed = cut(components(once))
+        links = once.union(once.select("b", "a"))
+        # full or not, a list of nothing but links knows nothing of what lies beyond them
+        heavy = stored(lists.where(F.element_at("nbrs", -1)["sim"] >= threshold - SLACK).select("node"), "saturated")
+        full = heavy.join(placed, "node").join(nodes.select("node", "full"), "node")
+        placed = _joined(placed, _bridges(stored(full.select("component", "node", "full"), "full"), threshold))
+        if _audit(nodes, placed, heavy, links, threshold) >= aim:
+            return placed, heavy, links
         if k >= 64:
-            return _all_pairs(nodes, placed, threshold)
+            return _all_pairs(nodes, placed, threshold), nodes.select("node"), links
         k, rounds = 2 * k, done + 2
         before = -1
 
@@ -318,33 +361,50 @@ def embedding_groups(
     Two vectors of the same dimension link if their cosine, in double precision, is at least
     ``threshold``.  ``n_links`` counts the other vectors it links with, ``component_id`` is the
     smallest vec_id that links reach, ``kept`` says whether that is its own.  Links are searched by
-    NN-descent, so a few may be missed, but not because a list was full; none is reported below
-    the threshold, and within a component all are counted.  Vectors that are null, empty, zero, or hold null or non-finite components link
-    with nothing, nor do rows without a vec_id, whose component is null and which aren't kept.
-    Repeated rows are vectors of their own, with one id.
+    NN-descent, one search for each dimension there is, so a few may be missed, but not because a list
+    was full; none is reported below the threshold.  Vectors that are null, empty, zero, or hold null
+    or non-finite components link with nothing, nor do rows without a vec_id, whose component is null
+    and which aren't kept.  Repeated rows are vectors of their own, with one id.  Equal vectors are
+    told by two 64-bit hashes.
     """
-    base = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    kind = rows.schema["embedding"].dataType
+    single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
+    base = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"))
     base = base.withColumn("fine", usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    base = base.withColumn("node", F.when(F.col("fine"), F.xxhash64("embedding"))).select("vec_id", "node", "embedding")
-    groups = base.where("node is not null").groupBy("node").agg(F.first("embedding").alias("embedding"), F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    one, two = F.xxhash64("embedding"), F.xxhash64(F.lit(1), "embedding")
+    base = base.select("vec_id", F.when(F.col("fine"), one).alias("one"), F.when(F.col("fine"), two).alias("two"), "embedding")
+    groups = base.where("one is not null").groupBy("one", "two").agg(F.first("embedding").alias("embedding"), F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     full = _unit(F.col("embedding"))
-    nodes = stored(groups.select("node", "least", "copies", full.alias("full"), full.cast("array<float>").alias("unit"), F.size("embedding").alias("dim")), "nodes")
-    placed = None
-    for r in nodes.groupBy("dim").count().orderBy("dim").collect():
-        if r["count"] > 1:
+    # numbered as they are stored
+    nodes = stored(groups.select(F.monotonically_increasing_id().alias("node"), "one", "two", "least", "copies", full.alias("full"), full.cast("array<float>").alias("unit"), F.size("embedding").alias("dim")), "nodes")
+    searched = []
+    sizes = nodes.groupBy("dim").agg(F.count("*").alias("nodes"), F.sum("copies").alias("rows")).orderBy("dim").collect()
+    for r in sizes:
+        if r["nodes"] > 1:
             own = nodes.where(F.col("dim") == r["dim"])
-            one = _search(own, r["dim"], r["count"], threshold, k, tables, rounds, aim)
-            placed = one if placed is None else placed.union(one)
-    known = nodes.select("node", "least", "copies")
-    if placed is not None:
+            searched.append(_search(own, r["dim"], r["nodes"], threshold, k, tables, rounds, aim))
+    known = nodes.select("node", "one", "two", "least", "copies")
+    if searched:
+        placed, heavy, links = (reduce(DataFrame.union, x) for x in zip(*searched))
         size = placed.groupBy("component").agg(F.count("*").alias("size"))
-        members = placed.join(size, "component").join(nodes.select("node", "full", "copies", "dim"), "node")
+        marked = placed.join(size, "component").join(heavy.select("node", F.lit(True).alias("h")), "node", "left")
+        marked = cut(marked.select("node", "component", "size", (F.coalesce("h", F.lit(False)) | (F.col("size") <= SMALL)).alias("heavy")))
+        some = marked.where("heavy").select("component").distinct()
+        members = marked.join(some, "component", "left_semi").join(nodes.select("node", "full", "copies", "dim"), "node")
+        listed = links.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("listed"))
         least = placed.join(known, "node").groupBy("component").agg(F.min("least").alias("first"))
-        more = placed.join(least, "component").select("node", "first").join(_counts(members, threshold), "node", "left")
+        more = marked.join(least, "component").join(_counts(members, threshold), "node", "left").join(listed, "node", "left")
+        more = more.select("node", "first", F.when(F.col("heavy"), F.col("links")).otherwise(F.col("listed")).alias("links"))
         known = known.join(more, "node", "left")
     else:
         known = known.withColumns({"first": F.lit(None).cast("bigint"), "links": F.lit(None).cast("bigint")})
-    known = known.select("node", F.coalesce("first", "least").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"))
-    out = base.select("vec_id", "node").join(known, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("first"))
-    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))
+    known = stored(known.select("one", "two", "copies", F.coalesce("first", "least").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n")), "known")
+    # a vector that more than a thousandth of all rows hold is not dealt: there are at most a
+    # thousand of them, which go to every task
+    often = F.col("copies") * 1000 > sum(r["rows"] for r in sizes)
+    hot, key = known.where(often).drop("copies"), ["one", "two"]
+    own = base.select("vec_id", "one", "two")
+    many = own.join(F.broadcast(hot), key)
+    few = own.join(F.broadcast(hot.select(key)), key, "left_anti").join(known.where(~often).drop("copies"), key, "left")
+    component = F.when(F.col("one").isNull(), F.col("vec_id")).otherwise(F.col("first"))
+    return many.unionByName(few).select("vec_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))
