@@ -78,6 +78,27 @@ def test_learns_terms_stems_and_misspellings(spark, docs_of):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in rows if r.predicted == 0)
 
 
+def test_learns_words_of_reporting_of_any_language_and_terms_of_any_length(spark, docs_of):
+    rng = random.Random(10)
+    plain = ["".join(rng.choice("bdfgklmprt") + rng.choice("aeiou") for _ in range(3)) for _ in range(200)]
+    texts, labels = [], []
+    for i in range(1200):
+        words = [rng.choice(plain) for _ in range(30)]
+        k = rng.randrange(2, 28)
+        if i % 4 == 1:
+            words[k] = rng.choice(["zq", "zworgh" * 5])
+        elif i % 16 == 2:
+            words[k - 1 : k + 1] = ["sagteer", rng.choice(["zq", "zworgh" * 5])]
+        texts.append(" ".join(words))
+        labels.append(int(i % 4 == 1))
+    docs = docs_of(texts)
+    model = tx.train(docs, spark.createDataFrame(list(enumerate(labels)), "doc_id bigint, toxic int"))
+    assert {"zq", "zworgh" * 5} <= {t for t, _ in model.terms} or any(s and "zworgh".startswith(t[:6]) for t, s in model.terms)
+    assert "zq" in {t for t, _ in model.terms} and model.reporting - tx.REPORTING == {"sagteer"}
+    a, b = model.score(["du bist ein zq und mehr", "er sagteer zq und mehr"])
+    assert a > 0.5 > b
+
+
 def test_no_labels_and_empty_table(spark, docs_of):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert tx.toxicity_scores(docs_of(["a"]).where("false"), none).count() == 0

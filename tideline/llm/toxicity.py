@@ -8,8 +8,9 @@ through that table together, one character position at a time, and words that ca
 more leave early.
 
 Each hit is then weighed in a window of words around it: a hit between quotation marks or beside
-a word of reporting or mention counts as quoted, others as abuse.  A logistic model over the
-weighed hits, fitted on training documents other than those the lexicon came from, gives the score.
+a word of reporting or mention counts as quoted, others as abuse.  Words of reporting are some
+English ones and those, of any language, that training documents hold around hits far more often
+where they are clean than where they are toxic.  A logistic model over the weighed hits, fitted on training documents other than those the lexicon came from, gives the score.
 """
 
 from __future__ import annotations
@@ -21,15 +22,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices
+from tideline.llm.common import cut, slices
 from tideline.llm.quality import held_out, sampled
 
 STEMS = (4, 5, 6)
 FUZZY_WORD, FUZZY_STEM = 5, 7  # least lengths at which an edit is forgiven
 WINDOW = 6
+RATIO, SURE = math.log(4), 3.5  # least log ratio of frequencies, and deviations above chance
 REPORTING = frozenset("said says saying quote quoted quotes quoting called wrote writes word words term slur phrase cited citing".split())
 QUOTES = np.array([ord(c) for c in "\"“”„«»‹›‘’"], dtype=np.uint32)
 _WORD = np.array([chr(c).isalnum() for c in range(0x3000)], dtype=bool)
@@ -195,6 +197,7 @@ class Model:
     weight: np.ndarray
     automaton: Automaton
     spared: frozenset[str]  # near words that clean training documents use
+    reporting: frozenset[str]
     beta: np.ndarray | None
     prior: float
 
@@ -211,7 +214,7 @@ class Model:
                 continue
             n = int(w.of[i])
             value = float(self.weight[t]) * (0.6 if e else 1.0)
-            k = 4 if quoted(w, i, n) else 1
+            k = 4 if quoted(w, i, n, self.reporting) else 1
             out[n, k] += value
             out[n, k + 2] = max(out[n, k + 2], value)
             seen[n].add(t)
@@ -227,15 +230,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.beta, -30, 30)))
 
 
-def quoted(w: Words, i: int, n: int) -> bool:
+def window(w: Words, i: int, n: int) -> tuple[int, int]:
+    """The words around word ``i`` of text ``n``, itself included, as a range."""
+    return max(int(w.first[n]), i - WINDOW), min(int(w.first[n + 1]), i + WINDOW + 1)
+
+
+def quoted(w: Words, i: int, n: int, reporting: frozenset[str] = REPORTING) -> bool:
     """Whether word ``i`` of text ``n`` stands in quotation marks that open and close within the
     window, or a word of reporting or mention stands in it."""
-    a, b = max(int(w.first[n]), i - WINDOW), min(int(w.first[n + 1]), i + WINDOW + 1)
+    a, b = window(w, i, n)
     before = np.isin(w.codes[w.begin[a] : w.begin[i]], QUOTES).sum()
     after = np.isin(w.codes[w.end[i] : w.end[b - 1]], QUOTES).sum()
     if before % 2 and after:
         return True
-    return any(w.word(j) in REPORTING for j in range(a, b) if 3 <= w.end[j] - w.begin[j] <= 8)
+    return any(w.word(j) in reporting for j in range(a, b))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 40) -> np.ndarray:
@@ -261,7 +269,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(a, b - a)
             w = words_of(part.column("text").to_pylist())
             for n, y in enumerate(part.column("y").to_pylist()):
-                own = {w.word(i) for i in range(w.first[n], w.first[n + 1]) if 2 < w.end[i] - w.begin[i] <= 24}
+                own = {w.word(i) for i in range(w.first[n], w.first[n + 1])}
                 counts[y].update(own)
                 counts[y].update({x[:k] + "\t" for x in own for k in STEMS if len(x) > k})
         terms = list(counts[0].keys() | counts[1].keys())
@@ -271,27 +279,26 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def lexicon(train: DataFrame, toxic: int, clean: int, most: int = 240) -> list[tuple[str, bool, float]]:
-    """At most ``most`` (term, is it a stem, weight): those furthest above chance, the weight being
-    the log of the ratio of document frequencies.  A word under a chosen stem of at least its
-    weight is left out."""
+def _surety(more: str, less: str, many: int, few: int) -> tuple[Column, Column]:
+    """The log of the ratio of two document frequencies, and how many deviations it is above 0."""
+    weight = F.log((F.col(more) + 0.5) / (many + 1)) - F.log((F.col(less) + 0.5) / (few + 1))
+    return weight, weight / F.sqrt(1 / (F.col(more) + 0.5) + 1 / (F.col(less) + 0.5))
+
+
+def lexicon(train: DataFrame, toxic: int, clean: int) -> list[tuple[str, bool, float]]:
+    """(term, is it a stem, weight) of all terms that are far enough above chance, the weight being
+    the log of the ratio of document frequencies.  A word under a chosen stem of at least about its
+    weight is left out.  The training rows bound how many there are."""
     counts = train.mapInArrow(_term_counts, "term string, toxic bigint, clean bigint").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    weight = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    surety = weight / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    rows = (
-        counts.select("term", "t", weight.alias("w"), surety.alias("z"))
-        .where(f"t >= 4 and w >= {math.log(4)} and z >= 3.5")
-        .orderBy(F.desc("z"), "term")
-        .limit(8 * most)
-        .collect()
-    )
+    weight, surety = _surety("t", "c", toxic, clean)
+    rows = counts.select("term", weight.alias("w"), surety.alias("z")).where(f"w >= {RATIO} and z >= {SURE}").orderBy(F.desc("z"), "term").collect()
     stems = {r["term"][:-1]: r["w"] for r in rows if r["term"].endswith("\t")}
     out = []
     for r in rows:
         text, stem = r["term"].rstrip("\t"), r["term"].endswith("\t")
         if not any(k < len(text) and stems.get(text[:k], -9) >= r["w"] - 0.7 for k in STEMS):
             out.append((text, stem, float(r["w"])))
-    return out[:most]
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
@@ -303,21 +310,36 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
     sizes = {r["y"]: r["count"] for r in base.groupBy("y").count().collect()}
     terms = lexicon(base, sizes.get(1, 0), sizes.get(0, 0)) if sizes.get(1) and sizes.get(0) else []
     pairs = [(t, s) for t, s, _ in terms]
-    model = Model(pairs, np.array([w for *_, w in terms]), compile_terms(pairs), frozenset(), None, 0.0)
+    model = Model(pairs, np.array([w for *_, w in terms]), compile_terms(pairs), frozenset(), REPORTING, None, 0.0)
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per word: in how many clean documents it is a near hit, and in how many toxic and clean
+        ones it stands in the window of a hit."""
         for batch in batches:
-            seen: Counter = Counter()
+            near, beside = Counter(), {0: Counter(), 1: Counter()}
             for a, b in slices(batch, "text", 1 << 20):
-                w = words_of(batch.slice(a, b - a).column("text").to_pylist())
+                part = batch.slice(a, b - a)
+                w, ys = words_of(part.column("text").to_pylist()), part.column("y").to_pylist()
                 at, _, edits = model.automaton.run(w)
-                seen.update({(int(w.of[i]), w.word(i)) for i in at[edits > 0]})
-            by = Counter(x for _, x in seen)
-            yield pa.RecordBatch.from_arrays([pa.array(list(by), type=pa.string()), pa.array(list(by.values()), type=pa.int64())], ["word", "n"])
+                near.update({(int(w.of[i]), w.word(i)) for i in at[edits > 0] if ys[w.of[i]] == 0})
+                hits = set(at.tolist())
+                seen = {(n, w.word(j)) for i in hits for n in [int(w.of[i])] for j in range(*window(w, i, n)) if j not in hits}
+                for n, x in seen | {(int(w.of[i]), "") for i in hits}:  # the empty word stands for all documents with hits
+                    beside[ys[n]][x] += 1
+            by = Counter(x for _, x in near)
+            words = list(by.keys() | beside[0].keys() | beside[1].keys())
+            columns = [words, [by[x] for x in words], [beside[1][x] for x in words], [beside[0][x] for x in words]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, [pa.string()] + [pa.int64()] * 3)], ["word", "near", "toxic", "clean"])
 
     if pairs:
-        common = base.where("y = 0").select("text").mapInArrow(near, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-        model.spared = frozenset(r["word"] for r in common.where("n >= 2").orderBy(F.desc("n"), "word").limit(5000).collect())
+        by = base.select("text", "y").mapInArrow(around, "word string, near bigint, toxic bigint, clean bigint")
+        by = by.groupBy("word").agg(F.sum("near").alias("near"), F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
+        by = cut(by)
+        held = by.where("word = ''").first()
+        weight, surety = _surety("c", "t", held["c"] if held else 0, held["t"] if held else 0)
+        told = by.where("word != ''").select("word", "near", ((weight >= RATIO) & (surety >= SURE)).alias("told")).where("near >= 2 or told").collect()
+        model.spared = frozenset(r["word"] for r in told if r["near"] >= 2)
+        model.reporting = REPORTING | {r["word"] for r in told if r["told"]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,7 +385,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = 20_000, th
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = 20_000, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the rows whose text is predicted toxic, decided where the rows lie."""
+    """``docs`` without the rows whose text is predicted toxic, decided where the rows lie.  Each row is
+    judged by its own text, so repeated rows and ids, null ids and further columns make no difference;
+    a null text counts as empty, and an empty one is scored like any other."""
     model = train(docs, labels, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
