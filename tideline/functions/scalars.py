@@ -103,8 +103,9 @@ def mask_dsn(text: Column) -> Column:
 
 
 def mask_secrets(text: Column) -> Column:
-    """Passwords in URLs, and values of ``api_key=`` and ``token=``, masked; null gives ''."""
-    return F.regexp_replace(mask_dsn(F.coalesce(text, F.lit(""))), r"(?i)\b(api_?key|token)=[^&\s]+", "$1=***")
+    """Passwords in URLs, and values of ``api_key=`` and ``token=``, masked; null gives ''.  A value
+    ends before an ampersand, white space or a quotation mark, which stay."""
+    return F.regexp_replace(mask_dsn(F.coalesce(text, F.lit(""))), r"(?i)\b(token|api_?key)=[^\s\"'&]+", "$1=***")
 
 
 def mask_options(args: Column) -> Column:

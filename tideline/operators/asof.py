@@ -20,7 +20,7 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFram
 
 def latest_version(df: DataFrame, periods: DataFrame | None = None) -> DataFrame:
     """The newest version of each (code, period), of the given periods only."""
-    rows = df if periods is None else df.join(F.broadcast(periods.select("period").distinct()), "period", "left_semi")
+    rows = df if periods is None else df.join(periods.select("period"), "period", "left_semi")
     return newest_per_key(rows, KEYS, "knowledge_date")
 
 

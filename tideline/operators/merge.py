@@ -22,11 +22,12 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def merge_update(base: DataFrame, new: DataFrame, keys: Sequence[str], defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Inserts, and on a key match overwrites just the columns that ``new`` has; inserted rows take
-    the declared defaults for the others (else null).  ``new`` must have each key once."""
+    the declared defaults for the others (else null).  ``new`` must have each key once.  A null in a
+    key is a value like any other, so a merge that is repeated changes nothing."""
     defaults = defaults or {}
     n = assert_unique(new, keys).withColumn("__new", F.lit(True))
     b = base.withColumn("__old", F.lit(True)).alias("b")
-    joined = b.join(n.alias("n"), [F.col(f"b.{k}") == F.col(f"n.{k}") for k in keys], "full")
+    joined = b.join(n.alias("n"), [F.col(f"b.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys], "full")
     is_new, is_old = F.col("__new").isNotNull(), F.col("__old").isNotNull()
 
     def column(c: str) -> Column:
@@ -40,8 +41,10 @@ def merge_update(base: DataFrame, new: DataFrame, keys: Sequence[str], defaults:
 
 
 def fresh_rows(base: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``new`` whose key ``base`` lacks; counting them gives the true insert count."""
-    return assert_unique(new, keys).join(base.select(*keys), list(keys), "left_anti")
+    """The rows of ``new`` whose key ``base`` lacks, nulls in keys being equal; counting them gives
+    the true insert count."""
+    n, b = assert_unique(new, keys).alias("n"), base.select(*keys).alias("b")
+    return n.join(b, [F.col(f"n.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "left_anti")
 
 
 def merge_insert_only(base: DataFrame, new: DataFrame, keys: Sequence[str], defaults: Mapping[str, object] | None = None) -> DataFrame:

@@ -3,18 +3,23 @@
 A generation is a folder of its own.  The pointer is a one-row table, written anew for each switch
 under a rising number, so a reader that resolved it before keeps reading the old files, and a
 failure before the switch leaves the old generation current.
+
+:func:`publish` writes a whole table.  :func:`update` merges rows into one that is kept in parts, by
+year for example: a generation then is a list of folders, of which only those of touched parts are new.
 """
 
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-STATS = "generation string, number bigint, rows bigint, newest date"
+STATS = "generation string, number bigint, rows bigint, newest date, parts boolean"
+PARTS = "part string, path string, rows bigint, newest date"
 
 
 class GateFailed(RuntimeError):
@@ -39,36 +44,107 @@ def retain_generations(gens: DataFrame, keep: int) -> DataFrame:
     return gens.select("generation", "number", state.alias("state"))
 
 
+def _resolve(spark: SparkSession, root: str) -> tuple[str, bool] | None:
+    """The name of the current generation, and whether it is kept in parts."""
+    row = generations(spark, root).orderBy(F.desc("number")).select("generation", "parts").first()
+    return None if row is None else (row["generation"], bool(row["parts"]))
+
+
+def _parts(spark: SparkSession, root: str, name: str) -> list:
+    """The parts of a generation: ``(part, path, rows, newest)``, one row for each partition."""
+    return spark.read.schema(PARTS).parquet(f"{root}/parts/gen={name}").collect()
+
+
 def current(spark: SparkSession, root: str) -> DataFrame | None:
     """The current generation, or None.  The pointer is resolved once."""
-    row = generations(spark, root).orderBy(F.desc("number")).select("generation").first()
-    return None if row is None else spark.read.parquet(f"{root}/gen={row['generation']}")
+    found = _resolve(spark, root)
+    if found is None:
+        return None
+    name, parts = found
+    paths = [r["path"] for r in _parts(spark, root, name)] if parts else [f"{root}/gen={name}"]
+    return spark.read.parquet(*paths)
 
 
 def publish(df: DataFrame, root: str, keep: int = 2, date_col: str | None = None, gates: tuple[Callable[[DataFrame, DataFrame], DataFrame], ...] = (), partition_by: tuple[str, ...] = ()) -> str:
     """Writes ``df`` aside, runs the gates on (its stats, the current stats), switches, and deletes
-    what is beyond ``keep`` previous generations.  Returns the generation's name."""
+    what is beyond ``keep`` previous generations.  Returns the generation's name.  Without current
+    stats to compare with, a warning says so."""
     spark = df.sparkSession
     name = uuid.uuid4().hex
     df.write.partitionBy(*partition_by).parquet(f"{root}/gen={name}")
     built = spark.read.parquet(f"{root}/gen={name}")
     newest = F.max(date_col).cast("date") if date_col else F.lit(None).cast("date")
-    known = generations(spark, root)
-    last = known.agg(F.max("number")).first()[0] or 0
-    stats = built.agg(F.count("*").alias("rows"), newest.alias("newest"))
-    now = stats.select(F.lit(root).alias("table"), "rows", "newest")
-    was = known.where(F.col("number") == last).select(F.lit(root).alias("table"), "rows", "newest")
+    stats = built.agg(F.count("*").alias("rows"), newest.alias("newest")).first()
+    last = generations(spark, root).orderBy(F.desc("number")).select("number", "rows", "newest").first()
+    row = lambda r: [] if r is None else [(root, r["rows"], r["newest"])]
+    now, was = (spark.createDataFrame(row(r), "table string, rows bigint, newest date") for r in (stats, last))
+    if gates and last is None:
+        warnings.warn(f"{root}: no generation before, so nothing to compare with", stacklevel=2)
     for gate in gates:
         found = gate(now, was).limit(5).collect()
         if found:
             delete(spark, f"{root}/gen={name}")
             raise GateFailed(f"{root}: {found}")
-    stats.select(F.lit(name).alias("generation"), F.lit(last + 1).cast("bigint").alias("number"), "rows", "newest").coalesce(1).write.mode("append").parquet(f"{root}/pointer")
-    for row in retain_generations(generations(spark, root), keep).where("state = 'delete'").collect():
-        delete(spark, f"{root}/gen={row['generation']}")
+    _switch(spark, root, name, last, stats["rows"], stats["newest"], False, keep)
+    return name
+
+
+def update(new: DataFrame, root: str, part: Column, step: Callable[[DataFrame, DataFrame], DataFrame], keep: int = 2, date_col: str | None = None) -> str:
+    """Publishes a generation in which only the partitions that ``new`` touches are written anew.
+
+    ``part`` gives a row's partition (such as a year, as text) in ``new`` and in the table alike.
+    ``step(base, new)`` gets the touched partitions of the table and returns their next state; a row
+    must stay in its partition.  The new generation names the folders of the others where they are,
+    so what is read and written grows with the touched partitions and not with the table.  A null
+    partition is one like any other.  The names of partitions are held on the driver: choose them as
+    coarse as years or months.
+    """
+    spark, name = new.sparkSession, uuid.uuid4().hex
+    found = _resolve(spark, root)
+    text = F.coalesce(part.cast("string"), F.lit(""))
+    held = {r["part"]: r for r in _parts(spark, root, found[0])} if found and found[1] else {}
+    if found and not found[1]:  # published whole before: all of it goes into parts
+        base, touched = current(spark, root), None
+    else:
+        touched = {r["p"] for r in new.select(text.alias("p")).distinct().collect()}
+        paths = [held[p]["path"] for p in sorted(touched) if p in held]
+        empty = current(spark, root).where("false") if found else spark.createDataFrame([], new.schema)
+        base = spark.read.parquet(*paths) if paths else empty
+    folder = f"{root}/gen={name}"
+    step(base, new).withColumn("__part", text).write.partitionBy("__part").parquet(folder)
+    newest = F.max(date_col).cast("date") if date_col else F.lit(None).cast("date")
+    written = spark.read.parquet(folder)
+    where = F.regexp_replace(F.input_file_name(), "/[^/]*$", "").alias("path")
+    fresh = written.select(text.alias("part"), where, *([date_col] if date_col else [])).groupBy("part", "path").agg(F.count("*").alias("rows"), newest.alias("newest")).collect()
+    kept = [] if touched is None else [tuple(held[p]) for p in sorted(held) if p not in touched]
+    table = kept + sorted(map(tuple, fresh), key=lambda x: x[:2])
+    spark.createDataFrame(table, PARTS).coalesce(1).write.parquet(f"{root}/parts/gen={name}")
+    last = generations(spark, root).orderBy(F.desc("number")).select("number").first()
+    _switch(spark, root, name, last, sum(x[2] for x in table), max((x[3] for x in table if x[3]), default=None), True, keep)
     return name
 
 
+def _switch(spark: SparkSession, root: str, name: str, last, rows: int, newest, parts: bool, keep: int) -> None:
+    """Makes a generation current and deletes what no kept one names."""
+    row = (name, (last["number"] if last else 0) + 1, rows, newest, parts)
+    spark.createDataFrame([row], STATS).coalesce(1).write.mode("append").parquet(f"{root}/pointer")
+    states = {r["generation"]: r["state"] for r in retain_generations(generations(spark, root), keep).collect()}
+    inparts = {r["generation"] for r in generations(spark, root).where("parts").select("generation").collect()}
+    used = {r["path"] for g, state in states.items() if state != "delete" and g in inparts for r in _parts(spark, root, g)}
+    for g in (g for g, state in states.items() if state == "delete"):
+        if g not in inparts:
+            delete(spark, f"{root}/gen={g}")
+        elif exists(spark, f"{root}/parts/gen={g}"):
+            for path in {r["path"] for r in _parts(spark, root, g)} - used:
+                delete(spark, path)
+            delete(spark, f"{root}/parts/gen={g}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Deletes a folder through the file system that its URI names."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.operators.worklists import concat
@@ -73,11 +74,43 @@ def market_latest(bars: DataFrame, reference: str, base: Column) -> DataFrame:
     return bars.agg(F.coalesce(F.max(F.when(F.col("code") == reference, F.col("date"))), base).alias("latest"))
 
 
+def exact_quantiles(df: DataFrame, value: Column, shares: Mapping[str, float], accuracy: int = 10_000) -> DataFrame:
+    """One row with the interpolated quantiles of ``value``, nulls left out, by column name.
+
+    A sketch, whose rank error is bounded by its accuracy, brackets each quantile; values below the
+    brackets are counted and only those within are ranked, so no task gets more than a few parts in
+    ``accuracy`` of the values."""
+    rows = df.select(value.cast("double").alias("v")).where("v is not null")
+    names, wide = list(shares), 3.0 / accuracy
+    ends = [min(1.0, max(0.0, shares[k] + side)) for k in names for side in (-wide, wide)]
+    known = rows.agg(F.count("*").alias("n"), F.percentile_approx("v", ends, accuracy).alias("ends")).first()
+    n = known["n"]
+    if not n:
+        return rows.agg(*[F.lit(None).cast("double").alias(k) for k in names])
+    spark, found = df.sparkSession, []
+    for i, k in enumerate(names):
+        place = (n - 1) * shares[k]
+        lo = float("-inf") if ends[2 * i] <= 0 else known["ends"][2 * i]
+        hi = float("inf") if ends[2 * i + 1] >= 1 else known["ends"][2 * i + 1]
+        found.append((k, lo, hi, math.floor(place), math.ceil(place), place - math.floor(place)))
+    near = [F.when(F.col("v").between(lo, hi), F.lit(i)) for i, (_, lo, hi, *_) in enumerate(found)]
+    counted = rows.groupBy("v", F.array_compact(F.array(*near)).alias("near")).agg(F.count("*").alias("n")).where("size(near) > 0")
+    below = rows.agg(*[F.count_if(F.col("v") < lo).alias(f"b{i}") for i, (_, lo, *_) in enumerate(found)])
+    brackets = spark.createDataFrame([(i, a, b, part) for i, (_, _, _, a, b, part) in enumerate(found)], "q int, a bigint, b bigint, part double")
+    before = F.element_at(F.array(*[below.select(f"b{i}").scalar() for i in range(len(found))]), F.col("q") + 1)
+    ranked = counted.select(F.explode("near").alias("q"), "v", "n")
+    upto = before + F.sum("n").over(Window.partitionBy("q").orderBy("v"))
+    ranked = ranked.withColumn("upto", upto).join(brackets, "q")
+    at = lambda rank: F.min(F.when(F.col("upto") > F.col(rank), F.col("v")))
+    picked = ranked.groupBy("q").agg(at("a").alias("x"), at("b").alias("y"), F.first("part").alias("part"))
+    each = picked.select("q", ((1 - F.col("part")) * F.col("x") + F.col("part") * F.col("y")).alias("v"))
+    return each.agg(*[F.max(F.when(F.col("q") == i, F.col("v"))).alias(k) for i, k in enumerate(names)])
+
+
 def approx_error_profile(df: DataFrame, approx: str, reported: str) -> DataFrame:
     """Quantiles of the relative error of an approximation."""
     e = F.try_divide(F.abs(F.col(approx) - F.col(reported)).cast("double"), F.abs(F.col(reported)).cast("double"))
-    p = F.percentile(e, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    return df.agg(p.alias("p")).select(F.col("p")[0].alias("p50"), F.col("p")[1].alias("p95"), F.col("p")[2].alias("p99"))
+    return exact_quantiles(df, e, {"p50": 0.5, "p95": 0.95, "p99": 0.99})
 
 
 def flow_residual(df: DataFrame) -> DataFrame:
@@ -102,6 +135,12 @@ def gate_row_regression(compared: DataFrame, tolerance: float = 0.05) -> DataFra
     return compared.where(F.col("rows") < F.col("was_rows") * (1 - tolerance)).select("table", "rows", "was_rows")
 
 
+def without_baseline(compared: DataFrame) -> DataFrame:
+    """Tables that nothing is known of from before: the regression gates skip them, which is worth a
+    warning."""
+    return compared.where(F.col("was_rows").isNull() & F.col("was_newest").isNull()).select("table")
+
+
 def gate_date_regression(compared: DataFrame) -> DataFrame:
     """Tables whose newest date went back, or is gone."""
     return compared.where(F.col("was_newest").isNotNull() & (F.col("newest").isNull() | (F.col("newest") < F.col("was_newest")))).select("table", "newest", "was_newest")

@@ -57,6 +57,11 @@ def map_identifiers(codes: DataFrame, mapping: DataFrame) -> tuple[DataFrame, Da
     return codes.join(mapping, "code"), codes.join(mapping, "code", "left_anti")
 
 
+def matched(dated: DataFrame) -> DataFrame:
+    """How many codes of :func:`attach_last_trade_date` have bars, and how many don't."""
+    return dated.agg(F.count("last_trade_date").alias("matched"), F.count_if(F.col("last_trade_date").isNull()).alias("unmatched"))
+
+
 def attach_last_trade_date(master: DataFrame, bars: DataFrame) -> DataFrame:
     """The master with each code's last bar, null without any."""
     return master.join(bars.groupBy("code").agg(F.max("date").alias("last_trade_date")), "code", "left")
@@ -109,10 +114,20 @@ def series(df: DataFrame, code: str) -> DataFrame:
     return df.where(F.col("code") == code).orderBy("date")
 
 
-def batch_worklist(pending: DataFrame, size: int = 100) -> DataFrame:
-    """Pending (code, period) pairs dealt into batches of at most ``size`` codes of one period."""
-    w = Window.partitionBy("period").orderBy("code")
-    return pending.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("bigint"))
+def batch_worklist(pending: DataFrame, size: int = 100, prefix: int = 3) -> DataFrame:
+    """Pending (code, period) pairs dealt into batches of at most ``size`` codes of one period, in the
+    order of their codes.
+
+    Numbered in two levels, so that a period isn't one task: within groups of codes that begin with
+    the same ``prefix`` characters, which stand together in that order, and over one row for each
+    group what stands before it."""
+    rows = pending.withColumn("__p", F.substring("code", 1, prefix))
+    groups = rows.groupBy("period", "__p").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("period").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    groups = groups.select("period", "__p", F.coalesce(before, F.lit(0)).alias("__before"))
+    at = F.row_number().over(Window.partitionBy("period", "__p").orderBy("code")) - 1
+    numbered = rows.withColumn("__at", at).join(groups, ["period", "__p"])
+    return numbered.withColumn("batch", F.floor((F.col("__before") + F.col("__at")) / size).cast("bigint")).select(*pending.columns, "batch")
 
 
 def trading_calendar(bars: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
@@ -152,3 +167,12 @@ def legs(parts: Mapping[str, DataFrame]) -> DataFrame:
     """Counts of several work lists as rows ``(leg, missing)``."""
     counted = [df.agg(F.count("*").alias("missing")).select(F.lit(name).alias("leg"), "missing") for name, df in parts.items()]
     return concat(*counted)
+
+
+def coverage_report(master: DataFrame, tables: Mapping[str, tuple[DataFrame, int]], day: Column) -> DataFrame:
+    """Per leg of ``tables`` (a table and how many days back count) ``(leg, codes, missing, share)``:
+    how many codes of the master have no row, and what share of them that is."""
+    total = master.select("code").distinct().agg(F.count("*").alias("codes"))
+    missing = legs({name: coverage_missing(master.select("code").distinct(), table, day, days) for name, (table, days) in tables.items()})
+    share = F.try_divide(F.col("missing").cast("double"), F.col("codes").cast("double"))
+    return missing.withColumn("codes", total.scalar()).select("leg", "codes", "missing", F.coalesce(share, F.lit(0.0)).alias("share"))

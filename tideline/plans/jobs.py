@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions import scalars as fn
 from tideline.operators import asof, feeds, merge, quality
 from tideline.operators import normalize as nz
 from tideline.operators import worklists as wl
 from tideline.operators.publish import publish
 from tideline.sources.schemas import TABLES
+from tideline.sources.tables import copy_window
 
 FIGURES = ("avail_date", "netinc", "netinc_prior", "revenue", "revenue_prior", "op_income", "op_income_prior")
 
@@ -28,6 +30,16 @@ def upsert(base: DataFrame, new: DataFrame, table: str) -> DataFrame:
     return merge.merge_update(base, typed(new, table), t.keys, t.defaults)
 
 
+def copy_tables(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame], days: int | None, today: Column, whole: Sequence[str] = ("stocks", "delisted_stocks")) -> dict[str, DataFrame]:
+    """The next state of each target table: rows of the last ``days`` of its source (of all of it if
+    None, and for masters) merged into it by the table's keys."""
+    out = {}
+    for name, rows in source.items():
+        recent_rows = rows if name in whole else copy_window(rows, days, today)
+        out[name] = upsert(target[name], recent_rows, name)
+    return out
+
+
 def behind(bars: DataFrame, reference: str, base_date: Column) -> DataFrame:
     """Codes whose last bar is before the market's newest date."""
     newest = quality.market_latest(bars, reference, base_date).scalar()
@@ -62,9 +74,32 @@ def short_credit_ingest(short: DataFrame, credit: DataFrame, raw_short: DataFram
     return upsert(short, nz.normalize_short(raw_short), "short_selling"), upsert(credit, nz.normalize_credit(raw_credit), "credit_balance")
 
 
-def earnings_increment(earnings: DataFrame, codes: DataFrame, periods: DataFrame, lines: DataFrame, today: Column, mode: str) -> DataFrame:
-    """What is pending and can be known by now, from statement lines ``(code, period, status, pos,
-    account_nm, thstrm_amount, frmtrm_amount)``, appended as versions."""
+def recent(spark: SparkSession, quarters: int, today: Column) -> DataFrame:
+    """The periods of an increment: that of today and those before it."""
+    return spark.range(1).select(F.explode(fn.recent_quarters(today, quarters)).alias("period"))
+
+
+def earnings_worklist(codes: DataFrame, periods: DataFrame, earnings: DataFrame, today: Column, size: int = 100) -> DataFrame:
+    """``(code, period, batch)`` of what is pending and can be known by now, for requests of at most
+    ``size`` codes of one period."""
+    return wl.batch_worklist(nz.lookahead_guard(wl.pending_periods(codes.select("code"), periods, earnings), today), size).select("code", "period", "batch")
+
+
+def earnings_increment(earnings: DataFrame, codes: DataFrame, quarters: int, lines: DataFrame, today: Column, mode: str) -> DataFrame:
+    """The last quarters of the codes, as far as they are pending, from statement lines as in
+    :func:`earnings_backfill`."""
+    return _earnings(earnings, codes, recent(codes.sparkSession, quarters, today), lines, today, mode)
+
+
+def earnings_backfill(earnings: DataFrame, codes: DataFrame, first_year: int, last_year: int, lines: DataFrame, today: Column, mode: str) -> DataFrame:
+    """All quarters of the years, as far as they are pending and can be known by now, from statement
+    lines ``(code, period, status, pos, account_nm, thstrm_amount, frmtrm_amount)``, appended as
+    versions."""
+    periods = codes.sparkSession.range(1).select(F.explode(fn.period_range(first_year, last_year)).alias("period"))
+    return _earnings(earnings, codes, periods, lines, today, mode)
+
+
+def _earnings(earnings: DataFrame, codes: DataFrame, periods: DataFrame, lines: DataFrame, today: Column, mode: str) -> DataFrame:
     pending = nz.lookahead_guard(wl.pending_periods(codes.select("code"), periods, earnings), today)
     six = nz.financials_six(lines, ["code", "period"])
     rows = pending.join(six, ["code", "period"], "left")

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tideline.functions import scalars as fn
 from tideline.operators import normalize as nz
 from tideline.operators import worklists as wl
+from tideline.operators import publish
+from tideline.plans import jobs
 from tideline.plans.catalog import query
 from tideline.sources import tables, views
-from tideline.sources.schemas import INVESTORS
+from tideline.sources.schemas import INVESTORS, TABLES
 
 
 def raw(spark: SparkSession, d: str) -> DataFrame:
@@ -69,8 +71,8 @@ def src_3_read_snapshot_csv(spark, d):
 def src_4_parse_array_text(spark, d):
     b = views.bars(spark, d)
     row = F.concat(F.lit('["'), F.date_format("date", "yyyyMMdd"), F.lit('", '), F.concat_ws(", ", "open", "high", "low", "close", "volume"), F.lit(", 0.5]"))
-    text = b.groupBy("code").agg(F.concat(F.lit("x = [['day', 'o'],\n"), F.concat_ws(",\n", F.collect_list(row)), F.lit("];")).alias("body"))
-    return tables.parse_array_text(text).drop("pos")
+    text = b.groupBy("code", F.trunc("date", "month").alias("month")).agg(F.concat(F.lit("x = [['day', 'o'],\n"), F.concat_ws(",\n", F.collect_list(row)), F.lit("];")).alias("body"))
+    return tables.parse_array_text(text).drop("pos", "month")
 
 
 @query("SELECT code, date, close, -volume AS change, volume, open AS institution, -low AS foreign_ FROM v_bars WHERE day(date) % 4 <> 0")
@@ -81,8 +83,8 @@ def src_5_parse_flow_html(spark, d):
     numbers = F.concat(n(F.col("close")), n(-F.col("volume")), cell(F.lit("+0.5%")), n(F.col("volume")), cell(F.concat(F.lit("+"), F.format_number("open", 0))), n(-F.col("low")))
     short = F.dayofmonth("date") % 4 == 0  # these rows lack a cell
     row = F.concat(F.lit("<tr><td><span>"), F.date_format("date", "yyyy.MM.dd"), F.lit("</span></td>"), numbers, F.when(short, "").otherwise(n(F.lit(7))), F.lit("</tr>\n"))
-    page = b.groupBy("code").agg(F.concat(F.lit("<table><tr><th>day</th></tr>"), F.concat_ws("", F.collect_list(row)), F.lit("</table>")).alias("html"))
-    return tables.parse_flow_html(page).drop("pos")
+    page = b.groupBy("code", F.trunc("date", "month").alias("month")).agg(F.concat(F.lit("<table><tr><th>day</th></tr>"), F.concat_ws("", F.collect_list(row)), F.lit("</table>")).alias("html"))
+    return tables.parse_flow_html(page).drop("pos", "month")
 
 
 @query("SELECT CASE event_type WHEN 'click' THEN 'prices' ELSE event_type END AS \"table\", count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY ALL")
@@ -112,7 +114,10 @@ def src_9_write_control(spark, d):
     c = views.feed_checks(spark, d).groupBy("feed").agg(F.min("checked").alias("lo"), F.max("checked").alias("hi"), F.min("modified").alias("modified"))
     old = c.where("feed >= 'm'").select("feed", F.col("lo").alias("checked"), "modified")
     new = c.where("feed < 'm'").select("feed", F.col("hi").alias("checked"))
-    return tables.merge_control(old, new, "feed")
+    root = tables.scratch(spark, "control")
+    for part in (old, new):
+        tables.write_control(part, root, "feed")
+    return publish.current(spark, root)
 
 
 @query("SELECT code, date, CASE WHEN volume > 2 THEN volume END AS volume FROM v_bars")
@@ -132,10 +137,17 @@ def src_11_done_from_csv(spark, d):
     return wl.difference(b.select("code", "date"), tables.done_from_csv(spark, path, ["code", "date"], "code string, date date"), "code", "date")
 
 
-@query("SELECT code, date, close FROM v_bars WHERE date >= DATE '2024-01-20' - 7")
+@query("""SELECT 'daily_bars' AS "table", code, date, CASE WHEN date >= DATE '2024-01-20' - 7 THEN close + 1 ELSE close END AS close, NULL AS name FROM v_bars WHERE date < DATE '2024-01-16' OR date >= DATE '2024-01-20' - 7
+    UNION ALL SELECT 'stocks', code, NULL, NULL, CASE WHEN market < 'M' THEN upper(name) ELSE name END FROM v_master""")
 def src_12_copy_window(spark, d):
-    b = views.bars(spark, d).select("code", F.date_format("date", "yyyyMMdd").alias("date"), "close")
-    return tables.copy_window(b, 7, "2024-01-20")
+    """Bars, of which the last days are copied over, and a master, which is copied whole."""
+    b, m = views.bars(spark, d), views.suppliers(spark, d)
+    typed = lambda df, name: df.select([F.col(c).cast(TABLES[name].schema[c].dataType).alias(c) if c in df.columns else F.lit(None).cast(TABLES[name].schema[c].dataType).alias(c) for c in TABLES[name].schema.fieldNames()])
+    source = {"daily_bars": b.select("code", F.date_format("date", "yyyyMMdd").alias("date"), (F.col("close") + 1).alias("close")), "stocks": m.where("market < 'M'").withColumn("name", F.upper("name"))}
+    target = {"daily_bars": typed(b.where("date < '2024-01-16'"), "daily_bars"), "stocks": typed(m, "stocks")}
+    done = jobs.copy_tables(source, target, 7, F.to_date(F.lit("2024-01-20")))
+    bars = done["daily_bars"].select(F.lit("daily_bars").alias("table"), "code", "date", F.col("close").cast("bigint").alias("close"))
+    return wl.concat(bars, done["stocks"].select(F.lit("stocks").alias("table"), "code", "name"))
 
 
 _NUM = "CASE WHEN event_id % 7 = 0 THEN 0 ELSE px END"
@@ -413,23 +425,26 @@ def fn_13_period_range(spark, d):
     return wanted.join(f.groupBy("period").agg(F.count("*").alias("facts")), "period", "left").select("period", F.coalesce("facts", F.lit(0)).alias("facts"))
 
 
-@query("SELECT doc_id, 'db://user' || doc_id || ':***@host/x ' || source AS t FROM documents")
+@query("SELECT doc_id, md5('db://user' || doc_id || ':***@host/x ' || regexp_replace(coalesce(text, ''), '([0-9A-Za-z_]+://[^:/@\\s]+):[^@\\s]+@', '\\1:***@', 'g')) AS t FROM documents")
 def fn_14_mask_dsn(spark, d):
-    return views.table(spark, d, "documents").select("doc_id", fn.mask_dsn(F.concat(F.lit("db://user"), "doc_id", F.lit(":pw"), "doc_id", F.lit("@host/x "), "source")).alias("t"))
+    t = F.concat(F.lit("db://user"), "doc_id", F.lit(":pw"), "doc_id", F.lit("@host/x "), F.coalesce("text", F.lit("")))
+    return views.table(spark, d, "documents").select("doc_id", F.md5(fn.mask_dsn(t)).alias("t"))
 
 
-@query("SELECT doc_id, 'https://h/?api_key=***&f=' || source || ' TOKEN=***' AS t, '' AS n, len(regexp_extract_all(regexp_replace(text, ' *= *', '=', 'g'), '(?i)\\b(?:api_?key|token)=[^&\\s]+')) AS masked FROM documents")
+@query("SELECT doc_id, 'https://h/?api_key=***&f=' || source || ' TOKEN=***\" apikey=\"k\" Token=***''' AS t, '' AS n, len(regexp_extract_all(regexp_replace(text, ' *= *', '=', 'g'), '(^|[^0-9A-Za-z_])([Aa][Pp][Ii]_?[Kk][Ee][Yy]|[Tt][Oo][Kk][Ee][Nn])=[^&\\s\"' || chr(39) || ']')) AS masked FROM documents")
 def fn_15_mask_secrets(spark, d):
     t = views.table(spark, d, "documents")
     squeezed = F.regexp_replace("text", " *= *", "=")
     hits = lambda c: F.size(F.regexp_extract_all(c, F.lit(r"(?i)\b((?:api_?key|token)=\*\*\*)"), F.lit(1)))
-    return t.select("doc_id", fn.mask_secrets(F.concat(F.lit("https://h/?api_key=s3"), "doc_id", F.lit("&f="), "source", F.lit(" TOKEN=abc"))).alias("t"), fn.mask_secrets(F.lit(None).cast("string")).alias("n"), hits(fn.mask_secrets(squeezed)).cast("bigint").alias("masked"))
+    return t.select("doc_id", fn.mask_secrets(F.concat(F.lit("https://h/?api_key=s3"), "doc_id", F.lit("&f="), "source", F.lit(" TOKEN=abc\" apikey=\"k\" Token=x'"))).alias("t"), fn.mask_secrets(F.lit(None).cast("string")).alias("n"), hits(fn.mask_secrets(squeezed)).cast("bigint").alias("masked"))
 
 
-@query("SELECT doc_id, 'run --db *** -v --dsn *** ' || source AS t FROM documents")
+@query("SELECT doc_id, md5(array_to_string(list_concat(['run', '--db', '***'], string_split(coalesce(text, ''), ' ')[2:], ['--dsn', '***', source]), ' ')) AS t FROM documents")
 def fn_16_mask_options(spark, d):
-    args = F.array(F.lit("run"), F.lit("--db"), F.col("doc_id").cast("string"), F.lit("-v"), F.lit("--dsn"), F.lit("x"), F.col("source"))
-    return views.table(spark, d, "documents").select("doc_id", F.array_join(fn.mask_options(args), " ").alias("t"))
+    """The words of each text as arguments, the first of them a secret."""
+    words = F.split(F.coalesce("text", F.lit("")), " ", -1)
+    args = F.concat(F.array(F.lit("run"), F.lit("--db")), words, F.array(F.lit("--dsn"), F.lit("x"), F.col("source")))
+    return views.table(spark, d, "documents").select("doc_id", F.md5(F.array_join(fn.mask_options(args), " ")).alias("t"))
 
 
 LIMITS = {"click": 4, "error": 8, "view": 30}
@@ -441,8 +456,8 @@ def fn_17_is_stale(spark, d):
     return e.select("event_id", fn.stale_threshold(F.col("event_type"), LIMITS).alias("limit"), fn.is_stale(F.col("event_type"), F.col("event_id") % 10, LIMITS).alias("stale"))
 
 
-@query("SELECT o_orderkey, format('{:.1f}', o_orderkey * 100000 / 1e6) AS mb, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 150.0::DOUBLE END AS change FROM orders WHERE o_orderkey < 1000000")
+@query("SELECT o_orderkey, format('{:.1f}', o_orderkey * 100000 / 1e6) AS mb, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 150.0::DOUBLE END AS change FROM orders")
 def fn_18_formats(spark, d):
-    o = views.table(spark, d, "orders").where("o_orderkey < 1000000")
+    o = views.table(spark, d, "orders")
     k = F.col("o_orderkey")
     return o.select("o_orderkey", F.replace(fn.size_mb(k * 100_000), F.lit(","), F.lit("")).alias("mb"), fn.change_percent(k * 5, F.when(k % 2 == 1, k * 2).otherwise(0)).alias("change"))

@@ -79,16 +79,16 @@ def jn_8_attach_last_trade_date(spark, d):
     return wl.attach_last_trade_date(views.suppliers(spark, d), views.long_bars(spark, d).where("cast(code as int) % 3 > 0"))
 
 
-@query("SELECT feed, feed IN (SELECT event_type FROM events WHERE event_id % 1000 = 3) AS listed FROM (SELECT DISTINCT event_type AS feed FROM events UNION ALL SELECT 'gone')")
+@query("SELECT feed, feed IN (SELECT event_type FROM events WHERE value >= 100) AS listed FROM (SELECT DISTINCT event_type AS feed FROM events UNION ALL SELECT 'gone')")
 def jn_9_plan_vs_listing(spark, d):
-    e = views.table(spark, d, "events").select(F.col("event_type").alias("feed"), "event_id")
+    e = views.table(spark, d, "events").select(F.col("event_type").alias("feed"), "value")
     wanted = e.select("feed").distinct().union(spark.range(1).select(F.lit("gone").alias("feed")))
-    return wl.plan_vs_listing(wanted, e.where("event_id % 1000 = 3"))
+    return wl.plan_vs_listing(wanted, e.where("value >= 100"))
 
 
-@query("SELECT c_custkey::VARCHAR AS code, v.value FROM customer LEFT JOIN (SELECT code, max(value) AS value FROM v_facts WHERE period = '1997Q2' GROUP BY code) v ON v.code = c_custkey::VARCHAR WHERE c_custkey % 2 = 0")
+@query("SELECT c_custkey::VARCHAR AS code, v.value FROM customer LEFT JOIN (SELECT code, max(value) AS value FROM v_facts WHERE period = '1997Q2' GROUP BY code) v ON v.code = c_custkey::VARCHAR")
 def jn_10_fill_requested(spark, d):
-    wanted = views.table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("code"))
+    wanted = views.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("code"))
     return wl.fill_requested(wanted, views.facts(spark, d).where("period = '1997Q2'").groupBy("code").agg(F.max("value").alias("value")), "code")
 
 
@@ -414,9 +414,11 @@ def qlt_5_bar_consistency(spark, d):
     return quality.bar_consistency(views.bars(spark, d).select("code", "date", "open", (F.col("open") + 50).alias("high"), "low", "close"))
 
 
-@query(_LEGS)
+@query(f"SELECT leg, codes, missing, missing::DOUBLE / codes AS share FROM ({_LEGS.replace('v_bars WHERE', 'v_ev WHERE').replace('open % 2 = 0', 'px % 2 = 0').replace('close % 9 = 0', 'px % 9 = 0')}) CROSS JOIN (SELECT count(DISTINCT code) AS codes FROM v_bars)")
 def qlt_6_coverage_report(spark, d):
-    return coverage(spark, d)
+    """Coverage by events: legs of all, of even and of some prices."""
+    e = raw(spark, d).select("code", "date", "px")
+    return wl.coverage_report(e.select("code"), {"bars": (e, 0), "flow": (e.where("px % 2 = 0"), 0), "shares": (e.where("px % 9 = 0"), 7)}, day("2024-01-15"))
 
 
 @query(_REPORT)
@@ -424,10 +426,23 @@ def qlt_7_feed_status_report(spark, d):
     return report(spark, d)
 
 
-@query("SELECT count(*) AS rows, count(*) FILTER (l_shipdate::DATE < o_orderdate::DATE) AS violations FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+_PIT = "SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS known, o_orderdate::DATE AS about FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+
+
+@query(f"""SELECT 'kept' AS what, l_orderkey AS a, l_linenumber::BIGINT AS b FROM ({_PIT}) WHERE NOT known < about UNION ALL
+    SELECT 'counted', count(*), count(*) FILTER (known < about) FROM ({_PIT}) UNION ALL SELECT 'aborted', NULL, count(*) FROM ({_PIT}) HAVING count(*) FILTER (known < about) > 0""")
 def qlt_8_pit_violations(spark, d):
+    """The rows without those known too early, how many these are, and that a limit of none aborts."""
     x = views.table(spark, d, "lineitem").join(views.table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return quality.pit_violations(x.select(F.to_date("l_shipdate").alias("known"), F.to_date("o_orderdate").alias("about")), "known", "about")
+    x = x.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("known"), F.to_date("o_orderdate").alias("about"))
+    n = quality.pit_violations(x, "known", "about")
+    kept = quality.drop_pit_violations(x, "known", "about", 1.0).select(F.lit("kept").alias("what"), F.col("l_orderkey").alias("a"), F.col("l_linenumber").cast("bigint").alias("b"))
+    counted = n.select(F.lit("counted").alias("what"), F.col("rows").alias("a"), F.col("violations").alias("b"))
+    try:
+        quality.drop_pit_violations(x, "known", "about", 0.0)
+        return wl.concat(kept, counted)
+    except ValueError:
+        return wl.concat(kept, counted, n.select(F.lit("aborted").alias("what"), F.lit(None).cast("bigint").alias("a"), F.col("rows").alias("b")))
 
 
 @query("SELECT code, date, close AS close_split, open AS close, volume * 1000000 AS mcap, open % 2 = 0 AS is_delisted FROM v_bars")
@@ -436,6 +451,16 @@ def qlt_9_vendor_rules(spark, d):
     return quality.vendor_rules(b)
 
 
-@query("SELECT * FROM v_bars WHERE open % 2 = 0")
+@query("SELECT 'even' AS what, count(*) = 0 AS failed, count(*) AS rows FROM v_bars WHERE open % 2 = 0 UNION ALL SELECT 'upside down', count(*) = 0, count(*) FROM v_bars WHERE high < low UNION ALL SELECT 'all', count(*) = 0, count(*) FROM v_bars")
 def qlt_10_empty_result_is_failure(spark, d):
-    return quality.not_empty(views.bars(spark, d).where("open % 2 = 0"), "bars")
+    """Whether each of some results is a failure, being empty."""
+    b = views.bars(spark, d)
+
+    def outcome(what, rows):
+        try:
+            return quality.not_empty(rows, what).agg(F.lit(False).alias("failed"), F.count("*").alias("rows"))
+        except ValueError:
+            return rows.agg(F.lit(True).alias("failed"), F.count("*").alias("rows"))
+
+    parts = {"even": b.where("open % 2 = 0"), "upside down": b.where("high < low"), "all": b}
+    return wl.concat(*[outcome(k, v).select(F.lit(k).alias("what"), "failed", "rows") for k, v in parts.items()])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,21 +108,22 @@ def mrg_8_stamp_source(spark, d):
     return nz.stamp_source(views.long_bars(spark, d), "archive")
 
 
-def _landed(df: DataFrame, order: str, files: int = 3) -> str:
-    """``df`` as files that a stream reads one by one, in order."""
+def _landing(df: DataFrame, order: str, parts: int = 3) -> Iterator[str]:
+    """``df`` landing in a folder in parts, in order of a number: the folder, after each part."""
     path = tables.scratch(df.sparkSession, "landed")
     lo, hi = df.agg(F.min(order), F.max(order)).first()
-    step = (hi - lo) // files + 1
-    for k in range(files):
-        df.where((F.col(order) >= lo + k * step) & (F.col(order) < lo + (k + 1) * step)).coalesce(1).write.mode("append").parquet(path)
-    return path
+    step = (hi - lo) // parts + 1
+    for k in range(parts):
+        df.where((F.col(order) >= lo + k * step) & (F.col(order) < lo + (k + 1) * step)).write.mode("append").parquet(path)
+        yield path
 
 
 @query("SELECT code, date, arg_max(px, event_id) AS px FROM v_ev GROUP BY ALL")
 def str_1_stream_upsert(spark, d):
     r = raw(spark, d).select("code", "date", "px", "event_id")
     root = tables.scratch(spark, "upsert")
-    streams.stream_upsert(streams.files(spark, _landed(r, "event_id"), r.schema), root, KEY, "event_id", root + "-state")
+    for path in _landing(r, "event_id"):
+        streams.stream_upsert(streams.files(spark, path, r.schema), root, KEY, "event_id", root + "-state", streams.year_of("date"))
     return publish.current(spark, root)
 
 
@@ -128,23 +131,25 @@ def str_1_stream_upsert(spark, d):
 def str_2_stream_versions(spark, d):
     f = views.facts(spark, d).select("code", "period", "knowledge_date", F.floor(F.col("value") / 100_000).cast("bigint").alias("cents"))
     root = tables.scratch(spark, "versions")
-    path = _landed(f.withColumn("n", F.unix_date("knowledge_date")), "n")
-    streams.stream_versions(streams.files(spark, path, f.schema), root, ["code", "period"], "knowledge_date", ["cents"], root + "-state")
+    for path in _landing(f.withColumn("n", F.unix_date("knowledge_date")), "n"):
+        streams.stream_versions(streams.files(spark, path, f.schema), root, ["code", "period"], "knowledge_date", ["cents"], root + "-state", streams.year_of("period"))
     return publish.current(spark, root)
 
 
-@query("SELECT code, date, arg_max(px, event_id) AS px FROM v_ev GROUP BY ALL")
+@query("""WITH e AS (SELECT code, date, px, event_id, CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 ELSE 2 END AS batch FROM v_ev),
+    seen AS (SELECT batch, max(max(date)) OVER (ORDER BY batch) AS newest FROM e GROUP BY batch),
+    f AS (SELECT e.*, date >= newest - 10 AS fresh FROM e JOIN seen USING (batch))
+    SELECT 'table' AS part, code, date, arg_max(px, (batch, event_id)) AS px FROM f WHERE fresh GROUP BY code, date UNION ALL SELECT 'late', code, date, px FROM f WHERE NOT fresh""")
 def str_3_late_window(spark, d):
-    """Rows that come far too late wait for the full merge, which this query then does."""
-    r = raw(spark, d).select("code", "date", "px", (F.col("event_id") % 3 * 10_000_000 + F.col("event_id")).alias("arrived"), "event_id")
+    """One type of event after the other arrives: the table, and the rows that came too late for it."""
+    e = views.table(spark, d, "events")
+    batch = F.when(F.col("event_type") == "click", 0).when(F.col("event_type") == "view", 1).otherwise(2)
+    r = e.select(views.code("user_id").alias("code"), F.to_date("ts").alias("date"), views.cents("value").alias("px"), F.struct(batch.alias("batch"), "event_id").alias("arrived"), batch.alias("n"))
     root, late = tables.scratch(spark, "window"), tables.scratch(spark, "late")
-    order = r.select("code", "date", F.struct("event_id", "px").alias("v"), "arrived")
-    path = _landed(order, "arrived")
-    streams.stream_late_window(streams.files(spark, path, order.schema), root, late, KEY, "arrived", 10, root + "-state")
-    rows = publish.current(spark, root).unionByName(spark.read.parquet(late).select(*KEY, "v"))
-    # by arrival the last value of a key isn't that of its last event, so all parts are merged again
-    whole = rows.unionByName(order.drop("arrived"))
-    return whole.groupBy(*KEY).agg(F.max("v").alias("v")).select(*KEY, "v.px")
+    for path in _landing(r, "n"):
+        streams.stream_late_window(streams.files(spark, path, r.drop("n").schema), root, late, KEY, "arrived", 10, root + "-state", streams.year_of("date"))
+    rows = lambda part, df: df.select(F.lit(part).alias("part"), *KEY, "px")
+    return rows("table", publish.current(spark, root)).unionByName(rows("late", spark.read.parquet(late)))
 
 
 @query("""WITH c AS (SELECT *, CASE WHEN lag(modified) OVER w IS NOT DISTINCT FROM modified THEN 0 ELSE 1 END AS ch FROM v_checks WINDOW w AS (PARTITION BY feed ORDER BY checked)),
@@ -152,11 +157,10 @@ def str_3_late_window(spark, d):
     SELECT feed, checked, modified, row_number() OVER (PARTITION BY feed, run ORDER BY checked) - 1 AS streak FROM g""")
 def str_4_stream_streaks(spark, d):
     c = views.feed_checks(spark, d)
-    out = tables.scratch(spark, "streaks")
-    stream = streams.stream_streaks(streams.files(spark, _landed(c, "checked"), c.schema))
-    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-state").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    root, out = tables.scratch(spark, "last-checks"), tables.scratch(spark, "streaks")
+    for path in _landing(c, "checked"):
+        streams.stream_streaks(streams.files(spark, path, c.schema), root, out, root + "-state")
+    return spark.read.parquet(out).drop("batch")
 
 
 def _raw_bars(spark, d):
@@ -181,26 +185,33 @@ def job_1_catch_up(spark, d):
     return jobs.catch_up(stored, _raw_bars(spark, d), "000002", day("2000-01-01"))
 
 
-@query(f"SELECT {_TYPED}, CASE WHEN date < DATE '2024-01-20' THEN source ELSE 'primary' END AS source FROM v_src")
+@query("""SELECT 'bars' AS leg, code, date, close, volume AS value, CASE WHEN date < DATE '2024-01-20' THEN source ELSE 'primary' END AS source FROM v_src
+    UNION ALL SELECT 'flow', code, date, close, CASE WHEN date >= DATE '2024-01-18' THEN -open END, 'backfill' FROM v_bars WHERE close > 0
+    UNION ALL SELECT 'flow', code, date, close, -open, 'primary' FROM v_bars WHERE date >= DATE '2024-01-18' AND close <= 0
+    UNION ALL SELECT 'index', code, date, close, trade_value, CASE WHEN date >= DATE '2024-01-18' THEN 'New' ELSE 'Old' END FROM v_bars""")
 def job_2_daily_ingest(spark, d):
     base = _typed_bars(sourced(spark, d).where("date < '2024-01-20'"))
     new = _raw_bars(spark, d).where("dt >= '20240118'")
     flow = nz.normalize_partial_flow(views.bars(spark, d).select("code", "date", "close", "volume", F.col("open").alias("institution"), F.col("low").alias("foreign_")))
     raw_flow = new.select("code", "dt", "close", F.lit("0.5").alias("flu_rt"), F.col("volume").alias("acc_trde_qty"), *[F.col("open").alias(x) for x in nz.INVESTORS])
-    index = jobs.typed(views.bars(spark, d).withColumn("name", F.lit("Index")), "sector_index")
+    index = jobs.typed(views.bars(spark, d).withColumn("name", F.lit("Old")), "sector_index")
     outcomes = new.select("code", F.lit("done").alias("outcome"), F.lit(1).alias("rows"))
-    done = jobs.daily_ingest(base, jobs.typed(flow, "supply_demand"), index, new, raw_flow, new.withColumn("name", F.lit("Index")), outcomes)
-    return done.bars
+    done = jobs.daily_ingest(base, jobs.typed(flow, "supply_demand"), index, new, raw_flow, new.withColumn("name", F.lit(" New ")), outcomes)
+    leg = lambda name, df, value, source: df.select(F.lit(name).alias("leg"), *KEY, F.col("close").cast("bigint").alias("close"), F.col(value).alias("value"), F.col(source).alias("source"))
+    return worklists.concat(leg("bars", done.bars, "volume", "source"), leg("flow", done.flow, "individual", "source"), leg("index", done.index, "trade_value", "name"))
 
 
-@query("SELECT code, date, close::INT AS close, -volume AS volume, open AS short_qty, low AS short_balance, 0.5::DOUBLE AS short_ratio, high::INT AS short_avg_price, 0::BIGINT AS short_value FROM v_bars")
+@query("""SELECT 'short' AS leg, code, date, close::INT AS close, -volume AS volume, open AS short_qty, low AS short_balance, 0.5::DOUBLE AS short_ratio, high::INT AS short_avg_price, 0::BIGINT AS short_value, NULL::BIGINT AS new_qty, NULL::BIGINT AS balance_amt, NULL::DOUBLE AS credit_rt FROM v_bars
+    UNION ALL SELECT 'credit', code, date, close, NULL, NULL, NULL, NULL, NULL, NULL, -volume, -volume, -volume::DOUBLE FROM v_bars""")
 def job_3_short_credit_ingest(spark, d):
     b = views.bars(spark, d)
     s = lambda c: F.col(c).cast("string")
     short = b.select("code", F.date_format("date", "yyyyMMdd").alias("dt"), F.concat(F.lit("-"), "close").alias("close"), F.concat(F.lit("-"), "volume").alias("volume"), s("open").alias("short_qty"), s("low").alias("short_balance"), F.lit("+0.5").alias("short_ratio"), s("high").alias("short_avg_price"), F.lit("").alias("short_value"))
     credit = short.select("code", "dt", "close", *[F.col("volume").alias(c) for c in ("new_qty", "repay_qty", "balance_qty", "balance_amt", "balance_rt", "credit_rt")])
     none = lambda t: spark.createDataFrame([], jobs.TABLES[t].schema)
-    return jobs.short_credit_ingest(none("short_selling"), none("credit_balance"), short, credit)[0]
+    a, b = jobs.short_credit_ingest(none("short_selling"), none("credit_balance"), short, credit)
+    b = b.select("code", "date", "close", "new_qty", "balance_amt", "credit_rt")
+    return worklists.concat(a.withColumn("leg", F.lit("short")), b.withColumn("leg", F.lit("credit")))
 
 
 _AVAIL_4 = _AVAIL.replace("period", "p.period")
@@ -216,7 +227,19 @@ def job_4_earnings_increment(spark, d):
     p = F.concat(F.year("o_orderdate"), F.lit("Q"), F.quarter("o_orderdate"))
     lines = statement_lines(spark, d).join(o.select(F.col("o_orderkey").alias("id"), p.alias("period")), "id").withColumn("code", F.col("id").cast("string"))
     empty = spark.createDataFrame([], jobs.TABLES["earnings"].schema)
-    return jobs.earnings_increment(empty, lines.select("code").distinct(), lines.select("period"), lines, day("1999-01-01"), "avail")
+    return jobs.earnings_backfill(empty, lines.select("code").distinct(), 1992, 1999, lines, day("1999-01-01"), "avail")
+
+
+_RECENT = "SELECT year(q) || 'Q' || quarter(q) AS period FROM (SELECT CAST(date_trunc('quarter', DATE '1997-08-15') - to_months(3 * i::INT) AS DATE) AS q FROM range(4) t(i))"
+
+
+@query(f"""WITH recent AS ({_RECENT}), due AS (SELECT o_custkey::VARCHAR AS code, period FROM (SELECT DISTINCT o_custkey FROM orders) CROSS JOIN recent WHERE {_AVAIL} <= DATE '1997-08-15'),
+    pending AS (SELECT * FROM due WHERE NOT EXISTS (SELECT 1 FROM v_facts f WHERE f.code = due.code AND f.period = due.period AND f.value < 150000))
+    SELECT code, period, (row_number() OVER (PARTITION BY period ORDER BY code) - 1) // 100 AS batch FROM pending""")
+def job_4_earnings_worklist(spark, d):
+    """What an increment still has to ask for, in batches; cheap facts are there already."""
+    codes = views.table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("code")).distinct()
+    return jobs.earnings_worklist(codes, jobs.recent(spark, 4, day("1997-08-15")), views.facts(spark, d).where("value < 150000"), day("1997-08-15"))
 
 
 @query("SELECT o_orderkey::VARCHAR AS code, DATE '2024-02-01' AS date, o_orderkey * 1000.0::DOUBLE AS target_mean, 4.25::DOUBLE AS recomm_mean, '2024-01-01' AS base_date, 5.0::DOUBLE AS fwd_eps, NULL::DOUBLE AS prev_eps, '202612' AS est_year FROM orders WHERE o_orderkey % 2 = 1")
@@ -256,21 +279,43 @@ def job_7_adjust_rebuild(spark, d):
     return publish.current(spark, root)
 
 
-@query("SELECT code, date, close AS close_split, open AS close, volume * 1000000 AS mcap FROM v_bars")
+_FILES = "SELECT code AS file, min(date)::VARCHAR AS modified, count(*) AS size, sum(open)::BIGINT % 4 AS k FROM v_bars GROUP BY code"
+
+
+@query(f"""WITH files AS ({_FILES}), refresh AS (
+        SELECT file, CASE k WHEN 0 THEN 'absent' WHEN 1 THEN 'no record' WHEN 2 THEN 'modified' END AS reason FROM files WHERE k < 3)
+    SELECT 'table' AS leg, code AS name, date, close AS close_split, open AS close, volume * 1000000 AS mcap, NULL AS reason FROM v_bars WHERE code IN (SELECT file FROM refresh)
+    UNION ALL SELECT 'refresh', file, NULL, NULL, NULL, NULL, reason FROM refresh
+    UNION ALL SELECT 'plan', feed, NULL, NULL, NULL, NULL, listed FROM (VALUES ('stocks', 'true'), ('gone', 'false')) p(feed, listed)
+    UNION ALL SELECT 'report', feed, NULL, NULL, NULL, NULL, verdict FROM (VALUES ('stocks', 'new'), ('gone', 'not listed')) r(feed, verdict)""")
 def job_8_bulk_rebuild(spark, d):
+    """A file for each code: a quarter of them absent, without a record, modified and current."""
     root = tables.scratch(spark, "vendor")
     b = views.bars(spark, d).select("code", "date", "close", F.col("open").alias("closeadj"), F.col("volume").alias("mcap"))
-    listing = b.select(F.lit("stocks").alias("feed"), "code").distinct().select("feed", F.col("code").alias("file"), F.lit("m").alias("modified"), F.lit(1).cast("bigint").alias("size"))
-    none = lambda s: spark.createDataFrame([], s)
-    plan = jobs.bulk_sync(listing.select("feed").distinct(), listing, none("file string, size bigint, sha256 string"), none("file string, modified string, sha256 string"), views.feed_checks(spark, d), LIMITS)
+    per = b.groupBy(F.col("code").alias("file")).agg(F.min("date").cast("string").alias("modified"), F.count("*").alias("size"), (F.sum("closeadj") % 4).alias("k"))
+    listing = per.select(F.lit("stocks").alias("feed"), "file", "modified", "size")
+    inventory = per.where("k != 0").select("file", "size", F.lit("h").alias("sha256"))
+    manifest = per.where("k != 1").select("file", F.when(F.col("k") == 2, "before").otherwise(F.col("modified")).alias("modified"), F.lit("h").alias("sha256"))
+    wanted = spark.createDataFrame([("stocks",), ("gone",)], "feed string")
+    plan = jobs.bulk_sync(wanted, listing, inventory, manifest, views.feed_checks(spark, d), LIMITS)
     drop = b.join(plan.refresh.select(F.col("file").alias("code")), "code", "left_semi")
     jobs.bulk_rebuild(drop, root, "date")
-    return publish.current(spark, root)
+    leg = lambda name, df, who, why, *rest: df.select(F.lit(name).alias("leg"), F.col(who).alias("name"), F.col(why).cast("string").alias("reason"), *rest)
+    table = publish.current(spark, root).select(F.lit("table").alias("leg"), F.col("code").alias("name"), "date", "close_split", "close", "mcap")
+    report = plan.report.select("feed", "verdict").distinct()
+    return worklists.concat(table, leg("refresh", plan.refresh, "file", "reason"), leg("plan", plan.plan, "feed", "listed"), leg("report", report, "feed", "verdict"))
 
 
 @query("SELECT code, date, trade_value AS shares_outstanding, 'snapshot' AS source, NULL::DATE AS knowledge_date FROM v_bars WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-09'")
 def job_9_shares_by_calendar(spark, d):
-    b = views.bars(spark, d)
+    """A snapshot file for each of some days, of which those of trading days count."""
+    b, path = views.bars(spark, d), tables.scratch(spark, "snapshots")
+    rows = b.select("date", "code", F.format_number("trade_value", 0).alias("listed shares"), F.lit("x").alias("other"))
+    found = []
+    for k in range(3, 14):
+        own = f"{path}/2024-01-{k:02d}"
+        rows.where(F.col("date") == f"2024-01-{k:02d}").drop("date").write.option("header", True).csv(own)
+        found.append(tables.read_snapshot_csv(spark, own, f"2024-01-{k:02d}", "code", "listed shares"))
     empty = spark.createDataFrame([], jobs.TABLES["shares_outstanding_history"].schema)
     days = worklists.trading_calendar(b, day("2024-01-05"), day("2024-01-09"))
-    return jobs.shares_by_calendar(empty, b.select("code", "date", F.col("trade_value").alias("shares_outstanding")), days, "snapshot")
+    return jobs.shares_by_calendar(empty, worklists.concat(*found), days, "snapshot")

@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from tideline.functions import scalars as fn
+from tideline.operators import publish
 from tideline.sources.schemas import TABLES
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tideline-")
+    """A new folder below ``spark.checkpoint.dir``.  Where that is unset, a session on one machine gets
+    a temporary one; on a cluster, whose hosts don't share it, that is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tideline-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -48,7 +54,9 @@ def read_snapshot_csv(spark: SparkSession, path: str, day: str | Column, code_co
     return rows.where("code != '' and shares_outstanding is not null")
 
 
-BAR_TEXT = r'\[\s*"(\d{8})"\s*,\s*(-?[\d.]+)\s*,\s*(-?[\d.]+)\s*,\s*(-?[\d.]+)\s*,\s*(-?[\d.]+)\s*,\s*(-?[\d.]+)'
+NUMBER = r"-?\d+(?:\.\d+)?"
+#: A row of array text: a day in quotation marks, then five numbers at least.
+BAR_TEXT = r'\[\s*"(\d{8})"' + 5 * rf"\s*,\s*({NUMBER})(?![\d.])"
 
 
 def parse_array_text(df: DataFrame, body: str = "body") -> DataFrame:
@@ -126,6 +134,14 @@ def merge_control(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full").select(*columns)
 
 
+def write_control(df: DataFrame, root: str, key: str, keep: int = 2) -> None:
+    """Makes ``df`` the control table below ``root``: its records replace those with their key whole,
+    facts that only the old ones hold stay, and readers see the old table or the new one, never a part
+    (:func:`tideline.operators.publish.publish`)."""
+    old = publish.current(df.sparkSession, root)
+    publish.publish(df if old is None else merge_control(old, df, key), root, keep)
+
+
 def append_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Appends in a fixed column order; null becomes an empty field."""
     df.select(*columns).write.mode("append").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)

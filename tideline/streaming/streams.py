@@ -6,15 +6,15 @@ id, and one that was published before is skipped, so a replay after a crash does
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from tideline.operators import merge, publish
+from tideline.operators import feeds, merge, publish
+
+STREAKS = "feed string, checked bigint, modified string, streak bigint"
 
 
 def run(source: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -23,82 +23,105 @@ def run(source: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: s
     query.awaitTermination()
 
 
-def files(spark: SparkSession, path: str, schema: StructType | str, per_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+def files(spark: SparkSession, path: str, schema: StructType | str, per_batch: int | None = None) -> DataFrame:
+    """The files of a folder as a stream: all that are new in a batch, or ``per_batch`` at a time."""
+    reader = spark.readStream.schema(schema)
+    return (reader if per_batch is None else reader.option("maxFilesPerTrigger", per_batch)).parquet(path)
+
+
+def year_of(column: str) -> Column:
+    """The partition of a date, or of a text such as ``2020Q1`` that begins with a year."""
+    return F.substring(F.col(column).cast("string"), 1, 4)
 
 
-def _apply(root: str, schema: StructType, batch_id: int, step: Callable[[DataFrame], DataFrame], spark: SparkSession) -> None:
-    if batch_id < publish.generations(spark, root).count():  # each batch publishes once, in order
-        return
-    base = publish.current(spark, root)
-    publish.publish(step(spark.createDataFrame([], schema) if base is None else base), root, keep=1)
+def _done(spark: SparkSession, root: str, batch_id: int) -> bool:
+    """Whether the batch was published: each publishes once, in order."""
+    return batch_id < publish.generations(spark, root).count()
 
 
-def stream_upsert(source: DataFrame, root: str, keys: Sequence[str], order: str, checkpoint: str, insert_only: bool = False) -> None:
-    """Merges every batch; of rows with one key in a batch the last by ``order`` counts."""
+def stream_upsert(source: DataFrame, root: str, keys: Sequence[str], order: str, checkpoint: str, part: Column, insert_only: bool = False) -> None:
+    """Merges every batch into the table in parts below ``root``, rewriting the partitions ``part`` that
+    it touches; of rows with one key in a batch the last by ``order`` counts.  Rows of one key must
+    share a partition."""
     schema = StructType([f for f in source.schema if f.name != order])
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        if _done(batch.sparkSession, root, batch_id):
+            return
         rest = [c for c in batch.columns if c not in keys and c != order]
         pick = F.min_by if insert_only else F.max_by
         once = batch.groupBy(*keys).agg(pick(F.struct(*rest), F.col(order)).alias("r")).select(*keys, "r.*").select(*[f.name for f in schema])
         how = merge.merge_insert_only if insert_only else merge.merge_update
-        _apply(root, schema, batch_id, lambda base: how(base, once, keys), batch.sparkSession)
+        publish.update(once, root, part, lambda base, new: how(base, new, keys), keep=1)
 
     run(source, step, checkpoint)
 
 
-def stream_versions(source: DataFrame, root: str, keys: Sequence[str], version: str, values: Sequence[str], checkpoint: str) -> None:
+def stream_versions(source: DataFrame, root: str, keys: Sequence[str], version: str, values: Sequence[str], checkpoint: str, part: Column) -> None:
     """Late corrections become versions, unchanged readings vanish.  A batch must hold each key's
-    versions in one piece or in order of ``version``; within a batch they are taken in that order."""
+    versions in one piece or in order of ``version``; within a batch they are taken in that order.
+    ``part`` is the partition of a row, the same for all versions of a key; those that a batch touches
+    are rewritten."""
     schema = source.schema
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        def grow(base: DataFrame) -> DataFrame:
-            both = base.withColumn("__new", F.lit(False)).unionByName(batch.withColumn("__new", F.lit(True)))
+        def grow(base: DataFrame, new: DataFrame) -> DataFrame:
+            both = base.withColumn("__new", F.lit(False)).unionByName(new.withColumn("__new", F.lit(True)))
             w = Window.partitionBy(*keys).orderBy(version, "__new")
             same = F.struct(*values).eqNullSafe(F.lag(F.struct(*values)).over(w)) & (F.row_number().over(w) > 1)
             return both.withColumn("__same", same).where("not __new or not __same").select(schema.fieldNames())
 
-        _apply(root, schema, batch_id, grow, batch.sparkSession)
+        if not _done(batch.sparkSession, root, batch_id):
+            publish.update(batch, root, part, grow, keep=1)
 
     run(source, step, checkpoint)
 
 
-def stream_late_window(source: DataFrame, root: str, late: str, keys: Sequence[str], order: str, days: int, checkpoint: str, date_col: str = "date") -> None:
-    """Rows within ``days`` of the newest date seen are merged, the last value winning; older ones go
-    to the ``late`` table for the next full merge."""
+def stream_late_window(source: DataFrame, root: str, late: str, keys: Sequence[str], order: str, days: int, checkpoint: str, part: Column, date_col: str = "date") -> None:
+    """Rows within ``days`` of the newest date seen are merged, the last value winning, which rewrites
+    the partitions ``part`` that they touch; older ones go to the ``late`` table for the next full
+    merge.  The newest date is that of the table's statistics or of the batch."""
     schema = StructType([f for f in source.schema if f.name != order])
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id < publish.generations(spark, root).count():
+        if _done(spark, root, batch_id):
             return
-        base = publish.current(spark, root)
-        base = spark.createDataFrame([], schema) if base is None else base
-        newest = base.select(date_col).union(batch.select(date_col)).agg(F.max(date_col)).first()[0]
-        fresh = F.col(date_col) >= F.date_sub(F.lit(newest), days)
+        seen = [publish.generations(spark, root).agg(F.max("newest")).first()[0], batch.agg(F.max(date_col).cast("date")).first()[0]]
+        newest = max((x for x in seen if x), default=None)
+        fresh = F.coalesce(F.col(date_col) >= F.date_sub(F.lit(newest).cast("date"), days), F.lit(False))
         batch.where(~fresh).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
         rest = [c for c in schema.fieldNames() if c not in keys]
         once = batch.where(fresh).groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("r")).select(*keys, "r.*")
-        publish.publish(merge.merge_update(base, once.select(schema.fieldNames()), keys), root, keep=1)
+        publish.update(once.select(schema.fieldNames()), root, part, lambda base, new: merge.merge_update(base, new, keys), keep=1, date_col=date_col)
 
     run(source, step, checkpoint)
 
 
-def stream_streaks(source: DataFrame) -> DataFrame:
-    """``source(feed, checked, modified)`` to running streaks, the last value and streak of each feed
-    held as state.  Checks of a feed must arrive in order over batches."""
+def stream_streaks(source: DataFrame, root: str, out: str, checkpoint: str) -> None:
+    """``source(feed, checked, modified)`` to running streaks, written below ``out``; the last value and
+    streak of each feed are the table in generations below ``root``.  Checks of a feed must arrive in
+    order over batches.
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, streak, seen = state.get if state.exists else (None, 0, False)
-        rows = pd.concat(list(frames)).sort_values("checked", ignore_index=True)
-        out = []
-        for modified in rows["modified"]:
-            streak = streak + 1 if seen and modified == last else 0
-            last, seen = modified, True
-            out.append(streak)
-        state.update((last, streak, seen))
-        yield pd.DataFrame({"feed": key[0], "checked": rows["checked"], "modified": rows["modified"], "streak": out})
+    A batch is counted like a whole table, in two levels, with each feed's last check put before it;
+    what carries on that check's run takes over its streak."""
 
-    return source.groupBy("feed").applyInPandasWithState(step, "feed string, checked bigint, modified string, streak bigint", "modified string, streak bigint, seen boolean", "append", GroupStateTimeout.NoTimeout)
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if _done(spark, root, batch_id):
+            return
+        held = publish.current(spark, root)
+        held = spark.createDataFrame([], STREAKS) if held is None else held
+        before = held.select("feed", F.col("checked").alias("__at"), F.col("streak").alias("__had"))
+        rows = feeds.unchanged_streak(batch.select("feed", "checked", "modified").unionByName(held.select("feed", "checked", "modified")))
+        rows = rows.join(before, "feed", "left").where("__at is null or checked > __at")
+        ends = rows.where("streak = 0").groupBy("feed").agg(F.min("checked").alias("__end"))
+        carried = F.col("__at").isNotNull() & (F.col("__end").isNull() | (F.col("checked") < F.col("__end")))
+        streak = F.col("streak") + F.when(carried, F.col("__had")).otherwise(0)
+        rows = rows.join(ends, "feed", "left").select("feed", "checked", "modified", streak.alias("streak"))
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        done = spark.read.schema(STREAKS).parquet(f"{out}/batch={batch_id}").unionByName(held)
+        last = F.max_by(F.struct("modified", "streak"), "checked").alias("r")
+        publish.publish(done.groupBy("feed").agg(F.max("checked").alias("checked"), last).select("feed", "checked", "r.*"), root, keep=1)
+
+    run(source, step, checkpoint)
