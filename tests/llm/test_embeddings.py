@@ -85,7 +85,7 @@ def test_only_saturated_lists_grow_and_the_rest_is_compared(spark, monkeypatch):
     monkeypatch.setattr(em, "SMALL", 20)
     monkeypatch.setattr(em, "TILE", 64)
     rng = np.random.default_rng(11)
-    dense = [v.tolist() for v in two_caps(rng, 130)]  # lists of 160 are too short for one of these
+    dense = [v.tolist() for v in two_caps(rng, 70)]  # lists of 40 are too short for one of these
     near = rng.normal(size=(40, 24))
     some = np.float32(np.concatenate([near + rng.normal(scale=0.1, size=near.shape) for _ in range(5)])).tolist()
     vectors = dense + some

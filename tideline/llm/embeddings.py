@@ -34,7 +34,7 @@ from tideline.llm.common import components, cut, stored
 BUCKET = 64  # nodes in a bucket of a hyperplane table, about
 BLOCK = 96  # most nodes that are joined around one center at once, about
 TILE = 512  # nodes in a side of a tile, about
-WIDEST = 160  # neighbours in the longest list
+WIDEST = 40  # neighbours in the longest list
 ROUNDS = 3  # most rounds that refill lists made longer
 SMALL = 4 * TILE  # nodes of a component that are all compared with each other
 AUDIT = 128  # nodes with links, and as many without, whose neighbours are searched by brute force
