@@ -13,6 +13,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-warehouse-"))
         .getOrCreate()
     )

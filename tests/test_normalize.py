@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -10,18 +11,19 @@ D = dt.date
 
 
 def test_bars_flow_short_credit(spark):
-    raw = spark.createDataFrame([("a", "20260812", "+10", "-12", "+9", "-11", "-5", "+7"), ("a", "", "1", "1", "1", "1", "1", "1"), ("a", None, "1", "1", "1", "1", "1", "1")], "code string, dt string, open string, high string, low string, close string, volume string, trade_value string")
-    assert [tuple(r) for r in nz.normalize_bars(raw).collect()] == [("a", D(2026, 8, 12), 10, 12, 9, 11, -5, 7)]
+    raw = spark.createDataFrame([("q", "20310305", "+64", "-71", "+60", "-66", "-15", "+8"), ("q", "", "1", "1", "1", "1", "1", "1"), ("q", None, "1", "1", "1", "1", "1", "1")], "code string, dt string, open string, high string, low string, close string, volume string, trade_value string")
+    assert [tuple(r) for r in nz.normalize_bars(raw).collect()] == [("q", D(2031, 3, 5), 64, 71, 60, 66, -15, 8)]
     short = raw.select("code", "dt", "close", "volume", *[F.col("high").alias(c) for c in ("short_qty", "short_balance", "short_ratio", "short_avg_price", "short_value")])
     row = nz.normalize_short(short).first()
-    assert (row.close, row.short_qty, row.short_ratio, row.short_avg_price) == (11, -12, -12.0, -12)
+    assert (row.close, row.short_qty, row.short_ratio, row.short_avg_price) == (66, -71, -71.0, -71)
 
 
 def test_delisted_bars(spark):
-    rows = [(0.0, 0.0, 0.0, 2410.0, 0.0), (20.0, 20.0, 20.0, 21.0, 5.0), (1.0, 1.0, 1.0, 0.0, 5.0), (50000.0, 50000.0, 50000.0, 50000.0, 2e6), (30.0, 31.0, 29.5, 29.0, 1.0)]
+    halted, above, worthless, large, below = (0.0, 0.0, 0.0, 77.0, 0.0), (8.0, 8.0, 8.0, 9.0, 3.0), (4.0, 4.0, 4.0, 0.0, 3.0), (1250.0, 1300.0, 1200.0, 1250.0, 4e6), (46.0, 47.0, 45.5, 45.0, 2.0)
+    rows = [halted, above, worthless, large, below]
     df = spark.createDataFrame([("a", D(2020, 1, i + 1), *r) for i, r in enumerate(rows)], "code string, date date, open double, high double, low double, close double, volume double")
     got = [(r.open, r.high, r.low, r.close, r.trade_value) for r in nz.normalize_delisted_bars(df).orderBy("date").collect()]
-    assert got == [(2410, 2410, 2410, 2410, 0), (20, 21, 20, 21, 0), (50000, 50000, 50000, 50000, 100000), (30, 31, 29, 29, 0)]
+    assert got == [(77, 77, 77, 77, 0), (8, 9, 8, 9, 0), (1250, 1300, 1200, 1250, 5000), (46, 47, 45, 45, 0)]
 
 
 def test_partial_flow_keeps_unknown_null(spark):
@@ -31,32 +33,33 @@ def test_partial_flow_keeps_unknown_null(spark):
 
 
 def test_consensus_and_estimate(spark):
-    a = '{"consensusInfo": {"createDate": "2026-07-09", "recommMean": "4.04", "priceTargetMean": "513,958"}}'
+    a = '{"consensusInfo": {"createDate": "2031-11-30", "recommMean": "3.25", "priceTargetMean": "81,400"}}'
     df = spark.createDataFrame([("a", a), ("b", "{}"), ("c", '{"consensusInfo": {"createDate": ""}}'), ("d", None)], "code string, payload string")
     got = {r.code: (r.target_mean, r.recomm_mean, r.base_date) for r in nz.extract_consensus(df).collect()}
-    assert got == {"a": (513958.0, 4.04, "2026-07-09"), "b": (None,) * 3, "c": (None,) * 3, "d": (None,) * 3}
-    title = '{"financeInfo": {"trTitleList": [{"key": "202412", "isConsensus": "N"}, {"key": "202512", "isConsensus": "N"}, {"key": "202612", "isConsensus": "%s"}], "rowList": [{"title": "Sales", "columns": {}}, {"title": %s, "columns": {"202512": {"value": "6,564"}, "202612": {"value": "46,664"}}}]}}'
-    df = spark.createDataFrame([("a", title % ("Y", '"EPS"')), ("b", title % ("N", '"EPS"')), ("c", title % ("Y", '{"name": "EPS"}')), ("d", title % ("Y", '"PER"')), ("e", "{}")], "code string, payload string")
+    assert got == {"a": (81400.0, 3.25, "2031-11-30"), "b": (None,) * 3, "c": (None,) * 3, "d": (None,) * 3}
+    years = [{"key": "203003", "isConsensus": "N"}, {"key": "203103", "isConsensus": "N"}, {"key": "203203", "isConsensus": "#"}, {"key": "203303", "isConsensus": "#"}]
+    figures = {"203103": {"value": "1,020"}, "203203": {"value": "1,377"}, "203303": {"value": "9"}}
+    text = json.dumps({"financeInfo": {"trTitleList": years, "rowList": [{"title": "BPS", "columns": {}}, {"title": "@", "columns": figures}]}})
+    title = text.replace('"#"', '"%s"').replace('"@"', "%s").replace('"%s"', '"%(known)s"').replace("%s", "%(row)s")
+    df = spark.createDataFrame([(k, title % {"known": y, "row": r}) for k, y, r in (("a", "Y", '"EPS"'), ("b", "N", '"EPS"'), ("c", "Y", '{"name": "EPS"}'), ("d", "Y", '"PER"'))] + [("e", "{}")], "code string, payload string")
     got = {r.code: (r.fwd_eps, r.prev_eps, r.est_year) for r in nz.extract_estimate(df).collect()}
-    full, none = (46664.0, 6564.0, "202612"), (None, None, None)
+    full, none = (1377.0, 1020.0, "203203"), (None, None, None)
     assert got == {"a": full, "b": none, "c": full, "d": none, "e": none}
 
 
 def test_shares_payload(spark):
-    lines = [(1, "000", 0, "우선주", "5", "2025-12-31", "x"), (1, "000", 1, "보통주", "5,919,637,922", "2025-12-31", "20260310000123"), (2, "000", 0, "보통주", "-", "2025-12-31", "20260311"), (3, "013", 0, "보통주", "7", "2025-12-31", "2026")]
+    lines = [(1, "000", 0, "우선주", "41", "2031-06-30", "x"), (1, "000", 1, "보통주", "3,000,000,017", "2031-06-30", "20310815000042"), (2, "000", 0, "보통주", "-", "2031-06-30", "20310816"), (3, "013", 0, "보통주", "58", "2031-06-30", "2031")]
     df = spark.createDataFrame(lines, "id int, status string, pos int, se string, istc_totqy string, stlm_dt string, rcept_no string")
-    assert sorted(map(tuple, nz.extract_issued_shares(df).collect())) == [(1, 5919637922, D(2025, 12, 31)), (2, None, None), (3, None, None)]
-    assert sorted(map(tuple, nz.extract_receipt_date(df).collect())) == [(1, D(2026, 3, 10)), (2, D(2026, 3, 11)), (3, None)]
+    assert sorted(map(tuple, nz.extract_issued_shares(df).collect())) == [(1, 3000000017, D(2031, 6, 30)), (2, None, None), (3, None, None)]
+    assert sorted(map(tuple, nz.extract_receipt_date(df).collect())) == [(1, D(2031, 8, 15)), (2, D(2031, 8, 16)), (3, None)]
 
 
-def naive_pick(rows, labels):
-    cur = prior = None
-    for label, a, b in rows:
-        if label.strip() in labels:
-            prior = b if b is not None else prior
-            if a is not None:
-                return a, prior
-    return cur, prior
+def by_positions(rows, labels):
+    """The figure and its prior value, by the positions of amounts."""
+    fits = [i for i, (label, *_) in enumerate(rows) if label.strip() in labels]
+    now = min((i for i in fits if rows[i][1] is not None), default=None)
+    prior = max((i for i in fits if rows[i][2] is not None and (now is None or i <= now)), default=None)
+    return (None if now is None else rows[now][1]), (None if prior is None else rows[prior][2])
 
 
 def test_first_match_pick_equals_a_scan(spark):
@@ -65,14 +68,14 @@ def test_first_match_pick_equals_a_scan(spark):
     lines = [(i, "000", p, a, None if b is None else str(b), None if c is None else str(c)) for i, rows in cases.items() for p, (a, b, c) in enumerate(rows)]
     df = spark.createDataFrame(lines, "id int, status string, pos int, account_nm string, thstrm_amount string, frmtrm_amount string")
     got = {r.id: (r.revenue, r.revenue_prior) for r in nz.financials_six(df, ["id"]).collect()}
-    assert got == {i: naive_pick(rows, nz.REVENUE) for i, rows in cases.items()}
+    assert got == {i: by_positions(rows, nz.REVENUE) for i, rows in cases.items()}
 
 
 def test_statement_values(spark):
-    lines = [(1, "000", 0, "당기순이익", "2,206,125", "974,571"), (2, "000", 0, "당기순이익(손실)", "-500", ""), (3, "013", 0, "당기순이익", "1", "2")]
+    lines = [(1, "000", 0, "당기순이익", "31,415", "27,182"), (2, "000", 0, "당기순이익(손실)", "-88", ""), (3, "013", 0, "당기순이익", "1", "2")]
     df = spark.createDataFrame(lines, "id int, status string, pos int, account_nm string, thstrm_amount string, frmtrm_amount string")
     got = {r.id: (r.netinc, r.netinc_prior, r.revenue) for r in nz.financials_six(df, ["id"]).collect()}
-    assert got == {1: (2206125.0, 974571.0, None), 2: (-500.0, None, None), 3: (None, None, None)}
+    assert got == {1: (31415.0, 27182.0, None), 2: (-88.0, None, None), 3: (None, None, None)}
 
 
 def test_earnings_rows_need_a_mode(spark):

@@ -4,7 +4,9 @@ import itertools
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from tideline.operators import publish
 from tideline.plans import queries_read
 from tideline.sources import tables
 
@@ -52,6 +54,26 @@ def test_control_is_replaced_but_keeps_local_facts(spark):
     assert sorted(map(tuple, tables.merge_control(old, new, "feed").collect())) == [("a", 5, "x"), ("b", 2, "y"), ("c", 6, None)]
 
 
+def test_control_is_written_whole(spark, tmp_path):
+    root, kind = f"file://{tmp_path}/control", "feed string, n int, local string"
+    tables.write_control(spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], kind), root, "feed")
+    held = publish.current(spark, root)
+    tables.write_control(spark.createDataFrame([("a", 5), ("c", 6)], "feed string, n int"), root, "feed")
+    want = [("a", 5, "x"), ("b", 2, "y"), ("c", 6, None)]
+    assert sorted(map(tuple, publish.current(spark, root).collect())) == want
+    assert sorted(map(tuple, held.collect())) == [("a", 1, "x"), ("b", 2, "y")]  # a reader keeps what it resolved
+    broken = spark.createDataFrame([("d", 1)], "feed string, n int").withColumn("local", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_control(broken, root, "feed")
+    assert sorted(map(tuple, publish.current(spark, root).collect())) == want
+
+
+def test_array_text_takes_whole_numbers_only(spark):
+    body = '["20310102", 1.5, 2, -3, 4.25, 5], ["20310103", 1.2.3, 2, 3, 4, 5], ["20310104", 1, 2, 3, 4., 5], ["20310105", 7, 7, 7, 7, 7]'
+    got = tables.parse_array_text(spark.createDataFrame([("a", body)], "code string, body string")).collect()
+    assert [(r.date.day, r.open, r.low, r.volume) for r in got] == [(2, 1.5, -3.0, 5.0), (5, 7.0, 7.0, 7.0)]
+
+
 def test_csv_append_and_resume(spark, tmp_path):
     path = str(tmp_path / "out")
     rows = spark.createDataFrame([("a", None, 1), ("b", "", 2)], "code string, v string, n int")

@@ -1,11 +1,13 @@
 import datetime as dt
 import random
+import warnings
 
 import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators import asof, feeds, merge, publish, quality, worklists
 from tideline.plans import jobs
+from tideline.streaming import streams
 
 D = dt.date
 BARS = "code string, date date, close int, source string"
@@ -160,3 +162,100 @@ def test_publish(spark, tmp_path):
     assert publish.current(spark, root).count() == 98
     publish.publish(make(100), root, 0, "date")
     assert sum(p.name.startswith("gen=") for p in (tmp_path / "t").iterdir()) == 1
+
+
+def test_an_update_rewrites_only_the_parts_it_touches(spark, tmp_path):
+    root, key, part = f"file://{tmp_path}/t", ["code", "date"], F.substring(F.col("date").cast("string"), 1, 4)
+    make = lambda rows: spark.createDataFrame([(c, D(y, 1, 2) if y else None, n) for c, y, n in rows], "code string, date date, n int")
+    step = lambda base, new: merge.merge_update(base, new, key)
+    folders = lambda: {r["part"]: r["path"] for r in publish._parts(spark, root, publish._resolve(spark, root)[0])}
+    publish.update(make([("a", 2020, 1), ("b", 2020, 2), ("a", 2021, 3), (None, None, 4)]), root, part, step, 1, "date")
+    first, held = folders(), publish.current(spark, root)
+    assert set(first) == {"2020", "2021", ""}
+    publish.update(make([("b", 2020, 9), ("c", 2022, 5)]), root, part, step, 1, "date")
+    second = folders()
+    assert {k for k in first if first[k] != second[k]} == {"2020"} and set(second) == {"2020", "2021", "2022", ""}
+    want = [("a", D(2020, 1, 2), 1), ("a", D(2021, 1, 2), 3), ("b", D(2020, 1, 2), 9), ("c", D(2022, 1, 2), 5), (None, None, 4)]
+    assert rows(publish.current(spark, root)) == sorted(want, key=str)
+    assert held.count() == 4 and publish.generations(spark, root).orderBy(F.desc("number")).first()["rows"] == 5
+    # a null key is merged like any other; a repeat changes nothing; what nothing names goes
+    for _ in range(2):
+        publish.update(make([(None, None, 6), ("a", 2021, 7)]), root, part, step, 1, "date")
+    assert rows(publish.current(spark, root)) == sorted([w if w[0] else (None, None, 6) for w in want if w[:2] != ("a", D(2021, 1, 2))] + [("a", D(2021, 1, 2), 7)], key=str)
+    left = {str(p) for p in tmp_path.glob("t/gen=*/__part=*")}
+    assert len(left) == 4 + 2  # the current parts, and two of the generation before
+    assert publish.generations(spark, root).orderBy(F.desc("number")).first()["newest"] == D(2022, 1, 2)
+
+
+def test_an_update_of_a_table_that_was_published_whole(spark, tmp_path):
+    root, part = f"file://{tmp_path}/t", F.col("k") % 2
+    publish.publish(spark.range(4).selectExpr("id as k", "0 as v"), root)
+    publish.update(spark.createDataFrame([(2, 5), (9, 6)], "k bigint, v int"), root, part, lambda base, new: merge.merge_update(base, new, ["k"]))
+    assert rows(publish.current(spark, root)) == [(0, 0), (1, 0), (2, 5), (3, 0), (9, 6)]
+    publish.update(spark.createDataFrame([(4, 1)], "k bigint, v int"), root, part, lambda base, new: merge.merge_insert_only(base, new, ["k"]))
+    assert rows(publish.current(spark, root)) == [(0, 0), (1, 0), (2, 5), (3, 0), (4, 1), (9, 6)]
+
+
+def test_null_keys_are_merged_once(spark):
+    base = spark.createDataFrame([(None, 1, 5)], "k int, j int, v int")
+    new = spark.createDataFrame([(None, 1, 6), (None, None, 7)], "k int, j int, v int")
+    once = merge.merge_update(base, new, ["k", "j"])
+    assert rows(once) == [(None, 1, 6), (None, None, 7)] == rows(merge.merge_update(once, new, ["k", "j"]))
+    assert rows(merge.merge_insert_only(base, new, ["k", "j"])) == [(None, 1, 5), (None, None, 7)]
+
+
+def test_streaks_in_batches_equal_those_of_the_whole(spark, tmp_path):
+    rng = random.Random(4)
+    seen = [(f, i, rng.choice(["x", "x", "x", "y", None])) for i in range(90) for f in ("a", "b", "c")[: 3 if i > 40 else 2]]
+    df = spark.createDataFrame(seen, "feed string, checked bigint, modified string")
+    path, root, out = f"{tmp_path}/in", f"file://{tmp_path}/last", f"file://{tmp_path}/out"
+    for lo, hi in ((0, 7), (7, 8), (8, 60), (60, 90)):
+        df.where(f"checked >= {lo} and checked < {hi}").write.mode("append").parquet(path)
+        streams.stream_streaks(streams.files(spark, path, df.schema), root, out, f"{tmp_path}/state")
+    got = {(r.feed, r.checked): r.streak for r in spark.read.parquet(out).collect()}
+    assert got == {(r.feed, r.checked): r.streak for r in feeds.unchanged_streak(df).collect()}
+
+
+def test_quantiles_and_batches_in_levels(spark):
+    rng = random.Random(5)
+    values = [rng.choice([rng.random(), float(rng.randint(0, 3))]) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    got = quality.exact_quantiles(df, F.col("v"), {"low": 0.0, "mid": 0.5, "most": 0.951, "top": 1.0}, accuracy=50).first()
+    ordered = sorted(values)
+
+    def want(share):
+        place = (len(ordered) - 1) * share
+        lo = int(place)
+        return ordered[lo] if lo == place else ordered[lo] * (lo + 1 - place) + ordered[lo + 1] * (place - lo)
+
+    assert [got[k] for k in ("low", "mid", "most", "top")] == pytest.approx([want(x) for x in (0.0, 0.5, 0.951, 1.0)])
+    assert quality.exact_quantiles(df.where("false"), F.col("v"), {"mid": 0.5}).first().mid is None
+    pending = spark.createDataFrame([(f"{rng.randint(0, 999999):06d}", p) for p in ("2020Q1", "2020Q2") for _ in range(400)], "code string, period string").distinct()
+    got = [(r.period, r.code, r.batch) for r in worklists.batch_worklist(pending, 30).orderBy("period", "code").collect()]
+    for p in ("2020Q1", "2020Q2"):
+        assert [b for q, _, b in got if q == p] == [i // 30 for i in range(sum(q == p for q, *_ in got))]
+
+
+def test_copying_tables_and_reports(spark):
+    bars = spark.createDataFrame([("a", D(2026, 7, 1), 3), ("b", D(2026, 6, 1), 4)], "code string, date date, close int")
+    have = jobs.typed(bars.where("false"), "daily_bars")
+    schema = jobs.TABLES["daily_bars"].schema
+    have = have.select(*[F.col(c) if c in have.columns else F.lit(None).cast(schema[c].dataType).alias(c) for c in schema.fieldNames()])
+    master = spark.createDataFrame([("a", "A", "m", "s", "k")], jobs.TABLES["stocks"].schema)
+    done = jobs.copy_tables({"daily_bars": bars, "stocks": master}, {"daily_bars": have, "stocks": master.where("false")}, 7, F.to_date(F.lit("2026-07-03")))
+    assert [(r.code, r.close, r.source) for r in done["daily_bars"].collect()] == [("a", 3, "primary")] and done["stocks"].count() == 1
+    every = jobs.copy_tables({"daily_bars": bars}, {"daily_bars": have}, None, F.to_date(F.lit("2026-07-03")))
+    assert every["daily_bars"].count() == 2
+    now = spark.createDataFrame([("t", 5, None), ("new", 5, None)], "table string, rows bigint, newest date")
+    assert rows(quality.without_baseline(quality.compare_to_baseline(now, now.where("table = 't'")))) == [("new",)]
+    dated = worklists.attach_last_trade_date(spark.createDataFrame([("a",), ("z",)], "code string"), bars)
+    assert tuple(worklists.matched(dated).first()) == (1, 1)
+
+
+def test_the_first_generation_warns_that_nothing_is_there_to_compare_with(spark, tmp_path):
+    make = lambda: spark.range(3).select("id", F.to_date(F.lit("2026-01-01")).alias("date"))
+    with pytest.warns(UserWarning, match="nothing to compare"):
+        publish.publish(make(), f"file://{tmp_path}/t", 1, "date", jobs.gates())
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        publish.publish(make(), f"file://{tmp_path}/t", 1, "date", jobs.gates())

@@ -185,30 +185,26 @@ def extract_receipt_date(df: DataFrame) -> DataFrame:
     return df.groupBy("id").agg(F.min_by(day, F.when(fits, F.col("pos"))).alias("d"), F.max(fits).alias("any")).select("id", F.when(F.col("any"), F.col("d")).alias("receipt_date"))
 
 
-def pick(labels: Sequence[str], label: Column, current: Column, prior: Column, pos: Column) -> tuple[Column, Column]:
-    """Aggregates for a figure and its prior value among a company's lines: the first non-null
-    current amount of a line with one of the labels, and the last non-null prior amount at or
-    before that line (of all such lines if none has a current amount)."""
-    fits = F.trim(label).isin(*labels)
-    at = F.min(F.when(fits & current.isNotNull(), pos))
-    now = F.min_by(current, F.when(fits & current.isNotNull(), pos))
-    # of the lines with a prior amount, in order: kept up to the line that gave the current one
-    before = F.sort_array(F.collect_list(F.when(fits & prior.isNotNull(), F.struct(pos.alias("p"), prior.alias("v")))))
-    last = F.try_element_at(F.filter(before, lambda x: at.isNull() | (x["p"] <= at)), F.lit(-1))["v"]
-    return F.when(at.isNotNull(), now), last
-
-
 def financials_six(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key six columns of net income, revenue and operating income from statement lines
     ``(keys, status, pos, account_nm, thstrm_amount, frmtrm_amount)``.  A status other than OK gives
-    nulls."""
+    nulls.
+
+    A figure is the first amount there is among the lines with one of its labels; its prior value the
+    last prior amount at or before that line, or of all such lines if none has a current amount.  The
+    place of the first comes from a window, the rest from one aggregate on the same exchange."""
     good = F.col("status") == OK
     cur, prior = (F.when(good, fn.nullable_float(F.col(c))) for c in ("thstrm_amount", "frmtrm_amount"))
-    rows = lines.select(*keys, "pos", "account_nm", cur.alias("cur"), prior.alias("prior"))
+    measures = {"netinc": NET_INCOME, "revenue": REVENUE, "op_income": OPERATING}
+    label = F.trim("account_nm")
+    rows = lines.select(*keys, "pos", cur.alias("cur"), prior.alias("prior"), *[label.isin(*labels).alias(f"is_{name}") for name, labels in measures.items()])
+    there = {name: F.when(F.col(f"is_{name}") & F.col("cur").isNotNull(), F.col("pos")) for name in measures}
+    rows = rows.withColumns({f"at_{name}": F.min(pos).over(Window.partitionBy(*keys)) for name, pos in there.items()})
     out = []
-    for name, labels in (("netinc", NET_INCOME), ("revenue", REVENUE), ("op_income", OPERATING)):
-        a, b = pick(labels, F.col("account_nm"), F.col("cur"), F.col("prior"), F.col("pos"))
-        out += [a.alias(name), b.alias(f"{name}_prior")]
+    for name, pos in there.items():
+        upto = F.col(f"at_{name}").isNull() | (F.col("pos") <= F.col(f"at_{name}"))
+        before = F.when(F.col(f"is_{name}") & F.col("prior").isNotNull() & upto, F.col("pos"))
+        out += [F.min_by("cur", pos).alias(name), F.max_by("prior", before).alias(f"{name}_prior")]
     return rows.groupBy(*keys).agg(*out)
 
 
