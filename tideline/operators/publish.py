@@ -38,7 +38,7 @@ def generations(spark: SparkSession, root: str) -> DataFrame:
 
 def retain_generations(gens: DataFrame, keep: int) -> DataFrame:
     """``gens(generation, number)`` with what becomes of each: the newest is current, the ``keep``
-    before it are kept, the rest go."""
+    before it are kept, the rest go.  There is a row for each time the table was published, so one task numbers them."""
     n = F.row_number().over(Window.orderBy(F.desc("number")))
     state = F.when(n == 1, "current").when(n <= keep + 1, "kept").otherwise("delete")
     return gens.select("generation", "number", state.alias("state"))

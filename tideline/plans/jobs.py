@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import scalars as fn
-from tideline.operators import asof, feeds, merge, quality
+from tideline.operators import asof, feeds, merge, publish, quality
 from tideline.operators import normalize as nz
 from tideline.operators import worklists as wl
-from tideline.operators.publish import publish
 from tideline.sources.schemas import TABLES
 from tideline.sources.tables import copy_window
 
@@ -30,6 +29,20 @@ def upsert(base: DataFrame, new: DataFrame, table: str) -> DataFrame:
     return merge.merge_update(base, typed(new, table), t.keys, t.defaults)
 
 
+def merge_into(new: DataFrame, root: str, table: str, keep: int = 2) -> str:
+    """Merges rows into the table below ``root``, which is kept in parts by year (of the date, or of the
+    period): only the years that ``new`` touches are read and written."""
+    t = TABLES[table]
+    by = next(c for c in ("date", "period") if c in t.keys)
+
+    def step(base: DataFrame, rows: DataFrame) -> DataFrame:
+        missing = [c for c in t.schema.fieldNames() if c not in base.columns]
+        whole = base.withColumns({c: F.lit(None).cast(t.schema[c].dataType) for c in missing}).select(t.schema.fieldNames())
+        return merge.merge_update(whole, rows, t.keys, t.defaults)
+
+    return publish.update(typed(new, table), root, F.substring(F.col(by).cast("string"), 1, 4), step, keep, by if by == "date" else None)
+
+
 def copy_tables(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame], days: int | None, today: Column, whole: Sequence[str] = ("stocks", "delisted_stocks")) -> dict[str, DataFrame]:
     """The next state of each target table: rows of the last ``days`` of its source (of all of it if
     None, and for masters) merged into it by the table's keys."""
@@ -146,7 +159,7 @@ def survivorship_chain(master: DataFrame, bars: DataFrame, shares: DataFrame, fl
 
 def adjust_rebuild(bars: DataFrame, factors: DataFrame, root: str, keep: int = 2) -> str:
     """The adjusted table, computed anew and published."""
-    return publish(typed(asof.back_adjust(bars, factors), "daily_bars_adjusted"), root, keep, "date")
+    return publish.publish(typed(asof.back_adjust(bars, factors), "daily_bars_adjusted"), root, keep, "date")
 
 
 def gates(tolerance: float = 0.05):
@@ -175,7 +188,7 @@ def bulk_sync(subscription: DataFrame, listing: DataFrame, inventory: DataFrame,
 
 def bulk_rebuild(drop: DataFrame, root: str, date_col: str, keep: int = 2) -> str:
     """A drop rebuilt, gated and published; staleness doesn't block, damage does."""
-    return publish(quality.vendor_rules(drop), root, keep, date_col, gates())
+    return publish.publish(quality.vendor_rules(drop), root, keep, date_col, gates())
 
 
 def shares_by_calendar(shares: DataFrame, snapshots: DataFrame, calendar: DataFrame, source: str) -> DataFrame:

@@ -96,9 +96,13 @@ def src_6_read_bulk_drop(spark, d):
     return tables.bulk_plan(rows.withColumn("path", F.col("event_id"))).groupBy("table").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT date::VARCHAR AS day, CAST(length(line) + 1 AS BIGINT) AS size, sha256(line || chr(10)) AS sha256 FROM (SELECT date, date || ' ' || count(*) || ' ' || sum(px)::BIGINT AS line FROM v_ev GROUP BY date)")
 def src_7_file_inventory(spark, d):
-    return tables.file_inventory(spark, f"{d}/*.parquet")
+    """A file for each day, with one line."""
+    path = tables.scratch(spark, "files")
+    line = F.concat_ws(" ", "date", F.count("*"), F.sum("px"))
+    raw(spark, d).groupBy("date").agg(line.alias("value")).write.partitionBy("date").text(path)
+    return tables.file_inventory(spark, path).select(F.regexp_extract("path", "date=([^/]+)", 1).alias("day"), "size", "sha256")
 
 
 @query("SELECT feed, max(checked) AS checked FROM v_checks GROUP BY feed")

@@ -37,6 +37,16 @@ def mrg_1_merge_update(spark, d):
     return merge.merge_update(base, new, KEY, {"source": "primary"})
 
 
+@query("""SELECT code, date, CASE WHEN year(date) = 1996 THEN -close ELSE close END AS close, low, high, volume, trade_value, CASE WHEN date < DATE '1996-07-01' THEN 'archive' ELSE 'primary' END AS source FROM v_long
+    WHERE date < DATE '1997-01-01'""")
+def mrg_1_merge_into_parts(spark, d):
+    """A long history by year, of which one year is merged anew: the folders of the others stay."""
+    b, root = views.long_bars(spark, d).where("date < '1997-01-01'"), tables.scratch(spark, "by-year")
+    jobs.merge_into(nz.stamp_source(b.where("date < '1996-07-01'"), "archive"), root, "daily_bars")
+    jobs.merge_into(b.where("date >= '1996-01-01'").withColumn("close", -F.col("close")), root, "daily_bars")
+    return publish.current(spark, root).select("code", "date", *[F.col(c).cast("bigint").alias(c) for c in ("close", "low", "high", "volume", "trade_value")], "source")
+
+
 @query(f"""SELECT code, date, close, {', '.join(_REST)}, source FROM ({_BASE}) UNION ALL
     SELECT code, date, close, NULL, NULL, NULL, NULL, NULL, 'primary' FROM ({_NEW}) n WHERE NOT EXISTS (SELECT 1 FROM ({_BASE}) b WHERE b.code = n.code AND b.date = n.date)""")
 def mrg_2_merge_insert_only(spark, d):
