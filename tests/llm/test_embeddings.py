@@ -92,8 +92,8 @@ def test_only_saturated_lists_grow_and_the_rest_is_compared(spark, monkeypatch):
     seen = []
     enlarged = em._enlarged
 
-    def watched(*args):
-        out = enlarged(*args)
+    def watched(*args, **more):
+        out = enlarged(*args, **more)
         seen.append({r.node: (r.most, r.kth) for r in out.select("node", "most", "kth").collect()})
         return out
 

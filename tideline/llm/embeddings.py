@@ -35,7 +35,7 @@ BUCKET = 64  # nodes in a bucket of a hyperplane table, about
 BLOCK = 96  # most nodes that are joined around one center at once, about
 TILE = 512  # nodes in a side of a tile, about
 WIDEST = 40  # neighbours in the longest list
-ROUNDS = 3  # most rounds that refill lists made longer
+ROUNDS = 2  # most rounds that refill lists made longer
 SMALL = 4 * TILE  # nodes of a component that are all compared with each other
 AUDIT = 128  # nodes with links, and as many without, whose neighbours are searched by brute force
 CENTERS = 2048  # components in a side of a tile of centers, about
@@ -132,8 +132,9 @@ def _edges(lists: DataFrame) -> DataFrame:
     return lists.select("node", F.explode("nbrs").alias("n")).select("node", "n.nbr", "n.sim")
 
 
-def _round(nodes: DataFrame, lists: DataFrame, k: int, groups: int, seed: int, some: DataFrame | None = None, widest: int = 0) -> DataFrame:
-    """One round of NN-descent, around all nodes or around those of ``some`` and their neighbours."""
+def _round(nodes: DataFrame, lists: DataFrame, k: int, groups: int, seed: int, some: DataFrame | None = None, widest: int = 0, grown: bool = False) -> DataFrame:
+    """One round of NN-descent, around all nodes or around those of ``some`` and their neighbours;
+    ``grown`` says whether some lists are longer than ``k``."""
     e = _edges(lists).select("node", "nbr")
     around = e.select(F.col("node").alias("center"), F.col("nbr").alias("node")).union(e.select(F.col("nbr").alias("center"), "node"))
     around = around.union(nodes.select(F.col("node").alias("center"), "node")).distinct()
@@ -143,7 +144,7 @@ def _round(nodes: DataFrame, lists: DataFrame, k: int, groups: int, seed: int, s
     around = _split(around, "center", "node", BLOCK, seed)
     full = nodes.select("node", "unit").join(lists.select("node", "kth"), "node", "left").withColumn("kth", F.coalesce("kth", F.lit(-2.0).cast("float")))
     found = _compare(around.join(full, "node").select("center", "part", "node", "kth", "unit"), max(k, widest), groups)
-    return _lists(found.unionByName(_edges(lists)), k, lists.select("node", "most"))
+    return _lists(found.unionByName(_edges(lists)), k, lists.select("node", "most") if grown else None)
 
 
 def _enlarged(nodes: DataFrame, lists: DataFrame, k: int, groups: int, threshold: float) -> DataFrame:
@@ -159,7 +160,7 @@ def _enlarged(nodes: DataFrame, lists: DataFrame, k: int, groups: int, threshold
         lists = lists.withColumns({"most": F.when(short, F.lit(size)).otherwise(F.col("most")), "kth": F.when(short, F.lit(-2.0).cast("float")).otherwise(F.col("kth"))})
         before = -1
         for turn in range(ROUNDS):
-            lists = stored(_round(nodes, lists, k, groups, ROUNDS * size + turn, some, size), "lists")
+            lists = stored(_round(nodes, lists, k, groups, ROUNDS * size + turn, some, size, True), "lists")
             now = lists.join(some, "node", "left_semi").agg(F.sum(F.size(F.filter("nbrs", lambda x: x["sim"] >= threshold)))).first()[0] or 0
             if now <= before * 1.002:
                 break
@@ -327,15 +328,15 @@ def _search(nodes: DataFrame, dim: int, count: int, threshold: float, k: int, ta
     start = _split(_tables(nodes, dim, bits, tables, 3), "center", "node", 2 * BUCKET, 1)
     full = start.join(nodes.select("node", "unit"), "node").withColumn("kth", F.lit(-2.0).cast("float"))
     lists = stored(_lists(_compare(full, k, groups * 2), k), "lists")
-    done, before = 0, -1
+    done, before, grown = 0, -1, False
     while True:
         while done < rounds:
             now = _edges(lists).where(F.col("sim") >= threshold).count()
             if done >= 2 and now <= before * 1.002:
                 break
             before, done = now, done + 1
-            lists = stored(_round(nodes, lists, k, groups, done), "lists")
-        lists = _enlarged(nodes, lists, k, groups, threshold)
+            lists = stored(_round(nodes, lists, k, groups, done, grown=grown), "lists")
+        lists, grown = _enlarged(nodes, lists, k, groups, threshold), True
         found = _edges(lists).where(F.col("sim") >= threshold - SLACK)
         found = found.select(F.least("node", "nbr").alias("a"), F.greatest("node", "nbr").alias("b"), "sim").groupBy("a", "b").agg(F.max("sim").alias("sim"))
         once = stored(_verified(found, nodes, threshold), "links")
@@ -343,8 +344,9 @@ def _search(nodes: DataFrame, dim: int, count: int, threshold: float, k: int, ta
         links = once.union(once.select("b", "a"))
         # full or not, a list of nothing but links knows nothing of what lies beyond them
         heavy = stored(lists.where(F.element_at("nbrs", -1)["sim"] >= threshold - SLACK).select("node"), "saturated")
-        full = heavy.join(placed, "node").join(nodes.select("node", "full"), "node")
-        placed = _joined(placed, _bridges(stored(full.select("component", "node", "full"), "full"), threshold))
+        if heavy.join(placed, "node").select("component").distinct().limit(2).count() > 1:
+            full = heavy.join(placed, "node").join(nodes.select("node", "full"), "node")
+            placed = _joined(placed, _bridges(stored(full.select("component", "node", "full"), "full"), threshold))
         if _audit(nodes, placed, heavy, links, threshold) >= aim:
             return placed, heavy, links
         if k >= 64:
