@@ -74,10 +74,13 @@ def test_stages_and_run(spark, corpus):
             seen.add(x)
         want[i] = None if t is None else "\n".join(own)
     assert kept["line_dedup"] == want
-    # near-duplicates: brute force over fingerprints
+    # near-duplicates: brute force over fingerprints and sets of five-word shingles
     ids = sorted(want)
     v = np.array([simhash.fingerprint((want[i] or "").encode()) for i in ids], dtype=np.uint64)
     near, comp = np.bitwise_count(v[:, None] ^ v[None]) <= 3, np.arange(len(ids))
+    split = [(want[i] or "").split() for i in ids]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in split]
+    near |= np.array([[bool(x and y) and len(x & y) >= 0.8 * len(x | y) for y in sets] for x in sets])
     while True:
         new = np.array([comp[row].min() for row in near])
         if (new == comp).all():
@@ -85,6 +88,7 @@ def test_stages_and_run(spark, corpus):
         comp = new
     first = {ids[c] for c in comp}
     assert set(kept["simhash_near_dedup"]) == first and 430 not in first and 429 not in first
+    assert {i for i in range(420, 425) if i in first} == {420}
     # decontamination
     assert set(kept["benchmark_decontamination"]) == first - leaks
     assert all(any(x in texts[i] for x in items) for i in leaks)

@@ -101,3 +101,50 @@ def test_keep_one_judges_rows_that_repeat_an_id_by_their_texts(spark):
 def test_empty_table(docs_of):
     docs = docs_of(["a"]).where("false")
     assert simhash.simhash_groups(docs).count() == 0 and simhash.keep_one(docs).count() == 0
+
+
+def jaccard(a, b, width=5):
+    def shingles(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x and y else 0.0
+
+
+def test_keep_one_finds_texts_with_similar_shingles(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(simhash, "SPLIT", 10)  # the leader of the large group is split
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base = [[word() for _ in range(rng.choice([3, 60, 250, 900]))] for _ in range(60)]
+    base.append([word() for _ in range(400)])
+    texts = [" ".join(b) for b in base]
+    for b in base[:40]:
+        copy = list(b)
+        for k in rng.sample(range(len(b)), max(1, int(len(b) * rng.choice([0.005, 0.02, 0.03, 0.08])))):
+            copy[k] = word()
+        texts.append(" ".join(copy).upper() if rng.random() < 0.3 else " ".join(copy))
+    for i in range(60):  # a large group of near copies of one text
+        copy = list(base[-1])
+        copy[i * 6] = word()
+        texts.append(" ".join(copy))
+    texts += ["", None, "one", "one"]
+    n = len(texts)
+    comp = list(range(n))
+    prints = [simhash.fingerprint((t or "").encode()) for t in texts]
+
+    def top(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    near = [(i, j) for j in range(n) for i in range(j) if (prints[i] ^ prints[j]).bit_count() <= 3 or jaccard(texts[i] or "", texts[j] or "") >= 0.8]
+    for i, j in near:
+        a, b = sorted((top(i), top(j)))
+        comp[b] = a
+    want = {i for i in range(n) if top(i) == i}
+    assert {r.doc_id for r in simhash.keep_one(docs_of(texts)).collect()} == want
+    far = sum((prints[i] ^ prints[j]).bit_count() > 3 for i, j in near)
+    assert far > 10  # which three bits don't reach
+    only = {r.doc_id for r in simhash.keep_one(docs_of(texts), similarity=None).collect()}
+    assert want < only

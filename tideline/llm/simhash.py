@@ -17,7 +17,7 @@ fingerprints even in the densest cluster.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -26,9 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import components, cut, unused
+from tideline.llm.common import components, cut, slices, stored, unused
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+BANDS, ROWS = 16, 4  # of least shingles, for texts that are similar by their shingles
+LEADS, SPLIT = 3, 2000  # leaders of a band key; texts that are compared with one leader in a group
 #: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the (23, 12, 7) Golay code.
 GENERATOR = 0b110001110101
 
@@ -103,6 +105,86 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return kept.mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
 
 
+def _mixers() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(29)
+    return rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+
+MIXERS = _mixers()
+
+
+def shingle_set(text: bytes, width: int) -> np.ndarray:
+    """The different hashes of a text's shingles of ``width`` words (fewer words: all of them; none:
+    no shingle); words as in :func:`fingerprint`."""
+    words = text.lower().split()
+    if not words:
+        return np.empty(0, dtype=np.uint64)
+    joined = b" ".join(words)
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    begin, width = np.cumsum(size + 1) - size - 1, min(width, len(words))
+    a, b = begin[: len(words) - width + 1].tolist(), (begin + size)[width - 1 :].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[i:j]) for i, j in zip(a, b)), dtype=np.uint64, count=len(a)))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """``BANDS`` keys of a set of hashes.  Two sets agree in a key if in ``ROWS`` random orders they
+    have the same least member, each of which has the probability of their Jaccard similarity."""
+    m, c = MIXERS
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for k in range(0, len(hashes), 1 << 12):
+        np.minimum(least, (hashes[k : k + (1 << 12), None] * m + c).min(axis=0), out=least)
+    rows = least.reshape(BANDS, ROWS).tobytes()
+    step = 8 * ROWS
+    return [xxhash.xxh64_intdigest(rows[b * step : (b + 1) * step], b) - (1 << 63) for b in range(BANDS)]
+
+
+def _sketches(width: int):
+    """Rows ``(doc_id, fp, one, two, bands, shingles)``; the last two are null without a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch, "text"):
+                part = batch.slice(a, b - a)
+                texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
+                prints = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
+                sets = [shingle_set(t, width) for t in texts]
+                bands = pa.array([band_keys(s) if len(s) else None for s in sets], type=pa.list_(pa.int64()))
+                held = pa.array([np.unique(s.astype(np.uint32)).view(np.int32) if len(s) else None for s in sets], type=pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints), part.column(2), part.column(3), bands, held], ["doc_id", "fp", "one", "two", "bands", "shingles"])
+
+    return run
+
+
+def similar(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of fingerprints of texts whose shingle sets have a Jaccard similarity of at
+    least ``similarity``, from stored ``rows(fp, one, bands, shingles)``.
+
+    Texts that agree in a band key are not all paired: each is compared with the key's ``LEADS``
+    leaders, which are the least texts under that many orders, the same for all keys.  A text whose
+    similarity to another is 0.8 misses all 16 keys with a probability of 0.0002.  Every pair is
+    verified on the whole sets.
+    """
+    texts = rows.where("bands is not null").groupBy("one").agg(F.first("bands").alias("bands"))
+    keyed = texts.select("one", F.explode("bands").alias("key"))
+    leads = [F.min_by("one", F.xxhash64("one", F.lit(k))) for k in range(LEADS)]
+    met = keyed.groupBy("key").agg(F.array_distinct(F.array(*leads)).alias("leads"), F.count("*").alias("n")).where("n > 1")
+    pairs = keyed.join(stored(met.select("key", "leads"), "met"), "key").select("one", F.explode("leads").alias("lead"))
+    pairs = stored(pairs.where("one != lead").distinct(), "pairs")
+    # a leader of many texts is split, its set going to each part
+    size = stored(pairs.groupBy("lead").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")).where("parts > 1"), "parts")
+    parts = F.coalesce("parts", F.lit(1))
+    left = pairs.join(size, "lead", "left").select("one", "lead", F.pmod(F.xxhash64("one"), parts).cast("int").alias("part"))
+    named = pairs.select(F.col("one")).union(pairs.select("lead")).distinct()
+    sets = rows.join(named, "one", "left_semi").groupBy("one").agg(F.first(F.struct("fp", "shingles")).alias("s"))
+    sets = stored(sets.select("one", "s.fp", "s.shingles"), "sets")
+    lead = sets.join(size.withColumnRenamed("lead", "one"), "one", "left")
+    lead = lead.select(F.col("one").alias("lead"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("fp").alias("a"), F.col("shingles").alias("x"))
+    both = left.join(lead, ["lead", "part"]).join(sets.select("one", F.col("fp").alias("b"), F.col("shingles").alias("y")), "one")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).where("a != b").select("a", "b").distinct()
+
+
 def _keys(fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(which rows, key, is this the side with all codewords) of each kind of key."""
     u = fp.view(np.uint64)
@@ -164,13 +246,14 @@ def simhash_groups(docs: DataFrame, bits: int = 3, id_col: str = "doc_id", text_
     linked like any other.  A null id never becomes a component id unless its whole component has
     null ids.  Repeated rows each get a row.  An empty table gives an empty result.
     """
-    return _placed(cut(fingerprints(docs, id_col, text_col)), bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _placed(cut(fingerprints(docs, id_col, text_col)), links, bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _placed(prints: DataFrame, bits: int) -> DataFrame:
-    """``prints(doc_id, fp)``, which is stored, with its other columns and ``component_id``."""
+def _placed(prints: DataFrame, linked: Callable[[DataFrame, int], DataFrame], bits: int) -> DataFrame:
+    """``prints(doc_id, fp)``, which is stored, with its other columns and ``component_id``; ``linked``
+    gives the links of fingerprints."""
     least = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    found = components(links(least, bits), least.select(F.col("fp").alias("node"), F.col("least").alias("value")))
+    found = components(linked(least, bits), least.select(F.col("fp").alias("node"), F.col("least").alias("value")))
     ids = least.join(found.withColumnRenamed("node", "fp"), "fp", "left")
     ids = cut(ids.select("fp", F.coalesce("component", "least").alias("component_id"), "n"))
     # a fingerprint that more than a thousandth of all rows have is not dealt: there are at most a
@@ -182,9 +265,14 @@ def _placed(prints: DataFrame, bits: int) -> DataFrame:
     return many.unionByName(few)
 
 
-def keep_one(docs: DataFrame, bits: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, bits: int = 3, words: int = 5, similarity: float | None = 0.8) -> DataFrame:
     """``docs`` with one row of each group: of the rows with the group's smallest doc_id one.
 
+    Texts are linked if their fingerprints differ in at most ``bits`` bits or if their sets of
+    ``words``-word shingles have a Jaccard similarity of at least ``similarity`` (None: fingerprints
+    only).  Three of 64 bits are few for the latter: such texts often differ in 5 to 11, beyond what
+    segment keys can reach at a bearable number, so :func:`similar` looks for them.
+
     Rows are judged by their own text: of rows that repeat a doc_id with other texts, those that
     belong to no other group stay.  Repeated rows are copies of each other.  Rows with a null doc_id
     form no group and stay; null and empty texts are copies of each other.
@@ -193,9 +281,13 @@ def keep_one(docs: DataFrame, bits: int = 3) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     known = docs.where("doc_id is not null").withColumns({one: F.xxhash64(text), two: F.xxhash64(F.lit(1), text)})
     rows = known.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.col(one).alias("one"), F.col(two).alias("two"))
-    prints = cut(rows.mapInArrow(_fingerprints, "doc_id bigint, fp bigint, one bigint, two bigint"))
+    if similarity is None:
+        prints, linked = cut(rows.mapInArrow(_fingerprints, "doc_id bigint, fp bigint, one bigint, two bigint")), links
+    else:
+        table = stored(rows.mapInArrow(_sketches(words), "doc_id bigint, fp bigint, one bigint, two bigint, bands array<bigint>, shingles array<int>"), "sketches")
+        prints, linked = table.select("doc_id", "fp", "one", "two"), lambda least, n: links(least, n).union(similar(table, similarity))
     # rows of the smallest id, of these the text with the least hash
-    first = _placed(prints, bits).where("doc_id = component_id").groupBy("component_id").agg(F.min(F.struct("one", "two")).alias("least"))
+    first = _placed(prints, linked, bits).where("doc_id = component_id").groupBy("component_id").agg(F.min(F.struct("one", "two")).alias("least"))
     kept = first.select(F.col("component_id").alias(fp), F.col("least.one").alias(one), F.col("least.two").alias(two))
     same = [known["doc_id"] == kept[fp], known[one] == kept[one], known[two] == kept[two]]
     stay = known.join(kept, same, "left_semi").dropDuplicates(["doc_id", one, two])
