@@ -61,10 +61,9 @@ def jn_5_coverage_missing(spark, d):
     return wl.coverage_missing(b.select("code").distinct(), b, day("2024-01-15"))
 
 
-@query("SELECT DISTINCT code FROM v_bars WHERE code NOT IN (SELECT code FROM v_bars WHERE date = DATE '2024-01-16')")
+@query("SELECT code FROM v_master WHERE code NOT IN (SELECT code FROM v_long WHERE date = DATE '1996-05-06')")
 def jn_6_pending_today(spark, d):
-    b = views.bars(spark, d)
-    return wl.pending_today(b.select("code").distinct(), b, day("2024-01-16"))
+    return wl.pending_today(views.suppliers(spark, d).select("code"), views.long_bars(spark, d), day("1996-05-06"))
 
 
 @query("SELECT code, name, n, n IS NULL AS unmapped FROM v_master LEFT JOIN (SELECT code, count(*) AS n FROM v_long WHERE code::INT % 3 > 0 GROUP BY code) USING (code)")

@@ -87,10 +87,13 @@ def _factors(spark, d):
     return views.bars(spark, d).where("close % 50 = 0").select("code", "date", F.lit(2.0).alias("factor"))
 
 
-@query(_ADJUSTED)
+@query(_ADJUSTED.replace("2.0 AS factor", "0.5 AS factor").replace("close % 50 = 0", "volume > 1").replace("'primary' AS source", "'rebuilt' AS source"))
 def mrg_5_rebuild_table(spark, d):
-    root = tables.scratch(spark, "adjusted")
-    jobs.adjust_rebuild(views.bars(spark, d).withColumn("source", F.lit("primary")), _factors(spark, d), root)
+    """A table that is there with other figures and older rows, all of which a rebuild replaces."""
+    root, b = tables.scratch(spark, "adjusted"), views.bars(spark, d).withColumn("source", F.lit("rebuilt"))
+    old = jobs.typed(b.withColumn("close", F.lit(0)).withColumn("date", F.date_sub("date", 9000)).unionByName(b), "daily_bars_adjusted")
+    publish.publish(old, root, 1)
+    jobs.adjust_rebuild(b, b.where("volume > 1").select("code", "date", F.lit(0.5).alias("factor")), root)
     return publish.current(spark, root)
 
 
