@@ -229,6 +229,12 @@ def test_quantiles_and_batches_in_levels(spark):
         return ordered[lo] if lo == place else ordered[lo] * (lo + 1 - place) + ordered[lo + 1] * (place - lo)
 
     assert [got[k] for k in ("low", "mid", "most", "top")] == pytest.approx([want(x) for x in (0.0, 0.5, 0.951, 1.0)])
+    for n in range(1, 60):  # few values, far fewer than the sketch can tell apart
+        some = spark.range(n).select((F.col("id") * F.col("id")).cast("double").alias("v"))
+        ordered = [float(i * i) for i in range(n)]
+        if n % 7 in (1, 4):
+            assert quality.exact_quantiles(some, F.col("v"), {"p95": 0.95}).first().p95 == pytest.approx(want(0.95))
+    ordered = sorted(values)
     assert quality.exact_quantiles(df.where("false"), F.col("v"), {"mid": 0.5}).first().mid is None
     pending = spark.createDataFrame([(f"{rng.randint(0, 999999):06d}", p) for p in ("2020Q1", "2020Q2") for _ in range(400)], "code string, period string").distinct()
     got = [(r.period, r.code, r.batch) for r in worklists.batch_worklist(pending, 30).orderBy("period", "code").collect()]

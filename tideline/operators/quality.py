@@ -81,12 +81,12 @@ def exact_quantiles(df: DataFrame, value: Column, shares: Mapping[str, float], a
     brackets are counted and only those within are ranked, so no task gets more than a few parts in
     ``accuracy`` of the values."""
     rows = df.select(value.cast("double").alias("v")).where("v is not null")
-    names, wide = list(shares), 3.0 / accuracy
-    ends = [min(1.0, max(0.0, shares[k] + side)) for k in names for side in (-wide, wide)]
-    known = rows.agg(F.count("*").alias("n"), F.percentile_approx("v", ends, accuracy).alias("ends")).first()
-    n = known["n"]
+    names, n = list(shares), rows.count()
     if not n:
         return rows.agg(*[F.lit(None).cast("double").alias(k) for k in names])
+    wide = 3.0 / accuracy + 2.0 / n  # the sketch's error and the places beside a quantile
+    ends = [min(1.0, max(0.0, shares[k] + side)) for k in names for side in (-wide, wide)]
+    known = rows.agg(F.percentile_approx("v", ends, accuracy).alias("ends")).first()
     spark, found = df.sparkSession, []
     for i, k in enumerate(names):
         place = (n - 1) * shares[k]
