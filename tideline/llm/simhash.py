@@ -144,7 +144,7 @@ def _sketches(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch, "text"):
+            for a, b in slices(batch, "text", 1 << 20):
                 part = batch.slice(a, b - a)
                 texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
                 prints = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
@@ -158,7 +158,7 @@ def _sketches(width: int):
 
 def similar(rows: DataFrame, similarity: float) -> DataFrame:
     """Pairs ``(a, b)`` of fingerprints of texts whose shingle sets have a Jaccard similarity of at
-    least ``similarity``, from stored ``rows(fp, one, bands, shingles)``.
+    least ``similarity``, from stored ``rows(doc_id, fp, one, bands, shingles)``.
 
     Texts that agree in a band key are not all paired: each is compared with the key's ``LEADS``
     leaders, which are the least texts under that many orders, the same for all keys.  A text whose
@@ -176,7 +176,9 @@ def similar(rows: DataFrame, similarity: float) -> DataFrame:
     parts = F.coalesce("parts", F.lit(1))
     left = pairs.join(size, "lead", "left").select("one", "lead", F.pmod(F.xxhash64("one"), parts).cast("int").alias("part"))
     named = pairs.select(F.col("one")).union(pairs.select("lead")).distinct()
-    sets = rows.join(named, "one", "left_semi").groupBy("one").agg(F.first(F.struct("fp", "shingles")).alias("s"))
+    # one row of each text, so that a text that many rows hold isn't dealt by its hash
+    chosen = rows.groupBy("one").agg(F.min("doc_id").alias("doc_id")).join(named, "one", "left_semi")
+    sets = rows.join(chosen, ["doc_id", "one"], "left_semi").groupBy("one").agg(F.first(F.struct("fp", "shingles")).alias("s"))
     sets = stored(sets.select("one", "s.fp", "s.shingles"), "sets")
     lead = sets.join(size.withColumnRenamed("lead", "one"), "one", "left")
     lead = lead.select(F.col("one").alias("lead"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("fp").alias("a"), F.col("shingles").alias("x"))
