@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators import asof, merge, publish, worklists
 from tideline.operators import normalize as nz
 from tideline.plans import jobs
 from tideline.plans.catalog import SQL, query
-from tideline.plans.queries_read import _AVAIL, raw
-from tideline.plans.queries_relate import LIMITS, MARKETS, day, delisted, sourced, statement_lines
+from tideline.plans.queries_read import _AVAIL, LIMITS, raw
+from tideline.plans.queries_relate import MARKETS, day, delisted, sourced, statement_lines
 from tideline.sources import tables, views
 from tideline.streaming import streams
 
