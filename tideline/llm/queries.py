@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import decontaminate, embeddings, licenses, linededup, packing, quality, simhash, tokencount, toxicity, warc
+from tideline.llm import decontaminate, embeddings, filteraudit, licenses, linededup, packing, quality, simhash, tokencount, toxicity, warc
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,9 +51,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.filter_audit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_benchmark_decontamination, op2_line_dedup, op3_simhash_near_dedup, op4_quality_classifier, op5_best_fit_packing, op6_license_scan, op7_embedding_near_dedup, op8_toxicity, op9_warc_capture_index, op10_token_counts)
-}
+    f.__name__: f
+    for f in (
+        op1_benchmark_decontamination, op2_line_dedup, op3_simhash_near_dedup, op4_quality_classifier, op5_best_fit_packing, op6_license_scan,
+        op7_embedding_near_dedup, op8_toxicity, op9_warc_capture_index, op10_token_counts, op11_filter_audit,
+    )
+}
 
 _LICENSE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
@@ -139,4 +147,28 @@ SQL: dict[str, str] = {
             CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to
         FROM h""",
+    "op11_filter_audit": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        f AS (
+            SELECT d.doc_id, part, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic, map {
+                'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w), 'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+                'D': regexp_matches(t, '[#$%&*|]'), 'E': d.doc_id > min(d.doc_id) OVER (PARTITION BY t)} AS fails
+            FROM d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+        counts AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+        orders(o) AS (SELECT '' UNION ALL SELECT o || x FROM orders, (SELECT unnest(string_split('ABCDE', '')) AS x) WHERE NOT contains(o, x)),
+        steps AS (SELECT o, s, substr(o, s, 1) AS filter, left(o, s - 1) AS before FROM orders, range(1, 6) r(s) WHERE length(o) = 5),
+        seen AS (
+            SELECT part, o, s, filter, n, good, toxic, fails[filter] AS fail, len(list_filter(string_split(before, ''), lambda x: x <> '' AND fails[x])) > 0 AS gone,
+                len(list_filter(map_values(fails), lambda x: x)) = 1 AS alone
+            FROM counts, steps),
+        sums AS (
+            SELECT part, o, s, filter, coalesce(sum(n) FILTER (NOT gone AND NOT fail), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND fail), 0) AS removed,
+                coalesce(sum(n) FILTER (gone AND fail), 0) AS redundant, coalesce(sum(n) FILTER (fail AND alone), 0) AS unique_fails,
+                coalesce(sum(good) FILTER (NOT gone AND fail), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND fail), 0) AS toxic_lost
+            FROM seen GROUP BY ALL)
+        SELECT part, o AS filter_order, CAST(s AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+            CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+        FROM sums""",
 }
