@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import decontaminate, embeddings, filteraudit, licenses, linededup, packing, quality, simhash, tokencount, toxicity, warc
+from tideline.llm import convtrie, decontaminate, embeddings, filteraudit, licenses, linededup, packing, quality, simhash, tokencount, toxicity, warc
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +55,15 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.filter_audit(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination, op2_line_dedup, op3_simhash_near_dedup, op4_quality_classifier, op5_best_fit_packing, op6_license_scan,
-        op7_embedding_near_dedup, op8_toxicity, op9_warc_capture_index, op10_token_counts, op11_filter_audit,
+        op7_embedding_near_dedup, op8_toxicity, op9_warc_capture_index, op10_token_counts, op11_filter_audit, op12_conversation_prefix_trie,
     )
 }
 
@@ -171,4 +175,29 @@ SQL: dict[str, str] = {
             CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
             CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
         FROM sums""",
+    # CRC-32 bit by bit over the digits; a prefix is the list of its turns; the nodes above one are the prefixes of its smallest member
+    "op12_conversation_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32)) - 1 AS i,
+                {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT c, list(x ORDER BY i) AS l FROM t GROUP BY c),
+        crc AS (
+            SELECT c, l, xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda y: ord(y)::BIGINT), lambda v, b: list_reduce(range(8),
+                lambda z, k: xor(z >> 1, CASE WHEN z & 1 = 1 THEN 3988292384 ELSE 0 END), xor(v, b)), 4294967295), 4294967295) % 9 AS h FROM own),
+        seq AS (SELECT crc.c, list_concat(coalesce(b.l, [])[:h], crc.l[h + 1:]) AS s FROM crc LEFT JOIN own b ON b.c = crc.c - crc.c % 5),
+        pre AS (SELECT c, d, s[:d] AS p, d = len(s) AS last, CASE WHEN d > 0 THEN strlen(s[d].t) ELSE 0 END AS n FROM seq, LATERAL (SELECT unnest(range(len(s) + 1)) AS d)),
+        nodes AS (
+            SELECT p, d, min(c) AS c, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+                sha256(coalesce(string_agg(CASE WHEN last THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends FROM pre GROUP BY p, d),
+        numbered AS (SELECT *, row_number() OVER () AS id FROM nodes),
+        path AS (SELECT pre.c, pre.d, id, m.c AS first FROM pre JOIN numbered m ON m.p = pre.p AND m.d = pre.d),
+        links AS (SELECT m.id, up.id AS parent, up.first FROM numbered m JOIN path up ON up.c = m.c AND up.d = m.d - 1),
+        kids AS (SELECT parent AS id, count(*) AS n FROM links GROUP BY parent),
+        below AS (
+            SELECT up.id, count(*) FILTER (k.n IS NULL) AS leaves, sum(m.saved) AS saved
+            FROM numbered m JOIN path up ON up.c = m.c AND up.d <= m.d LEFT JOIN kids k ON k.id = m.id GROUP BY up.id)
+        SELECT m.c AS conv_id, CAST(m.d AS BIGINT) AS depth, l.first AS parent_conv_id, n_convs, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children,
+            CAST(leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+        FROM numbered m JOIN below b USING (id) LEFT JOIN links l USING (id) LEFT JOIN kids k USING (id)""",
 }
