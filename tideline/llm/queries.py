@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import convtrie, decontaminate, embeddings, filteraudit, licenses, linededup, packing, quality, simhash, tokencount, toxicity, warc
+from tideline.llm import chatformat, convtrie, decontaminate, embeddings, filteraudit, licenses, linededup, packing, quality, simhash, tokencount, toxicity, warc
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,11 +59,16 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return convtrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return chatformat.read_back(chatformat.format_chats(chatformat.with_planted(conversations)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination, op2_line_dedup, op3_simhash_near_dedup, op4_quality_classifier, op5_best_fit_packing, op6_license_scan,
-        op7_embedding_near_dedup, op8_toxicity, op9_warc_capture_index, op10_token_counts, op11_filter_audit, op12_conversation_prefix_trie,
+        op7_embedding_near_dedup, op8_toxicity, op9_warc_capture_index, op10_token_counts, op11_filter_audit, op12_conversation_prefix_trie, op13_chat_formatting,
     )
 }
 
@@ -200,4 +205,16 @@ SQL: dict[str, str] = {
         SELECT m.c AS conv_id, CAST(m.d AS BIGINT) AS depth, l.first AS parent_conv_id, n_convs, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children,
             CAST(leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
         FROM numbered m JOIN below b USING (id) LEFT JOIN links l USING (id) LEFT JOIN kids k USING (id)""",
+    "op13_chat_formatting": r"""
+        WITH t AS (
+            SELECT conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, i + 4611686018427387905, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+        e AS (
+            SELECT *, replace(replace(replace(text, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>') AS body,
+                replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>'), ':', '\:') AS name FROM t),
+        s AS (
+            SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+                coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS loss,
+                sum(length('### ' || name || ': ' || body || '</turn>' || chr(10))) AS n FROM e GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars FROM s""",
 }
