@@ -168,7 +168,7 @@ def test_an_update_rewrites_only_the_parts_it_touches(spark, tmp_path):
     root, key, part = f"file://{tmp_path}/t", ["code", "date"], F.substring(F.col("date").cast("string"), 1, 4)
     make = lambda rows: spark.createDataFrame([(c, D(y, 1, 2) if y else None, n) for c, y, n in rows], "code string, date date, n int")
     step = lambda base, new: merge.merge_update(base, new, key)
-    folders = lambda: {r["part"]: r["path"] for r in publish._parts(spark, root, publish._resolve(spark, root)[0])}
+    folders = lambda: {p.part: p.path for p in publish._parts(spark, root, publish.latest(spark, root).generation)}
     publish.update(make([("a", 2020, 1), ("b", 2020, 2), ("a", 2021, 3), (None, None, 4)]), root, part, step, 1, "date")
     first, held = folders(), publish.current(spark, root)
     assert set(first) == {"2020", "2021", ""}

@@ -20,24 +20,30 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return one.select(*[F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in df.columns])
 
 
-def merge_update(base: DataFrame, new: DataFrame, keys: Sequence[str], defaults: Mapping[str, object] | None = None) -> DataFrame:
+def merge_update(base: DataFrame, new: DataFrame, keys: Sequence[str], defaults: Mapping[str, object] | None = None, extend: bool = False) -> DataFrame:
     """Inserts, and on a key match overwrites just the columns that ``new`` has; inserted rows take
     the declared defaults for the others (else null).  ``new`` must have each key once.  A null in a
-    key is a value like any other, so a merge that is repeated changes nothing."""
+    key is a value like any other, so a merge that is repeated changes nothing.  With ``extend``, columns
+    that only ``new`` has are added, old rows taking the default."""
     defaults = defaults or {}
     n = assert_unique(new, keys).withColumn("__new", F.lit(True))
     b = base.withColumn("__old", F.lit(True)).alias("b")
     joined = b.join(n.alias("n"), [F.col(f"b.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys], "full")
     is_new, is_old = F.col("__new").isNotNull(), F.col("__old").isNotNull()
+    added = [c for c in new.columns if extend and c not in base.columns]
+    kind = lambda c: (new if c in added else base).schema[c].dataType
 
     def column(c: str) -> Column:
         if c in keys:
             return F.coalesce(F.col(f"b.{c}"), F.col(f"n.{c}")).alias(c)
+        default = F.lit(defaults.get(c)).cast(kind(c))
+        if c in added:
+            return F.when(is_new, F.col(f"n.{c}")).otherwise(default).alias(c)
         if c in new.columns:
-            return F.when(is_new, F.col(f"n.{c}").cast(base.schema[c].dataType)).otherwise(F.col(f"b.{c}")).alias(c)
-        return F.when(is_old, F.col(f"b.{c}")).otherwise(F.lit(defaults.get(c)).cast(base.schema[c].dataType)).alias(c)
+            return F.when(is_new, F.col(f"n.{c}").cast(kind(c))).otherwise(F.col(f"b.{c}")).alias(c)
+        return F.when(is_old, F.col(f"b.{c}")).otherwise(default).alias(c)
 
-    return joined.select(*[column(c) for c in base.columns])
+    return joined.select(*[column(c) for c in [*base.columns, *added]])
 
 
 def fresh_rows(base: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,12 +53,16 @@ def fresh_rows(base: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return n.join(b, [F.col(f"n.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "left_anti")
 
 
-def merge_insert_only(base: DataFrame, new: DataFrame, keys: Sequence[str], defaults: Mapping[str, object] | None = None) -> DataFrame:
-    """Existing rows stay as they are; new keys are added."""
+def merge_insert_only(base: DataFrame, new: DataFrame, keys: Sequence[str], defaults: Mapping[str, object] | None = None, flag: str | None = None) -> DataFrame:
+    """Existing rows stay as they are; new keys are added.  ``flag`` names a further column that tells
+    the added rows, so that they can be counted while the result is written."""
     added = fresh_rows(base, new, keys)
     given = defaults or {}
     fill = {c: F.lit(given.get(c)).cast(base.schema[c].dataType) for c in base.columns if c not in new.columns}
-    return base.unionByName(added.withColumns(fill).select(base.columns))
+    added = added.withColumns(fill).select(base.columns)
+    if flag:
+        base, added = base.withColumn(flag, F.lit(False)), added.withColumn(flag, F.lit(True))
+    return base.unionByName(added)
 
 
 def changed_versions(base: DataFrame, new: DataFrame, keys: Sequence[str], version: str, values: Sequence[str]) -> DataFrame:

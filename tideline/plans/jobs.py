@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -29,18 +30,51 @@ def upsert(base: DataFrame, new: DataFrame, table: str) -> DataFrame:
     return merge.merge_update(base, typed(new, table), t.keys, t.defaults)
 
 
-def merge_into(new: DataFrame, root: str, table: str, keep: int = 2) -> str:
+def _year(table: str) -> tuple[str, Column]:
+    """The column by whose year a table is kept in parts, and the part."""
+    by = next(c for c in ("date", "period") if c in TABLES[table].keys)
+    return by, F.substring(F.col(by).cast("string"), 1, 4)
+
+
+def _whole(base: DataFrame, table: str) -> DataFrame:
+    """``base`` with the columns of a known table, and those that it has besides."""
+    schema = TABLES[table].schema
+    missing = {f.name: F.lit(TABLES[table].defaults.get(f.name)).cast(f.dataType) for f in schema if f.name not in base.columns}
+    return base.withColumns(missing).select(*schema.fieldNames(), *[c for c in base.columns if c not in schema.names])
+
+
+def _into(new: DataFrame, root: str, table: str, keep: int, writer: tuple[str, int] | None, step, tally=None) -> publish.Generation | None:
+    by, part = _year(table)
+    schema = TABLES[table].schema
+    rows = new.withColumns({c: F.col(c).cast(schema[c].dataType) for c in new.columns if c in schema.names})
+
+    def run(base: DataFrame, rows: DataFrame) -> DataFrame:
+        last = publish.latest(rows.sparkSession, root)
+        return step(_whole(base, table), rows, {**TABLES[table].defaults, **(last.defaults if last else {})})
+
+    return publish.update(rows, root, part, run, keep, by if by == "date" else None, writer, TABLES[table].defaults, tally)
+
+
+def merge_into(new: DataFrame, root: str, table: str, keep: int = 2, writer: tuple[str, int] | None = None) -> publish.Generation | None:
     """Merges rows into the table below ``root``, which is kept in parts by year (of the date, or of the
-    period): only the years that ``new`` touches are read and written."""
-    t = TABLES[table]
-    by = next(c for c in ("date", "period") if c in t.keys)
+    period): only the years that ``new`` touches are read and written.  Columns beyond those of the known
+    table are kept, and added to it if they are new.  No rows at all leave the table as it is."""
+    return _into(new, root, table, keep, writer, lambda base, rows, defaults: merge.merge_update(base, rows, TABLES[table].keys, defaults, extend=True))
+
+
+def insert_into(new: DataFrame, root: str, table: str, keep: int = 2, writer: tuple[str, int] | None = None) -> publish.Generation | None:
+    """As :func:`merge_into`, but rows that are there stay as they are.  The true insert count is measured
+    while the years are written: ``tally["inserted"]`` of the result."""
+    step = lambda base, rows, defaults: merge.merge_insert_only(base, rows.select([c for c in rows.columns if c in base.columns]), TABLES[table].keys, defaults, flag="__inserted")
+    return _into(new, root, table, keep, writer, step, {"inserted": F.count_if("__inserted")})
 
-    def step(base: DataFrame, rows: DataFrame) -> DataFrame:
-        missing = [c for c in t.schema.fieldNames() if c not in base.columns]
-        whole = base.withColumns({c: F.lit(None).cast(t.schema[c].dataType) for c in missing}).select(t.schema.fieldNames())
-        return merge.merge_update(whole, rows, t.keys, t.defaults)
 
-    return publish.update(typed(new, table), root, F.substring(F.col(by).cast("string"), 1, 4), step, keep, by if by == "date" else None)
+def copy_recent(spark: SparkSession, source: str, target: str, table: str, first: dt.date | None, last: dt.date | None = None) -> publish.Generation | None:
+    """Copies the rows of some days from one table in parts to another: of the source only the years that
+    hold such days are opened, of the target only those years are read and written."""
+    by, _ = _year(table)
+    rows = publish.current(spark, source, {by: (first, last)})
+    return None if rows is None else merge_into(rows, target, table)
 
 
 def copy_tables(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame], days: int | None, today: Column, whole: Sequence[str] = ("stocks", "delisted_stocks")) -> dict[str, DataFrame]:
@@ -98,24 +132,26 @@ def earnings_worklist(codes: DataFrame, periods: DataFrame, earnings: DataFrame,
     return wl.batch_worklist(nz.lookahead_guard(wl.pending_periods(codes.select("code"), periods, earnings), today), size).select("code", "period", "batch")
 
 
-def earnings_increment(earnings: DataFrame, codes: DataFrame, quarters: int, lines: DataFrame, today: Column, mode: str) -> DataFrame:
-    """The last quarters of the codes, as far as they are pending, from statement lines as in
-    :func:`earnings_backfill`."""
-    return _earnings(earnings, codes, recent(codes.sparkSession, quarters, today), lines, today, mode)
+def earnings_increment(earnings: DataFrame, codes: DataFrame, quarters: int, lines: DataFrame, today: Column, mode: str, pending_only: bool = False) -> DataFrame:
+    """The last quarters of the codes from statement lines as in :func:`earnings_backfill`."""
+    return _earnings(earnings, codes, recent(codes.sparkSession, quarters, today), lines, today, mode, pending_only)
 
 
-def earnings_backfill(earnings: DataFrame, codes: DataFrame, first_year: int, last_year: int, lines: DataFrame, today: Column, mode: str) -> DataFrame:
-    """All quarters of the years, as far as they are pending and can be known by now, from statement
+def earnings_backfill(earnings: DataFrame, codes: DataFrame, first_year: int, last_year: int, lines: DataFrame, today: Column, mode: str, pending_only: bool = False) -> DataFrame:
+    """All quarters of the years that can be known by now, from statement
     lines ``(code, period, status, pos, account_nm, thstrm_amount, frmtrm_amount)``, appended as
-    versions."""
+    versions: a restated figure becomes a version of its own, one that hasn't changed does not.
+    With ``pending_only``, periods that are stored are left out, restatements with them; it saves
+    requests where statements are still to be fetched."""
     periods = codes.sparkSession.range(1).select(F.explode(fn.period_range(first_year, last_year)).alias("period"))
-    return _earnings(earnings, codes, periods, lines, today, mode)
+    return _earnings(earnings, codes, periods, lines, today, mode, pending_only)
 
 
-def _earnings(earnings: DataFrame, codes: DataFrame, periods: DataFrame, lines: DataFrame, today: Column, mode: str) -> DataFrame:
-    pending = nz.lookahead_guard(wl.pending_periods(codes.select("code"), periods, earnings), today)
+def _earnings(earnings: DataFrame, codes: DataFrame, periods: DataFrame, lines: DataFrame, today: Column, mode: str, pending_only: bool) -> DataFrame:
+    stored = earnings if pending_only else earnings.where("false")
+    due = nz.lookahead_guard(wl.pending_periods(codes.select("code"), periods, stored), today)
     six = nz.financials_six(lines, ["code", "period"])
-    rows = pending.join(six, ["code", "period"], "left")
+    rows = due.join(six, ["code", "period"], "left")
     rows = rows.withColumns({"year": F.substring("period", 1, 4).cast("int"), "quarter": F.substring("period", 6, 1).cast("int")})
     new = nz.build_earnings_rows(rows, mode, today)
     return merge.append_changed_versions(earnings, new.select(earnings.columns), ["code", "period"], "knowledge_date", FIGURES)
