@@ -25,6 +25,7 @@ def apply(spark, f, *values, kind="string"):
         (fn.parse_date, ("20260812", "2026-08-12", "2026.08.12", "2026/08/12", "2026-08.12", "20261301", "", None), [D(2026, 8, 12)] * 3 + [None] * 5),
         (fn.avail_date, ("2020Q1", "2020Q4", "2019Q3"), [D(2020, 5, 15), D(2021, 3, 31), D(2019, 11, 14)]),
         (fn.mask_dsn, ("postgresql://u:pw@h:5432/d", "no secret"), ["postgresql://u:***@h:5432/d", "no secret"]),
+        (fn.mask_dsn, ("http://h:80/a@b", "jdbc+x://u:p:q@h", "://u:p@h", "a://u:@h", "x://u:p@y://v:q@h"), ["http://h:80/a@b", "jdbc+x://u:***@h", "://u:p@h", "a://u:@h", "x://u:***@y://v:***@h"]),
         (fn.mask_secrets, ("x?api_key=k81kk&page=2&of=9", "APIKEY=q TOKEN=z", None, "a://u:p@h"), ["x?api_key=***&page=2&of=9", "APIKEY=*** TOKEN=***", "", "a://u:***@h"]),
         (fn.mask_secrets, ("(token=ab\"& rest", "{'token=ab', 1}", 'token="ab"', "mytoken=ab"), ["(token=***\"& rest", "{'token=***', 1}", 'token="ab"', "mytoken=ab"]),
     ],

@@ -48,7 +48,41 @@ def test_inventory_and_control(spark, tmp_path):
     assert [r.k for r in tables.read_control(spark, str(tmp_path / "c.json"), "k string, n bigint").collect()] == ["a"]
 
 
+def test_checksums_in_pieces(spark, tmp_path):
+    want = {}
+    for k, n in enumerate((1, 999, 4096, 100_000)):
+        content = bytes(i * k % 251 for i in range(n))
+        (tmp_path / "in" / str(k)).mkdir(parents=True)
+        (tmp_path / "in" / str(k) / f"a b%{k}é.bin").write_bytes(content)
+        want[k] = (n, hashlib.sha256(content).hexdigest())
+    for piece in (7, 1000, 1 << 20):
+        got = tables.file_inventory(spark, f"file://{tmp_path}/in", piece=piece).collect()
+        assert {int(r.path.split("%")[1][0]): (r["size"], r.sha256) for r in got} == want
+    assert [tables._arrow_uri(x) for x in ("file:/a b", "s3a://k/v w", "hdfs://h:8020/a%b")] == ["file:///a%20b", "s3://k/v%20w", "hdfs://h:8020/a%25b"]
+
+
+def test_snapshots_of_several_encodings_and_headers(spark, tmp_path):
+    """One folder: each file in an encoding and with an order of columns of its own."""
+    code, shares, name = "종목코드", "상장주식수", "종목명"
+    files = {
+        "2026-08-10.csv": (f'"{code}","{name}","{shares}"\n"005930","삼성","5,969,782,550"\n"1","z","-"\n', "euc-kr"),
+        "2026-08-11.csv": (f"{shares},{name},{code}\n728002365,뷁펲,000660\n,x,2\n", "cp949"),
+        "20260812.csv": (f"{name},{code},{shares}\ny,000020,7.9\nshort,1\n", "utf-8-sig"),
+        "2026-08-13.csv": (f"{code},{shares}\n000040,9\n", "utf-8"),
+        "2026-08-14.csv": (f"{code},other\n000050,9\n", "utf-8"),
+        "2026-08-15.csv": ("", "utf-8"),
+    }
+    for file, (text, encoding) in files.items():
+        (tmp_path / file).write_bytes(text.encode(encoding))
+    (tmp_path / "2026-08-16.csv").write_bytes(b"\xff\xfe\x00\x81,\xff\n")  # broken
+    got = tables.read_snapshots(spark, str(tmp_path), code, shares)
+    assert sorted(map(tuple, got.collect()), key=str) == [("000020", dt.date(2026, 8, 12), 7), ("000040", dt.date(2026, 8, 13), 9), ("000660", dt.date(2026, 8, 11), 728002365), ("005930", dt.date(2026, 8, 10), 5969782550)]
+
+
 def test_control_is_replaced_but_keeps_local_facts(spark):
+    seen = spark.createDataFrame([("a", 1, "x"), (None, 3, "z")], "feed string, n int, local string")
+    later = spark.createDataFrame([("a", None), (None, 4)], "feed string, n int")
+    assert sorted(map(tuple, tables.merge_control(seen, later, "feed").collect()), key=str) == [("a", None, "x"), (None, 4, "z")]
     old = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "feed string, n int, local string")
     new = spark.createDataFrame([("a", 5), ("c", 6)], "feed string, n int")
     assert sorted(map(tuple, tables.merge_control(old, new, "feed").collect())) == [("a", 5, "x"), ("b", 2, "y"), ("c", 6, None)]

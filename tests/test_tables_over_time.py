@@ -66,11 +66,13 @@ def test_asof_joins_equal_naive(spark):
         fit = [(e, n) for (x, e), (n, k) in shares.items() if x == c and e <= d and (not pit or (k or e) <= d)]
         return max(fit)[1] if fit else None
 
-    assert {(r.code, r.date): r.shares for r in asof.asof_shares(b, s).collect()} == {x: naive(*x, False) for x in bars}
-    assert {(r.code, r.date): r.shares for r in asof.asof_shares_pit(b, s).collect()} == {x: naive(*x, True) for x in bars}
+    for days in (1, 5, 366):  # over the ends of many blocks, and within one
+        assert {(r.code, r.date): r.shares for r in asof.asof_shares(b, s, days=days).collect()} == {x: naive(*x, False) for x in bars}
+        assert {(r.code, r.date): r.shares for r in asof.asof_shares_pit(b, s, days=days).collect()} == {x: naive(*x, True) for x in bars}
     factors = {(c, d): rng.choice([0.5, 2.0]) for c, d in list(bars)[:30]}
     f = spark.createDataFrame([(c, d, x) for (c, d), x in factors.items()], "code string, date date, factor double")
-    got = {(r.code, r.date): r.close for r in asof.back_adjust(b, f, ["close"]).collect()}
+    got = {(r.code, r.date): r.close for r in asof.back_adjust(b, f, ["close"], 3).collect()}
+    assert got == {(r.code, r.date): r.close for r in asof.back_adjust(b, f, ["close"]).collect()}
     for c, d in bars:
         want = 2.0
         for (x, e), factor in factors.items():
@@ -78,6 +80,31 @@ def test_asof_joins_equal_naive(spark):
         assert got[c, d] == want
 
 
+def test_a_hot_code_is_many_groups(spark):
+    """A code with most of the rows is dealt by blocks of days; nulls in code and date are values."""
+    rows = [("a", D(2000, 1, 1) + dt.timedelta(k), k) for k in range(0, 4000, 3)] + [("b", D(2001, 1, 1), 1), (None, D(2002, 1, 1), 2), (None, None, 3)]
+    bars = spark.createDataFrame(rows, "code string, date date, close int")
+    shares = spark.createDataFrame([("a", D(2000, 1, 2), 5), ("a", D(2009, 1, 1), 6), (None, D(2001, 1, 1), 7)], "code string, date date, shares int")
+    got = {(r.code, r.date): r.shares for r in asof.asof_shares(bars, shares).collect()}
+    for c, d, _ in rows:
+        want = None if d is None or c == "b" else 7 if c is None else 6 if d >= D(2009, 1, 1) else 5 if d > D(2000, 1, 1) else None
+        assert got[c, d] == want, (c, d)
+    plan = asof.asof_shares(bars, shares)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(code" in plan and "__b" in plan
+
+
+def test_batches_of_zero_padded_codes(spark):
+    """Codes that all begin alike: the ranges are taken from what comes after, so no group holds most of them."""
+    pending = spark.range(5000).selectExpr("lpad(id * 7, 12, '0') as code", "concat('202', id % 2, 'Q1') as period").unionByName(spark.createDataFrame([(None, "2020Q1"), ("", "2020Q1"), ("é", "2020Q1")], "code string, period string"))
+    got = [(r.period, r.code or "", r.batch) for r in worklists.batch_worklist(pending, 100).collect()]
+    for p in ("2020Q1", "2021Q1"):
+        own = sorted((c.encode(), b) for q, c, b in got if q == p)
+        assert [b for _, b in own] == [i // 100 for i in range(len(own))]
+    plain = pending.where("code like '0%'")
+    text = worklists.batch_worklist(plain, 100)
+    assert text.count() == 5000 and worklists.batch_worklist(plain.where("false"), 100).count() == 0
+
+
 def test_streaks(spark):
     rng = random.Random(3)
     seen = [(f, i, rng.choice(["x", "x", "x", "y", None])) for f in "ab" for i in range(40)]

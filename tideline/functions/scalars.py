@@ -97,15 +97,23 @@ def period_range(first_year: int, last_year: int) -> Column:
     return F.flatten(F.transform(years, lambda y: F.transform(F.sequence(F.lit(1), F.lit(4)), lambda q: period_of(y, q))))
 
 
+#: Parameters of a query string that are secrets, and what a value of one ends before.
+SECRETS = ("api_key", "apikey", "token")
+VALUE_ENDS = r"&\s\"'"
+
+
 def mask_dsn(text: Column) -> Column:
-    """The password in ``scheme://user:password@`` becomes ``***``."""
-    return F.regexp_replace(text, r"(\w+://[^:/\s@]+:)[^@\s]+@", "$1***@")
+    """The password in ``scheme://user:password@`` becomes ``***``.  A user has no colon, and neither user
+    nor password a slash, an at sign or white space, so a port before a path isn't taken for one."""
+    scheme, user, password = r"[A-Za-z][A-Za-z0-9+.-]*", r"[^:/@\s]+", r"[^/@\s]+"
+    return F.regexp_replace(text, f"({scheme}://{user}):{password}@", "$1:***@")
 
 
 def mask_secrets(text: Column) -> Column:
-    """Passwords in URLs, and values of ``api_key=`` and ``token=``, masked; null gives ''.  A value
-    ends before an ampersand, white space or a quotation mark, which stay."""
-    return F.regexp_replace(mask_dsn(F.coalesce(text, F.lit(""))), r"(?i)\b(token|api_?key)=[^\s\"'&]+", "$1=***")
+    """Passwords in URLs, and values of secret parameters, in capitals or not, masked; null gives ''.
+    A value ends where a query string's value does, or before white space or a quotation mark, which stay."""
+    parameter = rf"(?i)\b({'|'.join(SECRETS)})=[^{VALUE_ENDS}]+"
+    return F.regexp_replace(mask_dsn(F.coalesce(text, F.lit(""))), parameter, "$1=***")
 
 
 def mask_options(args: Column) -> Column:

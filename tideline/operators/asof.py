@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 KEYS = ("code", "period")
 
@@ -29,24 +30,44 @@ def asof_earnings(df: DataFrame, asof: Column) -> DataFrame:
     return newest_per_key(df.where(F.col("knowledge_date") <= asof), KEYS, "knowledge_date")
 
 
-def asof_shares(bars: DataFrame, shares: DataFrame, value: str = "shares") -> DataFrame:
+def _scanned(rows: DataFrame, order: Sequence[Column], within: Column, over: Callable[[WindowSpec], Column], summary: Column, days: int, forward: bool = True) -> DataFrame:
+    """``rows`` with ``__here``, a running value within blocks of ``days`` of a code, and ``__carry``, the same
+    over the blocks before (after, if not ``forward``).
+
+    A prefix scan in two levels: ``over`` gives an associative running value by a window, ``summary`` that
+    of a whole block by an aggregate.  A code's rows are dealt by block, so that one with most of the rows
+    isn't one task; only a row for each block is scanned by code alone."""
+    block = F.coalesce(F.floor(F.unix_date(within) / days), F.lit(-(1 << 40)))
+    rows = rows.withColumn("__b", block)
+    w = Window.partitionBy("code", "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    blocks = rows.groupBy("code", "__b").agg(summary.alias("__v"))  # under the name that ``over`` reads
+    before = Window.partitionBy("code").orderBy("__b" if forward else F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col("code").alias("__c"), F.col("__b").alias("__d"), over(before).alias("__carry"))
+    here = rows.withColumn("__here", over(w))
+    return here.join(blocks, F.col("code").eqNullSafe(F.col("__c")) & (F.col("__b") == F.col("__d")), "left")
+
+
+def asof_shares(bars: DataFrame, shares: DataFrame, value: str = "shares", days: int = 366) -> DataFrame:
     """``bars`` with the latest share count dated at or before each bar (null before the first).
 
-    A union and a running last value by code: one exchange, and no row is paired with another.
-    On an equal date the count comes first."""
+    A union and a running last value by code, carried over blocks of ``days``: no row is paired with
+    another, and a code runs in as many tasks as it has blocks.  On an equal date the count comes first."""
     columns = bars.columns
     left = bars.select(*columns, F.lit(None).cast(shares.schema[value].dataType).alias("__v"), F.lit(1).alias("__o"))
     right = shares.select("code", "date", F.col(value).alias("__v")).withColumn("__o", F.lit(0))
     both = left.unionByName(right, allowMissingColumns=True)
-    w = Window.partitionBy("code").orderBy("date", "__o").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(value, F.last("__v", ignorenulls=True).over(w)).where("__o = 1").select(*columns, value)
+    last = lambda w: F.last("__v", ignorenulls=True).over(w)
+    point = F.struct(F.coalesce(F.unix_date("date"), F.lit(-(1 << 30))), "__o")
+    newest = F.max_by("__v", F.when(F.col("__v").isNotNull(), point))
+    out = _scanned(both, [F.asc("date"), F.asc("__o")], F.col("date"), last, newest, days)
+    return out.withColumn(value, F.coalesce("__here", "__carry")).where("__o = 1").select(*columns, value)
 
 
 def market_cap_asof(bars: DataFrame, shares: DataFrame) -> DataFrame:
     return asof_shares(bars, shares).withColumn("market_cap", F.col("close") * F.col("shares"))
 
 
-def asof_shares_pit(bars: DataFrame, shares: DataFrame) -> DataFrame:
+def asof_shares_pit(bars: DataFrame, shares: DataFrame, days: int = 366) -> DataFrame:
     """As :func:`asof_shares`, but a count matters only from the day it was known.
 
     Each count enters at the later of its date and its knowledge date; the running maximum of
@@ -54,20 +75,20 @@ def asof_shares_pit(bars: DataFrame, shares: DataFrame) -> DataFrame:
     columns = bars.columns
     point = F.struct("date", "shares")
     left = bars.select(*columns, F.col("date").alias("__t"), F.lit(1).alias("__o"))
-    right = shares.select("code", F.greatest("date", F.coalesce("knowledge_date", "date")).alias("__t"), point.alias("__p"), F.lit(0).alias("__o"))
+    right = shares.select("code", F.greatest("date", F.coalesce("knowledge_date", "date")).alias("__t"), point.alias("__v"), F.lit(0).alias("__o"))
     both = left.unionByName(right, allowMissingColumns=True)
-    w = Window.partitionBy("code").orderBy("__t", "__o").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("shares", F.max("__p").over(w)["shares"]).where("__o = 1").select(*columns, "shares")
+    out = _scanned(both, [F.asc("__t"), F.asc("__o")], F.col("__t"), lambda w: F.max("__v").over(w), F.max("__v"), days)
+    return out.withColumn("shares", F.greatest("__here", "__carry")["shares"]).where("__o = 1").select(*columns, "shares")
 
 
-def back_adjust(bars: DataFrame, factors: DataFrame, prices: Sequence[str] = ("open", "high", "low", "close")) -> DataFrame:
+def back_adjust(bars: DataFrame, factors: DataFrame, prices: Sequence[str] = ("open", "high", "low", "close"), days: int = 366) -> DataFrame:
     """Prices times the product of the factors of all later events ``(code, date, factor)`` of the
-    code.  Volume, traded value and source stay as they are."""
+    code, carried over blocks of ``days``.  Volume, traded value and source stay as they are."""
     columns = bars.columns
-    left = bars.withColumn("__f", F.lit(None).cast("double")).withColumn("__o", F.lit(0))
-    right = factors.select("code", "date", F.col("factor").cast("double").alias("__f"), F.lit(1).alias("__o"))
+    left = bars.withColumn("__v", F.lit(None).cast("double")).withColumn("__o", F.lit(0))
+    right = factors.select("code", "date", F.col("factor").cast("double").alias("__v"), F.lit(1).alias("__o"))
     both = left.unionByName(right, allowMissingColumns=True)
     # by falling date; events of the bar's own day come after it
-    w = Window.partitionBy("code").orderBy(F.desc("date"), "__o").rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("__p", F.coalesce(F.product("__f").over(w), F.lit(1.0))).where("__o = 0")
-    return both.select(*[(F.col(c).cast("double") * F.col("__p")).alias(c) if c in prices else F.col(c) for c in columns])
+    out = _scanned(both, [F.desc("date"), F.asc("__o")], F.col("date"), lambda w: F.product("__v").over(w), F.product("__v"), days, forward=False)
+    out = out.withColumn("__p", F.coalesce("__here", F.lit(1.0)) * F.coalesce("__carry", F.lit(1.0))).where("__o = 0")
+    return out.select(*[(F.col(c).cast("double") * F.col("__p")).alias(c) if c in prices else F.col(c) for c in columns])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -114,19 +115,25 @@ def series(df: DataFrame, code: str) -> DataFrame:
     return df.where(F.col("code") == code).orderBy("date")
 
 
-def batch_worklist(pending: DataFrame, size: int = 100, prefix: int = 3) -> DataFrame:
+def batch_worklist(pending: DataFrame, size: int = 100, groups: int = 64) -> DataFrame:
     """Pending (code, period) pairs dealt into batches of at most ``size`` codes of one period, in the
     order of their codes.
 
-    Numbered in two levels, so that a period isn't one task: within groups of codes that begin with
-    the same ``prefix`` characters, which stand together in that order, and over one row for each
-    group what stands before it."""
-    rows = pending.withColumn("__p", F.substring("code", 1, prefix))
-    groups = rows.groupBy("period", "__p").agg(F.count("*").alias("__n"))
+    Numbered in two levels, so that a period isn't one task: within ranges of codes, and over one row for
+    each range what stands before it.  The ranges hold about equally many pairs: their bounds are
+    quantiles of the seven bytes of a code that follow what all codes begin with, as a number."""
+    ends = [os.fsencode(x or "") for x in pending.agg(F.min("code"), F.max("code")).first()]
+    same = len(os.path.commonprefix(ends))
+    digits = F.rpad(F.hex(F.substring(F.encode("code", "UTF-8"), same + 1, 7)), 14, "0")
+    number = F.conv(digits, 16, 10).cast("bigint")
+    bounds = pending.agg(F.percentile_approx(number, [(k + 1) / groups for k in range(groups - 1)], 10_000)).first()[0] or []
+    held = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<bigint>")
+    rows = pending.withColumn("__n", number).withColumn("__p", F.coalesce(F.size(F.filter(held, lambda b: b <= F.col("__n"))), F.lit(-1))).drop("__n")
+    parts = rows.groupBy("period", "__p").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("period").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
-    groups = groups.select("period", "__p", F.coalesce(before, F.lit(0)).alias("__before"))
+    parts = parts.select("period", "__p", F.coalesce(before, F.lit(0)).alias("__before"))
     at = F.row_number().over(Window.partitionBy("period", "__p").orderBy("code")) - 1
-    numbered = rows.withColumn("__at", at).join(groups, ["period", "__p"])
+    numbered = rows.withColumn("__at", at).join(parts, ["period", "__p"])
     return numbered.withColumn("batch", F.floor((F.col("__before") + F.col("__at")) / size).cast("bigint")).select(*pending.columns, "batch")
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import scalars as fn
 from tideline.operators import normalize as nz
-from tideline.operators import worklists as wl
 from tideline.operators import publish
+from tideline.operators import worklists as wl
 from tideline.plans import jobs
 from tideline.plans.catalog import query
 from tideline.sources import tables, views
@@ -36,6 +38,14 @@ def src_1_read_table(spark, d):
     return t.where("o_orderdate >= '1997-01-01' and o_orderdate < '1998-01-01'").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+@query("SELECT code, date, close::INT AS close, volume, 'archive' AS source FROM v_long WHERE date BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'")
+def src_1_read_parts(spark, d):
+    """A month of a long history that is kept by year: one year's folder is opened."""
+    root = tables.scratch(spark, "history")
+    jobs.merge_into(nz.stamp_source(views.long_bars(spark, d), "archive"), root, "daily_bars")
+    return publish.current(spark, root, {"date": (dt.date(1996, 3, 1), dt.date(1996, 3, 31))}).select("code", "date", "close", "volume", "source")
+
+
 @query("SELECT code, CAST(row_number() OVER (PARTITION BY code ORDER BY event_id) - 1 AS INTEGER) AS pos, event_id::VARCHAR AS id, json_extract_string(props, '$.k') AS k FROM v_ev")
 def src_2_explode_payload(spark, d):
     e = views.table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k"))
@@ -67,6 +77,19 @@ def src_3_read_snapshot_csv(spark, d):
     return tables.read_snapshot_csv(spark, _snapshot(spark, d), "2020-01-02", "code", "listed shares")
 
 
+@query("SELECT code, date, trade_value AS shares_outstanding FROM v_bars WHERE day(date) % 3 < 2")
+def src_3_read_snapshots(spark, d):
+    """A file for each day in one folder: every third with its columns in another order, and every third without the column."""
+    path, b = tables.scratch(spark, "snapshots"), views.bars(spark, d)
+    n, kind = F.format_number("trade_value", 0), F.dayofmonth("date") % 3
+    cell = F.concat(F.lit('"'), n, F.lit('"'))
+    line = F.when(kind == 0, F.concat_ws(",", "code", F.lit("종목"), cell)).otherwise(F.concat_ws(",", cell, "code"))
+    head = F.when(kind == 0, "종목코드,이름,상장주식수").when(kind == 1, "상장주식수,종목코드").otherwise("주식수,종목코드")
+    days = b.select("date", line.alias("line"), head.alias("head")).groupBy("date").agg(F.concat_ws("\n", F.first("head"), F.concat_ws("\n", F.collect_list("line"))).alias("value"))
+    days.repartition("date").write.partitionBy("date").text(path)
+    return tables.read_snapshots(spark, path, "종목코드", "상장주식수")
+
+
 @query("SELECT code, date, open::DOUBLE AS open, high::DOUBLE AS high, low::DOUBLE AS low, close::DOUBLE AS close, volume::DOUBLE AS volume FROM v_bars")
 def src_4_parse_array_text(spark, d):
     b = views.bars(spark, d)
@@ -113,11 +136,12 @@ def src_8_read_control(spark, d):
     return tables.read_control(spark, path, "feed string, checked bigint").unionByName(none)
 
 
-@query("SELECT feed, CASE WHEN feed < 'm' THEN max(checked) ELSE min(checked) END AS checked, CASE WHEN feed < 'm' THEN NULL ELSE min(modified) END AS modified FROM v_checks GROUP BY feed")
+@query("SELECT feed, CASE WHEN feed < 'm' THEN max(checked) ELSE min(checked) END AS checked, CASE WHEN feed < 'd' THEN NULL WHEN feed < 'm' THEN max(modified) ELSE min(modified) END AS modified, 'seen ' || min(checked) AS note FROM v_checks GROUP BY feed")
 def src_9_write_control(spark, d):
-    c = views.feed_checks(spark, d).groupBy("feed").agg(F.min("checked").alias("lo"), F.max("checked").alias("hi"), F.min("modified").alias("modified"))
-    old = c.where("feed >= 'm'").select("feed", F.col("lo").alias("checked"), "modified")
-    new = c.where("feed < 'm'").select("feed", F.col("hi").alias("checked"))
+    """New records of some feeds, one with a null, replace the old ones, whose own facts stay."""
+    c = views.feed_checks(spark, d).groupBy("feed").agg(F.min("checked").alias("lo"), F.max("checked").alias("hi"), F.min("modified").alias("first"), F.max("modified").alias("last"))
+    old = c.select("feed", F.col("lo").alias("checked"), F.col("first").alias("modified"), F.concat(F.lit("seen "), "lo").alias("note"))
+    new = c.where("feed < 'm'").select("feed", F.col("hi").alias("checked"), F.when(F.col("feed") >= "d", F.col("last")).alias("modified"))
     root = tables.scratch(spark, "control")
     for part in (old, new):
         tables.write_control(part, root, "feed")
@@ -386,9 +410,17 @@ def fn_5_signed_int(spark, d):
     return raw(spark, d).select("event_id", fn.signed_int(F.col("signed")).alias("a"))
 
 
-@query("SELECT event_id, 0.0::DOUBLE AS zero, NULL::DOUBLE AS empty FROM events")
+_MISSING = "CASE event_id % 4 WHEN 0 THEN px % 3 WHEN 3 THEN px END"
+
+
+@query(f"SELECT event_id, {_MISSING}::DOUBLE AS f, {_MISSING} AS i, {_MISSING} AS t, count(*) FILTER ({_MISSING} = 0) OVER () AS zeros FROM v_ev")
 def fn_6_falsy(spark, d):
-    return views.table(spark, d, "events").select("event_id", fn.nullable_float(F.lit("0")).alias("zero"), fn.nullable_float(F.lit("")).alias("empty"))
+    """Landed texts: zeros stay zeros, an empty text and a null are missing."""
+    k = F.col("event_id") % 4
+    text = F.when(k == 0, (F.col("px") % 3).cast("string")).when(k == 1, "").when(k == 3, F.col("px").cast("string"))
+    e = raw(spark, d).select("event_id", text.alias("v"))
+    out = e.select("event_id", fn.nullable_float(F.col("v")).alias("f"), fn.nullable_int(F.col("v")).alias("i"), fn.nullable_int_trunc(F.col("v")).alias("t"))
+    return out.crossJoin(F.broadcast(out.agg(F.count_if(F.col("i") == 0).alias("zeros"))))
 
 
 @query("SELECT code, date, CASE WHEN p IS NOT NULL AND p <> 0 THEN (close - p)::DOUBLE / abs(p) END AS growth FROM (SELECT *, lag(close - 500) OVER (PARTITION BY code ORDER BY date) AS p FROM v_bars)")
@@ -429,13 +461,25 @@ def fn_13_period_range(spark, d):
     return wanted.join(f.groupBy("period").agg(F.count("*").alias("facts")), "period", "left").select("period", F.coalesce("facts", F.lit(0)).alias("facts"))
 
 
-@query("SELECT doc_id, md5('db://user' || doc_id || ':***@host/x ' || regexp_replace(coalesce(text, ''), '([0-9A-Za-z_]+://[^:/@\\s]+):[^@\\s]+@', '\\1:***@', 'g')) AS t FROM documents")
+# after each "://" that follows a scheme: what stands before the first "@" is a user, a colon and a password
+_DSN_SQL = r"""SELECT doc_id, array_to_string(list_transform(range(1, len(p) + 1), lambda i: CASE
+        WHEN i > 1 AND regexp_matches(p[i - 1], '[A-Za-z][A-Za-z0-9+.-]*$') AND contains(p[i], '@') AND strpos(h[i], ':') BETWEEN 2 AND length(h[i]) - 1 AND NOT regexp_matches(h[i], '[/\s]')
+        THEN split_part(p[i], ':', 1) || ':***' || substr(p[i], strpos(p[i], '@')) ELSE p[i] END), '://') AS t
+    FROM (SELECT *, list_transform(p, lambda x: split_part(x, '@', 1)) AS h FROM (SELECT doc_id, string_split(t, '://') AS p FROM ({})))"""
+
+
+@query("SELECT doc_id, md5(t) AS t FROM (" + _DSN_SQL.format("SELECT doc_id, 'db://user' || doc_id || ':pw' || doc_id || '@host/x http://h:80/a' || doc_id || '@b ' || coalesce(text, '') AS t FROM documents") + ")")
 def fn_14_mask_dsn(spark, d):
-    t = F.concat(F.lit("db://user"), "doc_id", F.lit(":pw"), "doc_id", F.lit("@host/x "), F.coalesce("text", F.lit("")))
+    t = F.concat(F.lit("db://user"), "doc_id", F.lit(":pw"), "doc_id", F.lit("@host/x http://h:80/a"), "doc_id", F.lit("@b "), F.coalesce("text", F.lit("")))
     return views.table(spark, d, "documents").select("doc_id", F.md5(fn.mask_dsn(t)).alias("t"))
 
 
-@query("SELECT doc_id, 'https://h/?api_key=***&f=' || source || ' TOKEN=***\" apikey=\"k\" Token=***''' AS t, '' AS n, len(regexp_extract_all(regexp_replace(text, ' *= *', '=', 'g'), '(^|[^0-9A-Za-z_])([Aa][Pp][Ii]_?[Kk][Ee][Yy]|[Tt][Oo][Kk][Ee][Nn])=[^&\\s\"' || chr(39) || ']')) AS masked FROM documents")
+# a name before an equals sign and the beginning of a value after it
+_SECRETS_SQL = """CAST(len(list_filter(range(1, len(p)), lambda i: regexp_matches(lower(p[i]), '(^|[^0-9a-z_])(api_key|apikey|token)$')
+    AND p[i + 1] <> '' AND NOT contains('& "' || chr(39) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), left(p[i + 1], 1)))) AS BIGINT)"""
+
+
+@query(f"SELECT doc_id, 'https://h/?api_key=***&f=' || source || ' TOKEN=***\" apikey=\"k\" Token=***''' AS t, '' AS n, {_SECRETS_SQL} AS masked FROM (SELECT *, string_split(regexp_replace(text, ' *= *', '=', 'g'), '=') AS p FROM documents)")
 def fn_15_mask_secrets(spark, d):
     t = views.table(spark, d, "documents")
     squeezed = F.regexp_replace("text", " *= *", "=")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -37,13 +38,14 @@ def mrg_1_merge_update(spark, d):
     return merge.merge_update(base, new, KEY, {"source": "primary"})
 
 
-@query("""SELECT code, date, CASE WHEN year(date) = 1996 THEN -close ELSE close END AS close, low, high, volume, trade_value, CASE WHEN date < DATE '1996-07-01' THEN 'archive' ELSE 'primary' END AS source FROM v_long
-    WHERE date < DATE '1997-01-01'""")
+@query("""SELECT code, date, CASE WHEN year(date) = 1996 THEN -close ELSE close END AS close, low, high, volume, trade_value,
+    CASE WHEN date BETWEEN DATE '1996-07-01' AND DATE '1996-12-31' THEN 'primary' ELSE 'archive' END AS source FROM v_long""")
 def mrg_1_merge_into_parts(spark, d):
     """A long history by year, of which one year is merged anew: the folders of the others stay."""
-    b, root = views.long_bars(spark, d).where("date < '1997-01-01'"), tables.scratch(spark, "by-year")
-    jobs.merge_into(nz.stamp_source(b.where("date < '1996-07-01'"), "archive"), root, "daily_bars")
-    jobs.merge_into(b.where("date >= '1996-01-01'").withColumn("close", -F.col("close")), root, "daily_bars")
+    b, root = views.long_bars(spark, d), tables.scratch(spark, "by-year")
+    jobs.merge_into(nz.stamp_source(b.where("not date between '1996-07-01' and '1996-12-31'"), "archive"), root, "daily_bars")
+    jobs.merge_into(b.where("year(date) = 1996").withColumn("close", -F.col("close")), root, "daily_bars")
+    jobs.merge_into(b.where("false"), root, "daily_bars")  # a day without rows
     return publish.current(spark, root).select("code", "date", *[F.col(c).cast("bigint").alias(c) for c in ("close", "low", "high", "volume", "trade_value")], "source")
 
 
@@ -54,19 +56,31 @@ def mrg_2_merge_insert_only(spark, d):
     return merge.merge_insert_only(base, new, KEY, {"source": "primary"})
 
 
+@query("""SELECT 'table' AS leg, code, date, close, (date < DATE '1997-01-01')::BIGINT AS rows FROM v_long UNION ALL
+    SELECT 'inserted', NULL, NULL, NULL, count(*) FILTER (date >= DATE '1997-01-01') FROM v_long UNION ALL SELECT 'newest', NULL, max(date), NULL, count(*) FROM v_long""")
+def mrg_2_insert_into_parts(spark, d):
+    """History inserted over a part of it: what is there stays, and the counts were measured while writing."""
+    b, root = views.long_bars(spark, d).select("code", "date", "close", "volume"), tables.scratch(spark, "by-year")
+    jobs.insert_into(b.where("date < '1997-01-01'").withColumn("volume", F.lit(1)), root, "daily_bars")
+    done = jobs.insert_into(b.withColumn("volume", F.lit(0)), root, "daily_bars")
+    table = publish.current(spark, root).select(F.lit("table").alias("leg"), *KEY, F.col("close").cast("bigint").alias("close"), F.col("volume").alias("rows"))
+    measured = spark.createDataFrame([("inserted", None, done.tally["inserted"]), ("newest", done.newest, done.rows)], "leg string, date date, rows bigint")
+    return worklists.concat(table, measured)
+
+
 def versions(spark, d):
     f = views.facts(spark, d)
     base = f.where("knowledge_date < '1998-01-01'")
     newest = asof.newest_per_key(base, ["code", "period"], "knowledge_date")
     k = F.length("code") % 2
     again = newest.select("code", "period", F.to_date(F.lit("1998-01-01")).alias("knowledge_date"), F.when(k == 0, F.col("value")).otherwise(F.col("value") + 1).alias("value"))
-    return base, again.unionByName(f.where("knowledge_date > '1998-01-01' and knowledge_date < '1998-03-01'").transform(lambda x: asof.newest_per_key(x, ["code", "period"], "knowledge_date")))
+    return base, again.unionByName(f.where("knowledge_date > '1998-01-01'"))
 
 
 @query("""WITH base AS (SELECT * FROM v_facts WHERE knowledge_date < DATE '1998-01-01')
     SELECT * FROM base UNION ALL
     SELECT code, period, DATE '1998-01-01', value + 1 FROM (SELECT * FROM base QUALIFY row_number() OVER (PARTITION BY code, period ORDER BY knowledge_date DESC) = 1) WHERE length(code) % 2 = 1 UNION ALL
-    SELECT n.* FROM (SELECT * FROM v_facts WHERE knowledge_date > DATE '1998-01-01' AND knowledge_date < DATE '1998-03-01' QUALIFY row_number() OVER (PARTITION BY code, period ORDER BY knowledge_date DESC) = 1) n
+    SELECT n.* FROM (SELECT * FROM v_facts WHERE knowledge_date > DATE '1998-01-01') n
     LEFT JOIN (SELECT * FROM base QUALIFY row_number() OVER (PARTITION BY code, period ORDER BY knowledge_date DESC) = 1) b USING (code, period) WHERE b.value IS DISTINCT FROM n.value""")
 def mrg_3_append_changed_versions(spark, d):
     base, new = versions(spark, d)
@@ -116,6 +130,37 @@ def mrg_7_evolve_schema(spark, d):
     return merge.evolve_schema(f, {"source": ("string", "primary"), "revision": ("int", 0)}, {"seen": "knowledge_date"})
 
 
+@query("""SELECT code, date, CASE WHEN date < DATE '1997-01-01' AND code::INT % 2 = 0 THEN close + 2 WHEN date >= DATE '1999-01-01' THEN close + 1 ELSE close END AS close FROM v_long""")
+def mrg_6_two_writers(spark, d):
+    """While one writer merges new closes into a year, another does so in others and in that one; both
+    changes are there, since the first looks again at what it had started from."""
+    b, root, seen = views.long_bars(spark, d).select("code", "date", "close"), tables.scratch(spark, "writers"), []
+    year = streams.year_of("date")
+    publish.update(b, root, year, lambda base, new: new)
+
+    def first(base, new):
+        if not seen:
+            seen.append(publish.update(b.where("date >= '1999-01-01'").withColumn("close", F.col("close") + 1), root, year, lambda x, y: merge.merge_update(x, y, KEY)))
+            seen.append(publish.update(b.where("date < '1997-01-01'").withColumn("close", F.col("close") + 1), root, year, lambda x, y: merge.merge_update(x, y, KEY)))
+        return base.join(new, KEY, "left").select(*KEY, (base["close"] + F.coalesce("add", F.when(F.col("date") < "1997-01-01", -1).otherwise(0))).alias("close"))
+
+    publish.update(b.where("date < '1997-01-01' and cast(code as int) % 2 = 0").select(*KEY, F.lit(1).alias("add")), root, year, first)
+    return publish.current(spark, root)
+
+
+@query("""SELECT code, date, close, CASE WHEN year(date) = 1996 THEN CASE WHEN code::INT % 2 = 0 THEN 'checked' END ELSE 'unknown' END AS grade, CASE WHEN year(date) = 1996 THEN 1 ELSE 0 END AS revision FROM v_long""")
+def mrg_7_later_columns(spark, d):
+    """A history by year whose later columns are added without rewriting it: one by a commit alone, one by a
+    merge into one year."""
+    b, root = views.long_bars(spark, d).select("code", "date", "close"), tables.scratch(spark, "later")
+    year = streams.year_of("date")
+    publish.update(b, root, year, lambda base, new: new)
+    publish.add_columns(spark, root, {"grade": ("string", "unknown")})
+    new = b.where("year(date) = 1996").withColumn("grade", F.when(F.col("code").cast("int") % 2 == 0, "checked")).withColumn("revision", F.lit(1))
+    publish.update(new, root, year, lambda base, rows: merge.merge_update(base, rows, KEY, extend=True), defaults={"revision": 0})
+    return publish.current(spark, root)
+
+
 @query("SELECT *, 'archive' AS source FROM v_long")
 def mrg_8_stamp_source(spark, d):
     return nz.stamp_source(views.long_bars(spark, d), "archive")
@@ -140,6 +185,39 @@ def str_1_stream_upsert(spark, d):
     return publish.current(spark, root)
 
 
+@query("""SELECT code, date, arg_max(px, event_id) AS px FROM v_ev WHERE event_id % 5 <> 0 GROUP BY ALL UNION ALL
+    SELECT code, date, -1 FROM v_ev GROUP BY code, date HAVING bool_and(event_id % 5 = 0) UNION ALL SELECT code, date - 365, 5 FROM v_bars""")
+def str_1_stream_onto_table(spark, d):
+    """A stream onto a table that holds rows of its days, and another merge between its batches."""
+    r = raw(spark, d).select("code", "date", "px", "event_id")
+    root, year = tables.scratch(spark, "onto"), streams.year_of("date")
+    own = r.select(*KEY).distinct()
+    publish.update(own.withColumn("px", F.lit(-1).cast("bigint")), root, year, lambda base, new: new)
+    for k, path in enumerate(_landing(r.where("event_id % 5 != 0"), "event_id")):
+        streams.stream_upsert(streams.files(spark, path, r.schema), root, KEY, "event_id", root + "-state", year)
+        if k == 0:
+            older = own.select("code", F.date_sub("date", 365).alias("date"), F.lit(5).cast("bigint").alias("px"))
+            publish.update(older, root, year, lambda base, new: merge.merge_update(base, new, KEY))
+    return publish.current(spark, root)
+
+
+_VERSIONS = "SELECT code, period, knowledge_date, cents FROM (SELECT *, lag(cents) OVER (PARTITION BY code, period ORDER BY knowledge_date) AS was FROM (SELECT code, period, knowledge_date, CAST(floor(value / 100000) AS BIGINT) AS cents FROM v_facts)) WHERE was IS NULL OR was <> cents"
+
+
+@query(_VERSIONS)
+def str_2_late_versions(spark, d):
+    """Readings that arrive up to three weeks late, over batches: those of the last thirty days wait in the state."""
+    f = views.facts(spark, d).select("code", "period", "knowledge_date", F.floor(F.col("value") / 100_000).cast("bigint").alias("cents"))
+    arrival = F.unix_date("knowledge_date") + F.pmod(F.xxhash64("code", "knowledge_date"), F.lit(21))
+    root, kind = tables.scratch(spark, "late-versions"), f.schema
+    args = (root, ["code", "period"], "knowledge_date", ["cents"], root + "-state", streams.year_of("period"), "30 days")
+    for path in _landing(f.withColumn("n", arrival), "n"):
+        streams.stream_versions(streams.files(spark, path, kind), *args)
+    spark.createDataFrame([("", "2100Q1", dt.date(2100, 1, 1), 0)], kind).write.mode("append").parquet(path)  # time goes on
+    streams.stream_versions(streams.files(spark, path, kind), *args)
+    return publish.current(spark, root)
+
+
 @query("SELECT code, period, knowledge_date, cents FROM (SELECT *, lag(cents) OVER (PARTITION BY code, period ORDER BY knowledge_date) AS was FROM (SELECT code, period, knowledge_date, CAST(floor(value / 100000) AS BIGINT) AS cents FROM v_facts)) WHERE was IS NULL OR was <> cents")
 def str_2_stream_versions(spark, d):
     f = views.facts(spark, d).select("code", "period", "knowledge_date", F.floor(F.col("value") / 100_000).cast("bigint").alias("cents"))
@@ -165,6 +243,21 @@ def str_3_late_window(spark, d):
     return rows("table", publish.current(spark, root)).unionByName(rows("late", spark.read.parquet(late)))
 
 
+@query("""WITH e AS (SELECT *, CASE WHEN date >= DATE '2024-01-20' AND event_id % 2 = 0 THEN 0 WHEN date < DATE '2024-01-10' THEN 1 ELSE 2 END AS batch FROM v_ev),
+    f AS (SELECT e.*, date >= (SELECT max(date) FROM e WHERE batch = 0) - 10 AS fresh FROM e)
+    SELECT 'table' AS part, code, date, arg_max(px, (batch, event_id)) AS px FROM f WHERE fresh GROUP BY code, date UNION ALL SELECT 'late', code, date, px FROM f WHERE NOT fresh""")
+def str_3_late_batch(spark, d):
+    """The second batch is late as a whole and leaves the table as it is."""
+    e = views.table(spark, d, "events").withColumn("date", F.to_date("ts"))
+    batch = F.when((F.col("date") >= "2024-01-20") & (F.col("event_id") % 2 == 0), 0).when(F.col("date") < "2024-01-10", 1).otherwise(2)
+    r = e.select(views.code("user_id").alias("code"), "date", views.cents("value").alias("px"), F.struct(batch.alias("batch"), "event_id").alias("arrived"), batch.alias("n"))
+    root, late = tables.scratch(spark, "window"), tables.scratch(spark, "late")
+    for path in _landing(r, "n"):
+        streams.stream_late_window(streams.files(spark, path, r.drop("n").schema), root, late, KEY, "arrived", 10, root + "-state", streams.year_of("date"))
+    rows = lambda part, df: df.select(F.lit(part).alias("part"), *KEY, "px")
+    return rows("table", publish.current(spark, root)).unionByName(rows("late", spark.read.parquet(late)))
+
+
 @query("""WITH c AS (SELECT *, CASE WHEN lag(modified) OVER w IS NOT DISTINCT FROM modified THEN 0 ELSE 1 END AS ch FROM v_checks WINDOW w AS (PARTITION BY feed ORDER BY checked)),
     g AS (SELECT *, sum(ch) OVER (PARTITION BY feed ORDER BY checked) AS run FROM c)
     SELECT feed, checked, modified, row_number() OVER (PARTITION BY feed, run ORDER BY checked) - 1 AS streak FROM g""")
@@ -230,19 +323,35 @@ def job_3_short_credit_ingest(spark, d):
 _AVAIL_4 = _AVAIL.replace("period", "p.period")
 
 
-@query(
-    f"""SELECT id::VARCHAR AS code, p.period, {_AVAIL_4} AS avail_date, {_AVAIL_4} AS knowledge_date, netinc, netinc_prior, revenue, revenue_prior, op_income, op_income_prior
+_BACKFILL = f"""SELECT id::VARCHAR AS code, p.period, {_AVAIL_4} AS avail_date, {_AVAIL_4} AS knowledge_date, netinc, netinc_prior, revenue, revenue_prior, op_income, op_income_prior
     FROM ({SQL['agg_5_financials_six']}) JOIN (SELECT o_orderkey, year(o_orderdate) || 'Q' || quarter(o_orderdate) AS period FROM orders) p ON o_orderkey = id
     WHERE netinc IS NOT NULL AND {_AVAIL_4} <= DATE '1999-01-01'"""
-)
-def job_4_earnings_increment(spark, d):
+
+
+def _lines(spark, d):
+    """Statement lines of orders as companies, each with the period of its order."""
     o = views.table(spark, d, "orders")
     p = F.concat(F.year("o_orderdate"), F.lit("Q"), F.quarter("o_orderdate"))
-    lines = statement_lines(spark, d).join(o.select(F.col("o_orderkey").alias("id"), p.alias("period")), "id").withColumn("code", F.col("id").cast("string"))
-    empty = spark.createDataFrame([], jobs.TABLES["earnings"].schema)
+    return statement_lines(spark, d).join(o.select(F.col("o_orderkey").alias("id"), p.alias("period")), "id").withColumn("code", F.col("id").cast("string"))
+
+
+@query(_BACKFILL)
+def job_4_earnings_backfill(spark, d):
+    empty, lines = spark.createDataFrame([], jobs.TABLES["earnings"].schema), _lines(spark, d)
     return jobs.earnings_backfill(empty, lines.select("code").distinct(), 1992, 1999, lines, day("1999-01-01"), "avail")
 
 
+@query(f"""WITH b AS ({_BACKFILL}) SELECT * FROM b UNION ALL
+    SELECT code, period, avail_date, DATE '1999-02-01', {", ".join(f"{c} * 10" for c in jobs.FIGURES[1:])} FROM b WHERE code::BIGINT % 3 = 0 AND period IN ('1998Q2', '1998Q3')""")
+def job_4_earnings_increment(spark, d):
+    """The last quarters read again: what a third of the companies have restated becomes a version, what is as it
+    was does not."""
+    stored, lines = job_4_earnings_backfill(spark, d), _lines(spark, d)
+    tenfold = lambda c: F.when((F.col("id") % 3 == 0) & F.col(c).rlike("[0-9]$"), F.concat(c, F.lit("0"))).otherwise(F.col(c)).alias(c)
+    again = lines.select("code", "period", "status", "pos", "account_nm", tenfold("thstrm_amount"), tenfold("frmtrm_amount"))
+    return jobs.earnings_increment(stored, lines.select("code").distinct(), 4, again, day("1999-02-01"), "today")
+
+
 _RECENT = "SELECT year(q) || 'Q' || quarter(q) AS period FROM (SELECT CAST(date_trunc('quarter', DATE '1997-08-15') - to_months(3 * i::INT) AS DATE) AS q FROM range(4) t(i))"
 
 

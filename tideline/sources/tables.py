@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import hashlib
+import io
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +60,48 @@ def read_snapshot_csv(spark: SparkSession, path: str, day: str | Column, code_co
     return rows.where("code != '' and shares_outstanding is not null")
 
 
+#: Encodings in which snapshots arrive, in the order in which they are tried.
+ENCODINGS = ("euc-kr", "cp949", "utf-8-sig", "utf-8")
+
+
+def snapshot_rows(content: bytes, code_col: str, shares_col: str) -> list[tuple[str, str]]:
+    """``(code, shares)`` as text of one file, decoded by the first encoding that fits all of it, its columns
+    found by its own header, whatever their order; none if a column is missing or nothing fits."""
+    text = None
+    for encoding in ENCODINGS:
+        try:
+            text = content.decode(encoding)
+            break
+        except UnicodeDecodeError:
+            continue
+    lines = csv.reader(io.StringIO((text or "").strip()))
+    names = [x.strip().strip('"') for x in next(lines, [])]
+    if code_col not in names or shares_col not in names:
+        return []
+    code, shares = names.index(code_col), names.index(shares_col)
+    return [(row[code].strip().strip('"'), row[shares]) for row in lines if len(row) > max(code, shares)]
+
+
+def read_snapshots(spark: SparkSession, path: str, code_col: str, shares_col: str, day_of: Column | None = None) -> DataFrame:
+    """``(code, date, shares_outstanding)`` of all files of a folder, each with an encoding and a header of its
+    own.  ``day_of`` gives the date from ``path``; by default the last ``YYYY-MM-DD`` or ``YYYYMMDD`` in it.
+    Rows without a code or a share count are left out, and a file that can't be read gives no rows.
+    A file is read by one task, as one snapshot: a few thousand rows."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    day = fn.parse_date(F.regexp_extract("path", r".*(\d{4}-\d{2}-\d{2}|\d{8})", 1)) if day_of is None else day_of
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for date, content in zip(batch.column(0), batch.column(1)):
+                found = snapshot_rows(content.as_py(), code_col, shares_col)
+                columns = [pa.array(x, pa.string()) for x in ([c for c, _ in found], [n for _, n in found])]
+                yield pa.RecordBatch.from_arrays([columns[0], pa.array([date.as_py()] * len(found), pa.date32()), columns[1]], ["code", "date", "shares"])
+
+    out = files.select(day.alias("date"), "content").mapInArrow(rows, "code string, date date, shares string")
+    shares = fn.nullable_int_trunc(F.col("shares"))
+    return out.select("code", "date", shares.alias("shares_outstanding")).where("code != '' and shares_outstanding is not null")
+
+
 NUMBER = r"-?\d+(?:\.\d+)?"
 #: A row of array text: a day in quotation marks, then five numbers at least.
 BAR_TEXT = r'\[\s*"(\d{8})"' + 5 * rf"\s*,\s*({NUMBER})(?![\d.])"
@@ -107,11 +155,42 @@ def read_bulk_drop(spark: SparkSession, path: str, schema: StructType | str) ->
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def file_inventory(spark: SparkSession, path: str, checksum: bool = True) -> DataFrame:
-    """``(path, size[, sha256])`` of the files of a folder.  Without a checksum no content is read."""
+def file_inventory(spark: SparkSession, path: str, checksum: bool = True, piece: int = 8 << 20) -> DataFrame:
+    """``(path, size[, sha256])`` of the files of a folder that hold anything (Spark lists no empty ones).
+    Without a checksum no content is read.
+
+    With one, a task takes a file through the file system that its URI names and hashes it in pieces of
+    ``piece`` bytes, so that its size doesn't matter; only where pyarrow has no such file system do contents go
+    through Spark's reader, which can hold files of up to 2 GB."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    columns = [F.col("path"), F.col("length").alias("size")]
-    return files.select(*columns, F.sha2("content", 256).alias("sha256")) if checksum else files.select(*columns)
+    listed = files.select("path", F.col("length").alias("size"))
+    if not checksum:
+        return listed
+    try:
+        fs.FileSystem.from_uri(_arrow_uri(spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).getUri().toString() + "/"))
+    except (pa.ArrowInvalid, OSError, ImportError):
+        return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for uri in batch.column(0).to_pylist():
+                store, name = fs.FileSystem.from_uri(_arrow_uri(uri))
+                digest = hashlib.sha256()
+                with store.open_input_stream(name) as stream:
+                    while block := stream.read(piece):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.string())], ["path", "size", "sha256"])
+
+    return listed.repartition("path").mapInArrow(hashed, "path string, size bigint, sha256 string")
+
+
+def _arrow_uri(path: str) -> str:
+    """A Hadoop path as a URI that pyarrow takes: two slashes, ``s3`` for ``s3a``, blanks and the like encoded."""
+    scheme, _, rest = path.partition(":")
+    host, slash, name = rest[2:].partition("/") if rest.startswith("//") else ("", "/", rest.lstrip("/"))
+    return f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{host}{slash}{quote(name)}"
 
 
 def read_control(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -128,10 +207,20 @@ def read_control(spark: SparkSession, path: str, schema: StructType | str) -> Da
 
 
 def merge_control(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """The new record of each key whole, else the old one; facts that only the old one holds stay."""
-    o, n = old.alias("o"), new.alias("n")
-    columns = [F.coalesce(*([F.col(f"n.{c}")] if c in new.columns else []), *([F.col(f"o.{c}")] if c in old.columns else [])).alias(c) for c in dict.fromkeys([*old.columns, *new.columns])]
-    return o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full").select(*columns)
+    """The new record of each key whole, nulls included, else the old one; facts that only the old one holds
+    stay."""
+    o, n = old.withColumn("__old", F.lit(True)).alias("o"), new.withColumn("__new", F.lit(True)).alias("n")
+    replaced = F.col("__new").isNotNull()
+
+    def column(c: str) -> Column:
+        if c == key:
+            return F.coalesce(F.col(f"o.{c}"), F.col(f"n.{c}")).alias(c)
+        if c not in new.columns:
+            return F.col(f"o.{c}").alias(c)
+        return F.when(replaced, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}") if c in old.columns else F.lit(None)).alias(c)
+
+    joined = o.join(n, F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")), "full")
+    return joined.select(*[column(c) for c in dict.fromkeys([*old.columns, *new.columns])])
 
 
 def write_control(df: DataFrame, root: str, key: str, keep: int = 2) -> None:
