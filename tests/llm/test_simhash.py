@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -148,3 +149,57 @@ def test_keep_one_finds_texts_with_similar_shingles(spark, docs_of, monkeypatch)
     assert far > 10  # which three bits don't reach
     only = {r.doc_id for r in simhash.keep_one(docs_of(texts), similarity=None).collect()}
     assert want < only
+
+
+@pytest.mark.parametrize(("tile", "share"), [(1 << 20, 0.1), (4000, 0.05), (1 << 20, 0.037)])
+def test_no_link_is_lost_in_a_dense_group_of_strangers(spark, docs_of, monkeypatch, tile, share):
+    """Pairs of similar texts whose similarity to all others is nearly as large, so that they share band keys
+    with them; and a large class of near copies among these."""
+    monkeypatch.setattr(simhash, "TILE", tile)
+    rng = random.Random(int(1000 * share))
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    core = [word() for _ in range(400)]
+
+    def changed(text, n):
+        copy = list(text)
+        for k in rng.sample(range(len(copy)), n):
+            copy[k] = word()
+        return copy
+
+    texts = []
+    for _ in range(60):
+        one = changed(core, int(400 * share))
+        texts += [" ".join(one), " ".join(changed(one, 8))]
+    texts += [" ".join(changed(core, 1)) for _ in range(60)]
+    sets = [set(simhash.shingle_set(t.encode(), 5).astype(np.uint32).tolist()) for t in texts]
+    near = np.array([[len(x & y) >= 0.8 * len(x | y) for y in sets] for x in sets])
+    assert near[:120, :120].sum() >= 220
+    table = docs_of(texts).select("doc_id", "text", F.xxhash64("text").alias("one"), F.lit(0).cast("bigint").alias("two"))
+    rows = simhash.cut(table.mapInArrow(simhash._sketches(5), "doc_id bigint, fp bigint, one bigint, two bigint, bands array<bigint>, shingles array<int>"))
+    fp = {r.doc_id: r.fp for r in rows.select("doc_id", "fp").collect()}
+    parent = {f: f for f in fp.values()}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    got = [tuple(r) for r in simhash.similar(rows, 0.8).collect()]
+    back = {}
+    for i, f in fp.items():
+        back.setdefault(f, []).append(i)
+    for x, y in got:
+        assert any(near[i, j] for i in back[x] for j in back[y])
+        parent[top(x)] = top(y)
+    pairs = [(i, j) for i, j in zip(*np.nonzero(np.triu(near, 1)))]
+    found = sum(top(fp[i]) == top(fp[j]) for i, j in pairs)
+    assert found == len(pairs), (found, len(pairs))
+
+
+def test_sets_are_compared_exactly():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.int32) for _ in range(60)]
+    got = simhash.close(sets[:25], sets[25:], 0.4)
+    for i, x in enumerate(sets[:25]):
+        for j, y in enumerate(sets[25:]):
+            assert got[i, j] == (len(np.intersect1d(x, y)) >= 0.4 * len(np.union1d(x, y)))

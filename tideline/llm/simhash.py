@@ -31,6 +31,7 @@ from tideline.llm.common import components, cut, slices, stored, unused
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 BANDS, ROWS = 16, 4  # of least shingles, for texts that are similar by their shingles
 LEADS, SPLIT = 3, 2000  # leaders of a band key; texts that are compared with one leader in a group
+TILE = 1 << 20  # shingles of texts that are compared with others of a key in one group
 #: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the (23, 12, 7) Golay code.
 GENERATOR = 0b110001110101
 
@@ -157,20 +158,27 @@ def _sketches(width: int):
 
 
 def similar(rows: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``(a, b)`` of fingerprints of texts whose shingle sets have a Jaccard similarity of at
-    least ``similarity``, from stored ``rows(fp, one, bands, shingles)``.
-
-    Texts that agree in a band key are not all paired: each is compared with the key's ``LEADS``
-    leaders, which are the least texts under that many orders, the same for all keys.  A text whose
-    similarity to another is 0.8 misses all 16 keys with a probability of 0.0002.  Every pair is
-    verified on the whole sets.
+    """Links ``(a, b)`` of fingerprints of texts whose shingle sets have a Jaccard similarity of at
+    least ``similarity``, from stored ``rows(fp, one, bands, shingles)``, such that all texts of such a
+    similarity that agree in a band key are connected.
+
+    First each text is compared with the ``LEADS`` leaders of its keys, which are the least texts under
+    that many orders, the same for all keys.  What matches a leader of the key makes a class with it; in
+    a large group of near copies that is nearly all of it.  Then :func:`_strangers` compares the texts
+    outside a key's largest class with all of the key.  A text whose similarity to another is 0.8
+    misses all 16 keys with a probability of 0.0002.  Every link is verified on the whole sets.
     """
     texts = rows.where("bands is not null").groupBy("one").agg(F.first("bands").alias("bands"))
     keyed = texts.select("one", F.explode("bands").alias("key"))
     leads = [F.min_by("one", F.xxhash64("one", F.lit(k))) for k in range(LEADS)]
     met = keyed.groupBy("key").agg(F.array_distinct(F.array(*leads)).alias("leads"), F.count("*").alias("n")).where("n > 1")
-    pairs = keyed.join(stored(met.select("key", "leads"), "met"), "key").select("one", F.explode("leads").alias("lead"))
-    pairs = stored(pairs.where("one != lead").distinct(), "pairs")
+    met = stored(met, "met")
+    # a key with more than a thousandth of all that meet isn't dealt: there are at most a thousand of them
+    often = F.col("n") * 1000 > (met.agg(F.sum("n")).first()[0] or 0)
+    hot = met.where(often)
+    rare = keyed.join(F.broadcast(hot.select("key")), "key", "left_anti").join(met.where(~often), "key")
+    members = keyed.join(F.broadcast(hot), "key").unionByName(rare)
+    pairs = stored(members.select("one", F.explode("leads").alias("lead")).where("one != lead").distinct(), "pairs")
     # a leader of many texts is split, its set going to each part
     size = stored(pairs.groupBy("lead").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")).where("parts > 1"), "parts")
     parts = F.coalesce("parts", F.lit(1))
@@ -182,7 +190,78 @@ def similar(rows: DataFrame, similarity: float) -> DataFrame:
     lead = lead.select(F.col("one").alias("lead"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("fp").alias("a"), F.col("shingles").alias("x"))
     both = left.join(lead, ["lead", "part"]).join(sets.select("one", F.col("fp").alias("b"), F.col("shingles").alias("y")), "one")
     shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).where("a != b").select("a", "b").distinct()
+    matched = stored(both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("one", "lead", "a", "b"), "matched")
+    found = matched.select("a", "b").union(_strangers(members.where(F.col("n") > LEADS + 1), matched, sets, similarity))
+    return found.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _strangers(members: DataFrame, matched: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links ``(a, b)`` between different classes of a band key: ``members(one, key, leads)``, of which
+    ``matched(one, lead)`` are similar; a text that matches no leader is a class of its own.
+
+    The texts outside the largest class of a key are compared with all of its texts, in tiles of about
+    ``TILE`` shingles each way, whose rows are dealt by key and tile.  Only one link of a text to each
+    other class leaves a tile.  A group without classes costs the square of its size in
+    products, but neither memory nor rows grow with that."""
+    spread = members.select("key", "one", F.explode("leads").alias("lead"))
+    hit = matched.select("one", "lead", F.lit(True).alias("hit"))
+    classes = spread.join(hit, ["one", "lead"], "left").groupBy("key", "one").agg(F.coalesce(F.min(F.when(F.col("hit") | (F.col("one") == F.col("lead")), F.col("lead"))), F.col("one")).alias("class"))
+    weighed = stored(classes.join(sets.select("one", F.size("shingles").cast("bigint").alias("w")), "one"), "classes")
+    sizes = weighed.groupBy("key", "class").agg(F.sum("w").alias("w"), F.count("*").alias("n"))
+    per = sizes.groupBy("key").agg(F.max_by("class", F.struct("n", "class")).alias("base"), F.sum("w").alias("all"), F.max_by("w", F.struct("n", "class")).alias("held"), F.count("*").alias("classes")).where("classes > 1")
+    tiles = lambda c: F.ceil(c / TILE).cast("int")
+    per = stored(per.select("key", "base", tiles(F.col("all")).alias("across"), F.greatest(F.lit(1), tiles(F.col("all") - F.col("held"))).alias("down")), "tiles")
+    often = F.col("across") > 1
+    placed = weighed.join(F.broadcast(per.where(often)), "key") if per.where(often).count() <= 1000 else weighed.join(per.where(often), "key")
+    placed = placed.unionByName(weighed.join(per.where(~often), "key"))
+    at = lambda n, seed: F.pmod(F.xxhash64("one", F.lit(seed)), F.col(n)).cast("int")
+    whole = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    right = placed.withColumn("j", at("across", 0)).withColumn("i", whole("down"))
+    left = placed.where("class != base").withColumn("i", at("down", 1)).withColumn("j", whole("across"))
+    rows = left.select("key", "i", "j", "one", "class", F.lit(True).alias("left")).unionByName(right.select("key", "i", "j", "one", "class", F.lit(False).alias("left")))
+    dealt = rows.join(sets, "one").select("key", "i", "j", "class", "left", "fp", "shingles")
+    return dealt.groupBy("key", "i", "j").applyInArrow(_tile(similarity), "a bigint, b bigint")
+
+
+def _tile(similarity: float):
+    def run(table: pa.Table) -> pa.Table:
+        kind, fp = (table.column(c).to_numpy() for c in ("class", "fp"))
+        left = np.flatnonzero(table.column("left").to_numpy())
+        right = np.flatnonzero(~table.column("left").to_numpy())
+        sets = table.column("shingles").combine_chunks()
+        held = [sets.values.to_numpy()[sets.offsets[i].as_py() : sets.offsets[i + 1].as_py()] for i in range(len(sets))]
+        links = []
+        for a in range(0, len(left), 1024):
+            own = left[a : a + 1024]
+            near = close([held[i] for i in own], [held[i] for i in right], similarity)
+            i, j = np.nonzero(near & (kind[own][:, None] != kind[right]))
+            _, first = np.unique(np.stack([i, kind[right][j]]), axis=1, return_index=True)
+            links += [(fp[own[x]], fp[right[y]]) for x, y in zip(i[first], j[first])]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return run
+
+
+def close(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which pairs of sets have at least that Jaccard similarity.  Members that only one side has are counted
+    but not multiplied."""
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    a, b = (np.concatenate(x) if x else np.empty(0, dtype=np.int32) for x in (left, right))
+    common = np.intersect1d(a, b)
+    sizes = [np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (left, right)]
+    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    for k in range(0, len(common), 2048):
+        part = common[k : k + 2048]
+        found = []
+        for values, row, n in zip((a, b), rows, sizes):
+            at = np.searchsorted(part, values)
+            at[at == len(part)] = 0
+            fits = part[at] == values
+            one = np.zeros((len(n), len(part)), dtype=np.float32)
+            one[row[fits], at[fits]] = 1
+            found.append(one)
+        shared += found[0] @ found[1].T
+    return shared >= similarity * (sizes[0][:, None] + sizes[1] - shared)
 
 
 def _keys(fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
