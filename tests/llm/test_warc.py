@@ -53,3 +53,34 @@ def test_one_archive_and_one_url_are_read_by_several_tasks(spark, monkeypatch):
     read = warc.read_captures(warc.stored(warc.look_up(warc.keyed(pages.select("url")), directory), "found"))
     sizes = [r.n for r in read.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 600 and len(sizes) > 2 and max(sizes) < 400
+
+
+def test_archives_index_and_look_up_are_dealt_over_tasks(spark, monkeypatch):
+    """One URL with most of the captures: its archives, its index files and the blocks of its look-up are many."""
+    monkeypatch.setattr(warc, "ARCHIVE", 1 << 16)
+    monkeypatch.setattr(warc, "LINES", 150)
+    monkeypatch.setattr(warc, "KEYS", 5)
+    pages = spark.range(900).coalesce(1).select(
+        F.col("id").alias("page_id"), F.when(F.col("id") % 3 > 0, "http://one.example/").otherwise(F.concat(F.lit("http://h"), "id", F.lit(".example/"))).alias("url"), F.repeat(F.sha2((F.col("id") % 700).cast("string"), 256), 20).alias("html")
+    )
+    root = warc.shared_dir(spark, "warc")
+    captures = warc.write_archives(pages, f"{root}/a")
+    files = [r.n for r in captures.groupBy("file").agg(F.count("*").alias("n")).collect()]
+    assert sum(files) == 900 and len(files) >= 12 and max(files) < 200
+    directory = warc.build_index(captures, f"{root}/i", block=10)
+    lines = [r.n for r in directory.groupBy("file").agg(F.sum("n").alias("n")).collect()]
+    assert sum(lines) == 900 and len(lines) == 6 and max(lines) < 400
+    more = pages.select("url").unionByName(spark.range(50).select(F.concat(F.lit("http://gone"), "id", F.lit(".example/")).alias("url")))
+    found = warc.look_up(warc.keyed(more), directory)
+    sizes = [r.n for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 900 == found.distinct().count() and len(sizes) >= 3 and max(sizes) < 600
+    rows = {r.page_id: r for r in warc.read_back(pages, directory).collect()}
+    assert len(rows) == 900 and all((rows[k].record_type, rows[k].refers_to) == (("revisit", k + 700) if k < 200 else ("response", None)) for k in rows)
+
+
+def test_repeated_rows_are_records_of_their_own(spark):
+    big, other = "x" * 2000, "y" * 2000
+    pages = [(1, "http://a/", big), (1, "http://a/", big), (2, "http://b/", big), (2, "http://b/", big), (2, "http://b/", other), (3, "http://c/", other), (None, "http://d/", big), (None, None, None)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to or 0) for r in warc.round_trip(spark, frame).collect())
+    assert got == [(0, 0, "response", 0), (0, 2000, "revisit", 2), (1, 2000, "revisit", 2), (1, 2000, "revisit", 2), (2, 2000, "response", 0), (2, 2000, "response", 0), (2, 2000, "revisit", 3), (3, 2000, "response", 0)]

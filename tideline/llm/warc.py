@@ -1,18 +1,21 @@
 """WARC archives of pages with a two-level capture index.
 
 Writing: every page becomes one gzip-compressed record of an archive file.  Payloads that were
-stored elsewhere are written as revisit records that carry no payload.  Each task writes one file,
-and tasks are dealt by page id, so files are even whatever the hosts.
+stored elsewhere are written as revisit records that carry no payload.  Each task writes one file;
+pages are dealt by page id and digest over as many tasks as their bytes ask for, so files are even
+whatever the hosts.
 
 The index: one line per capture, keyed by the URL with its host reversed, sorted over all files by
-range partitions, packed into gzip blocks of ``BLOCK`` lines.  The second level is a sparse
+range partitions (as many as there are lines for), packed into gzip blocks of ``BLOCK`` lines.  The second level is a sparse
 directory with the first key of each block, its file, offset and size.  A look-up binary-searches
 the directory, reads the range of one block (or of a few), and then the range of each capture.
 
 :class:`Directory` looks single URLs up.  :func:`look_up` does it for a table of URLs: keys are
-sent to the index file whose range holds them, searched there among the file's blocks, and the
-captures that turn up are read by byte ranges, dealt by place and not by file, so that a single
-archive is read in parallel.
+sorted by ranges over tasks, each of which takes the stretch of the directory that its keys span and finds
+the blocks they can be in; these blocks are dealt over all tasks, whatever key they are for, read as
+ranges and searched; and the captures that turn up are read by byte ranges, dealt by place and not by
+file.  So neither a single archive nor a single URL is read by one task, and nothing but a row for
+each file of the directory is held on the driver.
 
 Files are written below ``spark.checkpoint.dir`` through the file system that its URI names, under
 a name of their own for each attempt and then moved in place, so a task that runs again does no harm.
@@ -28,6 +31,7 @@ from dataclasses import dataclass
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +40,9 @@ from tideline.llm.common import shared_dir, stored
 
 BLOCK = 300  # index lines in a block
 CHUNK = 4 << 20  # bytes of an archive that a task reads in one go, about
+ARCHIVE = 256 << 20  # bytes of payloads in an archive, about
+LINES = 1_000_000  # lines in an index file, about
+KEYS = 20_000  # keys that a task looks for in the directory in one go
 LEAST = 1000  # bytes from which equal payloads are stored once
 
 
@@ -109,13 +116,17 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     own = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    own = own.withColumn("digest", F.sha1("payload")).withColumn("length", F.octet_length("payload"))
-    light = own.where(F.col("length") >= LEAST).select("page_id", "digest")
+    own = own.withColumn("digest", F.sha1("payload")).withColumn("length", F.octet_length("payload").cast("bigint"))
+    light = stored(own.select("page_id", "digest", "length"), "digests")
     # only payloads that are there twice are joined: (page_id, digest) rows, without payloads
-    twice = light.groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("holder")).where("n > 1 and holder is not null").drop("n")
-    refers = light.join(twice, "digest").where("page_id is null or page_id != holder").select(F.col("page_id").alias("__id"), F.col("digest").alias("__digest"), "holder").distinct()
-    same = own["page_id"].eqNullSafe(refers["__id"]) & (own["digest"] == refers["__digest"]) & (own["length"] >= LEAST)
-    dealt = own.join(refers, same, "left").select("page_id", "url", "payload", "digest", F.col("holder").alias("refers_to"))
+    large = light.where(F.col("length") >= LEAST)
+    twice = large.groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("holder")).where("n > 1 and holder is not null").drop("n")
+    refers = large.join(twice, "digest").where("page_id is null or page_id != holder").select("page_id", "digest", "holder").distinct()
+    # a page's reference comes just before its records, so payloads are dealt once and not joined
+    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, (light.agg(F.sum("length")).first()[0] or 0) // ARCHIVE)
+    records = own.select("page_id", "digest", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("bigint").alias("holder"))
+    notes = refers.select("page_id", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "holder")
+    dealt = records.unionByName(notes).repartition(tasks, "page_id", "digest").sortWithinPartitions("page_id", "digest", "kind")
 
     names = ["file", "page_id", "url", "offset", "size"]
     types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
@@ -123,10 +134,14 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = opened(root)
         name = f"{uuid.uuid4().hex}.warc.gz"
-        out, at = None, 0
+        out, at, note = None, 0, None
         for batch in batches:
             rows: list[tuple] = []
-            for page, url, body, digest, refers_to in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for page, digest, kind, url, body, holder in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if not kind:
+                    note = page, digest, holder
+                    continue
+                refers_to = note[2] if note and note[:2] == (page, digest) else None
                 if out is None:
                     store.create_dir(base, recursive=True)
                     out = store.open_output_stream(f"{base}/.{name}", compression=None)
@@ -190,7 +205,9 @@ def build_index(captures: DataFrame, root: str, block: int = BLOCK) -> DataFrame
 
     lines = stored(keyed(captures).select("key", "file", "page_id", "offset", "size"), "lines")
     # range partitions by key, the page id breaking up runs of one key
-    ordered = lines.repartitionByRange("key", "page_id", "file", "offset").sortWithinPartitions("key", "page_id", "file", "offset")
+    count = lines.count()
+    files = max(min(captures.sparkSession.sparkContext.defaultParallelism, count // block), count // LINES, 1)
+    ordered = lines.repartitionByRange(files, "key", "page_id", "file", "offset").sortWithinPartitions("key", "page_id", "file", "offset")
     return stored(ordered.mapInArrow(run, "first_key string, last_key string, file string, offset bigint, size bigint, n bigint"), "directory")
 
 
@@ -239,39 +256,55 @@ def read_range(uri: str, offset: int, size: int) -> bytes:
 
 
 def look_up(keys: DataFrame, directory: DataFrame) -> DataFrame:
-    """All captures whose key is one of ``keys.key``: ``(file, page_id, offset, size)``.
-
-    The index files hold ranges of keys one after the other, so a binary search over their first
-    and last keys (a row a file) tells which files can hold a key; there, a binary search over the
-    file's part of the directory tells which blocks, and these are read as ranges.  A key with
-    captures in several files is looked up in each.
-    """
-    tops = directory.groupBy("file").agg(F.min("first_key").alias("lo"), F.max("last_key").alias("hi")).orderBy("lo", "hi").collect()
-    files, lows, highs = ([r[c] for r in tops] for c in ("file", "lo", "hi"))
+    """All captures whose key is one of ``keys.key``: ``(file, page_id, offset, size)``.  ``directory``
+    is the stored table that :func:`build_index` has returned."""
+    tops = directory.groupBy(F.input_file_name().alias("uri")).agg(F.min("first_key").alias("lo"), F.max("last_key").alias("hi")).orderBy("lo", "hi").collect()
+    uris, lows, highs = ([r[c] for r in tops] for c in ("uri", "lo", "hi"))
+
+    def hits(asked: list[str]) -> Iterator[pa.RecordBatch]:
+        """The blocks that can hold some of the keys, which are sorted, with these."""
+        for uri in uris[bisect_left(highs, asked[0]) : bisect_right(lows, asked[-1])]:
+            store, path = opened(uri)
+            spans = (ds.field("first_key") <= asked[-1]) & (ds.field("last_key") >= asked[0])
+            for b in ds.dataset(path, filesystem=store, format="parquet").to_batches(columns=["first_key", "last_key", "file", "offset", "size"], filter=spans):
+                for first, last, file, at, size in zip(*(c.to_pylist() for c in b.columns)):
+                    own = asked[bisect_left(asked, first) : bisect_right(asked, last)]
+                    if own:
+                        n = len(own)
+                        yield pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array([at] * n, pa.int64()), pa.array([size] * n, pa.int64()), pa.array(own)], ["index", "at", "length", "key"])
 
     def where(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            if len(held) >= KEYS:
+                yield from hits(held)
+                held = []
+        if held:
+            yield from hits(held)
+
+    names, types = ["file", "page_id", "offset", "size"], [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, lines = None, {}
         for batch in batches:
-            rows = [(k, f) for k in batch.column("key").to_pylist() for f in files[bisect_left(highs, k) : bisect_right(lows, k)]]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], type=pa.string()), pa.array([f for _, f in rows], type=pa.string())], ["key", "file"])
-
-    schema = pa.schema([("file", pa.string()), ("page_id", pa.int64()), ("offset", pa.int64()), ("size", pa.int64())])
-
-    def search(wanted: pa.Table, blocks: pa.Table) -> pa.Table:
-        asked = sorted(wanted.column("key").to_pylist())
-        blocks = blocks.sort_by([("first_key", "ascending"), ("last_key", "ascending"), ("offset", "ascending")])
-        first, last, uri, at, size = (blocks.column(c).to_pylist() for c in ("first_key", "last_key", "file", "offset", "size"))
-        hit = sorted({b for k in asked for b in range(bisect_left(last, k), bisect_right(first, k))})
-        held, rows = set(asked), []
-        for b in hit:
-            for line in gzip.decompress(read_range(uri[b], at[b], size[b])).decode().split("\n"):
-                k, page, file, offset, n = line.split("\t")
-                if k in held:
-                    rows.append((file, int(page) if page else None, int(offset), int(n)))
-        return pa.table([pa.array(c, type=t) for c, t in zip(zip(*rows), schema.types)] if rows else [pa.array([], type=t) for t in schema.types], schema=schema)
-
-    sent = keys.select("key").distinct().mapInArrow(where, "key string, file string")
-    pairs = sent.groupBy("file").cogroup(directory.groupBy("file"))
-    return pairs.applyInArrow(lambda x, y: search(x, y), "file string, page_id bigint, offset bigint, size bigint")
+            rows = []
+            for file, at, size, key in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != (file, at):
+                    block, lines = (file, at), {}
+                    for line in gzip.decompress(read_range(file, at, size)).decode().split("\n"):
+                        k, page, uri, offset, n = line.split("\t")
+                        lines.setdefault(k, []).append((uri, int(page) if page else None, int(offset), int(n)))
+                rows += lines.get(key, ())
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names)
+
+    blocks = directory.count()
+    tasks = max(min(keys.sparkSession.sparkContext.defaultParallelism, blocks), blocks // 1000, 1)
+    asked = stored(keys.select("key").distinct(), "asked")
+    sent = asked.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(where, "index string, at bigint, length bigint, key string")
+    dealt = sent.repartition(tasks, "index", "at").sortWithinPartitions("index", "at")
+    return dealt.mapInArrow(search, "file string, page_id bigint, offset bigint, size bigint")
 
 
 def read_captures(found: DataFrame) -> DataFrame:
