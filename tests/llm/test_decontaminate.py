@@ -122,3 +122,18 @@ def test_repetitive_texts_and_empty_tables(spark, docs_of):
     assert {(r.doc_id, r.item_id) for r in rows} == {(0, 1), (1, 2)}
     assert dc.contamination(docs_of(["x"]).where("false"), bench).count() == 0
     assert dc.contamination(docs_of(["x"]), bench.where("false")).count() == 0
+
+
+def test_blocks_are_kept_in_the_shared_folder_and_documents_read_once(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(dc, "HELD", 3000)
+    rng = random.Random(12)
+    items = [prose(rng, 60) for _ in range(12)]
+    bench = spark.createDataFrame([*enumerate(items), (None, prose(rng, 20))], "item_id bigint, text string")
+    docs = docs_of([prose(rng, 30) + " " + items[i % 12][:200] + " " + prose(rng, 30) if i % 3 else prose(rng, 60) for i in range(60)])
+    uris = dc.indexed(bench, 100, 0.08, 9, 900)
+    assert len(uris) > 3 and all("benchmark-" in u for u in uris)
+    one, many = (sorted(map(tuple, dc.contamination(docs, bench, block_chars=n).collect())) for n in (1 << 22, 900))
+    assert {(r[0], r[1]) for r in one} == {(r[0], r[1]) for r in many} == {(i, i % 12) for i in range(60) if i % 3}
+    plan = dc.contamination(docs, bench, block_chars=900)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert sorted(r.doc_id for r in dc.drop_contaminated(docs, bench, block_chars=900).collect()) == list(range(0, 60, 3))

@@ -10,28 +10,32 @@ minus item position) that drift by at most ``e``.  So, per document:
    bound are retained;
 3. each region is verified by a banded alignment of every item window in it.
 
-The first two steps lose nothing, the third decides.  The benchmark is sent to the executors in
-blocks of bounded size, one pass over the documents for each block.
+The first two steps lose nothing, the third decides.  The benchmark is indexed in blocks of bounded
+size, each by a task of its own and kept in the shared folder.  A task reads its documents once and holds
+one block at a time, so neither the driver nor a task grows with the benchmark.
 """
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices
+from tideline.llm.common import shared_dir, slices, stored
 
 BASE = 0x9E3779B1
 MIX = np.uint32(0x85EBCA77)
 STEP = 32  # of the diagonal bands
 FINE = 4  # length of the short q-grams
 PIECE = 4096  # text positions that are banded at once
+HELD = 64 << 20  # bytes of texts that a task holds while it goes through the blocks
 SCHEMA = "doc_id bigint, item_id bigint, start bigint, end bigint, item_start bigint, item_end bigint, edits int"
 
 
@@ -320,12 +324,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 100, edit
     that overlap by two windows, and a passage that runs over several gives a row for each.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    found = [texts.mapInArrow(_scanner(ix), SCHEMA) for ix in _blocks(benchmark, window, edit_rate, q, block_chars)]
-    return reduce(DataFrame.union, found)
+    uris = indexed(benchmark, window, edit_rate, q, block_chars)
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    types = [pa.int64()] * 6 + [pa.int32()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in held(batches, len(uris)):
+            for uri in uris:
+                ix = load(uri)
+                for part in parts:
+                    ids, own = part.column(0).to_pylist(), part.column(1).to_pylist()
+                    if rows := [(ids[n], *x) for n, *x in hits(ix, own)]:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names)
+
+    return texts.mapInArrow(run, SCHEMA)
 
 
-def _blocks(benchmark: DataFrame, window: int, edit_rate: float, q: int, block_chars: int) -> Iterator[Index | None]:
-    """The indexes of the benchmark's blocks, each of about ``block_chars`` characters."""
+def indexed(benchmark: DataFrame, window: int, edit_rate: float, q: int, block_chars: int) -> list[str]:
+    """Indexes the benchmark in blocks of about ``block_chars`` characters, each in one task, and gives the
+    files in the shared folder that hold the indexes."""
     span = max(4 * window, block_chars // 4)
     step = span - 2 * window
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
@@ -333,28 +350,52 @@ def _blocks(benchmark: DataFrame, window: int, edit_rate: float, q: int, block_c
     cut = items.select("item_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("k")).select("item_id", (F.col("k") * step).alias("at"), F.substring("text", F.col("k") * step + 1, F.lit(span)).alias("text"))
     size = cut.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_chars))
-    for k in range(blocks):
-        block = cut.where(F.pmod(F.xxhash64("item_id", "at", "text"), F.lit(blocks)) == k).orderBy("item_id", "at", "text").collect()
-        yield build([(r["item_id"], r["text"], r["at"]) for r in block], window, edit_rate, q)
-
-
-def _scanner(ix: Index | None):
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
-    types = [pa.int64()] * 6 + [pa.int32()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if ix is None:
-                continue
-            rows = []
-            for a, b in slices(batch, "text"):
-                part = batch.slice(a, b - a)
-                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                rows += [(ids[n], *x) for n, *x in hits(ix, texts)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names)
-
-    return run
+    root = shared_dir(benchmark.sparkSession, "benchmark")
+
+    def make(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("item_id", "at", "text"))), key=lambda r: (r[0] is not None, *(r if r[0] is not None else r[1:])))
+        ix = build([(i, t, at) for i, at, t in rows], window, edit_rate, q)
+        if ix is None:
+            return pa.table({"uri": pa.array([], pa.string())})
+        store, path = fs.FileSystem.from_uri(root)
+        store.create_dir(path, recursive=True)
+        name = uuid.uuid4().hex
+        with store.open_output_stream(f"{path}/.{name}") as out:
+            pickle.dump(ix, out, protocol=5)
+        store.move(f"{path}/.{name}", f"{path}/{name}")
+        return pa.table({"uri": pa.array([f"{root}/{name}"], pa.string())})
+
+    made = cut.withColumn("block", F.pmod(F.xxhash64("item_id", "at", "text"), F.lit(blocks))).groupBy("block").applyInArrow(make, "uri string")
+    return sorted(r["uri"] for r in stored(made, "blocks").collect())
+
+
+_loaded: dict[str, Index] = {}
+
+
+def load(uri: str) -> Index:
+    """An index; a worker keeps the last one that it has used."""
+    if uri not in _loaded:
+        _loaded.clear()
+        store, path = fs.FileSystem.from_uri(uri)
+        with store.open_input_file(path) as f:
+            _loaded[uri] = pickle.loads(f.read())
+    return _loaded[uri]
+
+
+def held(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of the batches, as many at a time as go through all blocks together: about ``HELD`` bytes, or
+    one slice if there is just one block."""
+    parts, total = [], 0
+    for batch in batches:
+        for a, b in slices(batch, "text"):
+            part = batch.slice(a, b - a)
+            parts.append(part)
+            total += part.nbytes
+            if blocks < 2 or total >= HELD:
+                yield parts
+                parts, total = [], 0
+    if parts:
+        yield parts
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 100, edit_rate: float = 0.08, q: int = 9, block_chars: int = 4_000_000) -> DataFrame:
@@ -362,18 +403,18 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 100,
     them, decided where they lie.  Each row is judged by its own text, so repeated rows and ids, null
     ids and further columns make no difference; null and empty texts stay."""
 
-    def clean(ix: Index):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for a, b in slices(batch, "text"):
-                    part = batch.slice(a, b - a)
-                    keep = np.ones(len(part), dtype=bool)
-                    keep[[n for n, *_ in hits(ix, [t or "" for t in part.column("text").to_pylist()])]] = False
-                    yield part.filter(pa.array(keep))
-
-        return run
-
-    for ix in _blocks(benchmark, window, edit_rate, q, block_chars):
-        if ix is not None:
-            docs = docs.mapInArrow(clean(ix), docs.schema)
-    return docs
+    uris = indexed(benchmark, window, edit_rate, q, block_chars)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in held(batches, len(uris)):
+            keep = [np.ones(len(part), dtype=bool) for part in parts]
+            for uri in uris:
+                ix = load(uri)
+                for part, own in zip(parts, keep):
+                    left = np.flatnonzero(own)
+                    texts = part.column("text").take(pa.array(left)).to_pylist()
+                    own[left[[n for n, *_ in hits(ix, [t or "" for t in texts])]]] = False
+            for part, own in zip(parts, keep):
+                yield part.filter(pa.array(own))
+
+    return docs.mapInArrow(clean, docs.schema)
