@@ -112,3 +112,16 @@ def test_awkward_rows(docs_of):
     assert sum(x == (False, 0, line) for x in by) == 2
     assert (False, 8, "") in by
     assert ld.line_counts(docs.where("false")).count() == 0 and ld.dedup_lines(docs.where("false")).count() == 0
+
+
+def test_a_line_that_many_others_are_near_to(spark, docs_of, monkeypatch):
+    """One early line with hundreds of later ones an edit away, in groups of a few; and a key that most lines share."""
+    monkeypatch.setattr(ld, "SPLIT", 7)
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcdefgh") for _ in range(90))
+    texts = [base] + [base[: k % 90] + "XYZ"[k // 90] + base[k % 90 + 1 :] for k in range(250)] + [base[:k] + "-" + base[k:] for k in range(60)]
+    texts += [base[:-1] + chr(0x100 + k) for k in range(200)] + [f"{k:03d} quite another line, with numbers of its own {k * k:09d}" for k in range(50)]
+    rng.shuffle(texts)
+    got = {(r.doc_id, r.line): r.near_doc_id is None for r in ld.line_verdicts(docs_of(texts), ld.line_table(docs_of(texts))).collect()}
+    want = brute(list(enumerate(texts)))
+    assert got == want and sum(not x for x in want.values()) > 200

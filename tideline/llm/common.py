@@ -74,6 +74,17 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def joined_on(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which is stored and has for each ``key`` one narrow row that counts, as
+    ``n``, the rows of ``left`` with that key.  Keys with more than a thousandth of all those rows, of which there
+    are at most a thousand, go to every task; so no key's rows meet in one."""
+    often = F.col("n") * 1000 > (right.agg(F.sum("n")).first()[0] or 0)
+    hot, rare = F.broadcast(right.where(often).drop("n")), right.where(~often).drop("n")
+    # the rows of hot keys don't go through the exchange of the others
+    others = left.join(F.broadcast(right.where(often).select(key)), key, "left_anti")
+    return left.join(hot, key, how).unionByName(others.join(rare, key, how))
+
+
 def components(edges: DataFrame, values: DataFrame | None = None) -> DataFrame:
     """Connected components of an undirected graph: ``edges(a, b)`` to ``(node, component)``.
 

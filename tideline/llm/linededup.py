@@ -24,11 +24,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import cut, slices, stored, unused
+from tideline.llm.common import cut, joined_on, slices, stored, unused
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\r\x0b\x0c"
 PIECES = 3
+SPLIT = 2000  # lines that are verified against one line in a group
 #: Where a line stands: ``own`` tells rows apart that repeat a doc_id with other texts.
 PLACE = ("doc_id", "own", "line")
 NEAR = ("near_doc_id", "near_own", "near_line")
@@ -224,8 +225,8 @@ def line_verdicts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     # a line asks for variants in a piece if another line agrees with it outside that piece; two
     # lines under a key are told by the ends of their hashes, however many it has
     keyed = lines.where("keys is not null").select("h", F.posexplode("keys").alias("ask", "key"))
-    met = keyed.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select("key")
-    asks = keyed.join(stored(met, "met"), "key", "left_semi").groupBy("h").agg(F.collect_set("ask").alias("asks"))
+    met = keyed.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b"), F.count("*").alias("n")).where("a != b").select("key", "n")
+    asks = joined_on(keyed, stored(met, "met"), "key", "left_semi").groupBy("h").agg(F.collect_set("ask").alias("asks"))
     asked = asks.join(first, "h").groupBy("doc_id", "own").agg(F.collect_list(F.struct("line", "h", "g", "asks")).alias("asked"))
     source = _texts(docs).where("text is not null").join(asked, ["doc_id", "own"]).select("doc_id", "own", "text", "asked")
     texts = source.mapInArrow(_asked_rows, "doc_id bigint, own bigint, line int, norm string, h bigint, g bigint, asks array<int>")
@@ -235,20 +236,23 @@ def line_verdicts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     rows = texts.select(*PLACE, "norm", F.sort_array("asks").alias("asks")).repartition(tasks, *PLACE)
     rows = stored(rows.mapInArrow(_variant_rows, "key bigint, role int, doc_id bigint, own bigint, line int"), "variants")
     best = lambda *roles: F.min(F.when(F.col("role").isin(*roles), F.struct(*PLACE)))
-    met = (
-        rows.groupBy("key")
-        .agg(F.count("*").alias("n"), best(0).alias("same"), best(1).alias("long"), best(2).alias("short"))
-        .where("n > 1")
-    )
+    met = rows.groupBy("key").agg(F.count("*").alias("n"), F.count_if(F.col("role") == 0).alias("equal"), best(0).alias("same"), best(1).alias("long"), best(2).alias("short"))
+    met = stored(met.where("equal > 1 or long is not null and short is not null").drop("equal"), "keys")
     other = F.when(F.col("role") == 0, F.col("same")).when(F.col("role") == 1, F.col("short")).otherwise(F.col("long"))
-    earlier = rows.join(met, "key").select(*PLACE, other.alias("near")).where("near < struct(doc_id, own, line)").distinct()
-    # verify
+    earlier = joined_on(rows, met, "key").select(*PLACE, other.alias("near")).where("near < struct(doc_id, own, line)").distinct()
+    earlier = stored(earlier.select(*PLACE, *(F.col("near")[c].alias(n) for c, n in zip(PLACE, NEAR))), "earlier")
+    # verify; an early line that many others meet is split, its text going to each part
+    many = stored(earlier.groupBy(*NEAR).agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")).where("parts > 1"), "many")
+    parts = F.coalesce("parts", F.lit(1))
     mine = texts.select(*PLACE, "norm")
-    theirs = texts.select(*(F.col(c).alias(n) for c, n in zip(PLACE, NEAR)), F.col("norm").alias("near_norm"))
+    theirs = texts.select(*(F.col(c).alias(n) for c, n in zip(PLACE, NEAR)), F.col("norm").alias("near_norm")).join(many, list(NEAR), "left")
+    theirs = theirs.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
     near = (
-        earlier.select(*PLACE, *(F.col("near")[c].alias(n) for c, n in zip(PLACE, NEAR)))
+        earlier.join(many, list(NEAR), "left")
+        .withColumn("part", F.pmod(F.xxhash64(*PLACE), parts).cast("int"))
+        .drop("parts")
         .join(mine, list(PLACE))
-        .join(theirs, list(NEAR))
+        .join(theirs, [*NEAR, "part"])
         .select(*PLACE, *NEAR, "norm", "near_norm")
         .mapInArrow(_verify, "doc_id bigint, own bigint, line int, near_doc_id bigint, near_own bigint, near_line int")
         .groupBy(*PLACE)
