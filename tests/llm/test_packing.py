@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tideline.llm import packing
@@ -101,3 +102,34 @@ def test_leftover_bins_are_downsized_and_no_shard_gets_dearer():
         assert total(length) <= total(packing.pack(sizes, (16, 32, 64))[2])
         downsized += length != packing.pack(sizes, (16, 32, 64), True, False)[2]
     assert downsized
+
+
+def least_cost(sizes):
+    """A bound that no packing into 1024, 2048, 4096 and 8192 can beat.  Pieces of more than half of the largest
+    length need a bin each.  What these have left takes at most so many pieces of the class below as fit one by
+    one, smallest first; the others need a bin each.  Of the next class at most so many are spared as fit into all
+    the room there is, and what tokens find no room so far costs at least what it does in the least length."""
+    top, mid, low = (sorted(n for n in sizes if c // 2 < n <= c) for c in (8192, 4096, 2048))
+    spared = 0
+    for gap in sorted(8192 - n for n in top):
+        spared += spared < len(mid) and mid[spared] <= gap
+    many, some = len(top), len(mid) - spared
+    room = many * 8192 + some * 4096 - sum(top) - sum(mid)
+    fits = np.searchsorted(np.cumsum(low), room, side="right")
+    few = len(low) - int(fits)
+    rest = max(0, sum(sizes) - many * 8192 - some * 4096 - few * 2048)
+    return many * packing.cost(8192) + some * packing.cost(4096) + few * packing.cost(2048) + rest * packing.cost(1024) / 1024
+
+
+def test_cost_on_sizes_like_those_of_documents():
+    """Near what no packing can beat, and below opening one length, the largest, and downsizing at the end."""
+    rng = np.random.default_rng(5)
+    for sigma in (0.6, 0.9, 1.2):
+        raw = np.exp(rng.normal(7.3, sigma, 8000)).astype(int) + 1
+        sizes = [x for n in raw.tolist() for x in [8192] * ((n - 1) // 8192) + [(n - 1) % 8192 + 1]]
+        found = sum(map(packing.cost, packing.pack_cheapest(sizes)[2]))
+        assert least_cost(sizes) <= found <= 1.02 * least_cost(sizes)
+        order = np.argsort(-np.array(sizes), kind="stable")
+        one = packing.pack([sizes[i] for i in order], (8192,))
+        used = np.bincount(one[0], weights=[sizes[i] for i in order]).astype(int)
+        assert found < 0.95 * sum(packing.cost(min(c for c in packing.LENGTHS if c >= u)) for u in used)
