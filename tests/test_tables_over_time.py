@@ -90,7 +90,7 @@ def test_a_hot_code_is_many_groups(spark):
         want = None if d is None or c == "b" else 7 if c is None else 6 if d >= D(2009, 1, 1) else 5 if d > D(2000, 1, 1) else None
         assert got[c, d] == want, (c, d)
     plan = asof.asof_shares(bars, shares)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(code" in plan and "__b" in plan
+    assert "hashpartitioning(__k" in plan and plan.count("hashpartitioning(__k") == 4  # the rows once, their blocks three times
 
 
 def test_batches_of_zero_padded_codes(spark):

@@ -38,13 +38,14 @@ def _scanned(rows: DataFrame, order: Sequence[Column], within: Column, over: Cal
     of a whole block by an aggregate.  A code's rows are dealt by block, so that one with most of the rows
     isn't one task; only a row for each block is scanned by code alone."""
     block = F.coalesce(F.floor(F.unix_date(within) / days), F.lit(-(1 << 40)))
-    rows = rows.withColumn("__b", block)
-    w = Window.partitionBy("code", "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    blocks = rows.groupBy("code", "__b").agg(summary.alias("__v"))  # under the name that ``over`` reads
-    before = Window.partitionBy("code").orderBy("__b" if forward else F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(F.col("code").alias("__c"), F.col("__b").alias("__d"), over(before).alias("__carry"))
-    here = rows.withColumn("__here", over(w))
-    return here.join(blocks, F.col("code").eqNullSafe(F.col("__c")) & (F.col("__b") == F.col("__d")), "left")
+    # keys without nulls, so that the join below finds the rows dealt as the window has left them
+    key = ["__k", "__u", "__b"]
+    rows = rows.withColumns({"__k": F.coalesce(F.col("code").cast("string"), F.lit("")), "__u": F.col("code").isNull(), "__b": block})
+    blocks = rows.groupBy(*key).agg(summary.alias("__v"))  # under the name that ``over`` reads
+    before = Window.partitionBy("__k", "__u").orderBy("__b" if forward else F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*key, over(before).alias("__carry"))
+    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("__here", over(w)).join(blocks, key, "left")
 
 
 def asof_shares(bars: DataFrame, shares: DataFrame, value: str = "shares", days: int = 366) -> DataFrame:
