@@ -176,6 +176,13 @@ def test_gates(spark):
         quality.drop_pit_violations(pit, "known", "about", 0.001)
 
 
+def test_counts_of_tables_in_one_frame_equal_those_of_each(spark):
+    df = spark.createDataFrame([("a", D(2020, 1, 1)), ("a", D(2021, 1, 1)), ("b", None), ("other", D(2030, 1, 1)), (None, None)], "t string, date date")
+    own = lambda n: df.where(F.col("t") == n)
+    want = quality.table_counts({"a": own("a"), "b": own("b"), "none": own("none"), "gone": None}, {n: "date" for n in ("a", "b", "none")})
+    assert rows(quality.counts_by(df, F.col("t"), ("a", "b", "none"), ("gone",))) == rows(want)
+
+
 def test_publish(spark, tmp_path):
     root = f"file://{tmp_path}/t"
     assert publish.current(spark, root) is None

@@ -33,6 +33,15 @@ def table_counts(tables: Mapping[str, DataFrame | None], date_cols: Mapping[str,
     return concat(*out)
 
 
+def counts_by(df: DataFrame, table: Column, expected: Sequence[str], absent: Sequence[str] = (), date_col: str = "date") -> DataFrame:
+    """:func:`table_counts` of tables that lie in one frame, ``table`` naming each row's, by one scan and one
+    aggregate.  Expected tables without a row have 0 rows, absent ones null."""
+    names = df.sparkSession.createDataFrame([(n, n in absent) for n in sorted({*expected, *absent})], "table string, gone boolean")
+    found = df.select(table.alias("table"), F.col(date_col).cast("date").alias("d")).groupBy("table").agg(F.count("*").alias("n"), F.max("d").alias("newest"))
+    rows = F.when(~F.col("gone"), F.coalesce("n", F.lit(0)))
+    return names.join(found, "table", "left").select("table", rows.alias("rows"), F.when(~F.col("gone"), F.col("newest")).alias("newest"))
+
+
 def newest_date(df: DataFrame | None, column: str = "date") -> DataFrame | None:
     return None if df is None else df.agg(F.max(column).alias("newest"))
 
