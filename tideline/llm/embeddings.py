@@ -296,7 +296,8 @@ def _all_pairs(nodes: DataFrame, placed: DataFrame, threshold: float) -> DataFra
 def _audit(nodes: DataFrame, placed: DataFrame, heavy: DataFrame, links: DataFrame, threshold: float) -> float:
     """The share of true links, of bounded samples of the nodes with and without links, that are
     found: both ends lie in one component, which is small, or the sampled node is compared with all of
-    it, or the link is in a list."""
+    it, or the link is in a list.  1.0 if the samples have no true link: then none that was found can be
+    missed by them, and of nodes without links the sample says that few can have one."""
     some = lambda rows: rows.select("node").orderBy(F.xxhash64("node", F.lit(11)), "node").limit(AUDIT)
     picked = some(placed).union(some(nodes.join(placed.select("node"), "node", "left_anti")))
     sample = nodes.select("node", "full").join(picked, "node").collect()
