@@ -295,3 +295,29 @@ def test_restated_earnings_become_versions(spark):
     two = jobs.earnings_increment(same, codes, 4, line("90"), day("2020-08-03"), "today")
     assert figures(one) == figures(same) == [("2020-08-01", 100.0)] and figures(two) == [("2020-08-01", 100.0), ("2020-08-03", 90.0)]
     assert figures(jobs.earnings_increment(one, codes, 4, line("90"), day("2020-08-03"), "today", pending_only=True)) == figures(one)
+
+
+def test_commits_on_a_file_system_without_links(spark, tmp_path):
+    """A mount table stands for any file system but the local one: commits are renamed without overwriting."""
+    (tmp_path / "store").mkdir()
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.test-store.link./t", f"file://{tmp_path}/store")
+    root = "viewfs://test-store/t"
+    assert publish.put_if_absent(spark, f"{root}/a/n.json", {"k": 1}) and not publish.put_if_absent(spark, f"{root}/a/n.json", {"k": 2})
+    assert publish._read(spark, f"{root}/a/n.json") == {"k": 1} and publish._names(spark, f"{root}/a") == ["n.json"]
+    publish.update(make(spark, [("a", 2020, 1), ("b", 2021, 2)]), root, part(), step, keep=0)
+    publish.update(make(spark, [("a", 2020, 3)]), root, part(), step, keep=0)
+    assert {r.code: r.n for r in publish.current(spark, root).collect()} == {"a": 3, "b": 2} and publish.latest(spark, root).number == 2
+
+
+def test_a_day_into_tables_by_year(spark, root):
+    raw = spark.createDataFrame([("a", "20240102", "-5", "9", "1", "6", "7", "8")], "code string, dt string, open string, high string, low string, close string, volume string, trade_value string")
+    flow = spark.createDataFrame([("a", "20240102", "-6", "0.5", "7", *["+1"] * 11)], "code string, dt string, close string, flu_rt string, acc_trde_qty string, " + ", ".join(f"{x} string" for x in jobs.nz.INVESTORS))
+    outcomes = spark.createDataFrame([("a", "done", 1)], "code string, outcome string, rows int")
+    jobs.merge_into(make(spark, [("a", 2023, 1)], "code string, date date, close int"), f"{root}/daily_bars", "daily_bars")
+    for _ in range(2):  # a day that is repeated changes nothing
+        done = jobs.daily_ingest_into(root, raw, flow, raw.withColumn("name", F.lit("x")), outcomes)
+    assert {k: v.rows for k, v in done.items()} == {"daily_bars": 2, "supply_demand": 1, "sector_index": 1}
+    assert sorted((str(r.date), r.open, r.close) for r in publish.current(spark, f"{root}/daily_bars").collect()) == [("2023-01-02", None, 1), ("2024-01-02", 5, 6)]
+    with pytest.raises(RuntimeError, match="too many"):
+        jobs.daily_ingest_into(root, raw, flow, raw, outcomes.withColumn("outcome", F.lit("failed")))

@@ -117,6 +117,16 @@ def daily_ingest(bars: DataFrame, flow: DataFrame, index: DataFrame, raw_bars: D
     )
 
 
+def daily_ingest_into(root: str, raw_bars: DataFrame, raw_flow: DataFrame, raw_index: DataFrame, outcomes: DataFrame, failure_limit: float = 0.2) -> dict[str, publish.Generation | None]:
+    """:func:`daily_ingest` into tables by year below ``root``: of each table only the years of the new rows are
+    read and written.  A table that is there after a failure of the next one takes the same rows again
+    unharmed."""
+    if found := quality.failure_rate_gate(outcomes, failure_limit).collect():
+        raise RuntimeError(f"too many codes failed: {found[0].asDict()}")
+    legs = {"daily_bars": nz.normalize_bars(raw_bars), "supply_demand": nz.normalize_flow(raw_flow), "sector_index": nz.normalize_index(raw_index)}
+    return {name: merge_into(rows, f"{root}/{name}", name) for name, rows in legs.items()}
+
+
 def short_credit_ingest(short: DataFrame, credit: DataFrame, raw_short: DataFrame, raw_credit: DataFrame) -> tuple[DataFrame, DataFrame]:
     return upsert(short, nz.normalize_short(raw_short), "short_selling"), upsert(credit, nz.normalize_credit(raw_credit), "credit_balance")
 

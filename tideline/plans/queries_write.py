@@ -307,6 +307,20 @@ def job_2_daily_ingest(spark, d):
     return worklists.concat(leg("bars", done.bars, "volume", "source"), leg("flow", done.flow, "individual", "source"), leg("index", done.index, "trade_value", "name"))
 
 
+@query("""SELECT 'daily_bars' AS leg, code, date, close, CASE WHEN date < DATE '2024-01-20' THEN source ELSE 'primary' END AS source FROM v_src
+    UNION ALL SELECT 'supply_demand', code, date, close, 'primary' FROM v_bars WHERE date >= DATE '2024-01-18' UNION ALL SELECT 'sector_index', code, date, close, 'New' FROM v_bars WHERE date >= DATE '2024-01-18'""")
+def job_2_ingest_into_years(spark, d):
+    """The last days into tables by year, of which one holds rows already; run twice, as after a failure."""
+    root, new = tables.scratch(spark, "daily"), _raw_bars(spark, d).where("dt >= '20240118'")
+    jobs.merge_into(sourced(spark, d).where("date < '2024-01-20'"), f"{root}/daily_bars", "daily_bars")
+    flow = new.select("code", "dt", "close", F.lit("0.5").alias("flu_rt"), F.col("volume").alias("acc_trde_qty"), *[F.col("open").alias(x) for x in nz.INVESTORS])
+    outcomes = new.select("code", F.lit("done").alias("outcome"), F.lit(1).alias("rows"))
+    for _ in range(2):
+        jobs.daily_ingest_into(root, new, flow, new.withColumn("name", F.lit(" New ")), outcomes)
+    leg = lambda name, source: publish.current(spark, f"{root}/{name}").select(F.lit(name).alias("leg"), *KEY, F.col("close").cast("bigint").alias("close"), F.col(source).alias("source"))
+    return worklists.concat(leg("daily_bars", "source"), leg("supply_demand", "source"), leg("sector_index", "name"))
+
+
 @query("""SELECT 'short' AS leg, code, date, close::INT AS close, -volume AS volume, open AS short_qty, low AS short_balance, 0.5::DOUBLE AS short_ratio, high::INT AS short_avg_price, 0::BIGINT AS short_value, NULL::BIGINT AS new_qty, NULL::BIGINT AS balance_amt, NULL::DOUBLE AS credit_rt FROM v_bars
     UNION ALL SELECT 'credit', code, date, close, NULL, NULL, NULL, NULL, NULL, NULL, -volume, -volume, -volume::DOUBLE FROM v_bars""")
 def job_3_short_credit_ingest(spark, d):
