@@ -14,6 +14,7 @@ it was written with, and only the parts that a range can match.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import json
 import time
 import uuid
@@ -23,7 +24,9 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, IntegralType, StringType, StructType, TimestampType
+from pyspark.sql.types import DataType, DateType, IntegralType, LongType, StringType, StructType, TimestampType
+
+from tideline.operators.clustered import Layout
 
 STATS = "generation string, number bigint, rows bigint, newest date, parts boolean"
 #: A writer that was killed leaves a folder; it goes when its intent is older than this.
@@ -72,6 +75,11 @@ class Commit:
     #: Names of the parts that were written anew; None if all were.
     touched: list | None = None
     tally: dict = field(default_factory=dict)
+    #: How the files of all parts are bucketed, if the table is clustered.
+    layout: dict | None = None
+
+    def clustering(self) -> Layout | None:
+        return Layout(**self.layout) if self.layout else None
 
 
 # --- small files, through the file system that a URI names ---
@@ -210,13 +218,18 @@ def _meets(part: Part, between: Mapping[str, tuple]) -> bool:
     return True
 
 
-def _filled(df: DataFrame, schema: StructType, defaults: Mapping[str, object]) -> DataFrame:
+def _filled(df: DataFrame, schema: StructType, defaults: Mapping[str, object], *further: Column) -> DataFrame:
     """``df`` with the columns of ``schema``; those it was written without hold their defaults."""
-    return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(*further, *[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def _read_parts(spark: SparkSession, root: str, parts: Iterable[Part], schema: StructType, defaults: Mapping[str, object]) -> DataFrame:
-    """The rows of some parts: one scan for all that were written with the same columns."""
+def _read_parts(spark: SparkSession, root: str, parts: Iterable[Part], schema: StructType, defaults: Mapping[str, object], layout: Layout | None = None) -> DataFrame:
+    """The rows of some parts: one scan for all that were written with the same columns, or with a
+    ``layout`` one for each, which are dealt alike."""
+    if layout:
+        # under another name than in the files: what Spark knows of a column's dealing outlives the union so
+        each = [_filled(_bucketed(spark, root, p, layout), schema, defaults, F.col("__cluster").alias("__at")) for p in parts]
+        return functools.reduce(DataFrame.unionByName, each) if each else spark.createDataFrame([], StructType([*schema.fields]).add("__at", LongType()))
     alike: dict[str, list[str]] = {}
     for p in parts:
         alike.setdefault(p.schema, []).append(f"{root}/{p.path}")
@@ -236,10 +249,10 @@ def current(spark: SparkSession, root: str, between: Mapping[str, tuple] | None
     return None if last is None else _read_commit(spark, root, last, between)
 
 
-def _read_commit(spark: SparkSession, root: str, commit: Commit, between: Mapping[str, tuple] | None = None) -> DataFrame:
+def _read_commit(spark: SparkSession, root: str, commit: Commit, between: Mapping[str, tuple] | None = None, layout: Layout | None = None) -> DataFrame:
     schema, between = _schema(commit.schema), between or {}
     parts = [p for p in _parts(spark, root, commit.generation) if _meets(p, between)]
-    df = _read_parts(spark, root, parts, schema, commit.defaults)
+    df = _read_parts(spark, root, parts, schema, commit.defaults, layout)
     for column, (low, high) in between.items():
         df = df.where(F.col(column).isNotNull())
         df = df if low is None else df.where(F.col(column) >= F.lit(low))
@@ -247,6 +260,31 @@ def _read_commit(spark: SparkSession, root: str, commit: Commit, between: Mappin
     return df
 
 
+def clustered(spark: SparkSession, root: str, between: Mapping[str, tuple] | None = None) -> tuple[DataFrame, Layout] | None:
+    """The current generation of a table that is kept clustered, with its layout: as :func:`current`, but the
+    frame carries ``__at`` and Spark knows how it is dealt.  None before the first generation."""
+    last = latest(spark, root)
+    if last is None:
+        return None
+    if not last.layout:
+        raise ValueError(f"{root}: not kept clustered")
+    return _read_commit(spark, root, last, between, last.clustering()), last.clustering()
+
+
+def _table_name(path: str) -> str:
+    """The name under which Spark knows the files of a part as bucketed."""
+    return "tideline_" + "_".join(x.partition("=")[2] for x in path.split("/"))
+
+
+def _bucketed(spark: SparkSession, root: str, part: Part, layout: Layout) -> DataFrame:
+    """The rows of a clustered part.  Only tables of the catalog can be bucketed, so its folder is noted there
+    as an external one; ``clean`` takes it out again."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _schema(part.schema))
+    place = f"{root}/{part.path}".replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_table_name(part.path)} ({columns}, __cluster BIGINT) USING parquet CLUSTERED BY (__cluster) INTO {layout.buckets} BUCKETS LOCATION '{place}'")
+    return spark.table(_table_name(part.path))
+
+
 # --- writing ---
 
 WIDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -298,6 +336,19 @@ def _begin(spark: SparkSession, root: str) -> str:
     return name
 
 
+def _save(df: DataFrame, path: str, by: tuple[str, ...], layout: Layout | None) -> None:
+    """Writes a generation's folder.  With a ``layout``, under which ``df`` is dealt, each bucket of each part
+    is one file, sorted."""
+    if layout is None:
+        df.write.partitionBy(*by).parquet(path)
+        return
+    name = "tideline_" + uuid.uuid4().hex
+    order = [c for c in ("code", "date") if c in df.columns]
+    rows = df.withColumnRenamed("__at", "__cluster")
+    rows.write.partitionBy(*by).bucketBy(layout.buckets, "__cluster").sortBy("__cluster", *order).option("path", path).saveAsTable(name, format="parquet")
+    df.sparkSession.sql(f"DROP TABLE {name}")  # the folder stays
+
+
 def _abandon(spark: SparkSession, root: str, name: str) -> None:
     delete(spark, f"{root}/gen={name}")
     delete(spark, f"{root}/parts/{name}.json")
@@ -322,15 +373,22 @@ def publish(
     partition_by: tuple[str, ...] = (),
     writer: tuple[str, int] | None = None,
     defaults: Mapping[str, object] | None = None,
+    layout: Layout | None = None,
 ) -> Generation:
     """Writes ``df`` aside, runs the gates on (its stats, the current stats), commits, and deletes
     what is beyond ``keep`` previous generations.  The stats are measured while it is written.
     Without current stats to compare with, a warning says so.  If another writer commits meanwhile,
-    this one fails with :class:`Conflict` and leaves nothing."""
+    this one fails with :class:`Conflict` and leaves nothing.  With a ``layout`` the table is kept clustered;
+    rows that come from a table of that layout (with ``__at``) are written as they are dealt."""
     spark, last = df.sparkSession, latest(df.sparkSession, root)
+    if layout and partition_by:
+        raise ValueError("a clustered table is kept in parts by update")
+    if layout and "__at" not in df.columns:
+        df = layout.deal(df)
+    kept = df.drop("__at") if layout else df
     name = _begin(spark, root)
-    measured, seen = _measured(df, ["all"], None, _zones(df.schema, date_col), date_col, {})
-    measured.write.partitionBy(*partition_by).parquet(f"{root}/gen={name}")
+    measured, seen = _measured(df, ["all"], None, _zones(kept.schema, date_col), date_col, {})
+    _save(measured, f"{root}/gen={name}", partition_by, layout)
     stats = seen.get
     row = lambda rows, newest: [(root, rows, newest)]
     kind = "table string, rows bigint, newest date"
@@ -342,10 +400,10 @@ def publish(
         if found := gate(now, was).limit(5).collect():
             _abandon(spark, root, name)
             raise GateFailed(f"{root}: {found}")
-    whole = _part_of(stats, 0, "", f"gen={name}", df.schema, _zones(df.schema, date_col))
+    whole = _part_of(stats, 0, "", f"gen={name}", kept.schema, _zones(kept.schema, date_col))
     _write(spark, f"{root}/parts/{name}.json", [asdict(whole)])
     ledger = {**(last.ledger if last else {}), **({writer[0]: writer[1]} if writer else {})}
-    commit = Commit((last.number if last else 0) + 1, name, stats["rows"], _plain(stats["newest"]), False, df.schema.json(), {k: _plain(v) for k, v in (defaults or {}).items()}, ledger)
+    commit = Commit((last.number if last else 0) + 1, name, stats["rows"], _plain(stats["newest"]), False, kept.schema.json(), {k: _plain(v) for k, v in (defaults or {}).items()}, ledger, layout=layout and asdict(layout))
     if not put_if_absent(spark, _commit_path(root, commit.number), asdict(commit)):
         _abandon(spark, root, name)
         other = _commit(spark, root, commit.number)
@@ -369,6 +427,7 @@ def update(
     defaults: Mapping[str, object] | None = None,
     tally: Mapping[str, Column] | None = None,
     attempts: int = 5,
+    layout: Layout | None = None,
 ) -> Generation | None:
     """Publishes a generation in which only the partitions that ``new`` touches are written anew.
 
@@ -387,8 +446,11 @@ def update(
     If others commit meanwhile and touched the same parts, the step runs again on what is there now, at
     most ``attempts`` times before :class:`Conflict`; if they touched others, both changes are kept.  With a
     ``writer`` (stream, batch id) the batch is noted in the commit, and None is returned if it is there already.
+
+    With a ``layout`` a new table is kept clustered, and so it stays without naming it again: ``base`` then
+    carries ``__at``, and a state that carries it too is written as it is dealt.
     """
-    spark = new.sparkSession
+    spark, new = new.sparkSession, new.drop("__at")
     text = F.coalesce(part.cast("string"), F.lit(""))
     fixed = {k: _plain(v) for k, v in (defaults or {}).items()}
     wanted = None
@@ -397,6 +459,10 @@ def update(
         if writer and last and last.ledger.get(writer[0], -1) >= writer[1]:
             return None
         fixed_now = {**(last.defaults if last else {}), **fixed}
+        was = last.clustering() if last else None
+        if layout and last and last.parts and layout != was:
+            raise ValueError(f"{root}: kept as {was}, not as {layout}")
+        kept_as = layout or was
         table = _schema(last.schema) if last else None
         held = {p.part: p for p in _parts(spark, root, last.generation)} if last and last.parts else {}
         if wanted is None:
@@ -406,7 +472,7 @@ def update(
             names = sorted({*wanted, *(r["p"] for r in base.select(text.alias("p")).distinct().collect())})
         else:
             names, touched = wanted, wanted
-            base = _read_parts(spark, root, [held[p] for p in names if p in held], table, fixed_now) if last else spark.createDataFrame([], new.schema)
+            base = _read_parts(spark, root, [held[p] for p in names if p in held], table, fixed_now, was) if last else spark.createDataFrame([], new.schema)
         name = _begin(spark, root)
         state = step(base, new)
         kept = [c for c in state.columns if not c.startswith("__")]
@@ -416,21 +482,23 @@ def update(
         zones = _zones(own, date_col)
         place = F.array_position(F.array(*map(F.lit, names)).cast("array<string>"), text) - 1
         place = F.when(place < 0, F.raise_error(F.concat(F.lit("a row left its partition for "), text)).cast("bigint")).otherwise(place)
+        if kept_as and (was is None or "__at" not in state.columns):
+            state = kept_as.deal(state)
         dealt = state.select(*[F.col(c).cast(schema[c].dataType).alias(c) if c in kept else F.col(c) for c in state.columns]).withColumn("__part", place)
         dealt, seen = _measured(dealt, names, F.col("__part"), zones, date_col if date_col in kept else None, tally or {})
-        dealt.select(*kept, "__part").write.partitionBy("__part").parquet(f"{root}/gen={name}")
+        _save(dealt.select(*kept, *(["__at"] if kept_as else []), "__part"), f"{root}/gen={name}", ("__part",), kept_as)
         stats = seen.get
         fresh = [_part_of(stats, k, p, f"gen={name}/__part={k}", own, zones) for k, p in enumerate(names)]
         fresh = [p for p in fresh if p.rows]
         counted = {n: stats[f"tally_{n}"] for n in tally or {}}
-        done = _commit_parts(spark, root, name, last, fresh, touched, schema, fixed_now, date_col, writer, counted)
+        done = _commit_parts(spark, root, name, last, fresh, touched, schema, fixed_now, date_col, writer, counted, kept_as)
         if done:
             return _finish(spark, root, done, keep)
         _abandon(spark, root, name)
     raise Conflict(f"{root}: parts {wanted} were written by others in {attempts} attempts")
 
 
-def _commit_parts(spark, root, name, base, fresh, touched, schema, defaults, date_col, writer, tally) -> Commit | None:
+def _commit_parts(spark, root, name, base, fresh, touched, schema, defaults, date_col, writer, tally, layout) -> Commit | None:
     """Commits parts built on ``base``, after whatever others have committed since to other parts; None
     if they touched the same ones, or the batch has been committed by another run."""
     last = base
@@ -441,7 +509,7 @@ def _commit_parts(spark, root, name, base, fresh, touched, schema, defaults, dat
         merged = _merged(_schema(last.schema), schema) if last else schema
         days = [str(p.high[date_col])[:10] for p in table if p.high.get(date_col)] if date_col else [last.newest] if last and last.newest else []
         ledger = {**(last.ledger if last else {}), **({writer[0]: writer[1]} if writer else {})}
-        commit = Commit((last.number if last else 0) + 1, name, sum(p.rows for p in table), max(days, default=None), True, merged.json(), {**(last.defaults if last else {}), **defaults}, ledger, touched, tally)
+        commit = Commit((last.number if last else 0) + 1, name, sum(p.rows for p in table), max(days, default=None), True, merged.json(), {**(last.defaults if last else {}), **defaults}, ledger, touched, tally, layout and asdict(layout))
         _write(spark, f"{root}/parts/{name}.json", [asdict(p) for p in table])
         if put_if_absent(spark, _commit_path(root, commit.number), asdict(commit)):
             return commit
@@ -465,7 +533,7 @@ def add_columns(spark: SparkSession, root: str, added: Mapping[str, tuple[str |
                 schema.add(column, StructType.fromDDL(f"c {kind}")["c"].dataType if isinstance(kind, str) else kind)
         name = uuid.uuid4().hex
         _write(spark, f"{root}/parts/{name}.json", [asdict(p) for p in _parts(spark, root, last.generation)])
-        commit = Commit(last.number + 1, name, last.rows, last.newest, last.parts, schema.json(), {**last.defaults, **{k: _plain(v) for k, (_, v) in added.items() if k not in last.defaults}}, last.ledger, [])
+        commit = Commit(last.number + 1, name, last.rows, last.newest, last.parts, schema.json(), {**last.defaults, **{k: _plain(v) for k, (_, v) in added.items() if k not in last.defaults}}, last.ledger, [], layout=last.layout)
         if put_if_absent(spark, _commit_path(root, commit.number), asdict(commit)):
             return _finish(spark, root, commit, keep)
         delete(spark, f"{root}/parts/{name}.json")
@@ -487,7 +555,8 @@ def clean(spark: SparkSession, root: str, keep: int, grace: float = GRACE_SECOND
             building.add(intent.removesuffix(".json"))
         else:
             delete(spark, f"{root}/intents/{intent}")
-    kept = {_commit(spark, root, n).generation for n in _numbers(spark, root)[-keep - 1 :]}
+    commits = [_commit(spark, root, n) for n in _numbers(spark, root)[-keep - 1 :]]
+    kept, clustered_too = {c.generation for c in commits}, any(c.layout for c in commits)
     used = {p.path for g in kept for p in _parts(spark, root, g)}
     gone = [f"parts/{g}.json" for g in lists if g not in kept | building]
     for folder in (f for f in folders if f not in used and f.removeprefix("gen=") not in building):
@@ -496,4 +565,8 @@ def clean(spark: SparkSession, root: str, keep: int, grace: float = GRACE_SECOND
         gone += [folder] if len(unused) == len(inside) else unused
     for path in gone:
         delete(spark, f"{root}/{path}")
+        if clustered_too and path.startswith("gen="):
+            noted = spark.sql(f"SHOW TABLES LIKE '{_table_name(path)}|{_table_name(path)}_*'").collect()
+            for t in noted:
+                spark.sql(f"DROP TABLE IF EXISTS {t.tableName}")
     return gone

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import scalars as fn
-from tideline.operators import asof, feeds, merge, publish, quality
+from tideline.operators import asof, clustered, feeds, merge, publish, quality
 from tideline.operators import normalize as nz
 from tideline.operators import worklists as wl
+from tideline.operators.clustered import Layout
 from tideline.sources.schemas import TABLES
 from tideline.sources.tables import copy_window
 
@@ -43,30 +44,45 @@ def _whole(base: DataFrame, table: str) -> DataFrame:
     return base.withColumns(missing).select(*schema.fieldNames(), *[c for c in base.columns if c not in schema.names])
 
 
-def _into(new: DataFrame, root: str, table: str, keep: int, writer: tuple[str, int] | None, step, tally=None) -> publish.Generation | None:
+def _into(new: DataFrame, root: str, table: str, keep: int, writer: tuple[str, int] | None, step, tally=None, layout: Layout | None = None) -> publish.Generation | None:
     by, part = _year(table)
     schema = TABLES[table].schema
     rows = new.withColumns({c: F.col(c).cast(schema[c].dataType) for c in new.columns if c in schema.names})
 
     def run(base: DataFrame, rows: DataFrame) -> DataFrame:
         last = publish.latest(rows.sparkSession, root)
-        return step(_whole(base, table), rows, {**TABLES[table].defaults, **(last.defaults if last else {})})
+        dealt = last.clustering() if last and "__at" in base.columns else None
+        return step(_whole(base, table), rows, {**TABLES[table].defaults, **(last.defaults if last else {})}, dealt)
 
-    return publish.update(rows, root, part, run, keep, by if by == "date" else None, writer, TABLES[table].defaults, tally)
+    return publish.update(rows, root, part, run, keep, by if by == "date" else None, writer, TABLES[table].defaults, tally, layout=layout)
 
 
-def merge_into(new: DataFrame, root: str, table: str, keep: int = 2, writer: tuple[str, int] | None = None) -> publish.Generation | None:
+def merge_into(new: DataFrame, root: str, table: str, keep: int = 2, writer: tuple[str, int] | None = None, layout: Layout | None = None) -> publish.Generation | None:
     """Merges rows into the table below ``root``, which is kept in parts by year (of the date, or of the
     period): only the years that ``new`` touches are read and written.  Columns beyond those of the known
-    table are kept, and added to it if they are new.  No rows at all leave the table as it is."""
-    return _into(new, root, table, keep, writer, lambda base, rows, defaults: merge.merge_update(base, rows, TABLES[table].keys, defaults, extend=True))
+    table are kept, and added to it if they are new.  No rows at all leave the table as it is.  A new table of
+    code and date is kept clustered if a ``layout`` is given; merges then deal only the new rows."""
 
+    def step(base, rows, defaults, dealt):
+        keys = TABLES[table].keys
+        if dealt:
+            return clustered.merge_update(base, rows, dealt, keys, defaults, extend=True)
+        return merge.merge_update(base, rows, keys, defaults, extend=True)
 
-def insert_into(new: DataFrame, root: str, table: str, keep: int = 2, writer: tuple[str, int] | None = None) -> publish.Generation | None:
+    return _into(new, root, table, keep, writer, step, layout=layout)
+
+
+def insert_into(new: DataFrame, root: str, table: str, keep: int = 2, writer: tuple[str, int] | None = None, layout: Layout | None = None) -> publish.Generation | None:
     """As :func:`merge_into`, but rows that are there stay as they are.  The true insert count is measured
     while the years are written: ``tally["inserted"]`` of the result."""
-    step = lambda base, rows, defaults: merge.merge_insert_only(base, rows.select([c for c in rows.columns if c in base.columns]), TABLES[table].keys, defaults, flag="__inserted")
-    return _into(new, root, table, keep, writer, step, {"inserted": F.count_if("__inserted")})
+
+    def step(base, rows, defaults, dealt):
+        known, keys = rows.select([c for c in rows.columns if c in base.columns]), TABLES[table].keys
+        if dealt:
+            return clustered.merge_insert_only(base, known, dealt, keys, defaults, flag="__inserted")
+        return merge.merge_insert_only(base, known, keys, defaults, flag="__inserted")
+
+    return _into(new, root, table, keep, writer, step, {"inserted": F.count_if("__inserted")}, layout)
 
 
 def copy_recent(spark: SparkSession, source: str, target: str, table: str, first: dt.date | None, last: dt.date | None = None) -> publish.Generation | None:
