@@ -128,6 +128,20 @@ def test_a_clustered_table_stays_so(spark, root, tmp_path):
         jobs.merge_into(first, root, "daily_bars", layout=Layout(5))
 
 
+def test_any_step_keeps_a_table_clustered(spark, root, tmp_path):
+    """A plain merge, as streams run it, onto a clustered table: new rows get their bucket too."""
+    rng = random.Random(8)
+    found, later = some(rng, 80), some(rng, 80)
+    make(spark, root, found)
+    publish.update(spark.createDataFrame(later, BAR), root, by_year(), lambda base, new: merge.merge_update(base, new, KEY), writer=("stream", 0))
+    df, layout = publish.clustered(spark, root)
+    assert rows(df.drop("__at")) == rows(merge.merge_update(spark.createDataFrame(found, BAR), spark.createDataFrame(later, BAR), KEY))
+    assert df.where(~F.col("__at").eqNullSafe(layout.at())).count() == 0
+    for p in publish._parts(spark, root, publish.latest(spark, root).generation):
+        files = [f.name for f in (tmp_path / "t" / p.path).glob("*.parquet")]
+        assert len(files) == len({f.split("_")[-1] for f in files})
+
+
 def test_a_result_is_published_as_it_is_dealt(spark, root):
     """Adjusted bars of a clustered table become another one without moving, and old generations go from the catalog."""
     base, layout = make(spark, root, some(random.Random(6), 150))

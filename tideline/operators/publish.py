@@ -338,13 +338,13 @@ def _begin(spark: SparkSession, root: str) -> str:
 
 def _save(df: DataFrame, path: str, by: tuple[str, ...], layout: Layout | None) -> None:
     """Writes a generation's folder.  With a ``layout``, under which ``df`` is dealt, each bucket of each part
-    is one file, sorted."""
+    is one file, sorted; the hash is taken from the rows themselves."""
     if layout is None:
         df.write.partitionBy(*by).parquet(path)
         return
     name = "tideline_" + uuid.uuid4().hex
     order = [c for c in ("code", "date") if c in df.columns]
-    rows = df.withColumnRenamed("__at", "__cluster")
+    rows = df.drop("__at").withColumn("__cluster", layout.at())
     rows.write.partitionBy(*by).bucketBy(layout.buckets, "__cluster").sortBy("__cluster", *order).option("path", path).saveAsTable(name, format="parquet")
     df.sparkSession.sql(f"DROP TABLE {name}")  # the folder stays
 
@@ -428,6 +428,7 @@ def update(
     tally: Mapping[str, Column] | None = None,
     attempts: int = 5,
     layout: Layout | None = None,
+    in_place: bool = False,
 ) -> Generation | None:
     """Publishes a generation in which only the partitions that ``new`` touches are written anew.
 
@@ -447,8 +448,9 @@ def update(
     most ``attempts`` times before :class:`Conflict`; if they touched others, both changes are kept.  With a
     ``writer`` (stream, batch id) the batch is noted in the commit, and None is returned if it is there already.
 
-    With a ``layout`` a new table is kept clustered, and so it stays without naming it again: ``base`` then
-    carries ``__at``, and a state that carries it too is written as it is dealt.
+    With a ``layout`` a new table is kept clustered, and so it stays without naming it again: whatever a step
+    returns is dealt that way.  A step that leaves rows where they are says so by ``in_place``: its ``base``
+    carries ``__at`` as that of :func:`clustered`, and its state, carrying it too, is written without an exchange.
     """
     spark, new = new.sparkSession, new.drop("__at")
     text = F.coalesce(part.cast("string"), F.lit(""))
@@ -472,7 +474,7 @@ def update(
             names = sorted({*wanted, *(r["p"] for r in base.select(text.alias("p")).distinct().collect())})
         else:
             names, touched = wanted, wanted
-            base = _read_parts(spark, root, [held[p] for p in names if p in held], table, fixed_now, was) if last else spark.createDataFrame([], new.schema)
+            base = _read_parts(spark, root, [held[p] for p in names if p in held], table, fixed_now, was if in_place else None) if last else spark.createDataFrame([], new.schema)
         name = _begin(spark, root)
         state = step(base, new)
         kept = [c for c in state.columns if not c.startswith("__")]
@@ -482,11 +484,11 @@ def update(
         zones = _zones(own, date_col)
         place = F.array_position(F.array(*map(F.lit, names)).cast("array<string>"), text) - 1
         place = F.when(place < 0, F.raise_error(F.concat(F.lit("a row left its partition for "), text)).cast("bigint")).otherwise(place)
-        if kept_as and (was is None or "__at" not in state.columns):
+        if kept_as and not (in_place and was and "__at" in state.columns):
             state = kept_as.deal(state)
         dealt = state.select(*[F.col(c).cast(schema[c].dataType).alias(c) if c in kept else F.col(c) for c in state.columns]).withColumn("__part", place)
         dealt, seen = _measured(dealt, names, F.col("__part"), zones, date_col if date_col in kept else None, tally or {})
-        _save(dealt.select(*kept, *(["__at"] if kept_as else []), "__part"), f"{root}/gen={name}", ("__part",), kept_as)
+        _save(dealt.select(*kept, "__part"), f"{root}/gen={name}", ("__part",), kept_as)
         stats = seen.get
         fresh = [_part_of(stats, k, p, f"gen={name}/__part={k}", own, zones) for k, p in enumerate(names)]
         fresh = [p for p in fresh if p.rows]

@@ -54,7 +54,7 @@ def _into(new: DataFrame, root: str, table: str, keep: int, writer: tuple[str, i
         dealt = last.clustering() if last and "__at" in base.columns else None
         return step(_whole(base, table), rows, {**TABLES[table].defaults, **(last.defaults if last else {})}, dealt)
 
-    return publish.update(rows, root, part, run, keep, by if by == "date" else None, writer, TABLES[table].defaults, tally, layout=layout)
+    return publish.update(rows, root, part, run, keep, by if by == "date" else None, writer, TABLES[table].defaults, tally, layout=layout, in_place=True)
 
 
 def merge_into(new: DataFrame, root: str, table: str, keep: int = 2, writer: tuple[str, int] | None = None, layout: Layout | None = None) -> publish.Generation | None:
@@ -224,6 +224,16 @@ def adjust_rebuild(bars: DataFrame, factors: DataFrame, root: str, keep: int = 2
     return publish.publish(typed(asof.back_adjust(bars, factors), "daily_bars_adjusted"), root, keep, "date")
 
 
+def adjust_clustered(spark: SparkSession, source: str, factors: DataFrame, root: str, keep: int = 2) -> publish.Generation:
+    """The adjusted table of one that is kept clustered below ``source``, published below ``root`` in the same
+    layout: bars are read, adjusted and written without being dealt anew."""
+    bars, layout = publish.clustered(spark, source)
+    adjusted = asof.back_adjust(bars, factors, [c for c in ("open", "high", "low", "close") if c in bars.columns], layout=layout)
+    schema = TABLES["daily_bars_adjusted"].schema
+    rows = adjusted.select("__at", *[F.col(c).cast(schema[c].dataType).alias(c) for c in schema.fieldNames() if c in adjusted.columns])
+    return publish.publish(rows, root, keep, "date", layout=layout)
+
+
 def gates(tolerance: float = 0.05):
     """The gates of a rebuild, for :func:`tideline.operators.publish.publish`."""
     presence = lambda now, was: quality.gate_presence(now, now.select("table"))

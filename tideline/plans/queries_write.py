@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import asof, merge, publish, worklists
 from tideline.operators import normalize as nz
+from tideline.operators.clustered import Layout
 from tideline.plans import jobs
 from tideline.plans.catalog import SQL, query
 from tideline.plans.queries_read import _AVAIL, LIMITS, raw
@@ -49,6 +50,53 @@ def mrg_1_merge_into_parts(spark, d):
     return publish.current(spark, root).select("code", "date", *[F.col(c).cast("bigint").alias(c) for c in ("close", "low", "high", "volume", "trade_value")], "source")
 
 
+def clustered_bars(spark, d):
+    """A long history kept clustered by code and year's block, of which one year is merged anew, and its folder."""
+    b, root = views.long_bars(spark, d), tables.scratch(spark, "clustered")
+    jobs.merge_into(nz.stamp_source(b.where("not date between '1996-07-01' and '1996-12-31'"), "archive"), root, "daily_bars", layout=Layout(8))
+    jobs.merge_into(b.where("year(date) = 1996").withColumn("close", -F.col("close")).withColumn("revision", F.lit(1)), root, "daily_bars")
+    return root
+
+
+_CLUSTERED = """SELECT code, date, CASE WHEN year(date) = 1996 THEN -close ELSE close END AS close, low, high, volume, trade_value,
+    CASE WHEN date BETWEEN DATE '1996-07-01' AND DATE '1996-12-31' THEN 'primary' ELSE 'archive' END AS source FROM v_long"""
+
+
+@query(f"SELECT *, CASE WHEN year(date) = 1996 THEN 1 END AS revision FROM ({_CLUSTERED})")
+def mrg_1_merge_into_clustered(spark, d):
+    df, _ = publish.clustered(spark, clustered_bars(spark, d))
+    return df.select("code", "date", *[F.col(c).cast("bigint").alias(c) for c in ("close", "low", "high", "volume", "trade_value")], "source", "revision")
+
+
+_SPLITS = "SELECT code, date, CASE WHEN volume % 2 = 0 THEN 0.5 ELSE 2.0 END AS factor FROM v_long WHERE volume % 5 = 0"
+
+
+@query(f"""SELECT code, date, volume, source, p * low AS low, p * high AS high, p * close AS close FROM (SELECT b.*, coalesce(product(f.factor) OVER (PARTITION BY b.code ORDER BY b.date DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1.0) AS p FROM ({_CLUSTERED}) b LEFT JOIN ({_SPLITS}) f USING (code, date))""")
+def job_7_adjust_clustered(spark, d):
+    """Merged, adjusted and published in one layout."""
+    source, root = clustered_bars(spark, d), tables.scratch(spark, "adjusted")
+    events = views.long_bars(spark, d).where("volume % 5 = 0").select("code", "date", F.when(F.col("volume") % 2 == 0, 0.5).otherwise(2.0).alias("factor"))
+    jobs.adjust_clustered(spark, source, events, root)
+    return publish.current(spark, root).select("code", "date", "volume", "source", "low", "high", "close")
+
+
+@query("SELECT b.*, s.shares, b.close * s.shares AS market_cap FROM v_share_bars b ASOF LEFT JOIN v_shares s ON b.code = s.code AND b.date >= s.date")
+def jn_13_market_cap_clustered(spark, d):
+    root = tables.scratch(spark, "clustered")
+    publish.publish(views.share_bars(spark, d), root, date_col="date", layout=Layout(8))
+    bars, layout = publish.clustered(spark, root)
+    return asof.market_cap_asof(bars, views.shares(spark, d), layout).drop("__at")
+
+
+@query("SELECT b.code, b.date, b.close, arg_max(s.shares, (s.date, s.shares)) AS shares FROM v_share_bars b LEFT JOIN v_shares s ON b.code = s.code AND s.date <= b.date AND s.date + CAST(s.shares % 200 AS INTEGER) <= b.date GROUP BY ALL")
+def jn_14_asof_shares_pit_clustered(spark, d):
+    root = tables.scratch(spark, "clustered")
+    publish.publish(views.share_bars(spark, d), root, date_col="date", layout=Layout(8))
+    bars, layout = publish.clustered(spark, root)
+    known = views.shares(spark, d).withColumn("knowledge_date", F.expr("date_add(date, cast(shares % 200 as int))"))
+    return asof.asof_shares_pit(bars, known, layout=layout).drop("__at")
+
+
 @query(f"""SELECT code, date, close, {', '.join(_REST)}, source FROM ({_BASE}) UNION ALL
     SELECT code, date, close, NULL, NULL, NULL, NULL, NULL, 'primary' FROM ({_NEW}) n WHERE NOT EXISTS (SELECT 1 FROM ({_BASE}) b WHERE b.code = n.code AND b.date = n.date)""")
 def mrg_2_merge_insert_only(spark, d):
