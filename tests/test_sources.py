@@ -79,6 +79,32 @@ def test_snapshots_of_several_encodings_and_headers(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == [("000020", dt.date(2026, 8, 12), 7), ("000040", dt.date(2026, 8, 13), 9), ("000660", dt.date(2026, 8, 11), 728002365), ("005930", dt.date(2026, 8, 10), 5969782550)]
 
 
+@pytest.mark.parametrize("name", ["12345678-ab12-4cd3-8ef4-0123456789ab", "4c7b66a6-018a-4c17-b722-a272460575c8", "20250101-018a-4c17-b722-ab20250102cd"])
+def test_a_snapshots_day_is_not_taken_from_the_id_of_a_part_file(spark, tmp_path, name):
+    """Spark's part files carry a UUID, whose digits may look like a day or are none."""
+    for day in ("2026-08-10", "2026-08-11"):
+        (tmp_path / f"date={day}").mkdir()
+        (tmp_path / f"date={day}" / f"part-00000-{name}.c000.txt").write_text(f"code,shares\n{day[-2:]},7\n", encoding="utf-8")
+    got = tables.read_snapshots(spark, str(tmp_path), "code", "shares")
+    assert sorted(map(tuple, got.collect())) == [("10", dt.date(2026, 8, 10), 7), ("11", dt.date(2026, 8, 11), 7)]
+
+
+def test_days_in_paths(spark):
+    want = {
+        "file:/a/2026-08-10/20260811.csv": dt.date(2026, 8, 11),
+        "file:/a/20260811/2026-08-10.csv": dt.date(2026, 8, 10),
+        "file:/a/listed20260812_v2.csv": dt.date(2026, 8, 12),
+        "file:/a/2026-08-12/part-00012345.csv": dt.date(2026, 8, 12),  # eight digits, no day
+        "file:/a/2026-08-12/2026-02-30.csv": dt.date(2026, 8, 12),
+        "file:/a/2026-08-12/1786520250101.csv": dt.date(2026, 8, 12),  # a longer number
+        f"file:/a/2026-08-12/{'ab20250101' * 4}.csv": dt.date(2026, 8, 12),  # a hash
+        "file:/snapshots-1a2b3c4d20250101aaaabbbbccccdddd/x.csv": None,
+        "file:/a/x.csv": None,
+    }
+    got = spark.createDataFrame([(x,) for x in want], "path string").select("path", tables.path_day(F.col("path"))).collect()
+    assert dict(map(tuple, got)) == want
+
+
 def test_control_is_replaced_but_keeps_local_facts(spark):
     seen = spark.createDataFrame([("a", 1, "x"), (None, 3, "z")], "feed string, n int, local string")
     later = spark.createDataFrame([("a", None), (None, 4)], "feed string, n int")

@@ -82,13 +82,26 @@ def snapshot_rows(content: bytes, code_col: str, shares_col: str) -> list[tuple[
     return [(row[code].strip().strip('"'), row[shares]) for row in lines if len(row) > max(code, shares)]
 
 
+#: A day in a path, which is no part of a longer number.
+PATH_DAY = r"(?<!\d)(\d{4}-\d{2}-\d{2}|\d{8})(?!\d)"
+#: UUIDs and hashes in a path, such as that in the names of Spark's part files: their digits are no day.
+PATH_ID = r"(?i)(?<![0-9a-z])(?:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9a-f]{32,})(?![0-9a-z])"
+
+
+def path_day(path: Column) -> Column:
+    """The last ``YYYY-MM-DD`` or ``YYYYMMDD`` in a path that is a day of the calendar, UUIDs and hashes aside;
+    null if there is none."""
+    found = F.regexp_extract_all(F.regexp_replace(path, PATH_ID, " "), F.lit(PATH_DAY), F.lit(1))
+    return F.try_element_at(F.filter(F.transform(found, fn.parse_date), lambda day: day.isNotNull()), F.lit(-1))
+
+
 def read_snapshots(spark: SparkSession, path: str, code_col: str, shares_col: str, day_of: Column | None = None) -> DataFrame:
     """``(code, date, shares_outstanding)`` of all files of a folder, each with an encoding and a header of its
-    own.  ``day_of`` gives the date from ``path``; by default the last ``YYYY-MM-DD`` or ``YYYYMMDD`` in it.
+    own.  ``day_of`` gives the date from ``path``; by default it is the last one there (:func:`path_day`).
     Rows without a code or a share count are left out, and a file that can't be read gives no rows.
     A file is read by one task, as one snapshot: a few thousand rows."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    day = fn.parse_date(F.regexp_extract("path", r".*(\d{4}-\d{2}-\d{2}|\d{8})", 1)) if day_of is None else day_of
+    day = path_day(F.col("path")) if day_of is None else day_of
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
