@@ -54,3 +54,12 @@ def test_options_and_staleness(spark):
     cases = [("stocks", 1, False), ("stocks", 2, True), ("holdings", 7, False), ("holdings", 8, True), ("descriptions", 29, False), ("other", 2, True), ("stocks", None, False)]
     frame = spark.createDataFrame(cases, "feed string, streak int, want boolean")
     assert frame.where(fn.is_stale(F.col("feed"), F.col("streak"), limits) != F.col("want")).count() == 0
+
+
+def test_options_of_long_lists(spark):
+    words = ["--db" if i % 7 == 0 else "--dsn" if i % 11 == 0 else f"w{i}" for i in range(100_000)]
+    lists = spark.createDataFrame([(" ".join(words),)], "t string").select(fn.mask_options(F.split("t", " ")).alias("a"))
+    assert lists._jdf.queryExecution().executedPlan().toString().count("split(") == 1  # not once more for each word
+    assert lists.first().a == words[:1] + ["***" if before in ("--db", "--dsn") else x for before, x in zip(words, words[1:])]
+    odd = [["--db"], [], None, ["--db", "--db", "x"], ["--dsn", None, "y"], [None, "--db", None, "z"], ["--db=x", "v"]]
+    assert apply(spark, fn.mask_options, *odd, kind="array<string>") == [["--db"], [], None, ["--db", "***", "***"], ["--dsn", "***", "y"], [None, "--db", "***", "z"], ["--db=x", "v"]]

@@ -117,9 +117,10 @@ def mask_secrets(text: Column) -> Column:
 
 
 def mask_options(args: Column) -> Column:
-    """In a list of command-line arguments, the one after ``--db`` or ``--dsn`` masked."""
-    secret = lambda i: (i > 0) & F.element_at(args, F.greatest(i, F.lit(1))).isin("--db", "--dsn")
-    return F.transform(args, lambda x, i: F.when(secret(i), F.lit("***")).otherwise(x))
+    """In a list of command-line arguments, the one after ``--db`` or ``--dsn`` masked.
+    The list is a variable, too: an expression inside ``transform`` would be worked out again for each element."""
+    masked = lambda a: F.transform(a, lambda x, i: F.when(F.get(a, i - 1).isin("--db", "--dsn"), F.lit("***")).otherwise(x))
+    return F.get(F.transform(F.array(args), masked), F.lit(0))
 
 
 def stale_threshold(feed: Column, limits: Mapping[str, int], default: int = 2) -> Column:
